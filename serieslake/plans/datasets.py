@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,14 @@ RULES: dict[str, list[Rule]] = {
     "gold.series_by_year": [Rule("non_null_year", "year IS NOT NULL", DROP)],
 }
 
+# How some tables are published: an empty silver table is refused, as it breaks no row
+# rule; observations are spread evenly over their files, whatever series is heavy.
+PUBLISH: dict[str, dict] = {
+    "silver.population": {"min_rows": 1},
+    "silver.observations": {"min_rows": 1, "rebalance": ()},
+    "silver.series": {"min_rows": 1},
+}
+
 # The text extracts that are stored as they come.
 EXTRACTS: dict[str, T.StructType] = {
     "series": S.SERIES,
@@ -153,25 +162,34 @@ def refresh(
 ) -> None:
     """Full refresh of all layers; ``files`` maps the extracts and ``population`` to paths.
 
-    Every layer reads the published layer below it.  The observation tables are spread
-    evenly over their files, as a heavy series would otherwise leave one huge file.
+    Every layer reads the published layer below it.
     """
 
-    def publish(name: str, df: DataFrame, **options) -> None:
-        lake.publish(df, name, RULES[name], run_at=run_at, **options)
+    def publish(name: str, df: DataFrame) -> None:
+        lake.publish(df, name, RULES[name], run_at=run_at, **PUBLISH.get(name, {}))
+
+    def publish_all(tables: Mapping[str, DataFrame]) -> None:
+        # The tables of a layer do not depend on each other, so their jobs may overlap.
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            for done in [pool.submit(publish, name, df) for name, df in tables.items()]:
+                done.result()
 
-    for name in EXTRACTS:
-        publish(f"bronze.{name}", bronze_extract(lake.spark, name, files[name]))
-    publish("bronze.population", bronze_population(lake.spark, files["population"], lines=document_lines))
+    bronze = {f"bronze.{name}": bronze_extract(lake.spark, name, files[name]) for name in EXTRACTS}
+    bronze["bronze.population"] = bronze_population(lake.spark, files["population"], lines=document_lines)
+    publish_all(bronze)
 
-    publish("silver.population", silver_population(lake.read("bronze.population")), min_rows=1)
+    lists = {name: lake.read(f"bronze.{name}") for name in ("sector", "class", "measure", "duration", "seasonal")}
     current, history = lake.read("bronze.observations_current"), lake.read("bronze.observations_all")
-    publish("silver.observations", silver_observations(current, history), min_rows=1, rebalance=())
-    tables = {name: lake.read(f"bronze.{name}") for name in ("sector", "class", "measure", "duration", "seasonal")}
-    publish("silver.series", silver_series(lake.read("bronze.series"), tables), min_rows=1)
+    publish_all({
+        "silver.population": silver_population(lake.read("bronze.population")),
+        "silver.observations": silver_observations(current, history),
+        "silver.series": silver_series(lake.read("bronze.series"), lists),
+    })
 
     observations, population = lake.read("silver.observations"), lake.read("silver.population")
-    publish("gold.population_stats", gold_population_stats(population, nation=nation, first=first, last=last))
-    publish("gold.best_year", gold_best_year(observations, lake.read("silver.series")))
-    publish("gold.series_by_year", gold_series_by_year(
-        observations, population, series_id=series_id, period=period, nation=nation))
+    publish_all({
+        "gold.population_stats": gold_population_stats(population, nation=nation, first=first, last=last),
+        "gold.best_year": gold_best_year(observations, lake.read("silver.series")),
+        "gold.series_by_year": gold_series_by_year(
+            observations, population, series_id=series_id, period=period, nation=nation),
+    })

@@ -1,21 +1,25 @@
-"""Published tables: checked snapshots behind a pointer."""
+"""Published tables: checked snapshots behind a log of publishes."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from serieslake.operators.rules import Rule, count_rows, keep_valid, require, rule_aggregates
+from serieslake.operators.rules import Rule, RuleViolation, count_rows, keep_valid, require, rule_aggregates
+from serieslake.session import control_rows
 
-POINTERS = "dataset STRING, seq BIGINT, path STRING, rows BIGINT, run_at TIMESTAMP"
-RULE_LOG = (
-    "dataset STRING, seq BIGINT, run_at TIMESTAMP, rule STRING, action STRING, "
-    "rows_in BIGINT, rows_broken BIGINT, rows_kept BIGINT"
-)
+# One line per publish; the newest accepted line of a dataset points to its current snapshot.
+LOG = {
+    "seq": "bigint", "run_at": "timestamp", "accepted": "boolean", "path": "string", "schema": "string",
+    "rows_in": "bigint", "rows_kept": "bigint",
+    "rules": "array<struct<rule: string, action: string, rows_in: bigint, rows_broken: bigint>>",
+}
 LAYERS = {
     "bronze": "rows as landed",
     "silver": "typed, deduplicated and decoded rows",
@@ -27,7 +31,7 @@ class Lake:
     """Datasets named ``layer.table`` below one root folder.
 
     A publish writes a new snapshot folder, counts the rules in the same pass, and only
-    then adds a line to the dataset's pointer.  Readers follow the newest pointer line, so
+    then adds a line to the dataset's log.  Readers follow the newest accepted line, so
     they never see a half-written or refused snapshot, and what a job reads is never what
     it overwrites.  One publisher per dataset at a time.
     """
@@ -35,32 +39,37 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        # Empty logs with their schemas, unless there are some.
-        for kind, schema in (("pointers", POINTERS), ("rule_log", RULE_LOG)):
-            none = spark.createDataFrame([], schema).drop("dataset")
-            none.write.mode("ignore").parquet(self._folder(kind, "none"))
-
-    def _folder(self, kind: str, name: str) -> str:
-        return f"{self.root}/{kind}/dataset={name}"
-
-    def _append(self, kind: str, name: str, schema: str, lines: list[tuple]) -> None:
-        rows = self.spark.createDataFrame([(name, *line) for line in lines], schema).drop("dataset")
-        rows.coalesce(1).write.mode("append").parquet(self._folder(kind, name))
-
-    def pointer(self, name: str) -> dict | None:
-        """The newest pointer line of a dataset, or None if it was never published."""
-        lines = self.spark.read.schema(POINTERS).parquet(f"{self.root}/pointers")
-        newest = lines.filter(F.col("dataset") == name).agg(F.max_by(F.struct("*"), "seq").alias("p")).first()["p"]
-        return newest.asDict() if newest else None
+        # An empty log with its schema, unless there is one.
+        control_rows(spark, [], LOG).write.mode("ignore").parquet(self._log_folder("none"))
+
+    def _log_folder(self, name: str) -> str:
+        return f"{self.root}/publishes/dataset={name}"
+
+    def log(self) -> DataFrame:
+        """Every publish of every dataset, refused ones included."""
+        schema = ", ".join(f"{n} {t}" for n, t in {"dataset": "string", **LOG}.items())
+        return self.spark.read.schema(schema).parquet(f"{self.root}/publishes")
+
+    def _newest(self, name: str, accepted_only: bool) -> Row | None:
+        lines = self.log().filter(F.col("dataset") == name)
+        if accepted_only:
+            lines = lines.filter("accepted")
+        return lines.orderBy(F.col("seq").desc()).drop("rules").first()
+
+    def _current(self, name: str) -> Row:
+        line = self._newest(name, accepted_only=True)
+        if line is None:
+            raise LookupError(f"{name} was never published")
+        return line
 
-    def read(self, name: str, empty: str | None = None) -> DataFrame:
+    def read(self, name: str, empty: T.StructType | None = None) -> DataFrame:
         """The current snapshot; an unpublished dataset is empty if a schema is given for it."""
-        pointer = self.pointer(name)
-        if pointer is None:
-            if empty is None:
-                raise LookupError(f"{name} was never published")
-            return self.spark.createDataFrame([], empty)
-        return self.spark.read.parquet(pointer["path"])
+        line = self._newest(name, accepted_only=True)
+        if line is None and empty is not None:
+            return control_rows(self.spark, [], {f.name: f.dataType.simpleString() for f in empty.fields})
+        line = line or self._current(name)
+        schema = T.StructType.fromJson(json.loads(line["schema"]))
+        return self.spark.read.schema(schema).parquet(line["path"])
 
     def publish(
         self, df: DataFrame, name: str, rules: Sequence[Rule] = (), *, run_at: dt.datetime, min_rows: int = 0,
@@ -70,41 +79,44 @@ class Lake:
 
         The rules are counted by ``observe`` in the tasks that write, after the last shuffle,
         so one job does both and a retried stage is not counted twice.  A broken fail rule, or
-        fewer rows than ``min_rows``, raises after the counts are logged and before the
-        pointer moves.  ``rebalance`` evens out the files: adaptive execution splits the
-        partitions of a heavy key and joins small ones.
+        fewer rows than ``min_rows``, raises after the counts are logged, and the earlier
+        snapshot stays current.  ``rebalance`` evens out the files: adaptive execution splits
+        the partitions of a heavy key and joins small ones.
         """
         if rebalance is not None:
             df = df.hint("rebalance", *rebalance)
         seen = Observation()
         kept = keep_valid(df.observe(seen, *rule_aggregates(rules)), rules)
-        seq = ((self.pointer(name) or {}).get("seq") or 0) + 1
+        newest = self._newest(name, accepted_only=False)
+        seq = (newest["seq"] if newest else 0) + 1
         layer, table = name.split(".", 1)
         path = f"{self.root}/{layer}/{table}/snapshot={seq:06d}-{uuid.uuid4().hex[:8]}"
         kept.write.partitionBy(*partition_by).parquet(path)
         counts = _counts(seen, rules)
-        self._log(name, seq, run_at, rules, counts)
-        require(rules, counts, min_rows)
-        self._append("pointers", name, POINTERS, [(seq, path, counts["rows_kept"], run_at)])
+        refusal = None
+        try:
+            require(rules, counts, min_rows)
+        except RuleViolation as violation:
+            refusal = violation
+        line = (
+            seq, run_at, refusal is None, path, kept.schema.json(), counts["rows_in"], counts["rows_kept"],
+            count_rows(rules, counts),
+        )
+        control_rows(self.spark, [line], LOG).write.mode("append").parquet(self._log_folder(name))
+        if refusal:
+            raise refusal
         return counts
 
-    def _log(self, name: str, seq: int, run_at: dt.datetime, rules: Sequence[Rule], counts: dict[str, int]) -> None:
-        lines = [
-            (seq, run_at, rule, action, rows, broken, counts["rows_kept"])
-            for rule, action, rows, broken in count_rows(rules, counts)
-        ] or [(seq, run_at, None, None, counts["rows_in"], 0, counts["rows_kept"])]
-        self._append("rule_log", name, RULE_LOG, lines)
-
     def rule_log(self) -> DataFrame:
         """Every rule count of every publish, refused ones included."""
-        return self.spark.read.schema(RULE_LOG).parquet(f"{self.root}/rule_log")
+        return self.log().select("dataset", "seq", "run_at", "accepted", "rows_kept", F.inline("rules"))
 
     def rule_trend(self) -> DataFrame:
         """Share of broken rows per dataset and rule: over all runs, and in the last one."""
-        last = F.max_by(F.struct("rows_in", "rows_broken"), F.struct("run_at", "seq"))
+        last = F.max_by(F.struct("rows_in", "rows_broken"), "seq")
         share = lambda broken, rows: F.when(rows > 0, broken / rows)
         return (
-            self.rule_log().filter("rule IS NOT NULL").groupBy("dataset", "rule", "action")
+            self.rule_log().groupBy("dataset", "rule", "action")
             .agg(F.count("*").alias("runs"), F.sum("rows_in").alias("rows_in"),
                  F.sum("rows_broken").alias("rows_broken"), last.alias("last"))
             .select("dataset", "rule", "action", "runs", "rows_in", "rows_broken",
@@ -115,11 +127,9 @@ class Lake:
     def expose(self, name: str) -> None:
         """Make the current snapshot readable as ``layer.table`` in the session's catalog."""
         layer, table = name.split(".", 1)
-        pointer = self.pointer(name)
-        if pointer is None:
-            raise LookupError(f"{name} was never published")
+        path = self._current(name)["path"]
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}` COMMENT '{LAYERS.get(layer, layer)}'")
-        self.spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{table}` AS SELECT * FROM parquet.`{pointer['path']}`")
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{table}` AS SELECT * FROM parquet.`{path}`")
 
 
 def _counts(seen: Observation, rules: Sequence[Rule]) -> dict[str, int]:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # What a cluster job should run with.  Shuffle partitions are set high and left to
 # adaptive execution to coalesce; skewed join partitions are split at run time even
@@ -18,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # No call site per column expression; it makes building large plans slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_roots: dict[str, str] = {}
@@ -63,3 +67,22 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _literal(value: object) -> Column:
+    if isinstance(value, list):
+        return F.array(*[_literal(item) for item in value])
+    if isinstance(value, tuple):
+        return F.struct(*[_literal(item) for item in value])
+    return F.lit(value)
+
+
+def control_rows(spark: SparkSession, rows: Sequence[tuple], columns: dict[str, str]) -> DataFrame:
+    """A handful of driver values (a log line, rule counts) as a one-partition DataFrame of literals."""
+    names, dtypes = list(columns), list(columns.values())
+    if not rows:
+        return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(t).alias(n) for n, t in columns.items()])
+    typed = [
+        F.struct(*[_literal(v).cast(t).alias(n) for n, t, v in zip(names, dtypes, row, strict=True)]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*typed)))

@@ -13,7 +13,7 @@ from serieslake.operators.reconcile import KEYS, RANK, TIE_BREAK, first_by, keep
 from serieslake.operators.rules import Rule, keep_valid
 from serieslake.plans.datasets import OBSERVATION_KEYS
 from serieslake.schemas import OBSERVATIONS
-from serieslake.session import materialize
+from serieslake.session import control_rows, materialize
 from serieslake.sources.text import stream_padded
 
 PART = "year"
@@ -45,20 +45,19 @@ class ObservationState:
     def _order(self) -> list[Column]:
         return [F.col("version").desc_nulls_last(), *first_by(TIE_BREAK)]
 
-    def _schema(self) -> str:
-        columns = {**self.types, "release": "string", "version": "string", "batch": "bigint"}
-        return ", ".join(f"{name} {dtype}" for name, dtype in columns.items())
+    def _columns(self) -> dict[str, str]:
+        return {**self.types, "release": "string", "version": "string", "batch": "bigint"}
 
     def _create(self, spark: SparkSession) -> None:
         """An empty state, unless there is one."""
-        none = spark.createDataFrame([], self._schema())
+        none = control_rows(spark, [], self._columns())
         none.drop("batch").write.mode("ignore").partitionBy(PART).parquet(f"{self.root}/rows/batch=-1")
         none.select(PART).write.mode("ignore").parquet(f"{self.root}/index/batch=-1")
 
     def _images(self, spark: SparkSession, batches: Column, years: DataFrame | None = None) -> DataFrame:
         """The current image of each year, as of the given batches, optionally of some years only."""
         index = spark.read.schema(f"{PART} int, batch bigint").parquet(f"{self.root}/index")
-        rows = spark.read.schema(self._schema()).parquet(f"{self.root}/rows")
+        rows = spark.read.schema(", ".join(f"{n} {t}" for n, t in self._columns().items())).parquet(f"{self.root}/rows")
         newest = index.filter(batches).groupBy(PART).agg(F.max("batch").alias("batch"))
         if years is not None:
             newest = newest.join(years, PART, "left_semi")
