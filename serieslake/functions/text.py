@@ -79,7 +79,7 @@ def resolve_link(base: str | Column, href: str | Column) -> Column:
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href == "", F.regexp_extract(base, r"^([^#]*)", 1))
+        .when(href == "", base)
         .when(href.startswith("?"), F.concat(site, page, href))
         .when(href.startswith("#"), F.concat(site, page, query, href))
         .when(href.startswith("/"), F.concat(site, fold_dots(path), suffix))
