@@ -83,5 +83,5 @@ def resolve_link(base: str | Column, href: str | Column) -> Column:
         .when(href.startswith("?"), F.concat(site, page, href))
         .when(href.startswith("#"), F.concat(site, page, query, href))
         .when(href.startswith("/"), F.concat(site, fold_dots(path), suffix))
-        .otherwise(F.concat(site, fold_dots(F.concat(folder, path)), suffix))
+        .otherwise(F.concat(site, fold_dots(F.regexp_replace(F.concat(folder, path), "/{2,}", "/")), suffix))
     )

@@ -62,3 +62,17 @@ def reconcile(
     """
     rows = typed(stack_releases(releases), types or observation_types(), keep=[RANK])
     return keep_first(rows, keys, first_by([RANK, *tie_break], prefer_present)).drop(RANK)
+
+
+def overlay(releases: Sequence[DataFrame], keys: Sequence[str] = KEYS) -> DataFrame:
+    """``reconcile`` for typed releases that each hold a key at most once, and no NULL keys.
+
+    Rows of a later release show where no earlier one has their key.  Nothing is sorted, and
+    a large history is not shuffled as long as the keys that overlay it are small enough
+    to broadcast.
+    """
+    rows, covered = releases[0], releases[0].select(*keys)
+    for release in releases[1:]:
+        rows = rows.unionByName(release.join(covered, list(keys), "left_anti"))
+        covered = covered.unionAll(release.select(*keys))
+    return rows

@@ -73,18 +73,24 @@ class Lake:
 
     def publish(
         self, df: DataFrame, name: str, rules: Sequence[Rule] = (), *, run_at: dt.datetime, min_rows: int = 0,
-        partition_by: Sequence[str] = (), rebalance: Sequence[str] | None = None,
+        partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
     ) -> dict[str, int]:
         """Replace a dataset by ``df`` and return its row counts.
 
         The rules are counted by ``observe`` in the tasks that write, after the last shuffle,
         so one job does both and a retried stage is not counted twice.  A broken fail rule, or
         fewer rows than ``min_rows``, raises after the counts are logged, and the earlier
-        snapshot stays current.  ``rebalance`` evens out the files: adaptive execution splits
-        the partitions of a heavy key and joins small ones.
+        snapshot stays current.
+
+        ``cluster_by`` sorts the table over its files, so that a lookup reads few row groups;
+        name enough columns that no one value of them is heavy, as equal rows share a task.
+        ``partition_by`` alone evens out the files: adaptive execution splits a heavy folder
+        over several writers and gathers small ones.
         """
-        if rebalance is not None:
-            df = df.hint("rebalance", *rebalance)
+        if cluster_by:
+            df = df.repartitionByRange(*partition_by, *cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
+        elif partition_by:
+            df = df.hint("rebalance", *partition_by)
         seen = Observation()
         kept = keep_valid(df.observe(seen, *rule_aggregates(rules)), rules)
         newest = self._newest(name, accepted_only=False)

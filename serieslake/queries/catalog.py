@@ -118,6 +118,12 @@ def reconcile_releases(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(_observations(spark, sf), "value")
 
 
+def overlay_releases(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, given that each release holds a key once."""
+    releases = [reconcile.typed(df, EXACT) for df in (I.current(spark, sf), I.history(spark, sf))]
+    return _doubles(reconcile.overlay(releases), "value")
+
+
 def decode_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return _dimension(spark, sf)
 
@@ -352,7 +358,7 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Versions land in turn and merge into the state; the outcome equals the full refresh."""
     root = scratch_path(spark, "landing")
-    state = ObservationState(scratch_path(spark, "state"), types=EXACT)
+    state = ObservationState(scratch_path(spark, "state"), ["current", "all"], EXACT)
     checkpoint = scratch_path(spark, "checkpoint")
     history = I.history(spark, sf)
     wrong = history.filter("year = '2000'").withColumn("value", F.lit("-"))
@@ -367,7 +373,7 @@ def incremental_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 def withdrawn_release(spark: SparkSession, sf: str) -> DataFrame:
     """Without the revised release the history shows through again."""
     root = scratch_path(spark, "landing")
-    state = ObservationState(scratch_path(spark, "state"), types=EXACT)
+    state = ObservationState(scratch_path(spark, "state"), ["current", "all"], EXACT)
     for release, rows in (("current", I.current(spark, sf)), ("all", I.history(spark, sf))):
         text.write_padded(rows, landing.version_path(root, release, "1"), WIDTHS)
     merge_landed(spark, root, state, scratch_path(spark, "checkpoint"))
@@ -441,7 +447,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         padded_text_scan, series_scan, lookup_scan, document_flatten, document_lines, landed_listing,
         listing_extract, link_extract, content_fingerprint,
-        reconcile_releases, decode_dimension, unknown_codes, footnote_decode,
+        reconcile_releases, overlay_releases, decode_dimension, unknown_codes, footnote_decode,
         period_totals, best_period_per_series, best_period_one_pass, best_period_distribution,
         gold_point_lookup, range_summary, range_summary_population, series_by_year, aligned_series,
         yearly_profile, median_by_digits, growth_first_last, parts_check,

@@ -171,6 +171,7 @@ FROM (
     "content_fingerprint": """
 SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS content_hash, true AS valid_utf8 FROM documents""",
     "reconcile_releases": _RECONCILED,
+    "overlay_releases": _RECONCILED,
     "decode_dimension": _with(_DIMENSION) + " SELECT * FROM dimension",
     "unknown_codes": _with(_SERIES) + """
 SELECT 'sector_name' AS lookup, sector_code AS code, COUNT(*) AS n FROM series

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serieslake.functions import resolve_link, sha256, valid_utf8
+from serieslake.sources.text import write_padded
 
 # Fixed value: one entry of a directory-listing page – date, time, size or <dir>, link.
 LISTING_ENTRY = (
@@ -16,7 +20,10 @@ ANCHOR = r'(?i)<a\s[^>]*href="([^"]*)"'
 
 
 def landed_files(spark: SparkSession, root: str, *, glob: str | None = None) -> DataFrame:
-    """One row per landed file: path, path below ``root``, size and time; content is not read."""
+    """One row per landed file: path, path below ``root``, size and time; content is not read.
+
+    Spark passes over files of length zero, so an empty copy counts as not landed.
+    """
     return _files(spark, root, glob).select(
         "path", _below(root).alias("relative_path"), F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified_at"),
@@ -46,8 +53,8 @@ def _below(root: str) -> Column:
 def table_fingerprint(df: DataFrame) -> str:
     """A version id for the rows of ``df``, whatever their order or partitioning.
 
-    Per column type-insensitive row digests are combined by commutative aggregates, so
-    one tiny row reaches the driver.
+    Row digests are combined by aggregates that do not care for order, so one tiny row
+    reaches the driver.
     """
     digest = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\u0000")) for c in df.columns])
     row = df.select(digest.alias("d")).agg(
@@ -63,17 +70,36 @@ def version_path(root: str, release: str, version: str) -> str:
     return f"{root.rstrip('/')}/release={release}/version={version}"
 
 
+def land_release(
+    df: DataFrame, root: str, release: str, run_at: dt.datetime, *, widths: Mapping[str, int], known_hash: str | None = None
+) -> tuple[str, str] | None:
+    """Land a release as a padded extract in a folder of its own; (path, content hash).
+
+    None, and nothing written, if the content is what the manifest knows already.  Version
+    names sort by time, so the newest version of a row can be told.
+    """
+    digest = table_fingerprint(df)
+    if digest == known_hash:
+        return None
+    path = version_path(root, release, f"{run_at:%Y%m%dT%H%M%S}-{digest[:16]}")
+    write_padded(df, path, widths)
+    return path, digest
+
+
 def parse_listing(pages: DataFrame, text: str, base_url: str) -> DataFrame:
     """Entries of directory-listing pages, one row each; ``pages`` may hold any number of pages."""
-    group = lambda i: F.regexp_extract_all(F.col(text), F.lit(LISTING_ENTRY), F.lit(i))
-    entry = F.explode(F.arrays_zip(*[group(i).alias(n) for i, n in enumerate(("day", "time", "mark", "href", "name"), 1)]))
-    return pages.select(F.col(base_url).alias("page_url"), entry.alias("e")).select(
+    # The whole text is searched once; the parts are then cut from the short matches.
+    part = lambda i: F.regexp_extract("entry", LISTING_ENTRY, i)
+    entries = pages.select(
+        F.col(base_url).alias("page_url"), F.explode(F.regexp_extract_all(F.col(text), F.lit(LISTING_ENTRY), F.lit(0))).alias("entry")
+    )
+    return entries.select(
         "page_url",
-        F.trim("e.name").alias("name"),
-        resolve_link("page_url", "e.href").alias("remote_url"),
-        (F.lower("e.mark") == "<dir>").alias("is_dir"),
-        F.col("e.mark").try_cast("bigint").alias("size_bytes"),
-        F.concat_ws(" ", "e.day", "e.time").alias("last_modified"),
+        F.trim(part(5)).alias("name"),
+        resolve_link("page_url", part(4)).alias("remote_url"),
+        (F.lower(part(3)) == "<dir>").alias("is_dir"),
+        part(3).try_cast("bigint").alias("size_bytes"),
+        F.concat_ws(" ", part(1), part(2)).alias("last_modified"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from serieslake.operators.reconcile import KEYS, RANK, TIE_BREAK, first_by, keep_first, observation_types, typed
+from serieslake.operators.reconcile import KEYS, TIE_BREAK, first_by, keep_first, observation_types, typed
 from serieslake.operators.rules import Rule, keep_valid
 from serieslake.plans.datasets import OBSERVATION_KEYS
 from serieslake.schemas import OBSERVATIONS
@@ -26,12 +26,13 @@ LANDED = T.StructType([
 
 @dataclass(frozen=True)
 class ObservationState:
-    """The best row per key *and release*, kept by year below ``root``.
+    """One row per key, holding the best row of *each* release, kept by year below ``root``.
 
-    Merging takes the first row in a total order (newest version, then tie-break), so it
-    does not matter how the input is split into batches, in which order they come, or
-    whether one is replayed.  Because releases are kept apart until they are read, a
-    withdrawn release lets the next one back in.
+    The best row of a release is the first in a total order (newest version, then
+    tie-break), so it does not matter how the input is split into batches, in which order
+    they come, or whether one is replayed.  Because the releases of a key lie side by side,
+    choosing between them takes no shuffle, and a withdrawn release lets the next one
+    back in.
 
     A batch writes whole new images of the years it touches to a folder of its own, and
     then an index of those years.  Without the index entry the folder does not count, so
@@ -39,14 +40,18 @@ class ObservationState:
     """
 
     root: str
+    releases: Sequence[str]
     types: Mapping[str, str] = field(default_factory=observation_types)
     rules: Sequence[Rule] = (OBSERVATION_KEYS,)
 
-    def _order(self) -> list[Column]:
-        return [F.col("version").desc_nulls_last(), *first_by(TIE_BREAK)]
+    def _values(self) -> list[str]:
+        return ["version", *[name for name in self.types if name not in KEYS]]
 
     def _columns(self) -> dict[str, str]:
-        return {**self.types, "release": "string", "version": "string", "batch": "bigint"}
+        kept = {"version": "string", **self.types}
+        best = ", ".join(f"{name}: {kept[name]}" for name in self._values())
+        keys = {name: self.types[name] for name in KEYS}
+        return {**keys, **{f"best_{name}": f"struct<{best}>" for name in self.releases}, "batch": "bigint"}
 
     def _create(self, spark: SparkSession) -> None:
         """An empty state, unless there is one."""
@@ -54,42 +59,59 @@ class ObservationState:
         none.drop("batch").write.mode("ignore").partitionBy(PART).parquet(f"{self.root}/rows/batch=-1")
         none.select(PART).write.mode("ignore").parquet(f"{self.root}/index/batch=-1")
 
-    def _images(self, spark: SparkSession, batches: Column, years: DataFrame | None = None) -> DataFrame:
-        """The current image of each year, as of the given batches, optionally of some years only."""
+    def images(self, spark: SparkSession, batches: Column | None = None, years: DataFrame | None = None) -> DataFrame:
+        """The current image of each year, optionally as of some batches and of some years only."""
+        self._create(spark)
+        columns = ", ".join(f"{n} {t}" for n, t in self._columns().items())
         index = spark.read.schema(f"{PART} int, batch bigint").parquet(f"{self.root}/index")
-        rows = spark.read.schema(", ".join(f"{n} {t}" for n, t in self._columns().items())).parquet(f"{self.root}/rows")
-        newest = index.filter(batches).groupBy(PART).agg(F.max("batch").alias("batch"))
+        rows = spark.read.schema(columns).parquet(f"{self.root}/rows")
+        newest = index.filter(F.col("batch") >= 0 if batches is None else batches)
+        newest = newest.groupBy(PART).agg(F.max("batch").alias("batch"))
         if years is not None:
             newest = newest.join(years, PART, "left_semi")
         # (year, batch) are folders, so this join prunes them before they are read.
         return rows.join(newest, [PART, "batch"], "left_semi").drop("batch")
 
+    def _long(self, images: DataFrame) -> DataFrame:
+        """One row per key and release."""
+        each = F.array(*[F.struct(F.lit(name).alias("release"), F.col(f"best_{name}").alias("best")) for name in self.releases])
+        return images.select(*KEYS, F.inline(each)).filter("best IS NOT NULL").select(*KEYS, "release", "best.*")
+
+    def _wide(self, rows: DataFrame) -> DataFrame:
+        """The best row per key and release, side by side."""
+        order = [F.col("version").desc_nulls_last(), *first_by(TIE_BREAK)]
+        best = keep_first(rows, [*KEYS, "release"], order)
+        held = F.struct(*self._values())
+        return best.groupBy(*KEYS).agg(
+            *[F.max(F.when(F.col("release") == name, held)).alias(f"best_{name}") for name in self.releases]
+        )
+
     def merge(self, landed: DataFrame, batch_id: int) -> None:
-        """Fold newly landed rows (raw text, with release and version) into the state."""
+        """Fold newly landed rows (raw text, with release and version) into the state.
+
+        Only keys of the batch are compared.  All other rows of a touched year are copied
+        from scan to file: they are not shuffled as long as the keys of the batch are
+        small enough to broadcast.
+        """
         spark = landed.sparkSession
-        keys = [*KEYS, "release"]
-        rows = keep_valid(typed(landed, self.types, keep=["release", "version"]), self.rules)
-        fresh = materialize(keep_first(rows, keys, self._order()), "fresh")
+        rows = typed(landed, self.types, keep=["release", "version"]).filter(F.col("release").isin(*self.releases))
+        fresh = materialize(self._wide(keep_valid(rows, self.rules)), "fresh")
         years = materialize(fresh.select(PART).distinct(), "touched-years")
-        self._create(spark)
-        before = self._images(spark, F.col("batch") < batch_id, years)
-        merged = keep_first(before.unionByName(fresh), keys, self._order())
-        # Splits a heavy year over several writers and keeps small years in one file.
-        merged.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(
-            f"{self.root}/rows/batch={batch_id}"
-        )
+        before = self.images(spark, (F.col("batch") >= 0) & (F.col("batch") < batch_id), years)
+        keys = fresh.select(*KEYS)
+        untouched = before.join(keys, list(KEYS), "left_anti")
+        touched = before.join(keys, list(KEYS), "left_semi")
+        merged = self._wide(self._long(touched.unionByName(fresh)))
+        # Rebalancing splits a heavy year over several writers and gathers small ones.
+        image = untouched.unionByName(merged.hint("rebalance", PART))
+        image.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/rows/batch={batch_id}")
         years.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/batch={batch_id}")
 
-    def releases(self, spark: SparkSession) -> DataFrame:
-        """The best row per key and release."""
-        self._create(spark)
-        return self._images(spark, F.col("batch") >= 0)
-
     def reconciled(self, spark: SparkSession, preference: Sequence[str]) -> DataFrame:
         """One row per key over the named releases, most preferred first; others are withdrawn."""
-        rank = F.coalesce(*[F.when(F.col("release") == name, F.lit(i)) for i, name in enumerate(preference, 1)])
-        ranked = self.releases(spark).filter(F.col("release").isin(*preference)).withColumn(RANK, rank)
-        return keep_first(ranked, KEYS, first_by([RANK])).select(*self.types)
+        best = F.coalesce(*[F.col(f"best_{name}") for name in preference])
+        values = [F.col(f"best.{name}").alias(name) for name in self.types if name not in KEYS]
+        return self.images(spark).select(*KEYS, best.alias("best")).filter("best IS NOT NULL").select(*KEYS, *values)
 
 
 def merge_landed(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from serieslake import schemas as S
 from serieslake.operators import decode, median, summary
-from serieslake.operators.reconcile import reconcile
+from serieslake.operators.reconcile import overlay, reconcile
 from serieslake.operators.rules import keep_valid
 from serieslake.plans import datasets
 
@@ -41,6 +41,16 @@ def test_repeats_within_a_release_do_not_depend_on_order(frame):
     assert seen == {(("A", 2001, "Q01", 2.0, "a"),)}
 
 
+def test_overlay_equals_reconcile_for_unique_releases(frame):
+    schema = OBS + ", footnote_codes string"
+    key = lambda i: ("ABC"[i % 3], 2000 + i % 4, f"Q0{1 + i % 2}")
+    releases = [
+        frame(schema, *{key(i): (*key(i), float(100 * n + i), None) for i in range(n, 12, n + 2)}.values()) for n in (0, 1, 2)
+    ]
+    text = [r.select(*[F.col(c).cast("string") for c in r.columns]) for r in releases]
+    assert rows_of(overlay(releases)) == rows_of(reconcile(text))
+
+
 def test_silver_rules_drop_bad_keys_and_periods(frame):
     raw = frame(RAW, ("A", "2001", "Q01", "1", None), ("A", "2001", "M13", "1", None), ("A", "20x1", "Q01", "1", None),
                 (None, "2001", "Q01", "1", None), ("A", "2001", "Q05", None, None), ("A", "2001", None, "1", None))

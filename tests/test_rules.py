@@ -76,10 +76,15 @@ def test_publish_may_read_what_it_replaces(lake, data):
 
 
 def test_partitioned_publish_keeps_types(lake, data):
-    lake.publish(data, "silver.t", CHECKS, run_at=NOW, partition_by=["k"], rebalance=["k"])
+    lake.publish(data, "silver.t", CHECKS, run_at=NOW, partition_by=["k"])
     assert sorted(map(tuple, lake.read("silver.t").select("k", "v").collect())) == [("a", 1), ("d", 500)]
 
 
+def test_clustered_publish_counts_once(lake, data):
+    counts = lake.publish(data.repartition(3), "silver.t", CHECKS, run_at=NOW, cluster_by=["v", "k"])
+    assert (counts["rows_in"], counts["rows_kept"]) == (6, 2)
+
+
 def test_exposed_by_name(spark, lake, data):
     lake.publish(data, "gold.exposed", CHECKS, run_at=NOW)
     lake.expose("gold.exposed")
