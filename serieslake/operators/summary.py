@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from serieslake.operators.reconcile import RANK, TIE_BREAK, keep_first, observation_types, stack_releases, typed
+from serieslake.operators.reconcile import RANK, keep_first, observation_types, stack_releases, typed
 
 
 def period_totals(
@@ -22,22 +22,34 @@ def period_totals(
 def reconciled_totals(
     releases: Sequence[DataFrame], parts: Sequence[str], *, types: Mapping[str, str] | None = None,
     series: str = "series_id", year: str = "year", period: str = "period", value: str = "value",
-    tie_break: Sequence[str] = TIE_BREAK, total: str = "total_value",
+    total: str = "total_value",
 ) -> DataFrame:
-    """``period_totals`` over ``reconcile``, in one shuffle instead of two.
+    """``period_totals`` over ``reconcile``, in one shuffle instead of two and without a sort.
 
-    The winner of each part is a minimum over (rank, tie-break), so it is combined before
-    the shuffle, and all parts of a (series, year) meet in one row.
+    Per part and release it keeps whether there is a row, and the smallest value, which is
+    what the tie-break of ``reconcile`` picks.  Those are plain numbers, so they are
+    hash-aggregated before and after the shuffle, and all parts of a (series, year) meet in
+    one row.
     """
-    rows = typed(stack_releases(releases), types or observation_types(), keep=[RANK])
+    wanted = {n: t for n, t in (types or observation_types()).items() if n in (series, year, period, value)}
+    rows = typed(stack_releases(releases), wanted, keep=[RANK])
     rows = rows.filter(F.col(series).isNotNull() & F.col(year).isNotNull() & F.col(period).isin(*parts))
-    nulls_last = [c for name in tie_break for c in (F.col(name).isNull().alias(f"_no_{name}"), F.col(name))]
-    ranked = F.struct(F.col(RANK), *nulls_last, F.col(value).alias("_value"))
-    winners = [F.min(F.when(F.col(period) == part, ranked)).alias(part) for part in parts]
-    values = [F.col(f"`{part}`._value") for part in parts]
+    ranks = range(1, len(releases) + 1)
+    found, winners = [], []
+    for i, part in enumerate(parts):
+        choice = F.lit(None)
+        for rank in reversed(ranks):
+            here = (F.col(period) == part) & (F.col(RANK) == rank)
+            found += [
+                F.max(F.when(here, F.lit(1))).alias(f"_any_{i}_{rank}"),
+                F.min(F.when(here, F.col(value))).alias(f"_low_{i}_{rank}"),
+            ]
+            choice = F.when(F.col(f"_any_{i}_{rank}").isNotNull(), F.col(f"_low_{i}_{rank}")).otherwise(choice)
+        winners.append(choice.alias(f"_part_{i}"))
+    values = [F.col(f"_part_{i}") for i in range(len(parts))]
     added = reduce(Column.__add__, [F.coalesce(v, F.lit(0).cast("int")) for v in values])
     summed = F.when(F.coalesce(*values).isNotNull(), added)
-    return rows.groupBy(series, year).agg(*winners).select(series, year, summed.alias(total))
+    return rows.groupBy(series, year).agg(*found).select(series, year, *winners).select(series, year, summed.alias(total))
 
 
 def best_period(

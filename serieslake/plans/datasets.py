@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,12 @@ from pyspark.sql import types as T
 from serieslake import schemas as S
 from serieslake.functions import to_type
 from serieslake.operators import summary
-from serieslake.operators.decode import Lookup, decode, labelled
+from serieslake.operators.decode import Lookup, decode, duplicate_codes, labelled
 from serieslake.operators.reconcile import KEYS, reconcile
-from serieslake.operators.rules import DROP, FAIL, WARN, Rule
+from serieslake.operators.rules import DROP, FAIL, WARN, Rule, RuleViolation
 from serieslake.plans.lake import Lake
 from serieslake.sources.documents import flatten, read_documents
-from serieslake.sources.text import read_padded
+from serieslake.sources.text import MALFORMED, read_padded
 
 # Rule names and conditions of each dataset.
 OBSERVATION_KEYS = Rule("non_null_keys", "series_id IS NOT NULL AND year IS NOT NULL AND period IS NOT NULL", DROP)
@@ -53,6 +54,9 @@ RULES: dict[str, list[Rule]] = {
     "gold.series_by_year": [Rule("non_null_year", "year IS NOT NULL", DROP)],
 }
 
+# Counts observations whose value is there but is no number; silver reads them as NULL.
+VALUE_PARSES = Rule("value_parses", "coalesce(trim(value), '') = '' OR try_cast(trim(value) AS double) IS NOT NULL", WARN)
+
 # How some tables are published: an empty silver table is refused, as it breaks no row
 # rule; observations are sorted by their key, so that one series is read from few row groups.
 PUBLISH: dict[str, dict] = {
@@ -86,8 +90,8 @@ UNKNOWN = {
 }
 
 
-def bronze_extract(spark: SparkSession, name: str, path: str) -> DataFrame:
-    return read_padded(spark, path, EXTRACTS[name])
+def bronze_extract(spark: SparkSession, name: str, path: str, *, malformed: bool = False) -> DataFrame:
+    return read_padded(spark, path, EXTRACTS[name], malformed=malformed)
 
 
 def bronze_population(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
@@ -156,40 +160,76 @@ def gold_series_by_year(
     return summary.aligned_series(chosen, yearly, columns=["year", "value"], measure="population").orderBy("year")
 
 
-def refresh(
-    lake: Lake, files: Mapping[str, str], run_at: dt.datetime, *, nation: str, first: int, last: int,
-    series_id: str, period: str = S.QUARTERS[0], document_lines: bool = False,
-) -> None:
-    """Full refresh of all layers; ``files`` maps the extracts and ``population`` to paths.
+def check_lookups(lookups: Sequence[Lookup]) -> None:
+    """A code listed twice would multiply the series that carry it; raise instead."""
+    twice = reduce(DataFrame.unionAll, [
+        duplicate_codes(lookup).select(F.lit(lookup.code).alias("list"), F.col("code").cast("string")) for lookup in lookups
+    ]).first()
+    if twice:
+        raise RuleViolation(f"{twice['list']} {twice['code']!r} is listed more than once")
 
-    Every layer reads the published layer below it.
-    """
+
+def _publish_all(lake: Lake, tables: Mapping[str, DataFrame], run_at: dt.datetime, malformed: str | None = None) -> None:
+    """Publish the tables of one layer; they do not depend on each other, so their jobs may overlap."""
 
     def publish(name: str, df: DataFrame) -> None:
-        lake.publish(df, name, RULES[name], run_at=run_at, **PUBLISH.get(name, {}))
+        rules, options = list(RULES[name]), dict(PUBLISH.get(name, {}))
+        if MALFORMED in df.columns:
+            rules.append(Rule("well_formed", f"{MALFORMED} IS NULL", malformed))
+            options["rule_columns"] = [MALFORMED]
+        if name.startswith("bronze.observations"):
+            rules.append(VALUE_PARSES)
+        lake.publish(df, name, rules, run_at=run_at, **options)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for done in [pool.submit(publish, name, df) for name, df in tables.items()]:
+            done.result()
+
+
+def refresh_bronze(
+    lake: Lake, files: Mapping[str, str], run_at: dt.datetime, *, document_lines: bool = False, malformed: str = WARN
+) -> None:
+    """Store the landed files; ``files`` maps the extracts and ``population`` to paths.
 
-    def publish_all(tables: Mapping[str, DataFrame]) -> None:
-        # The tables of a layer do not depend on each other, so their jobs may overlap.
-        with ThreadPoolExecutor(max_workers=8) as pool:
-            for done in [pool.submit(publish, name, df) for name, df in tables.items()]:
-                done.result()
+    Lines with a wrong field count are counted, and ``malformed`` says what becomes of them:
+    warn keeps them (filled up with NULLs, or cut), drop leaves them out, fail refuses the file.
+    """
+    tables = {f"bronze.{name}": bronze_extract(lake.spark, name, files[name], malformed=True) for name in EXTRACTS}
+    tables["bronze.population"] = bronze_population(lake.spark, files["population"], lines=document_lines)
+    _publish_all(lake, tables, run_at, malformed)
 
-    bronze = {f"bronze.{name}": bronze_extract(lake.spark, name, files[name]) for name in EXTRACTS}
-    bronze["bronze.population"] = bronze_population(lake.spark, files["population"], lines=document_lines)
-    publish_all(bronze)
 
+def refresh_silver(lake: Lake, run_at: dt.datetime) -> None:
     lists = {name: lake.read(f"bronze.{name}") for name in ("sector", "class", "measure", "duration", "seasonal")}
+    check_lookups(series_lookups(lists))
     current, history = lake.read("bronze.observations_current"), lake.read("bronze.observations_all")
-    publish_all({
+    _publish_all(lake, {
         "silver.population": silver_population(lake.read("bronze.population")),
         "silver.observations": silver_observations(current, history),
         "silver.series": silver_series(lake.read("bronze.series"), lists),
-    })
+    }, run_at)
+
 
-    observations, population = lake.read("silver.observations"), lake.read("silver.population")
-    publish_all({
+def refresh_gold(
+    lake: Lake, run_at: dt.datetime, *, nation: str, first: int, last: int, series_id: str,
+    period: str = S.QUARTERS[0], observations: DataFrame | None = None,
+) -> None:
+    """The answers; ``observations`` may come from an incremental state instead of the silver table."""
+    observations = lake.read("silver.observations") if observations is None else observations
+    population = lake.read("silver.population")
+    _publish_all(lake, {
         "gold.population_stats": gold_population_stats(population, nation=nation, first=first, last=last),
         "gold.best_year": gold_best_year(observations, lake.read("silver.series")),
         "gold.series_by_year": gold_series_by_year(
             observations, population, series_id=series_id, period=period, nation=nation),
-    })
+    }, run_at)
+
+
+def refresh(
+    lake: Lake, files: Mapping[str, str], run_at: dt.datetime, *, nation: str, first: int, last: int,
+    series_id: str, period: str = S.QUARTERS[0], document_lines: bool = False, malformed: str = WARN,
+) -> None:
+    """Full refresh of all layers; every layer reads the published layer below it."""
+    refresh_bronze(lake, files, run_at, document_lines=document_lines, malformed=malformed)
+    refresh_silver(lake, run_at)
+    refresh_gold(lake, run_at, nation=nation, first=first, last=last, series_id=series_id, period=period)

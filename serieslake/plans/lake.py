@@ -73,14 +73,14 @@ class Lake:
 
     def publish(
         self, df: DataFrame, name: str, rules: Sequence[Rule] = (), *, run_at: dt.datetime, min_rows: int = 0,
-        partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
+        partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), rule_columns: Sequence[str] = (),
     ) -> dict[str, int]:
         """Replace a dataset by ``df`` and return its row counts.
 
         The rules are counted by ``observe`` in the tasks that write, after the last shuffle,
         so one job does both and a retried stage is not counted twice.  A broken fail rule, or
         fewer rows than ``min_rows``, raises after the counts are logged, and the earlier
-        snapshot stays current.
+        snapshot stays current.  ``rule_columns`` serve the rules only and are not stored.
 
         ``cluster_by`` sorts the table over its files, so that a lookup reads few row groups;
         name enough columns that no one value of them is heavy, as equal rows share a task.
@@ -92,7 +92,7 @@ class Lake:
         elif partition_by:
             df = df.hint("rebalance", *partition_by)
         seen = Observation()
-        kept = keep_valid(df.observe(seen, *rule_aggregates(rules)), rules)
+        kept = keep_valid(df.observe(seen, *rule_aggregates(rules)), rules).drop(*rule_columns)
         newest = self._newest(name, accepted_only=False)
         seq = (newest["seq"] if newest else 0) + 1
         layer, table = name.split(".", 1)

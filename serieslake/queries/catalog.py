@@ -124,6 +124,15 @@ def overlay_releases(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(reconcile.overlay(releases), "value")
 
 
+def _repeated(spark: SparkSession, sf: str) -> list[DataFrame]:
+    return [I.repeated(spark, sf, open_only=True), I.repeated(spark, sf)]
+
+
+def reconcile_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that each release holds many times: the tie-break decides."""
+    return _doubles(reconcile.reconcile(_repeated(spark, sf), types=EXACT), "value")
+
+
 def decode_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return _dimension(spark, sf)
 
@@ -165,6 +174,11 @@ def best_period_one_pass(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(best.select("series_id", "series_label", "best_year", "total_value"), "total_value")
 
 
+def repeats_best_period(spark: SparkSession, sf: str) -> DataFrame:
+    totals = summary.reconciled_totals(_repeated(spark, sf), S.QUARTERS, types=EXACT)
+    return _doubles(summary.best_period(totals), "total_value")
+
+
 def best_period_distribution(spark: SparkSession, sf: str) -> DataFrame:
     best = summary.best_period(summary.period_totals(_observations(spark, sf), S.QUARTERS))
     return summary.distribution(best, "best_year")
@@ -447,8 +461,8 @@ QUERIES: dict[str, Query] = {
     for query in (
         padded_text_scan, series_scan, lookup_scan, document_flatten, document_lines, landed_listing,
         listing_extract, link_extract, content_fingerprint,
-        reconcile_releases, overlay_releases, decode_dimension, unknown_codes, footnote_decode,
-        period_totals, best_period_per_series, best_period_one_pass, best_period_distribution,
+        reconcile_releases, reconcile_repeats, overlay_releases, decode_dimension, unknown_codes, footnote_decode,
+        period_totals, best_period_per_series, best_period_one_pass, repeats_best_period, best_period_distribution,
         gold_point_lookup, range_summary, range_summary_population, series_by_year, aligned_series,
         yearly_profile, median_by_digits, growth_first_last, parts_check,
         rules_drop, rules_warn_metrics, rules_quarantine, rules_fail_guard, quarantine_rows,

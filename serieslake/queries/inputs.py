@@ -94,6 +94,20 @@ def current(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(values, footnote="R")
 
 
+def repeated(spark: SparkSession, sf: str, open_only: bool = False) -> DataFrame:
+    """A release that repeats keys: one row per order line, by part and quarter of shipping."""
+    lines = table(spark, sf, "lineitem")
+    if open_only:
+        lines = lines.filter("l_linestatus = 'O'")
+    return lines.select(
+        F.concat(text("l_partkey"), F.lit("  ")).alias("series_id"),
+        text(F.year("l_shipdate")).alias("year"),
+        F.concat(F.lit("Q0"), text(F.quarter("l_shipdate"))).alias("period"),
+        F.lpad(text(F.col("l_quantity").cast("decimal(18,2)")), 12, " ").alias("value"),
+        F.col("l_returnflag").alias("footnote_codes"),
+    )
+
+
 # --- series and lookups ---------------------------------------------------------------------
 
 

@@ -109,6 +109,19 @@ plan AS (
                    ELSE 'changed' END AS action
     FROM joined)"""
 
+_REPEATS = """
+lines AS (
+    SELECT CAST(l_partkey AS VARCHAR) AS series_id, CAST(year(l_shipdate) AS INTEGER) AS year,
+           'Q0' || CAST(quarter(l_shipdate) AS VARCHAR) AS period, CAST(l_quantity AS DECIMAL(18,2)) AS value,
+           l_returnflag AS footnote_codes, l_linestatus FROM lineitem),
+stacked AS (SELECT *, 1 AS rank FROM lines WHERE l_linestatus = 'O' UNION ALL SELECT *, 2 FROM lines),
+kept AS (
+    SELECT series_id, year, period, value, footnote_codes
+    FROM (SELECT *, row_number() OVER (
+              PARTITION BY series_id, year, period ORDER BY rank, value NULLS LAST, footnote_codes NULLS LAST) AS n
+          FROM stacked)
+    WHERE n = 1)"""
+
 _RULES = """
 checked AS (
     SELECT *, o_orderstatus IN ('O', 'F') AS a, o_totalprice >= 20000 AS b, o_totalprice <= 400000 AS c FROM orders)"""
@@ -171,6 +184,8 @@ FROM (
     "content_fingerprint": """
 SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS content_hash, true AS valid_utf8 FROM documents""",
     "reconcile_releases": _RECONCILED,
+    "reconcile_repeats": _with(_REPEATS) + """
+SELECT series_id, year, period, CAST(value AS DOUBLE) AS value, footnote_codes FROM kept""",
     "overlay_releases": _RECONCILED,
     "decode_dimension": _with(_DIMENSION) + " SELECT * FROM dimension",
     "unknown_codes": _with(_SERIES) + """
@@ -189,6 +204,11 @@ FROM rows LEFT JOIN lookup ON code = footnote_code""",
 SELECT series_id, year, CAST(total_value AS DOUBLE) AS total_value FROM totals""",
     "best_period_per_series": _BEST,
     "best_period_one_pass": _BEST,
+    "repeats_best_period": _with(_REPEATS) + """,
+totals AS (SELECT series_id, year, SUM(value) AS total_value FROM kept GROUP BY series_id, year)
+SELECT series_id, year AS best_year, CAST(total_value AS DOUBLE) AS total_value
+FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY total_value DESC NULLS LAST, year) AS n FROM totals)
+WHERE n = 1""",
     "best_period_distribution": _with(_TOTALS) + " SELECT best_year, COUNT(*) AS n_series FROM best GROUP BY best_year",
     "gold_point_lookup": _with(_TOTALS) + """
 SELECT best_year, CAST(total_value AS DOUBLE) AS total_value FROM best WHERE series_id = '299'""",

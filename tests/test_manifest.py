@@ -7,6 +7,7 @@ import pytest
 from serieslake import schemas as S
 from serieslake.operators import checks, manifest
 from serieslake.operators.rules import RuleViolation
+from serieslake.plans import sync
 from serieslake.plans.lake import Lake
 
 DAY = [dt.datetime(2026, 1, d) for d in range(1, 10)]
@@ -134,15 +135,20 @@ def test_file_listed_twice_is_refused(frame):
     manifest.check_listing(twice.limit(1))
 
 
-def test_manifest_is_published_over_itself(spark, frame, tmp_path):
+def test_runs_over_a_lake(spark, frame, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
+    got = frame("source string, relative_path string, content_hash string, content_bytes int", ("s", "a", "h", 1))
     for day, size in ((0, 1), (1, 1), (2, 2)):
-        before = lake.read("bronze.manifest", empty=S.MANIFEST)
-        plan = manifest.plan_sync(before, listed(frame, ("s", "a", size, T0)))
-        lake.publish(manifest.apply_sync(plan, DAY[day]), "bronze.manifest", run_at=DAY[day])
-    row = lake.read("bronze.manifest").first()
+        planned = sync.plan(lake, listed(frame, ("s", "a", size, T0)), sources=["s"])
+        assert sync.finish(lake, planned, DAY[day], fetched=got).first().n_listed == 1
+    row = lake.read(sync.TABLE).first()
     assert (row.first_seen_at, row.last_seen_at, row.last_ingested_at, row.size_bytes) == (DAY[0], DAY[2], DAY[2], 2)
 
+    planned = sync.plan(lake, listed(frame, ("s", "b", 1, T0)), sources=["s"])
+    with pytest.raises(sync.SyncFailed, match="1 files"):
+        sync.finish(lake, planned, DAY[3], fetched=got)
+    assert [(r.relative_path, r.status) for r in lake.read(sync.TABLE).collect()] == [("a", "removed")]
+
 
 # --- checks on whole inputs -----------------------------------------------------------------
 

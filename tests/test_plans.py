@@ -60,6 +60,7 @@ def test_one_pass_totals_shuffle_once(stored):
     one = summary.reconciled_totals(releases, S.QUARTERS)
     two = summary.period_totals(reconcile(releases), S.QUARTERS)
     assert (exchanges(one), exchanges(two)) == (1, 2)
+    assert "HashAggregate" in plan_of(one) and "Sort" not in plan_of(one)
 
 
 def test_series_filter_reaches_both_scans(stored):

@@ -156,6 +156,9 @@ def test_full_refresh(spark, refreshed):
     assert broken["silver.observations", "valid_period"] == 1
     assert broken["silver.observations", "has_value"] == 1
     assert broken["bronze.population", "non_null_keys"] == 1
+    assert broken["bronze.observations_all", "value_parses"] == 1
+    assert broken["bronze.observations_all", "well_formed"] == 0
+    assert "_malformed" not in lake.read("bronze.series").columns
 
     for name in ("silver.observations", "silver.series", "silver.population"):
         lake.expose(name)
@@ -182,3 +185,24 @@ def test_range_without_data_fails_the_refresh(refreshed):
     with pytest.raises(RuleViolation, match="has_mean"):
         refreshed.publish(stats, "gold.population_stats", datasets.RULES["gold.population_stats"], run_at=NOW)
     assert refreshed.read("gold.population_stats").first().n_years == 2
+
+
+def test_twice_listed_code_stops_the_refresh(refreshed):
+    twice = refreshed.read("bronze.sector")
+    refreshed.publish(twice.unionAll(twice), "bronze.sector", run_at=NOW)
+    with pytest.raises(RuleViolation, match="sector_code '3000'"):
+        datasets.refresh_silver(refreshed, NOW)
+
+
+def test_malformed_lines_can_refuse_a_file(spark, lake, tmp_path):
+    paths = {}
+    for name, text in FILES.items():
+        (tmp_path / name).write_text(text + ("Q02\tonly two fields\n" if name == "period" else ""))
+        paths[name] = str(tmp_path / name)
+    with pytest.raises(RuleViolation, match="well_formed: 1 of 2"):
+        datasets.refresh_bronze(lake, paths, NOW, malformed=FAIL)
+    datasets.refresh_bronze(lake, paths, NOW, malformed=DROP)
+    assert [r.period for r in lake.read("bronze.period").collect()] == ["Q01"]
+    datasets.refresh_bronze(lake, paths, NOW)
+    assert sorted(map(tuple, lake.read("bronze.period").collect())) == [
+        ("Q01", "QTR1", "1st Quarter"), ("Q02", "only two fields", None)]
