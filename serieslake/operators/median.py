@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from serieslake.session import materialize
 
 DIGIT_BITS = 16
-SMALL_GROUP = 4_000_000
+SMALL_GROUP = 100_000
 
 
 def exact_median(
@@ -26,7 +26,8 @@ def exact_median(
     than 65,536 counts per middle rank are ever shuffled, however many rows a group has.
 
     Groups, their sizes and the ranks in search are written to the scratch folder; they
-    are broadcast only if those files are below the broadcast threshold.
+    are broadcast only if those files are below the broadcast threshold.  Each pass reads
+    ``df`` again, so it should be a stored table.
     """
     values = df.filter(F.col(units).isNotNull()).select(*keys, F.col(units).cast("bigint").alias("_u"))
     groups = materialize(

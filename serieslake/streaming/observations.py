@@ -77,10 +77,12 @@ class ObservationState:
         each = F.array(*[F.struct(F.lit(name).alias("release"), F.col(f"best_{name}").alias("best")) for name in self.releases])
         return images.select(*KEYS, F.inline(each)).filter("best IS NOT NULL").select(*KEYS, "release", "best.*")
 
-    def _wide(self, rows: DataFrame) -> DataFrame:
-        """The best row per key and release, side by side."""
-        order = [F.col("version").desc_nulls_last(), *first_by(TIE_BREAK)]
-        best = keep_first(rows, [*KEYS, "release"], order)
+    def _first(self, rows: DataFrame) -> DataFrame:
+        """The best row per key and release."""
+        return keep_first(rows, [*KEYS, "release"], [F.col("version").desc_nulls_last(), *first_by(TIE_BREAK)])
+
+    def _wide(self, best: DataFrame) -> DataFrame:
+        """One row per key, the best rows of the releases side by side."""
         held = F.struct(*self._values())
         return best.groupBy(*KEYS).agg(
             *[F.max(F.when(F.col("release") == name, held)).alias(f"best_{name}") for name in self.releases]
@@ -95,13 +97,13 @@ class ObservationState:
         """
         spark = landed.sparkSession
         rows = typed(landed, self.types, keep=["release", "version"]).filter(F.col("release").isin(*self.releases))
-        fresh = materialize(self._wide(keep_valid(rows, self.rules)), "fresh")
+        fresh = materialize(self._first(keep_valid(rows, self.rules)), "fresh")
         years = materialize(fresh.select(PART).distinct(), "touched-years")
         before = self.images(spark, (F.col("batch") >= 0) & (F.col("batch") < batch_id), years)
         keys = fresh.select(*KEYS)
         untouched = before.join(keys, list(KEYS), "left_anti")
-        touched = before.join(keys, list(KEYS), "left_semi")
-        merged = self._wide(self._long(touched.unionByName(fresh)))
+        touched = self._long(before.join(keys, list(KEYS), "left_semi"))
+        merged = self._wide(self._first(touched.unionByName(fresh)))
         # Rebalancing splits a heavy year over several writers and gathers small ones.
         image = untouched.unionByName(merged.hint("rebalance", PART))
         image.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/rows/batch={batch_id}")
