@@ -2,6 +2,7 @@ from serieslake.functions.fingerprint import byte_length, sha256, valid_utf8
 from serieslake.functions.text import (
     clean,
     fold_dots,
+    instant,
     label,
     or_text,
     present,
@@ -11,6 +12,6 @@ from serieslake.functions.text import (
 )
 
 __all__ = [
-    "byte_length", "clean", "fold_dots", "label", "or_text", "present", "resolve_link", "sha256",
+    "byte_length", "clean", "fold_dots", "instant", "label", "or_text", "present", "resolve_link", "sha256",
     "to_type", "unparsed", "valid_utf8",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ def to_type(column: str | Column, dtype: str) -> Column:
     return clean(column).try_cast(dtype)
 
 
+def instant(at: dt.datetime) -> Column:
+    """A run time as a timestamp; without a zone it is read in the session's zone, as stored text is."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def unparsed(column: str | Column, dtype: str) -> Column:
     """True where text is present but does not parse as ``dtype``."""
     text = clean(column)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from serieslake.functions import instant
 from serieslake.sources.landing import landed_files
 
 
@@ -65,7 +66,7 @@ def freshness(
 ) -> DataFrame:
     """Per source the newest timestamp, its age at ``run_at`` in seconds, and whether it is too old."""
     newest = df.groupBy(key).agg(F.max(at).alias("newest"))
-    age = F.timestamp_diff("SECOND", F.col("newest").cast("timestamp"), F.lit(run_at).cast("timestamp"))
+    age = F.timestamp_diff("SECOND", F.col("newest").cast("timestamp"), instant(run_at))
     return newest.withColumn("age_seconds", age).withColumn(
         "stale", F.coalesce(F.col("age_seconds") > int(limit.total_seconds()), F.lit(True))
     )

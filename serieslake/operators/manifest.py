@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from serieslake.functions import instant
 from serieslake.operators.checks import duplicate_keys
 from serieslake.operators.rules import RuleViolation
 from serieslake.schemas import MANIFEST
@@ -110,7 +111,7 @@ def apply_sync(plan: DataFrame, run_at: dt.datetime) -> DataFrame:
 
     A failed file keeps its row as it was, and a failed new file gets none.
     """
-    now = F.lit(run_at).cast("timestamp")
+    now = instant(run_at)
     action = F.col("action")
     fetched = action.isin(NEW, CHANGED)
     seen = fetched | (action == SKIPPED)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from serieslake import schemas as S
+from serieslake.functions import instant
 
 RUN_AT = dt.datetime(2026, 1, 2)
 FIRST_SEEN = dt.datetime(2025, 12, 1)
@@ -252,7 +253,7 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """
     rows = _documents(spark, sf).filter("lang <> 'es'")
     older = F.coalesce(F.col("quality") == 1, F.lit(False))
-    seen = F.lit(FIRST_SEEN).cast("timestamp")
+    seen = instant(FIRST_SEEN)
     return rows.select(
         "source", _path().alias("relative_path"),
         F.concat(F.lit(SITE), "source", F.lit("/"), _path()).alias("remote_url"),

@@ -24,6 +24,26 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+SHUFFLE_PARTITION = 256 << 20
+MOST_PARTITIONS = 50_000
+
+
+def sized_for(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for jobs that shuffle up to ``shuffle_bytes`` at once on ``cores``.
+
+    Adaptive execution joins shuffle partitions that turn out small but does not split those
+    of an aggregation or window, so their number has to suit the largest shuffle.  Beyond
+    50,000 the bookkeeping costs more than larger partitions that spill.
+    """
+    partitions = min(max(2 * cores, -(-shuffle_bytes // SHUFFLE_PARTITION)), MOST_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION),
+    }
+
+
 _local_roots: dict[str, str] = {}
 
 

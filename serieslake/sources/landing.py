@@ -31,7 +31,10 @@ def landed_files(spark: SparkSession, root: str, *, glob: str | None = None) ->
 
 
 def landed_content(spark: SparkSession, root: str, *, glob: str | None = None) -> DataFrame:
-    """One row per landed file with its SHA-256 and whether it is well-formed UTF-8."""
+    """One row per landed file with its SHA-256 and whether it is well-formed UTF-8.
+
+    A file is one value in one task, up to ``spark.sql.sources.binaryFile.maxLength``.
+    """
     return _files(spark, root, glob).select(
         "path", _below(root).alias("relative_path"), F.col("length").alias("size_bytes"),
         sha256("content").alias("content_hash"), valid_utf8("content").alias("valid_utf8"),

@@ -155,3 +155,11 @@ def test_materialize_keeps_rows_and_schema(frame):
     df = frame("a int, b string", (1, "x"), (2, None)).withColumn("c", F.col("a").cast("decimal(18,4)"))
     back = materialize(df, "t")
     assert back.dtypes == df.dtypes and sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_settings_grow_with_the_shuffle():
+    from serieslake.session import sized_for
+
+    assert sized_for(1 << 40, 400)["spark.sql.shuffle.partitions"] == "4096"
+    assert sized_for(100 << 40, 8000)["spark.sql.shuffle.partitions"] == "50000"
+    assert sized_for(0, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from serieslake.operators.reconcile import reconcile
 from serieslake.operators.rules import keep_valid
+from serieslake.plans import datasets
 from serieslake.plans.datasets import OBSERVATION_KEYS
+from serieslake.plans.lake import Lake
+from serieslake.schemas import SERIES
 from serieslake.session import scratch_path
 from serieslake.sources.landing import land_release, version_path
 from serieslake.sources.text import write_padded
@@ -137,3 +140,33 @@ def test_landed_versions_stream_into_the_state(spark, frame, files_per_batch):
             merge_landed(spark, landing, state, checkpoint, files_per_batch=files_per_batch)
     merge_landed(spark, landing, state, checkpoint)  # nothing new
     assert rows_of(state.reconciled(spark, ["current", "all"])) == full(frame, seen)
+
+
+def test_gold_from_the_state_equals_gold_from_silver(spark, frame, tmp_path):
+    codes = ("3000", "6", "03", "2", "S", None, None, "1995", "Q01", "2014", "Q04")
+    series = frame(", ".join(f"{f.name} string" for f in SERIES.fields), *[(s, *codes) for s in ("A", "B")])
+    empty = {
+        lookup: frame(f"{code} string, {text} string")
+        for lookup, code, text in (
+            ("sector", "sector_code", "sector_name"), ("class", "class_code", "class_text"),
+            ("measure", "measure_code", "measure_text"), ("duration", "duration_code", "duration_text"),
+            ("seasonal", "seasonal_code", "seasonal_text"))
+    }
+    rows = [
+        (s, str(y), f"Q0{q}", str(q * y % 7), None, release, "1")
+        for s in "AB" for y in (2000, 2001) for q in range(1, 6) for release in RELEASES if release == "all" or y == 2001
+    ]
+    state = ObservationState(scratch_path(spark, "state"), RELEASES)
+    for number in range(2):
+        state.merge(frame(LANDED, *rows[number::2]), number)
+    lake, now = Lake(spark, str(tmp_path / "lake")), dt.datetime(2026, 1, 2)
+    lake.publish(datasets.silver_series(series, empty), "silver.series", run_at=now)
+    lake.publish(frame("nation_id string, nation string, year int, population double", ("x", "N", 2000, 1.0)),
+                 "silver.population", run_at=now)
+    choice = {"nation": "N", "first": 2000, "last": 2001, "series_id": "A"}
+    full_rows = reconcile([frame(RAW, *[r[:5] for r in rows if r[5] == name]) for name in RELEASES])
+    results = []
+    for observations in (full_rows, state.reconciled(spark, RELEASES)):
+        datasets.refresh_gold(lake, now, observations=observations, **choice)
+        results.append([sorted(map(tuple, lake.read(f"gold.{t}").collect())) for t in ("best_year", "series_by_year")])
+    assert results[0] == results[1] and len(results[0][0]) == 2
