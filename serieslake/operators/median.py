@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from serieslake.session import materialize
 
-DIGIT_BITS = 16
+DIGIT_BITS = 13
 SMALL_GROUP = 100_000
 
 
@@ -21,9 +21,9 @@ def exact_median(
 
     Spark's own ``median`` keeps the distinct values of a group in one task, so it is used
     only when the largest group is counted to be small.  Otherwise the two middle ranks are
-    found digit by digit: each pass counts the next 16 bits of the values that share
-    the digits found so far.  A pass is a scan with a partial aggregation, so that no more
-    than 65,536 counts per middle rank are ever shuffled, however many rows a group has.
+    found digit by digit: each pass counts the next bits, 13 at most, of the values that share
+    the digits found so far.  A pass is a scan with a partial aggregation, so a task passes
+    on no more than 8,192 counts per middle rank, however many rows a group has.
 
     Groups, their sizes and the ranks in search are written to the scratch folder; they
     are broadcast only if those files are below the broadcast threshold.  Each pass reads
@@ -43,8 +43,9 @@ def exact_median(
     middle = F.array_distinct(F.array(F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")))
     ranks = groups.select(*keys, "_low", F.explode(middle).alias("_rank"), F.lit(0).cast("bigint").alias("_found"))
     left = max(int(peak["span"]).bit_length(), 1)
+    even = -(-left // -(-left // DIGIT_BITS))  # passes of equal width
     while left > 0:
-        step = min(DIGIT_BITS, left)
+        step = min(even, left)
         left -= step
         ranks = materialize(_next_digit(values, ranks, keys, left, step), "median-ranks")
     middles = F.col("_low") + F.col("_found")

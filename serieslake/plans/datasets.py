@@ -90,8 +90,10 @@ UNKNOWN = {
 }
 
 
-def bronze_extract(spark: SparkSession, name: str, path: str, *, malformed: bool = False) -> DataFrame:
-    return read_padded(spark, path, EXTRACTS[name], malformed=malformed)
+def bronze_extract(
+    spark: SparkSession, name: str, path: str, *, check_header: bool = True, malformed: bool = False
+) -> DataFrame:
+    return read_padded(spark, path, EXTRACTS[name], check_header=check_header, malformed=malformed)
 
 
 def bronze_population(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
@@ -187,14 +189,18 @@ def _publish_all(lake: Lake, tables: Mapping[str, DataFrame], run_at: dt.datetim
 
 
 def refresh_bronze(
-    lake: Lake, files: Mapping[str, str], run_at: dt.datetime, *, document_lines: bool = False, malformed: str = WARN
+    lake: Lake, files: Mapping[str, str], run_at: dt.datetime, *, document_lines: bool = False,
+    check_headers: bool = True, malformed: str = WARN,
 ) -> None:
     """Store the landed files; ``files`` maps the extracts and ``population`` to paths.
 
     Lines with a wrong field count are counted, and ``malformed`` says what becomes of them:
     warn keeps them (filled up with NULLs, or cut), drop leaves them out, fail refuses the file.
     """
-    tables = {f"bronze.{name}": bronze_extract(lake.spark, name, files[name], malformed=True) for name in EXTRACTS}
+    tables = {
+        f"bronze.{name}": bronze_extract(lake.spark, name, files[name], check_header=check_headers, malformed=True)
+        for name in EXTRACTS
+    }
     tables["bronze.population"] = bronze_population(lake.spark, files["population"], lines=document_lines)
     _publish_all(lake, tables, run_at, malformed)
 
@@ -227,9 +233,12 @@ def refresh_gold(
 
 def refresh(
     lake: Lake, files: Mapping[str, str], run_at: dt.datetime, *, nation: str, first: int, last: int,
-    series_id: str, period: str = S.QUARTERS[0], document_lines: bool = False, malformed: str = WARN,
+    series_id: str, period: str = S.QUARTERS[0], **landed: object,
 ) -> None:
-    """Full refresh of all layers; every layer reads the published layer below it."""
-    refresh_bronze(lake, files, run_at, document_lines=document_lines, malformed=malformed)
+    """Full refresh of all layers; every layer reads the published layer below it.
+
+    ``landed`` are the options of ``refresh_bronze``.
+    """
+    refresh_bronze(lake, files, run_at, **landed)
     refresh_silver(lake, run_at)
     refresh_gold(lake, run_at, nation=nation, first=first, last=last, series_id=series_id, period=period)

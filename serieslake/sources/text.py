@@ -11,15 +11,13 @@ from pyspark.sql import types as T
 MALFORMED = "_malformed"
 
 
-def _options(sep: str, header: bool) -> dict[str, str]:
-    # A header is checked against the declared names instead of being ignored, so that
-    # swapped or renamed columns stop the scan.
+def _options(sep: str, header: bool, check_header: bool = True) -> dict[str, str]:
     return {
         "sep": sep,
         "header": str(header).lower(),
         "ignoreLeadingWhiteSpace": "true",
         "ignoreTrailingWhiteSpace": "true",
-        "enforceSchema": "false",
+        "enforceSchema": str(not check_header).lower(),
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": MALFORMED,
     }
@@ -31,15 +29,18 @@ def _with_malformed(schema: T.StructType) -> T.StructType:
 
 def read_padded(
     spark: SparkSession, path: str | list[str], schema: T.StructType, *, sep: str = "\t", header: bool = True,
-    malformed: bool = False,
+    check_header: bool = True, malformed: bool = False,
 ) -> DataFrame:
     """Scan an extract with a declared schema; both sides of every field are trimmed.
 
-    A blank field is NULL.  With ``malformed=True`` the whole line is kept in
+    The header is compared with the declared names, case aside, so that swapped or renamed
+    columns stop the scan; without ``check_header`` columns are taken by position.  A blank
+    field is NULL.  With ``malformed=True`` the whole line is kept in
     ``_malformed`` where its field count is wrong; otherwise such a line is filled up
     with NULLs or cut.
     """
-    reader = spark.read.schema(_with_malformed(schema) if malformed else schema).options(**_options(sep, header))
+    declared = _with_malformed(schema) if malformed else schema
+    reader = spark.read.schema(declared).options(**_options(sep, header, check_header))
     if malformed:
         # The field count of a line is known only when all of its fields are parsed.
         reader = reader.option("columnPruning", "false")

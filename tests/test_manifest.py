@@ -1,6 +1,7 @@
 """The manifest: every outcome of a file, idempotence, and untouched rows."""
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -69,6 +70,40 @@ def test_all_outcomes(frame, first):
     assert {r.relative_path for r in manifest.to_fetch(plan).collect()} == {"size", "date", "back", "new"}
 
 
+def test_runs_equal_a_model_of_one_file(frame):
+    """Random runs against what must become of a single file, worked out file by file."""
+    rng = random.Random(11)
+    known, model = empty(frame), {}
+    paths = [f"f{i}" for i in range(40)]
+    for day in DAY[:4]:
+        files, expected = [], {}
+        for path in paths:
+            size, time, failed = rng.choice([1, 2, None]), rng.choice([T0, None]), rng.random() < 0.2
+            before = model.get(path)
+            if rng.random() < 0.3:
+                if before:
+                    expected[path] = {**before, "status": "removed"}
+                continue
+            files.append(("s", path, size, time, failed))
+            known_as = before and before["status"] == "active"
+            same = known_as and size in (None, before["size"]) and time in (None, before["time"])
+            if failed and not same:
+                if before:
+                    expected[path] = before
+                continue
+            expected[path] = {
+                "status": "active", "size": size, "time": time, "first": before["first"] if before else day, "seen": day,
+                "got": before["got"] if same else day,
+            }
+        plan = manifest.plan_sync(known, listed(frame, *files, extra=", failed boolean"))
+        after = manifest.apply_sync(plan, day).collect()
+        model = expected
+        assert {r.relative_path: (r.status, r.size_bytes, r.last_modified, r.first_seen_at, r.last_seen_at, r.last_ingested_at)
+                for r in after} == {p: tuple(m[k] for k in ("status", "size", "time", "first", "seen", "got"))
+                                    for p, m in model.items()}
+        known = frame(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.MANIFEST.fields), *map(tuple, after))
+
+
 def test_schema_is_the_declared_one(first):
     assert [(f.name, f.dataType) for f in first.schema.fields] == [(f.name, f.dataType) for f in S.MANIFEST.fields]
 

@@ -1,12 +1,13 @@
 """Rules, publishing, and the full refresh."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from serieslake import schemas as S
-from serieslake.operators import rules
+from serieslake.operators import access, rules
 from serieslake.operators.rules import DROP, FAIL, WARN, Rule, RuleViolation
 from serieslake.plans import datasets, statements
 from serieslake.plans.lake import Lake
@@ -178,6 +179,8 @@ def test_full_refresh(spark, refreshed):
         table = lake.read(name)
         assert df.dtypes == table.dtypes, name
         assert df.exceptAll(table).count() == 0 and table.exceptAll(df).count() == 0, name
+        lake.publish(df, name, datasets.RULES[name], run_at=NOW)
+        assert lake.read(name).exceptAll(table).count() == 0, name
 
 
 def test_range_without_data_fails_the_refresh(refreshed):
@@ -206,3 +209,12 @@ def test_malformed_lines_can_refuse_a_file(spark, lake, tmp_path):
     datasets.refresh_bronze(lake, paths, NOW)
     assert sorted(map(tuple, lake.read("bronze.period").collect())) == [
         ("Q01", "QTR1", "1st Quarter"), ("Q02", "only two fields", None)]
+
+
+def test_masks_and_row_filters(frame):
+    rows = frame("k int, secret string", (1, "a"), (2, "b"), (2, None))
+    masked = access.mask_columns(rows, ["secret"], salt="s").collect()
+    assert {r.secret for r in masked} == {hashlib.sha256(b"sa").hexdigest(), hashlib.sha256(b"sb").hexdigest(), None}
+    rights = frame("reader string, k int", ("ann", 2), ("ann", 2), ("bob", 1))
+    assert [r.k for r in access.entitled_rows(rows, rights, "ann", "k").collect()] == [2, 2]
+    assert access.entitled_rows(rows, rights, "eve", "k").count() == 0
