@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,11 +58,15 @@ def duplicate_codes(lookup: Lookup) -> DataFrame:
     )
 
 
-def unknown_codes(facts: DataFrame, lookup: Lookup) -> DataFrame:
-    """Codes without a text and how many rows carry them; counted before the join."""
-    used = facts.groupBy(F.col(lookup.fact).alias("code")).agg(F.count("*").alias("n"))
-    known = lookup.table.select(F.col(lookup.code).alias("code"))
-    return used.join(known, "code", "left_anti")
+def unknown_codes(facts: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """Codes without a text and how many rows carry them, for all lookups in one pass.
+
+    The codes are counted before the join, so that a heavy code is one row of it.
+    """
+    each = F.array(*[F.struct(F.lit(x.text).alias("lookup"), F.col(x.fact).alias("code")) for x in lookups])
+    used = facts.select(F.inline(each)).groupBy("lookup", "code").agg(F.count("*").alias("n"))
+    listed = [x.table.select(F.lit(x.text).alias("lookup"), F.col(x.code).alias("code")) for x in lookups]
+    return used.join(reduce(DataFrame.unionAll, listed), ["lookup", "code"], "left_anti")
 
 
 def split_codes(df: DataFrame, codes: str, *, sep: str = ",", code: str = "footnote_code") -> DataFrame:

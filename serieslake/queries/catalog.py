@@ -138,12 +138,7 @@ def decode_dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def unknown_codes(spark: SparkSession, sf: str) -> DataFrame:
-    series = I.series(spark, sf)
-    counts = [
-        decode.unknown_codes(series, lookup).select(F.lit(lookup.text).alias("lookup"), "code", "n")
-        for lookup in datasets.series_lookups(I.lookups(spark, sf))
-    ]
-    return I.union_all(counts)
+    return decode.unknown_codes(I.series(spark, sf), datasets.series_lookups(I.lookups(spark, sf)))
 
 
 def footnote_decode(spark: SparkSession, sf: str) -> DataFrame:

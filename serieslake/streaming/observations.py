@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,9 +34,11 @@ class ObservationState:
     choosing between them takes no shuffle, and a withdrawn release lets the next one
     back in.
 
-    A batch writes whole new images of the years it touches to a folder of its own, and
+    A merge writes whole new images of the years it touches to a new, numbered folder, and
     then an index of those years.  Without the index entry the folder does not count, so
-    a batch that dies half-way changes nothing; its replay overwrites its own folder only.
+    a merge that dies half-way changes nothing, and the next one takes its number.  The
+    numbers are the state's own: a replayed batch, or a stream that starts over with a new
+    checkpoint, merges rows that are there already.  One merge at a time.
     """
 
     root: str
@@ -59,14 +61,15 @@ class ObservationState:
         none.drop("batch").write.mode("ignore").partitionBy(PART).parquet(f"{self.root}/rows/batch=-1")
         none.select(PART).write.mode("ignore").parquet(f"{self.root}/index/batch=-1")
 
-    def images(self, spark: SparkSession, batches: Column | None = None, years: DataFrame | None = None) -> DataFrame:
-        """The current image of each year, optionally as of some batches and of some years only."""
+    def _index(self, spark: SparkSession) -> DataFrame:
         self._create(spark)
+        return spark.read.schema(f"{PART} int, batch bigint").parquet(f"{self.root}/index").filter("batch >= 0")
+
+    def images(self, spark: SparkSession, years: DataFrame | None = None) -> DataFrame:
+        """The current image of each year, optionally of some years only."""
+        newest = self._index(spark).groupBy(PART).agg(F.max("batch").alias("batch"))
         columns = ", ".join(f"{n} {t}" for n, t in self._columns().items())
-        index = spark.read.schema(f"{PART} int, batch bigint").parquet(f"{self.root}/index")
         rows = spark.read.schema(columns).parquet(f"{self.root}/rows")
-        newest = index.filter(F.col("batch") >= 0 if batches is None else batches)
-        newest = newest.groupBy(PART).agg(F.max("batch").alias("batch"))
         if years is not None:
             newest = newest.join(years, PART, "left_semi")
         # (year, batch) are folders, so this join prunes them before they are read.
@@ -88,7 +91,7 @@ class ObservationState:
             *[F.max(F.when(F.col("release") == name, held)).alias(f"best_{name}") for name in self.releases]
         )
 
-    def merge(self, landed: DataFrame, batch_id: int) -> None:
+    def merge(self, landed: DataFrame) -> None:
         """Fold newly landed rows (raw text, with release and version) into the state.
 
         Only keys of the batch are compared.  All other rows of a touched year are copied
@@ -99,15 +102,17 @@ class ObservationState:
         rows = typed(landed, self.types, keep=["release", "version"]).filter(F.col("release").isin(*self.releases))
         fresh = materialize(self._first(keep_valid(rows, self.rules)), "fresh")
         years = materialize(fresh.select(PART).distinct(), "touched-years")
-        before = self.images(spark, (F.col("batch") >= 0) & (F.col("batch") < batch_id), years)
+        newest = self._index(spark).agg(F.max("batch")).first()[0]
+        number = 0 if newest is None else newest + 1
+        before = self.images(spark, years)
         keys = fresh.select(*KEYS)
         untouched = before.join(keys, list(KEYS), "left_anti")
         touched = self._long(before.join(keys, list(KEYS), "left_semi"))
         merged = self._wide(self._first(touched.unionByName(fresh)))
         # Rebalancing splits a heavy year over several writers and gathers small ones.
         image = untouched.unionByName(merged.hint("rebalance", PART))
-        image.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/rows/batch={batch_id}")
-        years.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/batch={batch_id}")
+        image.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/rows/batch={number}")
+        years.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/batch={number}")
 
     def reconciled(self, spark: SparkSession, preference: Sequence[str]) -> DataFrame:
         """One row per key over the named releases, most preferred first; others are withdrawn."""
@@ -126,7 +131,7 @@ def merge_landed(
     options = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
     query = (
         stream_padded(spark, landing, LANDED, **options)
-        .writeStream.foreachBatch(state.merge)
+        .writeStream.foreachBatch(lambda rows, _: state.merge(rows))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

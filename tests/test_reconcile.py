@@ -173,9 +173,10 @@ def test_duplicate_lookup_codes_multiply_and_are_found(frame):
 
 
 def test_unknown_codes_are_counted(frame):
-    lookup = datasets.series_lookups(lookup_tables(frame))[0]
+    lookups = datasets.series_lookups(lookup_tables(frame))
     series = series_rows(frame, *[(s, c, "6", "03", "2", "S") for s, c in (("A", "3000"), ("B", "1"), ("C", "1"), ("D", None))])
-    assert {(r.code, r.n) for r in decode.unknown_codes(series, lookup).collect()} == {("1", 2), (None, 1)}
+    got = {(r.lookup, r.code, r.n) for r in decode.unknown_codes(series, lookups).collect()}
+    assert got == {("sector_name", "1", 2), ("sector_name", None, 1)}
 
 
 def test_footnote_lists(frame):

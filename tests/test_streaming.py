@@ -55,30 +55,30 @@ def test_batches_equal_full_refresh(spark, frame, rows, n_batches, rng):
     batches = [[] for _ in range(n_batches)]
     for r in rows:
         rng.choice(batches).append(r)
-    for number, batch in enumerate(batches):
+    for batch in batches:
         df = frame(LANDED, *batch)
-        state.merge(df, number)
+        state.merge(df)
         if rng.random() < 0.5:
-            state.merge(df, number)  # a replay
+            state.merge(df)  # a replay
     assert rows_of(state.reconciled(spark, ["current", "all"])) == full(frame, rows)
 
 
 def test_batch_without_index_does_not_count(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
     one = frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1"))
-    state.merge(one, 0)
+    state.merge(one)
     # A batch that died before its index was written leaves rows behind.
     stray = state.images(spark).withColumn("best_all", F.col("best_all").withField("value", F.lit(7.0)))
     stray.write.partitionBy("year").parquet(f"{state.root}/rows/batch=1")
     assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1.0, None)]
-    state.merge(frame(LANDED, ("A", "2000", "Q01", "5", None, "all", "2")), 1)
+    state.merge(frame(LANDED, ("A", "2000", "Q01", "5", None, "all", "2")))
     assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 5.0, None)]
 
 
 def test_only_touched_years_are_rewritten(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
-    state.merge(frame(LANDED, *[("A", str(y), "Q01", "1", None, "all", "1") for y in range(2000, 2004)]), 0)
-    state.merge(frame(LANDED, ("A", "2003", "Q01", "2", None, "current", "1")), 1)
+    state.merge(frame(LANDED, *[("A", str(y), "Q01", "1", None, "all", "1") for y in range(2000, 2004)]))
+    state.merge(frame(LANDED, ("A", "2003", "Q01", "2", None, "current", "1")))
     written = spark.read.parquet(f"{state.root}/rows").filter("batch = 1")
     assert {r.year for r in written.select("year").distinct().collect()} == {2003}
     assert len(rows_of(state.reconciled(spark, ["current", "all"]))) == 4
@@ -86,8 +86,8 @@ def test_only_touched_years_are_rewritten(spark, frame):
 
 def test_other_rows_of_a_touched_year_are_copied_unshuffled(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
-    state.merge(frame(LANDED, *[(f"S{i}", "2000", "Q01", "1", None, "all", "1") for i in range(50)]), 0)
-    state.merge(frame(LANDED, ("S7", "2000", "Q01", "2", None, "all", "2"), ("T", "2000", "Q01", "3", None, "all", "1")), 1)
+    state.merge(frame(LANDED, *[(f"S{i}", "2000", "Q01", "1", None, "all", "1") for i in range(50)]))
+    state.merge(frame(LANDED, ("S7", "2000", "Q01", "2", None, "all", "2"), ("T", "2000", "Q01", "3", None, "all", "1")))
     got = {r.series_id: r.value for r in state.reconciled(spark, RELEASES).collect()}
     assert len(got) == 51 and got["S7"] == 2.0 and got["T"] == 3.0 and got["S8"] == 1.0
     plan = state.reconciled(spark, RELEASES)._jdf.queryExecution().executedPlan().toString()
@@ -96,14 +96,14 @@ def test_other_rows_of_a_touched_year_are_copied_unshuffled(spark, frame):
 
 def test_withdrawn_release_lets_the_other_back_in(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
-    state.merge(frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1"), ("A", "2000", "Q01", "9", "R", "current", "1")), 0)
+    state.merge(frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1"), ("A", "2000", "Q01", "9", "R", "current", "1")))
     assert rows_of(state.reconciled(spark, ["current", "all"])) == [("A", 2000, "Q01", 9.0, "R")]
     assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1.0, None)]
 
 
 def test_release_that_is_not_declared_is_left_out(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), ["all"])
-    state.merge(frame(LANDED, ("A", "2000", "Q01", "9", None, "draft", "1"), ("A", "2000", "Q01", "1", None, "all", "1")), 0)
+    state.merge(frame(LANDED, ("A", "2000", "Q01", "9", None, "draft", "1"), ("A", "2000", "Q01", "1", None, "all", "1")))
     assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1.0, None)]
 
 
@@ -140,6 +140,8 @@ def test_landed_versions_stream_into_the_state(spark, frame, files_per_batch):
             merge_landed(spark, landing, state, checkpoint, files_per_batch=files_per_batch)
     merge_landed(spark, landing, state, checkpoint)  # nothing new
     assert rows_of(state.reconciled(spark, ["current", "all"])) == full(frame, seen)
+    merge_landed(spark, landing, state, scratch_path(spark, "checkpoint"))  # all files again: the checkpoint was lost
+    assert rows_of(state.reconciled(spark, ["current", "all"])) == full(frame, seen)
 
 
 def test_gold_from_the_state_equals_gold_from_silver(spark, frame, tmp_path):
@@ -158,7 +160,7 @@ def test_gold_from_the_state_equals_gold_from_silver(spark, frame, tmp_path):
     ]
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
     for number in range(2):
-        state.merge(frame(LANDED, *rows[number::2]), number)
+        state.merge(frame(LANDED, *rows[number::2]))
     lake, now = Lake(spark, str(tmp_path / "lake")), dt.datetime(2026, 1, 2)
     lake.publish(datasets.silver_series(series, empty), "silver.series", run_at=now)
     lake.publish(frame("nation_id string, nation string, year int, population double", ("x", "N", 2000, 1.0)),
