@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import token_counts, token_files
+from serieslake.llm import simhash, token_counts, token_files
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import scratch_path
 
@@ -21,6 +21,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_checksum(token_files.read_tokens(spark, target))
 
 
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"), length=3, most=2)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(WORDS))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -28,6 +32,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_simhash_groups": op2_simhash_groups,
     "op7_token_counts": op7_token_counts,
 }
 ORACLES: dict[str, str] = {}
