@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import simhash, token_counts, token_files
+from serieslake.llm import language, quality, simhash, token_counts, token_files
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import scratch_path
 
@@ -25,6 +25,16 @@ def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), length=3, most=2)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(WORDS))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -33,6 +43,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash_groups": op2_simhash_groups,
+    "op4_language": op4_language,
+    "op5_quality": op5_quality,
     "op7_token_counts": op7_token_counts,
 }
 ORACLES: dict[str, str] = {}
