@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import language, quality, simhash, token_counts, token_files
+from serieslake.llm import extraction, language, quality, simhash, token_counts, token_files
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import scratch_path
 
@@ -40,11 +40,16 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash_groups": op2_simhash_groups,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
     "op7_token_counts": op7_token_counts,
+    "op8_main_text": op8_main_text,
 }
 ORACLES: dict[str, str] = {}
