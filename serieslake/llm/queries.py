@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import extraction, language, quality, simhash, token_counts, token_files
+from serieslake.llm import extraction, language, minhash, quality, simhash, token_counts, token_files
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import scratch_path
 
@@ -44,6 +44,10 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash_groups": op2_simhash_groups,
@@ -51,5 +55,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op7_token_counts": op7_token_counts,
     "op8_main_text": op8_main_text,
+    "op9_fingerprints": op9_fingerprints,
 }
 ORACLES: dict[str, str] = {}
