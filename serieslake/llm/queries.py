@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import extraction, language, minhash, quality, simhash, token_counts, token_files
+from serieslake.llm import decontamination, extraction, language, minhash, quality, simhash, token_counts, token_files
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import scratch_path
 
@@ -48,6 +48,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash_groups": op2_simhash_groups,
@@ -56,5 +60,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_counts": op7_token_counts,
     "op8_main_text": op8_main_text,
     "op9_fingerprints": op9_fingerprints,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {}
