@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import decontamination, extraction, language, minhash, quality, simhash, token_counts, token_files
+from serieslake.llm import decontamination, extraction, fixity, language, minhash, quality, simhash, token_counts, token_files
 from serieslake.llm.common import table, tokenizer_path
-from serieslake.session import scratch_path
+from serieslake.session import materialize, scratch_path
 
 WORDS = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -25,6 +25,36 @@ def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), length=3, most=2)
 
 
+def _worn(archive: DataFrame) -> DataFrame:
+    """A replica as years may leave it: records with a changed byte, without their end, or lost."""
+    n, size, byte = F.col("page_id"), F.length("record"), F.col("record")
+    flipped = F.concat(F.substring(byte, F.lit(1), size - 8), F.lit(b"#"), F.substring(byte, size - 6, F.lit(7)))
+    worn = F.when(n % 97 == 13, flipped).when(n % 97 == 31, F.substring(byte, F.lit(1), size - 5)).otherwise(byte)
+    return archive.withColumn("record", worn).filter("page_id is null or page_id % 97 <> 53")
+
+
+def op3_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, status, length and both hashes of each record that differs in a worn replica of the archive."""
+    archive = materialize(fixity.build_archive(table(spark, sf_dir, "pages")), "archive")
+    replica = materialize(_worn(archive), "replica")
+    bad = materialize(fixity.audit(archive, replica), "audit")
+    kept = archive.join(bad, ["segment", "seq"]).select("segment", "seq", "page_id", "status", "length", F.sha2("record", 256).alias("sha256"))
+    found = replica.join(bad, ["segment", "seq"], "left_semi").select("segment", "seq", F.sha2("record", 256).alias("replica_sha256"))
+    return kept.join(found, ["segment", "seq"], "left").select("page_id", "status", "length", "sha256", "replica_sha256")
+
+
+_RECORD = """'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '')
+    || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
+    || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)"""
+OP3_SQL = f"""
+WITH records AS (SELECT page_id, encode({_RECORD}) AS record FROM pages WHERE page_id % 97 IN (13, 31, 53))
+SELECT page_id, CASE page_id % 97 WHEN 53 THEN 'missing' ELSE 'altered' END AS status, octet_length(record) AS length, sha256(record) AS sha256,
+    CASE page_id % 97 WHEN 13 THEN sha256(record[1:octet_length(record) - 8] || encode('#') || record[octet_length(record) - 6:])
+        WHEN 31 THEN sha256(record[1:octet_length(record) - 5]) END AS replica_sha256
+FROM records
+"""
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.predict(docs, language.fit(docs))
@@ -55,6 +85,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_simhash_groups": op2_simhash_groups,
+    "op3_fixity_audit": op3_fixity_audit,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
     "op7_token_counts": op7_token_counts,
@@ -62,4 +93,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_fixity_audit": OP3_SQL}
