@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
-from itertools import accumulate
+from itertools import accumulate, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -52,8 +52,7 @@ class TokenCounter:
         return [sum([counts[i] for i in pieces]) for pieces in index]
 
     def count(self, chunks: list[str]) -> int:
-        self.memo.learn(chunks)
-        return sum(map(self.memo.__getitem__, chunks))
+        return sum(self.memo.values_of(chunks))
 
     def counts(self, texts: list[str]) -> list[int]:
         totals: list[int] = []
@@ -62,8 +61,8 @@ class TokenCounter:
                 totals.append(sum(self.count(chunks_of(part)) for part in slices(texts[start])))
                 continue
             split = [chunks_of(text) for text in texts[start:stop]]
-            self.memo.learn([chunk for chunks in split for chunk in chunks])
-            totals += [sum(map(self.memo.__getitem__, chunks)) for chunks in split]
+            values = self.memo.values_of([chunk for chunks in split for chunk in chunks])
+            totals += [sum(islice(values, len(chunks))) for chunks in split]
         return totals
 
     def state_map(self, text: str) -> StateMap:

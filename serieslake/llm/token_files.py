@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from serieslake.llm.common import on_batches, portions, slices, texts_of
-from serieslake.llm.words import Memo, Pretokens, chunks_of
+from serieslake.llm.words import Memo, chunks_of
+from serieslake.session import materialize
 
 #: Row groups of 32 MB, pages of at most 64 KB and 500 rows; a dictionary page holds any vocabulary up to 256k.
 LAYOUT = {
@@ -41,47 +43,35 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.pretokens = Pretokens(self.tokenizer)
-        self.marks = self.pretokens.marks
-        self.pieces = Memo(self._pieces)
-        self.chunks = Memo(self._chunks)
-        vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """Pre-tokens, many to a call: each ends with its only word-ending token."""
-        joined = [b" ".join(pieces[i : i + 256]).decode() for i in range(0, len(pieces), 256)]
-        found = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        ids = np.concatenate([np.asarray(e.ids, "<u4") for e in found])
-        ends = (np.flatnonzero(self.last[ids]) + 1) * 4
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        plain = [not any(mark in chunk for mark in self.marks) and max(chunk) < "\u0300" for chunk in chunks]
-        split = [self.pretokens.split(chunk) if p else [] for chunk, p in zip(chunks, plain, strict=True)]
-        self.pieces.learn([piece for pieces in split for piece in pieces])
-        odd = iter(self.tokenizer.encode_batch_fast([c for c, p in zip(chunks, plain, strict=True) if not p], add_special_tokens=False))
-        return [
-            b"".join(map(self.pieces.__getitem__, pieces)) if p else np.asarray(next(odd).ids, "<u4").tobytes()
-            for pieces, p in zip(split, plain, strict=True)
-        ]
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.border, self.between = max((i, t.content) for i, t in special.items())
+        self.marks = {t.content[:2] for t in special.values()}
+        self.memo = Memo(self._new)
+
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        """Many chunks to a call, with a special string between them: its id parts theirs."""
+        odd = [chunk for chunk in chunks if any(mark in chunk for mark in self.marks)]
+        alone = dict(zip(odd, (np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)), strict=True))
+        plain = [chunk for chunk in chunks if chunk not in alone] if odd else chunks
+        joined = [self.between.join([*plain[i : i + 256], ""]) for i in range(0, len(plain), 256)]
+        ids = [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        if ids:
+            whole = np.concatenate(ids)
+            raw, ends, start = whole.tobytes(), (np.flatnonzero(whole == self.border) * 4).tolist(), 0
+            for chunk, end in zip(plain, ends, strict=True):
+                alone[chunk] = raw[start:end]
+                start = end + 4
+        return [alone[chunk] for chunk in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         made: list[bytes] = []
         for start, stop in portions(texts):
             if stop == start + 1:
-                parts = []
-                for part in slices(texts[start]):
-                    chunks = chunks_of(part)
-                    self.chunks.learn(chunks)
-                    parts.append(b"".join(map(self.chunks.__getitem__, chunks)))
-                made.append(b"".join(parts))
+                made.append(b"".join([b"".join(self.memo.values_of(chunks_of(part))) for part in slices(texts[start])]))
                 continue
             split = [chunks_of(text) for text in texts[start:stop]]
-            self.chunks.learn([chunk for chunks in split for chunk in chunks])
-            made += [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
+            values = self.memo.values_of([chunk for chunks in split for chunk in chunks])
+            made += [b"".join(islice(values, len(chunks))) for chunks in split]
         return made
 
 
@@ -128,6 +118,7 @@ def read_tokens(spark: SparkSession, target: str) -> DataFrame:
     totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
     begins = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("begin"))
+    begins = materialize(begins, "begins")  # so that its size is known to the join
     return stored.join(begins, "part").select("doc_id", (F.col("begin") + F.col("offset")).alias("start"), "n_tokens", "ids")
 
 

@@ -7,7 +7,8 @@ look across white space, so chunks can be treated one by one and repeated chunks
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import filterfalse
 
 import regex
 from tokenizers import Tokenizer
@@ -20,8 +21,27 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECES = regex.compile(PIECES)
 
 
+# A lone mark behind a letter or digit and before white space is a piece of its own.
+_COMMA, _STOP = re.compile(r",(?=\s)(?<=[^\W_],)"), re.compile(r"\.(?=\s)(?<=[^\W_]\.)")
+
+
+def _simple(text: str) -> bool:
+    """No combining marks: composed as it is, and lower case goes letter by letter."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return max(text) < "\u0300"
+    return True
+
+
 def chunks_of(text: str) -> list[str]:
-    """The text's parts between white space."""
+    """The text's parts between white space, in lower case where that cannot change their tokens.
+
+    Commas and full stops that end a word stand apart, so that fewer parts differ.
+    """
+    if "<|" not in text and _simple(text):
+        text = text.lower()
+    text = _STOP.sub(" .", _COMMA.sub(" ,", text))
     if _SEPARATORS.search(text):
         return [part for part in _WHITE.split(text) if part]
     return text.split()
@@ -30,16 +50,18 @@ def chunks_of(text: str) -> list[str]:
 class Memo(dict):
     """Values of chunks, computed for all new chunks together; emptied when it holds too many."""
 
-    def __init__(self, compute: Callable[[list[str]], list], most: int = 400_000) -> None:
+    def __init__(self, compute: Callable[[list[str]], list], most: int = 650_000) -> None:
         super().__init__()
         self.compute, self.most = compute, most
 
-    def learn(self, chunks: list[str]) -> None:
-        if len(self) > self.most:
+    def values_of(self, chunks: list[str]) -> Iterator:
+        new = list(set(filterfalse(self.__contains__, chunks)))
+        if new and len(self) > self.most:
             self.clear()
-        new = [chunk for chunk in set(chunks) if chunk not in self]
+            new = list(set(chunks))
         if new:
             self.update(zip(new, self.compute(new), strict=True))
+        return map(self.__getitem__, chunks)
 
 
 class Pretokens:
@@ -64,7 +86,7 @@ class Pretokens:
     def _plain(self, chunk: str) -> list[bytes]:
         if not chunk:
             return []
-        if max(chunk) < "\u0300":  # no combining marks: already composed, and lower case goes letter by letter
+        if _simple(chunk):
             return [piece.encode() for piece in _PIECES.findall(chunk.lower())]
         normal = self.tokenizer.normalizer.normalize_str(chunk)
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
