@@ -81,13 +81,13 @@ def crc32_of(column: str):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
-def chunk_rows(docs: DataFrame, size: int) -> DataFrame:
+def chunk_rows(docs: DataFrame, size: int, ahead: int = 0) -> DataFrame:
     """Each text in parts of at most ``size`` characters, one part at least: adds row, part, n_parts.
 
-    ``row`` tells repeated rows apart; it holds only within the job that makes it.
+    A part of a longer text also shows ``ahead`` characters of what follows.  ``row`` tells repeated rows apart; it holds only within the job that makes it.
     """
     n_parts = F.greatest(F.lit(1), F.ceil(F.length("text") / size)).cast("int")
     numbered = docs.withColumn("row", F.monotonically_increasing_id()).withColumn("n_parts", F.coalesce(n_parts, F.lit(1)))
     parts = numbered.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
-    piece = F.substring(F.col("text"), F.col("part") * size + 1, F.lit(size))
+    piece = F.substring(F.col("text"), F.col("part") * size + 1, F.lit(size + ahead))
     return parts.withColumn("text", F.when(F.col("n_parts") == 1, F.col("text")).otherwise(piece))

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import decontamination, extraction, fixity, language, minhash, quality, simhash, token_counts, token_files
+from serieslake.llm import decontamination, extraction, fixity, language, minhash, pieces, quality, simhash, token_counts, token_files
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import materialize, scratch_path
 
-WORDS = "word_bpe_49k.json"
+WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 TOKEN_LIMIT = 2048
 
 
@@ -65,6 +65,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: pieces and crc32 of their ids as little-endian words, and whether decoding gives the text back."""
+    path = tokenizer_path(PIECES)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return pieces.digests(pieces.encode(docs, path, keep=("doc_id", "text_sha256")), path)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(WORDS))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fixity_audit": op3_fixity_audit,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
+    "op6_pieces": op6_pieces,
     "op7_token_counts": op7_token_counts,
     "op8_main_text": op8_main_text,
     "op9_fingerprints": op9_fingerprints,
