@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def mask_columns(df: DataFrame, columns: Sequence[str], *, salt: str = "") -> DataFrame:
+def mask_columns(df: DataFrame, columns: Sequence[str], *, salt: str) -> DataFrame:
     """Replace values by a salted digest: still joinable and countable, no longer readable."""
     digest = {c: F.sha2(F.concat(F.lit(salt), F.col(c).cast("string")), 256) for c in columns}
     return df.withColumns(digest)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,14 +20,29 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+LONGEST_HEADER = 1 << 20
+# Spark's names of stores, and those of the file system library.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def store_address(path: str) -> str:
+    """A path as Spark gives it, for the file system library: its scheme, quoted, local ones with three slashes."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return "file:///" + quote(rest.lstrip("/"))
+    return f"{SCHEMES.get(scheme, scheme)}:" + quote(rest, safe="/@:")
+
+
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     def first_line(uri: str) -> str:
-        store, path = fs.FileSystem.from_uri(uri)
+        store, path = fs.FileSystem.from_uri(store_address(uri))
         line = b""
-        with store.open_input_stream(path) as stream:
+        with store.open_input_stream(path) as stream:  # decompresses by the name's ending
             while b"\n" not in line:
+                if len(line) > LONGEST_HEADER:
+                    raise ValueError(f"{uri}: no line break within {LONGEST_HEADER} bytes")
                 block = stream.read(1 << 16)
                 if not block:
                     break
@@ -34,9 +50,7 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return line.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
 
     for batch in batches:
-        # Spark writes local paths as file:/x; the file system wants file:///x.
-        uris = batch["path"].str.replace(r"^file:/+", "file:///", regex=True)
-        yield batch.assign(header=[first_line(uri) for uri in uris])
+        yield batch.assign(header=[first_line(uri) for uri in batch["path"]])
 
 
 def headers(spark: SparkSession, root: str, *, glob: str | None = None, sep: str = "\t") -> DataFrame:

@@ -34,9 +34,13 @@ def with_landed(listing: DataFrame, landed: DataFrame) -> DataFrame:
 
 def check_listing(listing: DataFrame) -> None:
     """A file listed twice would be synced twice; raise instead."""
-    twice = duplicate_keys(listing, KEY).limit(1).collect()
+    _once(listing, "listed")
+
+
+def _once(files: DataFrame, what: str) -> None:
+    twice = duplicate_keys(files, KEY).limit(1).collect()
     if twice:
-        raise RuleViolation(f"listed more than once: {twice[0]['source']}/{twice[0]['relative_path']}")
+        raise RuleViolation(f"{what} more than once: {twice[0]['source']}/{twice[0]['relative_path']}")
 
 
 def _differs() -> Column:
@@ -89,8 +93,9 @@ def plan_sync(manifest: DataFrame, listing: DataFrame, *, sources: Sequence[str]
 def with_fetched(plan: DataFrame, fetched: DataFrame) -> DataFrame:
     """Enter what was fetched: (source, relative_path, content_hash, content_bytes).
 
-    A file that was to be fetched and is not there has failed.
+    A file that was to be fetched and is not there has failed; one that is there twice is an error.
     """
+    _once(fetched, "fetched")
     got = fetched.select(
         *KEY, F.struct("content_hash", "content_bytes", F.lit(True).alias("done")).alias("_got")
     )
@@ -119,7 +124,7 @@ def apply_sync(plan: DataFrame, run_at: dt.datetime) -> DataFrame:
     def when_seen(field: str) -> Column:
         return F.when(seen, F.col(f"listed.{field}")).otherwise(F.col(f"before.{field}"))
 
-    hashed = F.when(fetched, F.col("listed.content_hash")).otherwise(F.col("before.content_hash"))
+    hashed = F.when(fetched, F.coalesce("listed.content_hash", "before.content_hash")).otherwise(F.col("before.content_hash"))
     size = F.when(fetched, F.coalesce("listed.size_bytes", "listed.content_bytes")).otherwise(when_seen("size_bytes"))
     columns = {
         "source": F.col("source"),

@@ -11,56 +11,51 @@ from pyspark.sql import functions as F
 from serieslake.session import materialize
 
 DIGIT_BITS = 13
-SMALL_GROUP = 100_000
 
 
-def exact_median(
-    df: DataFrame, keys: Sequence[str], units: str, *, scale: int = 0, small_group: int = SMALL_GROUP
-) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], units: str, *, scale: int = 0) -> DataFrame:
     """Exact median per key of a BIGINT column that counts units of ``10 ** -scale``.
 
-    Spark's own ``median`` keeps the distinct values of a group in one task, so it is used
-    only when the largest group is counted to be small.  Otherwise the two middle ranks are
-    found digit by digit: each pass counts the next bits, 13 at most, of the values that share
-    the digits found so far.  A pass is a scan with a partial aggregation, so a task passes
-    on no more than 8,192 counts per middle rank, however many rows a group has.
+    Spark's own ``median`` keeps the distinct values of a group in one task.  Here the two middle
+    ranks are found digit by digit: each pass counts the next bits, 13 at most, of the values that share
+    the bits found so far.  A pass is a scan with a partial aggregation, so a task passes
+    on no more than 8,192 counts per middle rank, however many rows a group has.  Bits that all values
+    of every group share take no pass; the whole range of BIGINT is allowed.
 
     Groups, their sizes and the ranks in search are written to the scratch folder; they
     are broadcast only if those files are below the broadcast threshold.  Each pass reads
     ``df`` again, so it should be a stored table.
     """
-    values = df.filter(F.col(units).isNotNull()).select(*keys, F.col(units).cast("bigint").alias("_u"))
+    whole = not keys
+    keys = list(keys) or ["_all"]
+    rows = df.withColumn("_all", F.lit(0)) if whole else df
+    values = rows.filter(F.col(units).isNotNull()).select(*keys, F.col(units).cast("bigint").alias("_u"))
     groups = materialize(
         values.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_u").alias("_low"), F.max("_u").alias("_high")),
         "median-groups",
     )
-    span = F.max(F.col("_high").cast("decimal(38,0)") - F.col("_low").cast("decimal(38,0)"))
-    peak = groups.agg(F.max("_n").alias("rows"), span.alias("span")).first()
-    unit = float(10**scale)
-    if peak["rows"] is None or peak["rows"] <= small_group:
-        return values.groupBy(*keys).agg((F.median("_u") / F.lit(unit)).alias("median"))
-
+    left = groups.agg(F.max(F.length(F.bin(F.col("_low").bitwiseXOR(F.col("_high")))))).first()[0] or 1
     middle = F.array_distinct(F.array(F.expr("(_n + 1) div 2"), F.expr("_n div 2 + 1")))
-    ranks = groups.select(*keys, "_low", F.explode(middle).alias("_rank"), F.lit(0).cast("bigint").alias("_found"))
-    left = max(int(peak["span"]).bit_length(), 1)
+    shared = F.shiftright("_low", left) if left < 64 else F.lit(0).cast("bigint")
+    ranks = groups.select(*keys, F.explode(middle).alias("_rank"), shared.alias("_found"))
     even = -(-left // -(-left // DIGIT_BITS))  # passes of equal width
     while left > 0:
         step = min(even, left)
         left -= step
         ranks = materialize(_next_digit(values, ranks, keys, left, step), "median-ranks")
-    middles = F.col("_low") + F.col("_found")
-    return ranks.groupBy(*keys).agg(((F.min(middles) + F.max(middles)) / F.lit(2.0) / F.lit(unit)).alias("median"))
+    middles = (F.min("_found").cast("decimal(38,0)") + F.max("_found").cast("decimal(38,0)")).cast("double")
+    found = ranks.groupBy(*keys).agg((middles / F.lit(2.0) / F.lit(float(10**scale))).alias("median"))
+    return found.drop("_all") if whole else found
 
 
 def _next_digit(values: DataFrame, ranks: DataFrame, keys: Sequence[str], below: int, step: int) -> DataFrame:
     """Extend each rank's found prefix by ``step`` bits, leaving ``below`` bits unknown."""
-    probes = ranks.select(*keys, "_low", "_found").distinct().alias("p")
+    probes = ranks.select(*keys, "_found").distinct().alias("p")
     rows = values.alias("v")
-    offset = F.col("v._u") - F.col("p._low")
-    same_prefix = F.shiftright(offset, below + step) == F.col("p._found") if below + step < 64 else F.lit(True)
+    same_prefix = F.shiftright("v._u", below + step) == F.col("p._found") if below + step < 64 else F.lit(True)
     counts = (
         rows.join(probes, _same(keys, "v", "p") & same_prefix)
-        .groupBy(*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p._found"), F.shiftright(offset, below).alias("_next"))
+        .groupBy(*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p._found"), F.shiftright("v._u", below).alias("_next"))
         .agg(F.count("*").alias("_c"))
     )
     running = Window.partitionBy(*keys, "_found").orderBy("_next").rowsBetween(Window.unboundedPreceding, 0)
@@ -71,7 +66,6 @@ def _next_digit(values: DataFrame, ranks: DataFrame, keys: Sequence[str], below:
         .join(counts, _same(keys, "r", "c") & (F.col("r._found") == F.col("c._found")) & here)
         .select(
             *[F.col(f"r.{k}").alias(k) for k in keys],
-            F.col("r._low").alias("_low"),
             (F.col("r._rank") - (F.col("c._upto") - F.col("c._c"))).alias("_rank"),
             F.col("c._next").alias("_found"),
         )

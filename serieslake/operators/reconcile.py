@@ -15,7 +15,11 @@ KEYS = ("series_id", "year", "period")
 TIE_BREAK = ("value", "footnote_codes")
 
 
-def observation_types(value: str = "double") -> dict[str, str]:
+#: Published values have few decimals; sums of decimals are exact, so equal totals tie.
+VALUE = "decimal(28,10)"
+
+
+def observation_types(value: str = VALUE) -> dict[str, str]:
     return {"series_id": "string", "year": "int", "period": "string", "value": value, "footnote_codes": "string"}
 
 

@@ -104,8 +104,8 @@ def silver_population(bronze: DataFrame) -> DataFrame:
     return bronze.select(
         F.col("`Nation ID`").alias("nation_id"),
         F.col("Nation").alias("nation"),
-        F.col("Year").try_cast("int").alias("year"),
-        F.col("Population").try_cast("double").alias("population"),
+        F.coalesce(F.trim("Year").try_cast("int"), F.trim("Year").try_cast("double").try_cast("int")).alias("year"),
+        F.trim("Population").try_cast("double").alias("population"),
     )
 
 
@@ -150,7 +150,7 @@ def gold_population_stats(population: DataFrame, *, nation: str, first: int, las
 def gold_best_year(observations: DataFrame, series: DataFrame) -> DataFrame:
     best = summary.best_period(summary.period_totals(observations, S.QUARTERS))
     return summary.with_dimension(best, series, "series_id", ["series_label"]).select(
-        "series_id", "series_label", "best_year", "total_value"
+        "series_id", "series_label", "best_year", F.col("total_value").cast("double").alias("total_value")
     )
 
 
@@ -158,8 +158,9 @@ def gold_series_by_year(
     observations: DataFrame, population: DataFrame, *, series_id: str, period: str, nation: str
 ) -> DataFrame:
     chosen = observations.filter((F.col("series_id") == series_id) & (F.col("period") == period))
+    chosen = chosen.withColumn("value", F.col("value").cast("double"))
     yearly = population.filter(F.col("nation") == nation)
-    return summary.aligned_series(chosen, yearly, columns=["year", "value"], measure="population").orderBy("year")
+    return summary.aligned_series(chosen, yearly, columns=["year", "value"], measure="population")
 
 
 def check_lookups(lookups: Sequence[Lookup]) -> None:

@@ -233,7 +233,7 @@ def median_by_digits(spark: SparkSession, sf: str) -> DataFrame:
     lines = I.table(spark, sf, "lineitem").select(
         "l_returnflag", "l_linestatus", (I.money("l_extendedprice") * 100).cast("bigint").alias("cents")
     )
-    return median.exact_median(lines, ["l_returnflag", "l_linestatus"], "cents", scale=2, small_group=0)
+    return median.exact_median(lines, ["l_returnflag", "l_linestatus"], "cents", scale=2)
 
 
 def growth_first_last(spark: SparkSession, sf: str) -> DataFrame:
@@ -360,8 +360,7 @@ def _refreshed(spark: SparkSession, sf: str) -> Lake:
 
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    best = _refreshed(spark, sf).read("gold.best_year")
-    return best.withColumn("total_value", F.round("total_value", 2))
+    return _refreshed(spark, sf).read("gold.best_year")
 
 
 def incremental_reconcile(spark: SparkSession, sf: str) -> DataFrame:

@@ -264,7 +264,7 @@ FROM orders GROUP BY 1, 2""",
 seen AS (SELECT *, action IN ('new', 'changed', 'skipped') AS s, action IN ('new', 'changed') AS f FROM plan)
 SELECT source, relative_path, CASE WHEN s THEN l_url ELSE m_url END AS remote_url,
        CASE WHEN s THEN l_size ELSE m_size END AS size_bytes, CASE WHEN s THEN l_time ELSE m_time END AS last_modified,
-       CASE WHEN f THEN l_hash ELSE m_hash END AS content_hash,
+       CASE WHEN f THEN coalesce(l_hash, m_hash) ELSE m_hash END AS content_hash,
        CASE WHEN s THEN 'active' WHEN action = 'removed' THEN 'removed' ELSE status END AS status,
        CASE WHEN known THEN '2025-12-01' ELSE '2026-01-02' END AS first_seen_at,
        CASE WHEN s THEN '2026-01-02' ELSE '2025-12-01' END AS last_seen_at,

@@ -29,12 +29,13 @@ SEASONAL = text_schema("seasonal_code", "seasonal_text")
 PERIOD = text_schema("period", "period_abbr", "period_name")
 FOOTNOTE = text_schema("footnote_code", "footnote_text")
 
-# One element of the population document's ``data`` array; names as published.
+# One element of the population document's ``data`` array; names as published.  Numbers are read as
+# text, quoted or not, and typed later.
 POPULATION_RECORD = T.StructType([
     T.StructField("Nation ID", T.StringType()),
     T.StructField("Nation", T.StringType()),
-    T.StructField("Year", T.LongType()),
-    T.StructField("Population", T.DoubleType()),
+    T.StructField("Year", T.StringType()),
+    T.StructField("Population", T.StringType()),
 ])
 
 # Quarter codes, and the code of the yearly average stored beside them.

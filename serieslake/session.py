@@ -25,17 +25,19 @@ SETTINGS = {
 }
 
 SHUFFLE_PARTITION = 256 << 20
-MOST_PARTITIONS = 50_000
+# What a session is built for unless told: the largest single shuffle of a job.
+SHUFFLE_BYTES, CORES = 1 << 40, 400
 
 
-def sized_for(shuffle_bytes: int, cores: int) -> dict[str, str]:
+def sized_for(shuffle_bytes: int, cores: int, most: int | None = None) -> dict[str, str]:
     """Settings for jobs that shuffle up to ``shuffle_bytes`` at once on ``cores``.
 
     Adaptive execution joins shuffle partitions that turn out small but does not split those
-    of an aggregation or window, so their number has to suit the largest shuffle.  Beyond
-    50,000 the bookkeeping costs more than larger partitions that spill.
+    of an aggregation or window, so their number has to suit the largest shuffle.  ``most`` caps
+    it where the bookkeeping of so many costs more than larger partitions that spill.
     """
-    partitions = min(max(2 * cores, -(-shuffle_bytes // SHUFFLE_PARTITION)), MOST_PARTITIONS)
+    partitions = max(2 * cores, -(-shuffle_bytes // SHUFFLE_PARTITION))
+    partitions = partitions if most is None else min(partitions, most)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION // 2),
@@ -47,11 +49,14 @@ def sized_for(shuffle_bytes: int, cores: int) -> dict[str, str]:
 _local_roots: dict[str, str] = {}
 
 
-def build_session(app: str = "serieslake", master: str | None = None, **extra: str) -> SparkSession:
+def build_session(
+    app: str = "serieslake", master: str | None = None, *, shuffle_bytes: int = SHUFFLE_BYTES, cores: int = CORES, **extra: str
+) -> SparkSession:
+    """A session whose partitions suit shuffles of ``shuffle_bytes`` on ``cores``; ``extra`` overrides any setting."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **sized_for(shuffle_bytes, cores), **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -1,22 +1,21 @@
-"""Incremental reconciliation: newly landed release versions merge into a kept state."""
+"""Incremental reconciliation: newly landed release versions replace their release in a kept state."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from serieslake.operators.reconcile import KEYS, TIE_BREAK, first_by, keep_first, observation_types, typed
-from serieslake.operators.rules import Rule, keep_valid
-from serieslake.plans.datasets import OBSERVATION_KEYS
+from serieslake.operators.rules import Rule, keep_valid, rule_aggregates
+from serieslake.plans.datasets import RULES
 from serieslake.schemas import OBSERVATIONS
 from serieslake.session import control_rows, materialize
 from serieslake.sources.text import stream_padded
 
-PART = "year"
 LANDED = T.StructType([
     *OBSERVATIONS.fields,
     T.StructField("release", T.StringType()),
@@ -24,101 +23,94 @@ LANDED = T.StructType([
 ])
 
 
+def version_order(version: str) -> Column:
+    """Numbers by value, before all other names by text; a missing version comes first of all."""
+    return F.struct(
+        F.when(F.col(version).isNull(), 0).when(F.col(version).try_cast("decimal(38,0)").isNotNull(), 1).otherwise(2).alias("kind"),
+        F.coalesce(F.col(version).try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")).alias("number"),
+        F.coalesce(version, F.lit("")).alias("name"),
+    )
+
+
 @dataclass(frozen=True)
 class ObservationState:
-    """One row per key, holding the best row of *each* release, kept by year below ``root``.
-
-    The best row of a release is the first in a total order (newest version, then
-    tie-break), so it does not matter how the input is split into batches, in which order
-    they come, or whether one is replayed.  Because the releases of a key lie side by side,
-    choosing between them takes no shuffle, and a withdrawn release lets the next one
-    back in.
-
-    A merge writes whole new images of the years it touches to a new, numbered folder, and
-    then an index of those years.  Without the index entry the folder does not count, so
-    a merge that dies half-way changes nothing, and the next one takes its number.  The
-    numbers are the state's own: a replayed batch, or a stream that starts over with a new
-    checkpoint, merges rows that are there already.  One merge at a time.
+    """The newest version of each release, typed, valid and with one row per key, below ``root``.
+
+    A newer version replaces its release as a whole, so rows that left the extract leave the
+    state, as in a full refresh.  A version may come in several batches, in any order, and be
+    replayed: rows of the version that is there already are added to it, and the first row of a key
+    in a total order stays.  Older versions change nothing.
+
+    A merge writes whole images of the releases it changes to a new, numbered folder, and then
+    an index entry for each with its counts.  Without the entries the folder does not count, so a merge
+    that dies half-way changes nothing, and the next one takes its number.  One merge at a time.
     """
 
     root: str
     releases: Sequence[str]
     types: Mapping[str, str] = field(default_factory=observation_types)
-    rules: Sequence[Rule] = (OBSERVATION_KEYS,)
-
-    def _values(self) -> list[str]:
-        return ["version", *[name for name in self.types if name not in KEYS]]
-
-    def _columns(self) -> dict[str, str]:
-        kept = {"version": "string", **self.types}
-        best = ", ".join(f"{name}: {kept[name]}" for name in self._values())
-        keys = {name: self.types[name] for name in KEYS}
-        return {**keys, **{f"best_{name}": f"struct<{best}>" for name in self.releases}, "batch": "bigint"}
-
-    def _create(self, spark: SparkSession) -> None:
-        """An empty state, unless there is one."""
-        none = control_rows(spark, [], self._columns())
-        none.drop("batch").write.mode("ignore").partitionBy(PART).parquet(f"{self.root}/rows/batch=-1")
-        none.select(PART).write.mode("ignore").parquet(f"{self.root}/index/batch=-1")
-
-    def _index(self, spark: SparkSession) -> DataFrame:
-        self._create(spark)
-        return spark.read.schema(f"{PART} int, batch bigint").parquet(f"{self.root}/index").filter("batch >= 0")
-
-    def images(self, spark: SparkSession, years: DataFrame | None = None) -> DataFrame:
-        """The current image of each year, optionally of some years only."""
-        newest = self._index(spark).groupBy(PART).agg(F.max("batch").alias("batch"))
-        columns = ", ".join(f"{n} {t}" for n, t in self._columns().items())
-        rows = spark.read.schema(columns).parquet(f"{self.root}/rows")
-        if years is not None:
-            newest = newest.join(years, PART, "left_semi")
-        # (year, batch) are folders, so this join prunes them before they are read.
-        return rows.join(newest, [PART, "batch"], "left_semi").drop("batch")
-
-    def _long(self, images: DataFrame) -> DataFrame:
-        """One row per key and release."""
-        each = F.array(*[F.struct(F.lit(name).alias("release"), F.col(f"best_{name}").alias("best")) for name in self.releases])
-        return images.select(*KEYS, F.inline(each)).filter("best IS NOT NULL").select(*KEYS, "release", "best.*")
-
-    def _first(self, rows: DataFrame) -> DataFrame:
-        """The best row per key and release."""
-        return keep_first(rows, [*KEYS, "release"], [F.col("version").desc_nulls_last(), *first_by(TIE_BREAK)])
-
-    def _wide(self, best: DataFrame) -> DataFrame:
-        """One row per key, the best rows of the releases side by side."""
-        held = F.struct(*self._values())
-        return best.groupBy(*KEYS).agg(
-            *[F.max(F.when(F.col("release") == name, held)).alias(f"best_{name}") for name in self.releases]
-        )
+    rules: Sequence[Rule] = tuple(RULES["silver.observations"])
 
-    def merge(self, landed: DataFrame) -> None:
-        """Fold newly landed rows (raw text, with release and version) into the state.
+    @property
+    def _entry(self) -> dict[str, str]:
+        broken = {f"broken_{i}": "bigint" for i in range(len(self.rules))}
+        return {"release": "string", "version": "string", "rows_in": "bigint", "rows_kept": "bigint", **broken}
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        """Every merge's outcome per release: rows seen and kept, and rows that break each rule.
 
-        Only keys of the batch are compared.  All other rows of a touched year are copied
-        from scan to file: they are not shuffled as long as the keys of the batch are
-        small enough to broadcast.
+        ``version`` is the one that counts afterwards; releases that are not declared have none.
         """
+        control_rows(spark, [], self._entry).write.mode("ignore").parquet(f"{self.root}/index/batch=-1")
+        columns = ", ".join(f"{n} {t}" for n, t in {**self._entry, "batch": "bigint"}.items())
+        return spark.read.schema(columns).parquet(f"{self.root}/index").filter("batch >= 0")
+
+    def _newest(self, spark: SparkSession) -> DataFrame:
+        """The entry that counts for each release."""
+        entries = self.log(spark).filter("version IS NOT NULL")
+        return entries.groupBy("release").agg(F.max_by("version", "batch").alias("version"), F.max("batch").alias("batch"))
+
+    def images(self, spark: SparkSession, releases: Sequence[str] | None = None) -> DataFrame:
+        """The rows of each release's current image; only the folders that the index names are read."""
+        wanted = {row.release: row.batch for row in self._newest(spark).collect()}  # one row per declared release
+        found = control_rows(spark, [], {"release": "string", **self.types})
+        for name in self.releases if releases is None else releases:
+            if name in wanted:
+                path = f"{self.root}/rows/batch={wanted[name]}/release={name}"
+                schema = ", ".join(f"{n} {t}" for n, t in self.types.items())
+                found = found.unionByName(spark.read.schema(schema).parquet(path).withColumn("release", F.lit(name)))
+        return found
+
+    def merge(self, landed: DataFrame) -> None:
+        """Fold newly landed rows (raw text, with release and version) into the state."""
         spark = landed.sparkSession
-        rows = typed(landed, self.types, keep=["release", "version"]).filter(F.col("release").isin(*self.releases))
-        fresh = materialize(self._first(keep_valid(rows, self.rules)), "fresh")
-        years = materialize(fresh.select(PART).distinct(), "touched-years")
-        newest = self._index(spark).agg(F.max("batch")).first()[0]
-        number = 0 if newest is None else newest + 1
-        before = self.images(spark, years)
-        keys = fresh.select(*KEYS)
-        untouched = before.join(keys, list(KEYS), "left_anti")
-        touched = self._long(before.join(keys, list(KEYS), "left_semi"))
-        merged = self._wide(self._first(touched.unionByName(fresh)))
-        # Rebalancing splits a heavy year over several writers and gathers small ones.
-        image = untouched.unionByName(merged.hint("rebalance", PART))
-        image.write.mode("overwrite").partitionBy(PART).parquet(f"{self.root}/rows/batch={number}")
-        years.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/batch={number}")
+        rows = materialize(typed(landed, self.types, keep=["release", "version"]), "landed")
+        known = self._newest(spark).select("release", F.col("version").alias("known"))
+        counts = rows.groupBy("release").agg(F.max_by("version", version_order("version")).alias("latest"), *rule_aggregates(self.rules))
+        beats = F.col("known").isNull() | (version_order("latest") > version_order("known"))
+        seen = materialize(
+            counts.join(known, "release", "left")
+            .withColumn("version", F.when(F.col("release").isin(*self.releases), F.when(beats, F.col("latest")).otherwise(F.col("known"))))
+            .withColumn("adds", F.col("version").isNotNull() & F.col("latest").eqNullSafe(F.col("version")))
+            .withColumn("onto", F.col("known").eqNullSafe(F.col("version"))),
+            "outcome",
+        )
+        number = self.log(spark).agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0] + 1
+        changed = {row.release: row for row in seen.filter("adds").collect()}  # one row per declared release
+        for name, outcome in changed.items():
+            fresh = rows.filter((F.col("release") == name) & F.col("version").eqNullSafe(F.lit(outcome.version))).select(*self.types)
+            if outcome.onto:
+                fresh = fresh.unionByName(self.images(spark, [name]).drop("release"))
+            image = keep_first(keep_valid(fresh, self.rules), KEYS, first_by(TIE_BREAK))
+            image.write.mode("overwrite").parquet(f"{self.root}/rows/batch={number}/release={name}")
+        entries = seen.withColumn("version", F.when(F.col("adds"), F.col("version")))
+        entries.select(*self._entry).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/index/batch={number}")
 
     def reconciled(self, spark: SparkSession, preference: Sequence[str]) -> DataFrame:
         """One row per key over the named releases, most preferred first; others are withdrawn."""
-        best = F.coalesce(*[F.col(f"best_{name}") for name in preference])
-        values = [F.col(f"best.{name}").alias(name) for name in self.types if name not in KEYS]
-        return self.images(spark).select(*KEYS, best.alias("best")).filter("best IS NOT NULL").select(*KEYS, *values)
+        rank = F.array_position(F.lit(list(preference)), F.col("release"))
+        rows = self.images(spark, preference)
+        return (keep_first(rows, KEYS, [rank.asc()]) if len(preference) > 1 else rows).select(*self.types)
 
 
 def merge_landed(

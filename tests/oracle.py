@@ -5,15 +5,10 @@ from __future__ import annotations
 import datetime
 import glob
 import os
-import sys
 
 import pandas as pd
 
-try:
-    import duckdb
-except ImportError:  # an extra install location
-    sys.path.append("/opt/oracle")
-    import duckdb
+import duckdb
 
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:

@@ -211,3 +211,12 @@ def test_freshness(frame):
     got = {r.source: (r.age_seconds, r.stale) for r in checks.freshness(
         df, "source", "last_ingested_at", DAY[4], limit=dt.timedelta(days=2)).collect()}
     assert got == {"a": (86400, False), "b": (4 * 86400, True), "c": (None, True)}
+
+
+def test_a_file_fetched_twice_is_an_error(frame):
+    from serieslake.operators.manifest import with_fetched
+
+    plan = frame("source string, relative_path string, action string", ("s", "a", "new"))
+    twice = frame("source string, relative_path string, content_hash string, content_bytes bigint", ("s", "a", "h", 1), ("s", "a", "g", 2))
+    with pytest.raises(RuleViolation, match="fetched more than once: s/a"):
+        with_fetched(plan, twice)

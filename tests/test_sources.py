@@ -1,5 +1,7 @@
 """Scans: padding, blanks, headers, field counts, documents, listings, links."""
 
+from decimal import Decimal
+
 import hashlib
 import os
 
@@ -70,7 +72,7 @@ def test_padded_round_trip(spark, frame, tmp_path):
 def test_typed_observations(frame):
     raw = frame("series_id string, year string, period string, value string, footnote_codes string",
                 ("A   ", " 1995", "Q01 ", "   2.6", None))
-    assert tuple(typed(raw, observation_types()).first()) == ("A", 1995, "Q01", 2.6, None)
+    assert tuple(typed(raw, observation_types()).first()) == ("A", 1995, "Q01", Decimal("2.6"), None)
 
 
 DOCUMENT = """{"annotations": {"x": 1}, "page": {"limit": 0}, "columns": ["a"],
@@ -83,7 +85,7 @@ def test_nested_document(spark, tmp_path, lines):
     text = DOCUMENT.replace("\n", " ") if lines else DOCUMENT
     df = flatten(read_documents(spark, land(tmp_path, text, "p.json"), S.POPULATION_RECORD, lines=lines))
     assert df.columns == ["Nation ID", "Nation", "Year", "Population"]
-    assert sorted(r.Year for r in df.collect()) == [2013, 2014]
+    assert sorted(r.Year for r in df.collect()) == ["2013", "2014"]
 
 
 def test_column_name_with_space_survives_parquet(spark, tmp_path):
@@ -163,5 +165,33 @@ def test_settings_grow_with_the_shuffle():
     from serieslake.session import sized_for
 
     assert sized_for(1 << 40, 400)["spark.sql.shuffle.partitions"] == "4096"
-    assert sized_for(100 << 40, 8000)["spark.sql.shuffle.partitions"] == "50000"
+    assert sized_for(100 << 40, 8000)["spark.sql.shuffle.partitions"] == str(100 << 12)
+    assert sized_for(100 << 40, 8000, most=50_000)["spark.sql.shuffle.partitions"] == "50000"
     assert sized_for(0, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_numbers_in_quotes_are_read(spark, tmp_path):
+    from serieslake.plans.datasets import bronze_population, silver_population
+
+    records = '{"Nation ID": "n", "Nation": "N", "Year": "2013", "Population": "12.5"}, {"Nation ID": "n", "Nation": "N", "Year": 2014, "Population": 13}'
+    path = land(tmp_path, '{"data": [%s, {"Nation ID": "n", "Nation": "N", "Year": 2015.0, "Population": " 1e3 "}]}' % records, "q.json")
+    rows = silver_population(bronze_population(spark, path)).collect()
+    assert sorted((r.year, r.population) for r in rows) == [(2013, 12.5), (2014, 13.0), (2015, 1000.0)]
+
+
+def test_headers_of_odd_paths(spark, tmp_path):
+    import gzip
+
+    from serieslake.operators.checks import headers, store_address
+
+    (tmp_path / "with space").mkdir()
+    (tmp_path / "with space" / "a%b.txt").write_text("one\ttwo\n1\t2\n")
+    (tmp_path / "with space" / "c.txt.gz").write_bytes(gzip.compress(b"three\n4\n"))
+    found = {r.relative_path.split("/")[-1]: r.found for r in headers(spark, str(tmp_path / "with space")).collect()}
+    assert found == {"a%b.txt": ["one", "two"], "c.txt.gz": ["three"]}
+    assert store_address("s3a://bucket/a b/c.txt") == "s3://bucket/a%20b/c.txt"
+    assert store_address("file:/x y") == "file:///x%20y"
+    (tmp_path / "long").mkdir()
+    (tmp_path / "long" / "x.txt").write_text("x" * (1 << 21))
+    with pytest.raises(Exception, match="no line break"):
+        headers(spark, str(tmp_path / "long")).collect()

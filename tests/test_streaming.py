@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from serieslake.operators.reconcile import reconcile
 from serieslake.operators.rules import keep_valid
 from serieslake.plans import datasets
-from serieslake.plans.datasets import OBSERVATION_KEYS
 from serieslake.plans.lake import Lake
 from serieslake.schemas import SERIES
 from serieslake.session import scratch_path
@@ -28,23 +27,24 @@ def rows_of(df):
     return sorted(map(tuple, df.select("series_id", "year", "period", "value", "footnote_codes").collect()), key=repr)
 
 
-def full(frame, rows, preference=("current", "all")):
-    """The full refresh: of each release the newest version of a key counts."""
-    newest = {}
-    for row in rows:
-        key = (row[5], row[0].strip() if row[0] else None, row[1], row[2])
-        newest[key] = max(newest.get(key, ""), row[6])
-    releases = [
-        frame(RAW, *[r[:5] for r in rows if r[5] == name and newest[name, r[0].strip() if r[0] else None, r[1], r[2]] == r[6]])
-        for name in preference
-    ]
-    return rows_of(keep_valid(reconcile(releases), [OBSERVATION_KEYS]))
+def order(version):
+    return (0, 0, "") if version is None else (1, int(version), "") if version.isdigit() else (2, 0, version)
+
+
+def full(spark, frame, rows, preference=("current", "all")):
+    """The full refresh over the newest version of each release."""
+    releases = []
+    for name in preference:
+        newest = max((r[6] for r in rows if r[5] == name), key=order, default=None)
+        releases.append(frame(RAW, *[r[:5] for r in rows if r[5] == name and r[6] == newest]))
+    current, history = (*releases, frame(RAW))[:2]
+    return rows_of(keep_valid(datasets.silver_observations(current, history), datasets.RULES["silver.observations"]))
 
 
 row = st.tuples(
-    st.sampled_from(["A", "B "]), st.sampled_from(["2000", "2001", "x"]), st.sampled_from(["Q01", "Q02"]),
+    st.sampled_from(["A", "B "]), st.sampled_from(["2000", "2001", "x"]), st.sampled_from(["Q01", "Q02", "M13"]),
     st.sampled_from(["1", "2.5", "-", None]), st.sampled_from([None, "r"]), st.sampled_from(["current", "all"]),
-    st.sampled_from(["1", "2"]),
+    st.sampled_from(["1", "9", "10"]),
 )
 
 
@@ -60,51 +60,58 @@ def test_batches_equal_full_refresh(spark, frame, rows, n_batches, rng):
         state.merge(df)
         if rng.random() < 0.5:
             state.merge(df)  # a replay
-    assert rows_of(state.reconciled(spark, ["current", "all"])) == full(frame, rows)
+    assert rows_of(state.reconciled(spark, ["current", "all"])) == full(spark, frame, rows)
+
+
+def test_newer_version_replaces_its_release_whole(spark, frame):
+    state = ObservationState(scratch_path(spark, "state"), RELEASES)
+    state.merge(frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "9"), ("B", "2000", "Q01", "2", None, "all", "9")))
+    state.merge(frame(LANDED, ("A", "2000", "Q01", "3", None, "all", "10")))
+    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 3, None)]
+    state.merge(frame(LANDED, ("C", "2000", "Q01", "4", None, "all", "2")))  # an old version comes late
+    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 3, None)]
+
+
+def test_dropped_rows_are_counted(spark, frame):
+    state = ObservationState(scratch_path(spark, "state"), ["all"])
+    state.merge(frame(LANDED, ("A", "2000", "M13", "1", None, "all", "1"), (None, "2000", "Q01", "1", None, "all", "1"),
+                      ("A", "2000", "Q01", None, None, "all", "1"), ("A", "2000", "Q01", "1", None, "draft", "1")))
+    log = {r.release: r for r in state.log(spark).collect()}
+    assert (log["all"].version, log["all"].rows_in, log["all"].rows_kept) == ("1", 3, 1)
+    assert (log["all"].broken_0, log["all"].broken_1, log["all"].broken_2) == (1, 1, 1)
+    assert (log["draft"].version, log["draft"].rows_in) == (None, 1)
 
 
 def test_batch_without_index_does_not_count(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
-    one = frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1"))
-    state.merge(one)
+    state.merge(frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1")))
     # A batch that died before its index was written leaves rows behind.
-    stray = state.images(spark).withColumn("best_all", F.col("best_all").withField("value", F.lit(7.0)))
-    stray.write.partitionBy("year").parquet(f"{state.root}/rows/batch=1")
-    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1.0, None)]
+    stray = state.images(spark).drop("release").withColumn("value", F.lit(7).cast("decimal(28,10)"))
+    stray.write.parquet(f"{state.root}/rows/batch=1/release=all")
+    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1, None)]
     state.merge(frame(LANDED, ("A", "2000", "Q01", "5", None, "all", "2")))
-    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 5.0, None)]
+    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 5, None)]
 
 
-def test_only_touched_years_are_rewritten(spark, frame):
+def test_only_changed_releases_are_rewritten(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
     state.merge(frame(LANDED, *[("A", str(y), "Q01", "1", None, "all", "1") for y in range(2000, 2004)]))
     state.merge(frame(LANDED, ("A", "2003", "Q01", "2", None, "current", "1")))
-    written = spark.read.parquet(f"{state.root}/rows").filter("batch = 1")
-    assert {r.year for r in written.select("year").distinct().collect()} == {2003}
+    assert {r.release for r in spark.read.parquet(f"{state.root}/rows").filter("batch = 1").select("release").collect()} == {"current"}
     assert len(rows_of(state.reconciled(spark, ["current", "all"]))) == 4
 
 
-def test_other_rows_of_a_touched_year_are_copied_unshuffled(spark, frame):
-    state = ObservationState(scratch_path(spark, "state"), RELEASES)
-    state.merge(frame(LANDED, *[(f"S{i}", "2000", "Q01", "1", None, "all", "1") for i in range(50)]))
-    state.merge(frame(LANDED, ("S7", "2000", "Q01", "2", None, "all", "2"), ("T", "2000", "Q01", "3", None, "all", "1")))
-    got = {r.series_id: r.value for r in state.reconciled(spark, RELEASES).collect()}
-    assert len(got) == 51 and got["S7"] == 2.0 and got["T"] == 3.0 and got["S8"] == 1.0
-    plan = state.reconciled(spark, RELEASES)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "hashpartitioning(series_id" not in plan and "dynamicpruning" in plan
-
-
 def test_withdrawn_release_lets_the_other_back_in(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
     state.merge(frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1"), ("A", "2000", "Q01", "9", "R", "current", "1")))
-    assert rows_of(state.reconciled(spark, ["current", "all"])) == [("A", 2000, "Q01", 9.0, "R")]
-    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1.0, None)]
+    assert rows_of(state.reconciled(spark, ["current", "all"])) == [("A", 2000, "Q01", 9, "R")]
+    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1, None)]
 
 
 def test_release_that_is_not_declared_is_left_out(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), ["all"])
     state.merge(frame(LANDED, ("A", "2000", "Q01", "9", None, "draft", "1"), ("A", "2000", "Q01", "1", None, "all", "1")))
-    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1.0, None)]
+    assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1, None)]
 
 
 def test_landed_release_is_written_once(spark, frame):
@@ -115,7 +122,7 @@ def test_landed_release_is_written_once(spark, frame):
     assert land_release(df.repartition(2), root, "all", dt.datetime(2026, 1, 3), widths=widths, known_hash=digest) is None
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
     merge_landed(spark, root, state, scratch_path(spark, "checkpoint"))
-    assert rows_of(state.reconciled(spark, RELEASES)) == [("A", 2000, "Q01", 1.0, None)]
+    assert rows_of(state.reconciled(spark, RELEASES)) == [("A", 2000, "Q01", 1, None)]
 
 
 def test_empty_state(spark):
@@ -139,9 +146,9 @@ def test_landed_versions_stream_into_the_state(spark, frame, files_per_batch):
         if step:
             merge_landed(spark, landing, state, checkpoint, files_per_batch=files_per_batch)
     merge_landed(spark, landing, state, checkpoint)  # nothing new
-    assert rows_of(state.reconciled(spark, ["current", "all"])) == full(frame, seen)
+    assert rows_of(state.reconciled(spark, ["current", "all"])) == full(spark, frame, seen)
     merge_landed(spark, landing, state, scratch_path(spark, "checkpoint"))  # all files again: the checkpoint was lost
-    assert rows_of(state.reconciled(spark, ["current", "all"])) == full(frame, seen)
+    assert rows_of(state.reconciled(spark, ["current", "all"])) == full(spark, frame, seen)
 
 
 def test_gold_from_the_state_equals_gold_from_silver(spark, frame, tmp_path):
