@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from serieslake.llm.common import on_batches, portions, slices, texts_of
-from serieslake.llm.words import Memo, chunks_of
+from serieslake.llm.words import byte_characters, chunks_of
 from serieslake.session import materialize
 
 #: Row groups of 32 MB, pages of at most 64 KB and 500 rows; a dictionary page holds any vocabulary up to 256k.
@@ -38,42 +38,30 @@ LAYOUT = {
 }
 
 
-class Encoder:
-    """Ids as little-endian 32-bit words, from the tokenizers library; repeated chunks are encoded once."""
+class Encoder(dict):
+    """Chunks and their ids as little-endian 32-bit words, from the tokenizers library; each chunk is encoded once."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int = 450_000) -> None:
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.border, self.between = max((i, t.content) for i, t in special.items())
-        self.marks = {t.content[:2] for t in special.values()}
-        self.memo = Memo(self._new)
-
-    def _new(self, chunks: list[str]) -> list[bytes]:
-        """Many chunks to a call, with a special string between them: its id parts theirs."""
-        odd = [chunk for chunk in chunks if any(mark in chunk for mark in self.marks)]
-        alone = dict(zip(odd, (np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)), strict=True))
-        plain = [chunk for chunk in chunks if chunk not in alone] if odd else chunks
-        joined = [self.between.join([*plain[i : i + 256], ""]) for i in range(0, len(plain), 256)]
-        ids = [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        if ids:
-            whole = np.concatenate(ids)
-            raw, ends, start = whole.tobytes(), (np.flatnonzero(whole == self.border) * 4).tolist(), 0
-            for chunk, end in zip(plain, ends, strict=True):
-                alone[chunk] = raw[start:end]
-                start = end + 4
-        return [alone[chunk] for chunk in chunks]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        made: list[bytes] = []
-        for start, stop in portions(texts):
-            if stop == start + 1:
-                made.append(b"".join([b"".join(self.memo.values_of(chunks_of(part))) for part in slices(texts[start])]))
-                continue
-            split = [chunks_of(text) for text in texts[start:stop]]
-            values = self.memo.values_of([chunk for chunks in split for chunk in chunks])
-            made += [b"".join(islice(values, len(chunks))) for chunks in split]
+        self.model, self.most = self.tokenizer.model, most
+        self.characters = byte_characters()
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) > self.most:
+            self.clear()
+        if chunk.isalpha() and chunk.islower() and (chunk.isascii() or max(chunk) < "\u0300"):
+            # Normal already and one pre-token: the library's model takes it as it is, byte by byte.
+            shown = chunk if chunk.isascii() else "".join([self.characters[byte] for byte in chunk.encode()])
+            ids = [token.id for token in self.model.tokenize(shown)]
+        else:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        made = self[chunk] = array("i", ids).tobytes()
         return made
 
+    def encode(self, text: str) -> bytes:
+        return b"".join([b"".join(map(self.__getitem__, chunks_of(part))) for part in slices(text)])
+
 
 @functools.cache
 def encoder(path: str) -> Encoder:
@@ -94,7 +82,7 @@ def write_tokens(docs: DataFrame, path: str, target: str, end_id: int = 1) -> No
         for batch in batches:
             texts = texts_of(batch)
             for start, stop in portions(texts, 8_000_000):
-                made = encoder(path).encode(texts[start:stop])
+                made = list(map(encoder(path).encode, texts[start:stop]))
                 lengths = np.fromiter((len(b) // 4 + 1 for b in made), np.int64, len(made))
                 ends = np.concatenate([[0], np.cumsum(lengths)])
                 end = np.uint32(end_id).astype("<u4").tobytes()
