@@ -13,6 +13,7 @@ from serieslake.functions import byte_length, sha256, to_type, valid_utf8
 from serieslake.operators import access, checks, decode, median, reconcile, rules, summary
 from serieslake.operators import manifest as sync
 from serieslake.plans import datasets, statements
+from serieslake.plans import sync as ingestion
 from serieslake.plans.lake import Lake
 from serieslake.queries import inputs as I
 from serieslake.session import scratch_path
@@ -79,6 +80,17 @@ def document_lines(spark: SparkSession, sf: str) -> DataFrame:
     return datasets.silver_population(rules.keep_valid(bronze, datasets.RULES["bronze.population"]))
 
 
+def document_text_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the documents hold their numbers in quotes."""
+    path = scratch_path(spark, "population")
+    plain = F.to_json("document")
+    quoted = F.regexp_replace(plain, '"(Year|Population)":([0-9.E]+)', '"$1":"$2"')
+    rows = I.population_documents(spark, sf).withColumn("nation", F.col("document.data")[0]["Nation ID"].cast("int"))
+    rows.select(F.when(F.col("nation") % 2 == 0, quoted).otherwise(plain).alias("value")).write.text(path)
+    bronze = datasets.bronze_population(spark, path, lines=True)
+    return datasets.silver_population(rules.keep_valid(bronze, datasets.RULES["bronze.population"]))
+
+
 def landed_listing(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "landing")
     I.table(spark, sf, "documents").select("source", "text").write.partitionBy("source").text(path)
@@ -324,6 +336,37 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 # --- publishing and incremental runs --------------------------------------------------------
 
 
+def _ingested(spark: SparkSession, sf: str) -> Lake:
+    """Two ingestion runs over directory-listing pages: all files, then without those in French."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    entries = landing.parse_listing(I.listing_pages(spark, sf), "body", "url")
+    files = landing.listed_files(entries, "pub", f"{I.SITE}pub/")
+    texts = I.table(spark, sf, "documents")
+    path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
+    content = texts.select(
+        F.lit("pub").alias("source"), path.alias("relative_path"), sha256("text").alias("content_hash"), byte_length("text").alias("content_bytes"), "lang"
+    )
+    gone = content.filter("lang = 'fr'").select("source", "relative_path")
+    for listing, run_at in ((files, I.RUN_AT), (files.join(gone, ["source", "relative_path"], "left_anti"), I.RUN_AT + dt.timedelta(days=1))):
+        planned = ingestion.plan(lake, listing)
+        ingestion.finish(lake, planned, run_at, fetched=content.drop("lang"))
+    return lake
+
+
+def listing_to_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = _ingested(spark, sf).read(ingestion.TABLE)
+    return manifest.select("relative_path", "remote_url", "size_bytes", "content_hash", "status")
+
+
+def active_files_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Only texts whose file the manifest holds as active."""
+    active = landing.active_only(
+        I.table(spark, sf, "documents").withColumn("relative_path", F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))),
+        _ingested(spark, sf).read(ingestion.TABLE), "pub",
+    )
+    return active.groupBy("lang").agg(F.count("*").alias("n_files"), F.sum(byte_length("text")).alias("n_bytes"))
+
+
 def publish_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, scratch_path(spark, "lake"))
     best = best_period_per_series(spark, sf)
@@ -378,6 +421,57 @@ def incremental_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(state.reconciled(spark, ["current", "all"]), "value")
 
 
+def _merged(spark: SparkSession, versions: list[list[tuple[str, str, DataFrame]]]) -> ObservationState:
+    """A state into which each list of (release, version, rows) was landed and merged in turn."""
+    root, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    state = ObservationState(scratch_path(spark, "state"), ["current", "all"])
+    for landed in versions:
+        for release, version, rows in landed:
+            text.write_padded(rows, landing.version_path(root, release, version), WIDTHS)
+        merge_landed(spark, root, state, checkpoint)
+    return state
+
+
+def state_dropped_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The second version of the history lacks every third series; so does the state."""
+    history = I.history(spark, sf)
+    fewer = history.filter(F.trim("series_id").cast("int") % 3 != 0)
+    state = _merged(spark, [[("all", "1", history)], [("all", "2", fewer), ("current", "1", I.current(spark, sf))]])
+    return _doubles(state.reconciled(spark, ["current", "all"]), "value")
+
+
+def state_invalid_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a period outside the declared ones land as well; the state drops and counts them."""
+    history = I.history(spark, sf)
+    odd = history.withColumn("period", F.regexp_replace("period", "Q05", "M13"))
+    state = _merged(spark, [[("all", "1", history.unionByName(odd))]])
+    kept = state.reconciled(spark, ["all"]).groupBy("period").agg(F.count("*").alias("n_rows"))
+    dropped = state.log(spark).select(F.lit("dropped").alias("period"), (F.col("rows_in") - F.col("rows_kept")).alias("n_rows"))
+    return kept.unionByName(dropped)
+
+
+def state_ten_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten numbered versions, the tenth landed before the ninth: it is the tenth that counts."""
+    history = I.history(spark, sf).filter("year = '2000'")
+    version = lambda k: ("all", str(k), history.withColumn("footnote_codes", F.lit(str(k))))
+    state = _merged(spark, [[version(k) for k in range(1, 9)], [version(10)], [version(9)]])
+    return _doubles(state.reconciled(spark, ["all"]), "value")
+
+
+def best_period_ties(spark: SparkSession, sf: str) -> DataFrame:
+    """Every year of a series has the same parts in another order, so the first year is the best."""
+    paid = I.table(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("a"), F.max("o_orderkey").alias("b"))
+    tenths = lambda c: F.concat(F.lit("0."), F.lpad((F.col(c) % 1000).cast("string"), 3, "0"))
+    rows = paid.select(F.col("o_custkey").cast("string").alias("series_id"), F.inline(F.array(*[
+        F.struct(F.lit(str(year)).alias("year"), F.lit(quarter).alias("period"), value.alias("value"))
+        for year, values in ((2000, (tenths("a"), tenths("b"), F.lit("0.1"))), (2001, (F.lit("0.1"), tenths("b"), tenths("a"))))
+        for quarter, value in zip(S.QUARTERS, values, strict=False)
+    ])), F.lit(None).cast("string").alias("footnote_codes"))
+    observations = datasets.silver_observations(rows, rows.limit(0))
+    labels = rows.select("series_id", F.col("series_id").alias("series_label")).distinct()
+    return datasets.gold_best_year(observations, labels)
+
+
 def withdrawn_release(spark: SparkSession, sf: str) -> DataFrame:
     """Without the revised release the history shows through again."""
     root = scratch_path(spark, "landing")
@@ -462,6 +556,8 @@ QUERIES: dict[str, Query] = {
         rules_drop, rules_warn_metrics, rules_quarantine, rules_fail_guard, quarantine_rows,
         manifest_plan, manifest_upsert, manifest_removed, run_summary,
         publish_snapshot, rule_trend, full_refresh, incremental_reconcile, withdrawn_release,
+        state_dropped_keys, state_invalid_periods, state_ten_versions, best_period_ties, document_text_numbers,
+        listing_to_manifest, active_files_scan,
         drift_report, freshness, duplicate_keys, masked_view,
         sql_best_year, sql_population_stats, sql_series_by_year,
     )

@@ -296,6 +296,24 @@ FROM broken GROUP BY rule, action""",
     "incremental_reconcile": _RECONCILED,
     "withdrawn_release": _with(_QUARTERS) + """
 SELECT series_id, year, period, CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS footnote_codes FROM history""",
+    "state_dropped_keys": _RECONCILED.replace("SELECT series_id, year, period, value, NULL, 2 FROM history)",
+        "SELECT series_id, year, period, value, NULL, 2 FROM history WHERE CAST(series_id AS INTEGER) % 3 <> 0)"),
+    "state_invalid_periods": _with(_QUARTERS) + """
+SELECT period, COUNT(*) AS n_rows FROM history GROUP BY period
+UNION ALL SELECT 'dropped', COUNT(*) FROM history WHERE period = 'Q05'""",
+    "state_ten_versions": _with(_QUARTERS) + """
+SELECT series_id, year, period, CAST(value AS DOUBLE) AS value, '10' AS footnote_codes FROM history WHERE year = 2000""",
+    "best_period_ties": """
+SELECT CAST(o_custkey AS VARCHAR) AS series_id, CAST(o_custkey AS VARCHAR) AS series_label, CAST(2000 AS INTEGER) AS best_year,
+       CAST(CAST(min(o_orderkey) % 1000 + max(o_orderkey) % 1000 + 100 AS DECIMAL(18,3)) / 1000 AS DOUBLE) AS total_value
+FROM orders GROUP BY o_custkey""",
+    "document_text_numbers": _POPULATION,
+    "listing_to_manifest": """
+SELECT source || '/' || doc_id AS relative_path, 'https://data.example.org/pub/' || source || '/' || doc_id AS remote_url,
+       CAST(n_chars AS BIGINT) AS size_bytes, sha256(text) AS content_hash, CASE lang WHEN 'fr' THEN 'removed' ELSE 'active' END AS status
+FROM documents WHERE lang <> 'es'""",
+    "active_files_scan": """
+SELECT lang, COUNT(*) AS n_files, CAST(SUM(strlen(text)) AS BIGINT) AS n_bytes FROM documents WHERE lang NOT IN ('es', 'fr') GROUP BY lang""",
     "drift_report": """
 SELECT 'asis' AS release, '' AS missing, '' AS extra, false AS reordered, false AS drifted
 UNION ALL SELECT 'swapped', '', '', true, true UNION ALL SELECT 'grown', 'footnote_codes', 'unit', false, true""",

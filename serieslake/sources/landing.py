@@ -106,8 +106,23 @@ def parse_listing(pages: DataFrame, text: str, base_url: str) -> DataFrame:
     )
 
 
+def listed_files(entries: DataFrame, source: str, base: str) -> DataFrame:
+    """The files among the entries of ``parse_listing``, as a listing that a sync plan takes; folders drop out."""
+    below = F.col("remote_url").startswith(base)
+    return entries.filter(~F.col("is_dir") & below).select(
+        F.lit(source).alias("source"), F.substring("remote_url", F.lit(len(base) + 1), F.length("remote_url")).alias("relative_path"),
+        "remote_url", "size_bytes", "last_modified",
+    )
+
+
+def active_only(rows: DataFrame, manifest: DataFrame, source: str) -> DataFrame:
+    """Rows of files (by ``relative_path``) that the manifest holds as active; withdrawn ones drop out."""
+    active = manifest.filter((F.col("source") == source) & (F.col("status") == "active")).select("relative_path")
+    return rows.join(active, "relative_path", "left_semi")
+
+
 def extract_links(pages: DataFrame, html: str, base_url: str) -> DataFrame:
-    """Every anchor of every page with its absolute address."""
+    """Every anchor of every page with its absolute address; addresses in double quotes only."""
     return pages.select(
         F.col(base_url).alias("page_url"),
         F.posexplode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(1))).alias("position", "href"),
