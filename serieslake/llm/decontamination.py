@@ -20,17 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from serieslake.llm.common import portions, slices, texts_of
+from serieslake.llm.common import hash_filter, may_hold, portions, slices, texts_of
 from serieslake.llm.words import Memo
 from serieslake.session import materialize
 
 WIDTH, FEWEST, LEAST, FIXED_WORDS = 8, 4, 6, 4
-FILTER_BITS = 26
 
 # Unit and number words.
 UNITS = frozenset("""
@@ -150,25 +148,10 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return materialize(items.mapInArrow(run, schema), "benchmark-windows")
 
 
-def window_filter(windows: DataFrame) -> np.ndarray:
-    """A bit for each leading part of a hash that occurs; 2^FILTER_BITS bits whatever the benchmark's size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        for batch in batches:
-            bits[np.asarray(batch.column("hash")).view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([zstandard.compress(np.packbits(bits).tobytes())], pa.binary())], names=["bits"])
-
-    whole = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    for row in windows.select("hash").mapInArrow(run, "bits binary").toLocalIterator():
-        whole |= np.frombuffer(zstandard.decompress(row.bits), np.uint8)
-    return whole
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
     """key1, key2, item_id, n_windows, coverage, reparameterised, first_word of each text and item it holds."""
     windows = benchmark_windows(benchmark)
-    sent = docs.sparkSession.sparkContext.broadcast(window_filter(windows))
+    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(windows, "hash"))
     widths = [row.width for row in windows.select("width").distinct().collect()]  # WIDTH and less
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +164,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
                 joined, begins = np.concatenate(words), np.cumsum([0, *map(len, words)])
                 for width in widths:
                     hashes, at = template_windows(joined, owner, width)
-                    place = hashes >> np.uint64(64 - FILTER_BITS)
-                    hit = np.flatnonzero(bits[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8) & 1)
+                    hit = np.flatnonzero(may_hold(bits, hashes))
                     surface: dict[int, list[str]] = {}
                     for h, a in zip(hashes[hit].view(np.int64).tolist(), at[hit].tolist(), strict=True):
                         k = int(owner[a])

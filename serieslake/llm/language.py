@@ -19,7 +19,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from serieslake.llm.common import crc32_of, on_batches, portions, texts_of
@@ -229,14 +229,14 @@ def fit(docs: DataFrame, per_language: int = 1200, characters: int = 1024, most_
     languages = sorted(row.lang for row in counts)
     if not languages:
         return Model(None, [])
-    order = [F.xxhash64("doc_id", "text"), F.col("doc_id")]
+    key = F.xxhash64("doc_id", "text")
+    first = Window.partitionBy("lang").orderBy("key", "doc_id")
+    # Of ids alone, the first of each language; a task passes on that many at most.
+    chosen = usable.filter(F.col("lang").isin(languages)).select("lang", key.alias("key"), "doc_id").withColumn("n", F.row_number().over(first))
+    chosen = chosen.filter(F.col("n") <= per_language).select("key").distinct()
     middle = F.greatest(F.lit(1), ((F.length("text") - characters) / 2).cast("int"))
-    picked = None
-    for lang in languages:
-        ids = usable.filter(F.col("lang") == lang).select(order[0].alias("order"), "doc_id", "lang", F.substring("text", middle, F.lit(characters)).alias("text"))
-        one = ids.orderBy("order", "doc_id").limit(per_language)
-        picked = one if picked is None else picked.unionByName(one)
-    rows = sorted(picked.collect(), key=lambda r: (r.order, r.text))  # bounded: languages x per_language x characters
+    texts = usable.withColumn("key", key).join(F.broadcast(chosen), "key").dropDuplicates(["key"])  # languages x per_language rows
+    rows = sorted(texts.select("key", "lang", F.substring("text", middle, F.lit(characters)).alias("text")).collect(), key=lambda r: r.key)
     label = np.array([languages.index(r.lang) for r in rows])
     return Model(train([r.text for r in rows], label, len(languages)), languages)
 

@@ -1,10 +1,15 @@
-"""MinHash fingerprints of documents and their likeness.
+"""MinHash fingerprints of documents, their likeness, and near-duplicate classes.
 
 A text's fingerprint holds, for each of 64 universal hash permutations (multiply, add, shift), the
 least value (16 bits of it) over its shingles of five words, lower-cased; a text of fewer words is
 one shingle, and all texts without words share one fingerprint.  The share of equal places estimates
 the Jaccard likeness.
 
+Near-duplicates are found among the different texts: those that share one of 16 bands of 4 places are
+candidates, joined in Spark to the first text of each band.  The shingle sets of each connected group of candidates
+are then compared, in pairs of blocks of bounded size, and links of a Jaccard likeness of 0.8 and more make the
+classes.  No pairs leave a task but a spanning forest of its links.
+
 Null texts read as empty.  Rows with equal doc_id are ordered by text, a null doc_id comes last;
 repeated rows are kept each.  Other columns are not read.  An empty table gives an empty result.
 """
@@ -16,12 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from serieslake.llm.common import on_batches, portions, slices, texts_of
+from serieslake.llm.common import hash_filter, may_hold, on_batches, portions, slices, texts_of
+from serieslake.llm.components import components
 from serieslake.llm.words import Memo
 from serieslake.session import materialize
 
@@ -117,24 +124,39 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(1)
 
 
-def _hex(signature: np.ndarray) -> list[str]:
-    raw = np.ascontiguousarray(signature, ">u2").tobytes().hex()
-    return [raw[i : i + 4 * PLACES] for i in range(0, len(raw), 4 * PLACES)]
+def _raw(signature: np.ndarray) -> pa.Array:
+    raw = np.ascontiguousarray(signature, ">u2").tobytes()
+    return pa.array([raw[i : i + 2 * PLACES] for i in range(0, len(raw), 2 * PLACES)], pa.binary())
 
 
-_RESULT = "doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_NUMBERS = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
+_NAMES = [field.split()[0] for field in _NUMBERS.split(", ")]
 
 
-def _compare(ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-    """Results of all texts but the last, each with the text behind it."""
+def _compare(ids: list[pa.Array], texts: list[str]) -> list[pa.Array]:
+    """Results of all texts but the last, each with the text behind it; ``ids`` go before them."""
     changed = [edited(text, following) for text, following in zip(texts, texts[1:], strict=False)]
     own, other = pair_signatures(texts[:-1], changed)
     behind = np.concatenate([own[1:], signatures(texts[-1:])])
-    columns = [
-        ids, pa.array(list(map(len, texts[:-1])), pa.int64()), pa.array([hashlib.sha256(c.encode()).hexdigest() for c in changed], pa.string()),
-        pa.array(_hex(own), pa.string()), pa.array(_hex(other), pa.string()), pa.array(likeness(own, other)), pa.array(likeness(own, behind)),
+    return [
+        *ids, pa.array(list(map(len, texts[:-1])), pa.int64()), pa.array([hashlib.sha256(c.encode()).hexdigest() for c in changed], pa.string()),
+        _raw(own), _raw(other), pa.array(likeness(own, other)), pa.array(likeness(own, behind)),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, key (a hash of the text) and the compressed text, so that less is shuffled."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        packed = [zstandard.compress(text.encode(), 1) for text in texts_of(batch)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(packed, pa.binary())], names=["doc_id", "key", "packed"])
+
+    return on_batches(docs.select("doc_id", "text", _key().alias("key")), pack, f"doc_id {kind}, key long, packed binary")
+
+
+def _key():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -142,50 +164,126 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
     The next document is the one behind in descending order of doc_id; behind the last comes the first.
     Rows are put in order by a range exchange; only a task's first and last text wait for the others.
+    ``key`` is a hash of the text.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    result = _RESULT.format(kind=kind)
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    ordered = docs.select("doc_id", "text").repartitionByRange(*order[:2]).sortWithinPartitions(*order)
+    result = f"doc_id {kind}, key long, {_NUMBERS}"
+    names = ["doc_id", "key", *_NAMES, "part", "role", "text"]
+    order = [F.col("doc_id").desc_nulls_last(), F.col("key"), F.col("packed")]
+    ordered = _packed(docs).repartitionByRange(*order[:2]).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, held_id = TaskContext.get().partitionId(), None, None
-
-        def edge(role: str, ids: pa.Array, text: str) -> pa.RecordBatch:
-            blank = [pa.nulls(1, kind) for kind in (pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64())]
-            return pa.RecordBatch.from_arrays([ids, *blank, pa.array([part], pa.int32()), pa.array([role]), pa.array([text])], names=names)
-
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "part", "role", "text"]
-        for batch in batches:
-            texts, ids = texts_of(batch), batch.column("doc_id")
-            if held is None and texts:
-                yield edge("first", ids[:1], texts[0])
-            for a, b in portions(texts):
-                here, keys = texts[a:b], ids[a:b]
-                if held is not None:
-                    here, keys = [held, *here], pa.concat_arrays([held_id, keys])
-                if len(here) > 1:
-                    made = _compare(keys[:-1], here)
-                    n = made.num_rows
-                    yield pa.RecordBatch.from_arrays(
-                        [*made.columns, pa.array(np.full(n, part, np.int32)), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())], names=names
-                    )
-                held, held_id = here[-1], keys[-1:]
+        part, held, held_ids = TaskContext.get().partitionId(), None, None
+        blank = [pa.nulls(1, kind) for kind in (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())]
+
+        def edge(role: str, ids: list[pa.Array], text: str) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*ids, *blank, pa.array([part], pa.int32()), pa.array([role]), pa.array([text])], names=names)
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                texts = [zstandard.decompress(raw).decode() for raw in batch.column("packed").to_pylist()]
+                ids = [batch.column("doc_id"), batch.column("key")]
+                if held is None:
+                    yield edge("first", [c[:1] for c in ids], texts[0])
+                for a, b in portions(texts):
+                    here, keys = texts[a:b], [c[a:b] for c in ids]
+                    if held is not None:
+                        here, keys = [held, *here], [pa.concat_arrays(pair) for pair in zip(held_ids, keys, strict=True)]
+                    if len(here) > 1:
+                        made = _compare([c[:-1] for c in keys], here)
+                        n = len(here) - 1
+                        yield pa.RecordBatch.from_arrays(
+                            [*made, pa.array(np.full(n, part, np.int32)), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())], names=names
+                        )
+                    held, held_ids = here[-1], [c[-1:] for c in keys]
         if held is not None:
-            yield edge("last", held_id, held)
+            yield edge("last", held_ids, held)
 
     made = materialize(ordered.mapInArrow(run, f"{result}, part int, role string, text string"), "fingerprints")
-    columns = [field.split()[0] for field in result.split(", ")]
     firsts = made.filter("role = 'first'").select("part", F.col("text").alias("first"))
-    lasts = made.filter("role = 'last'").select("part", "doc_id", "text")
+    lasts = made.filter("role = 'last'").select("part", "doc_id", "key", "text")
     parts = Window.orderBy("part")  # one row per part that holds rows
     whole = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     behind = F.coalesce(F.lead("first").over(parts), F.first("first").over(whole))
-    edges = lasts.join(firsts, "part").select("doc_id", "text", behind.alias("behind"))
+    edges = lasts.join(firsts, "part").select("doc_id", "key", "text", behind.alias("behind"))
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, nexts = texts_of(batch), texts_of(batch, "behind")
-        made = [_compare(batch.column("doc_id")[i : i + 1], [texts[i], nexts[i]]) for i in range(len(texts))]
-        return pa.Table.from_batches(made).combine_chunks().to_batches()[0]
-
-    return made.filter("role is null").select(*columns).unionByName(on_batches(edges, finish, result))
+        rows = []
+        for i, (text, following) in enumerate(zip(texts_of(batch), texts_of(batch, "behind"), strict=True)):
+            ids = [batch.column("doc_id")[i : i + 1], batch.column("key")[i : i + 1]]
+            rows.append(pa.RecordBatch.from_arrays(_compare(ids, [text, following]), names=["doc_id", "key", *_NAMES]))
+        return pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+
+    return made.filter("role is null").select("doc_id", "key", *_NAMES).unionByName(on_batches(edges, finish, result))
+
+
+def jaccard_forest(sets: list[np.ndarray], least_likeness: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of shingle sets (sorted, distinct) that are that alike."""
+    parent = list(range(len(sets)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    sizes = [len(s) for s in sets]
+    order = sorted(range(len(sets)), key=sizes.__getitem__)
+    forest = []
+    for at, i in enumerate(order):
+        for j in order[at + 1 :]:
+            if sizes[i] < least_likeness * sizes[j]:
+                break  # all further sets are larger still
+            p, q = root(i), root(j)
+            if p != q:
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if shared >= least_likeness * (sizes[i] + sizes[j] - shared):
+                    parent[max(p, q)] = min(p, q)
+                    forest.append((i, j))
+    return forest
+
+
+def near_classes(docs: DataFrame, prints: DataFrame, least_likeness: float = 0.8, block: int = 256) -> DataFrame:
+    """key, root of each text that has near-duplicates; ``prints(key, fingerprint)`` are of the texts of ``docs``."""
+    texts = materialize(prints.groupBy("key").agg(F.first("fingerprint").alias("fingerprint")), "texts")  # equal texts are one
+    width = 2 * PLACES // BANDS
+    bands = texts.select("key", F.explode(F.array(*[
+        F.xxhash64(F.lit(k), F.substring("fingerprint", F.lit(1 + k * width), F.lit(width))) for k in range(BANDS)
+    ])).alias("band"))
+    first = bands.groupBy("band").agg(F.min("key").alias("b"), F.max("key").alias("other")).filter("b <> other")
+    candidates = bands.join(first.drop("other"), "band").filter("key <> b").select(F.col("key").alias("a"), "b")
+    groups = materialize(components(candidates), "candidates")
+    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(groups, "node"))
+
+    def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = np.flatnonzero(may_hold(sent.value, np.asarray(batch.column("node"))))
+        picked = batch.take(pa.array(rows))
+        made = [np.unique(shingles(word_hashes(text))).tobytes() for text in texts_of(picked)]
+        return pa.RecordBatch.from_arrays([picked.column("node"), pa.array(made, pa.binary())], names=["node", "set"])
+
+    found = on_batches(docs.select("text", _key().alias("node")), sets_of, "node long, set binary")
+    blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    held = found.join(groups, "node").dropDuplicates(["node"]).join(blocks, "root")
+    own = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "set"
+    )
+
+    def verify(group: pa.Table) -> pa.Table:
+        nodes = group["node"].to_pylist()
+        links = jaccard_forest([np.frombuffer(raw, np.uint64) for raw in group["set"].to_pylist()], least_likeness)
+        return pa.table([pa.array([nodes[i] for i, _ in links], pa.int64()), pa.array([nodes[j] for _, j in links], pa.int64())], names=["a", "b"])
+
+    return components(pairs.groupBy("root", "p", "q").applyInArrow(verify, "a long, b long")).select(F.col("node").alias("key"), "root")
+
+
+def fingerprints_and_classes(docs: DataFrame) -> DataFrame:
+    """``fingerprint_documents`` with fingerprints in hex and ``class_id``, the smallest doc_id of its near-duplicates."""
+    made = materialize(fingerprint_documents(docs), "all-fingerprints")
+    near = materialize(near_classes(docs, made.select("key", "fingerprint")), "near-classes")
+    ids = made.groupBy("key").agg(F.min("doc_id").alias("id")).join(near, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    ids = materialize(ids, "ids")
+    named = ids.join(ids.groupBy("root").agg(F.min("id").alias("class_id")), "root").select("key", "class_id")
+    shown = {name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")}
+    return made.withColumns(shown).join(named, "key").drop("key")

@@ -82,7 +82,7 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return minhash.fingerprints_and_classes(table(spark, sf_dir, "documents"))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 import re
 
+import numpy as np
+
 from serieslake.llm import decontamination as d
-from serieslake.llm.common import table
+from serieslake.llm.common import hash_filter, may_hold, table
 
 ITEM = "A farmer called Anna bought 12 apples for 3 dollars and gave 5 of them to Bert. How many apples does Anna have left after 7 days?"
 OTHER = "The train leaves the old station at dawn and reaches the northern harbour before the evening bells ring out."
@@ -64,10 +66,10 @@ def test_verbatim_and_new_parameters(frame):
 
 def test_filter_holds_every_hash(frame):
     windows = d.benchmark_windows(frame("item_id long, text string", *items()))
-    bits = d.window_filter(windows)
-    for row in windows.collect():
-        place = (row.hash & (1 << 64) - 1) >> 64 - d.FILTER_BITS
-        assert bits[place >> 3] >> (7 - place % 8) & 1
+    bits = hash_filter(windows, "hash")
+    held = np.array([row.hash for row in windows.collect()])
+    assert may_hold(bits, held).all()
+    assert may_hold(bits, np.random.default_rng(0).integers(-(1 << 63), 1 << 63, 1000)).sum() < 5
 
 
 def test_empty_tables(frame):

@@ -37,7 +37,7 @@ def sample():
 
 def test_rows_equal_the_definition(frame):
     rows = sample()
-    got = minhash.fingerprint_documents(frame("doc_id long, text string, part int, role string", *[(*r, 1, "x") for r in rows]).repartition(7)).collect()
+    got = minhash.fingerprints_and_classes(frame("doc_id long, text string, part int, role string", *[(*r, 1, "x") for r in rows]).repartition(7)).collect()
     assert len(got) == len(rows)
     # Texts of one id may stand in either order; follow the order in which they were written.
     ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
@@ -80,6 +80,37 @@ def test_edited_text():
 
 
 def test_one_row_and_none(frame):
-    row = minhash.fingerprint_documents(frame("doc_id long, text string", (5, "a b c d e f"))).collect()[0]
+    row = minhash.fingerprints_and_classes(frame("doc_id long, text string", (5, "a b c d e f"))).collect()[0]
     assert (row.near_next, row.edited_sha256) == (1.0, hashlib.sha256(b"a b c d a b").hexdigest())
-    assert minhash.fingerprint_documents(frame("doc_id long, text string")).count() == 0
+    assert minhash.fingerprints_and_classes(frame("doc_id long, text string")).count() == 0
+
+
+def test_classes_equal_all_pairs(frame):
+    rng = random.Random(12)
+    rows = [(1, None), (2, ""), (3, "few words"), (4, "few words")]
+    for _ in range(15):
+        base = [f"w{rng.randint(0, 400)}" for _ in range(rng.choice([12, 80, 300]))]
+        for _ in range(6):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = "changed"
+            rows.append((100 + len(rows), " ".join(words)))
+    sets = [set(plain_shingles(text or "")) for _, text in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i in range(len(rows)):
+            for j in range(i):
+                if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    want = {doc_id: min(d for (d, _), k in zip(rows, label) if k == label[i]) for i, (doc_id, _) in enumerate(rows)}
+    docs = frame("doc_id long, text string", *rows)
+    got = {r.doc_id: r.class_id for r in minhash.fingerprints_and_classes(docs).collect()}
+    assert got == want
+
+
+def test_blocks_find_the_same_classes(frame):
+    words = [f"w{i}" for i in range(60)]
+    docs = frame("doc_id long, text string", *[(i, " ".join(words[: 50 + i % 10])) for i in range(10)])
+    prints = minhash.fingerprint_documents(docs)
+    for block in (2, 256):
+        assert len({r.root for r in minhash.near_classes(docs, prints, block=block).collect()}) == 1
