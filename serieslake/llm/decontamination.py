@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates: verbatim and re-parameterised items are found in documents.
 
 Words are made canonical: numbers, names (capitalized within a sentence) and units become typed
-placeholders, all else is lower-cased.  Windows of eight canonical words are hashed and joined with
+placeholders, all else is lower-cased.  Windows of eight canonical words are hashed, once with names as
+placeholders and once as plain words (so that lost capitals and full stops do not matter), and joined with
 those of the benchmark.  A filter of fixed size (8 MB) holds the benchmark's window hashes, so that
 only windows that may match leave the scan; the join decides.  Matches of one document and item on
 one alignment must fill the slots consistently: one value of the item stands for one value in the
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -78,16 +80,17 @@ def canonical(text: str) -> np.ndarray:
     return np.frombuffer(b"".join([b"".join(_chunks.values_of(part.split())) for part in slices(text)]), _ENTRY)
 
 
-def template_windows(words: np.ndarray, owner: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of ``width`` words within one text and where they begin."""
+def template_windows(words: np.ndarray, owner: np.ndarray, width: int, names: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``width`` words within one text and where they begin; ``names``: as placeholders."""
     count = len(words) - width + 1
     if count <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     first = np.ones(len(words), bool)
-    first[1:] = (words["ends"][:-1] == 1) | (owner[1:] != owner[:-1])
+    if names:
+        first[1:] = (words["ends"][:-1] == 1) | (owner[1:] != owner[:-1])
     token = np.where(first, words["start"], words["within"])
     slot = np.where(first, words["slot_start"], words["slot_within"]).astype(np.int64)
-    hashes = np.full(count, width, np.uint64)
+    hashes = np.full(count, 2 * width + names, np.uint64)
     for k in range(width):
         hashes += token[k : k + count] * _STEPS[k]
     hashes ^= hashes >> np.uint64(31)
@@ -99,11 +102,11 @@ def template_windows(words: np.ndarray, owner: np.ndarray, width: int) -> tuple[
     return hashes[at], at
 
 
-def _slots(words: np.ndarray, surface: list[str], at: int, width: int) -> tuple[list[int], list[str]]:
+def _slots(words: np.ndarray, surface: list[str], at: int, width: int, names: bool) -> tuple[list[int], list[str]]:
     """Places and values of the slots in the window at ``at`` of one text."""
     places, values = [], []
     for k in range(at, at + width):
-        first = k == 0 or words["ends"][k - 1] == 1
+        first = not names or k == 0 or words["ends"][k - 1] == 1
         if words["slot_start" if first else "slot_within"][k]:
             places.append(k)
             values.append(surface[k])
@@ -134,10 +137,11 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                 words, surface = canonical(text), _surface(text)
                 width = min(WIDTH, len(words))
                 if width >= FEWEST:
-                    hashes, at = template_windows(words, np.zeros(len(words), np.int64), width)
+                    found = {names: template_windows(words, np.zeros(len(words), np.int64), width, names) for names in (True, False)}
+                    windows = len(np.union1d(found[True][1], found[False][1]))
                     rows += [
-                        (item, item_id, h, a, width, len(at), *_slots(words, surface, a, width))
-                        for h, a in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)
+                        (item, item_id, h, a, width, windows, *_slots(words, surface, a, width, names))
+                        for names, (hashes, at) in found.items() for h, a in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)
                     ]
             if rows:
                 kinds = [pa.int64(), batch.schema.field("item_id").type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
@@ -162,8 +166,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
                 words = [canonical(text) for text in texts[start:stop]]
                 owner = np.repeat(np.arange(stop - start), [len(w) for w in words])
                 joined, begins = np.concatenate(words), np.cumsum([0, *map(len, words)])
-                for width in widths:
-                    hashes, at = template_windows(joined, owner, width)
+                for width, names in product(widths, (True, False)):
+                    hashes, at = template_windows(joined, owner, width, names)
                     hit = np.flatnonzero(may_hold(bits, hashes))
                     surface: dict[int, list[str]] = {}
                     for h, a in zip(hashes[hit].view(np.int64).tolist(), at[hit].tolist(), strict=True):
@@ -172,7 +176,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
                             surface = {k: _surface(texts[start + k])}
                         a -= int(begins[k])
                         picked.append(start + k)
-                        rows.append((h, a, *_slots(words[k], surface[k], a, width)))
+                        rows.append((h, a, *_slots(words[k], surface[k], a, width, names)))
             if rows:
                 kept = [batch.column(name).take(pa.array(picked)) for name in KEYS]
                 types = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
