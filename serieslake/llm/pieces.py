@@ -4,8 +4,8 @@ The pieces and scores of a model file span a lattice over the text; the best pat
 max-plus algebra.  A long text is cut into chunks.  Each chunk yields a transfer matrix: the best score
 from every state at its left border (how far a piece reaches into it) to every state at its right border.
 Matrices combine associatively; a prefix scan gives the states at all borders, and each chunk is then
-traced back by itself.  No piece has a word's end inside it, so the paths all meet there; between two
-such places the best path is found once for every different word.
+traced back by itself.  No piece passes a word's or line's end, so the paths all meet there; between two
+such places the best path is found once for every different unit.
 
 Scores are added as integers, hence exactly.  Ties fall to the earlier start of a piece, at the border of
 chunks to the shorter reach.  Null and empty texts have no pieces.  Characters outside the pieces become
@@ -19,6 +19,7 @@ import functools
 import hashlib
 import re
 import zlib
+from array import array
 from itertools import islice
 from typing import NamedTuple
 
@@ -35,6 +36,7 @@ from serieslake.session import materialize
 
 SPACE = "▁"
 NEVER = -(1 << 61)
+_CUT = "\x1f"
 UNKNOWN_PENALTY = 10  # fixed value: an unknown character costs this more than the worst piece
 
 
@@ -58,10 +60,14 @@ class Pieces:
         self.scores = {p.piece: round(p.score) for p in model.pieces if p.type == normal}
         self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == byte}
-        self.begun = {piece[:k] for piece in self.ids for k in range(1, len(piece) + 1)}
+        # Beginnings of pieces that are none themselves are known, at a score that never wins.
+        self.known = {piece[:k]: NEVER for piece in self.ids for k in range(1, len(piece))} | self.scores
         self.reach = max(map(len, self.ids)) - 1
-        if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
-            raise ValueError(f"{path} has pieces that span words")
+        if any(SPACE in piece.lstrip(SPACE) or "\n" in piece for piece in self.ids):
+            raise ValueError(f"{path} has pieces that span words or lines")
+        # Marks that no piece joins to a letter or digit before them are borders as well.
+        self.marks = [m for m in ".," if not any(re.search(rf"[^\W_]\{m}", piece) for piece in self.ids)]
+        self.mark_border = {m: re.compile(rf"\{m}(?<=[^\W_]\{m})") for m in self.marks}
         self.shown = [piece.piece.replace(SPACE, " ").encode() for piece in model.pieces]
         for value, i in self.bytes.items():
             self.shown[i] = bytes([value])
@@ -71,13 +77,13 @@ class Pieces:
             self.score_of[i] = self.scores[piece]
         for value, i in self.bytes.items():
             self.score_of[i] = 0 if 0x80 <= value < 0xC0 else self.unknown
-        self.memo = Memo(lambda words: [self.path(SPACE + word, 0, len(word) + 1) for word in words], 400_000)
+        self.memo = Memo(lambda units: [self.path(unit, 0, len(unit)) for unit in units], 500_000)
 
     def trace(self, text: str, begin: int, end: int, closed: range = range(0)) -> Trace:
         """Best scores of reaching each place from ``begin``; no piece begins in ``closed``."""
         score, start = [NEVER] * (end + 1), [-1] * (end + 1)
         score[begin] = 0
-        scores, begun = self.scores, self.begun
+        scores, look = self.scores, self.known.get
         for at in range(begin, end):
             here = score[at]
             if here == NEVER or at in closed:
@@ -87,60 +93,55 @@ class Pieces:
                 if cost > score[at + 1]:
                     score[at + 1], start[at + 1] = cost, at
             for to in range(at + 1, end + 1):
-                piece = text[at:to]
-                if piece not in begun:
+                cost = look(text[at:to])
+                if cost is None:
                     break
-                if piece in scores and (cost := here + scores[piece]) > score[to]:
+                cost += here
+                if cost > score[to]:
                     score[to], start[to] = cost, at
         return Trace(score, start)
 
     def path(self, text: str, begin: int, end: int, closed: range = range(0)) -> bytes:
         """The ids along the best path, as 32-bit words."""
-        found, start = [], self.trace(text, begin, end, closed).start
+        found, start, ids = array("i"), self.trace(text, begin, end, closed).start, self.ids
         while end > begin:
-            piece = text[start[end] : end]
-            if piece in self.ids:
-                found.append(self.ids[piece])
+            at = start[end]
+            piece = text[at:end]
+            if piece in ids:
+                found.append(ids[piece])
             else:
-                found += [self.bytes[b] for b in reversed(piece.encode())]
-            end = start[end]
-        return np.array(found[::-1], "<i4").tobytes()
-
-    def words(self, text: str) -> list[bytes]:
-        """The ids of a text that begins with a space mark, word by word."""
-        if SPACE * 2 not in text:
-            return list(self.memo.values_of(text.split(SPACE)[1:]))
-        parts = re.findall(f"{SPACE}+[^{SPACE}]*", text)
-        known = self.memo.values_of([part[1:] for part in parts])
-        return list(known)
+                found.extend([self.bytes[b] for b in reversed(piece.encode())])
+            end = at
+        found.reverse()
+        return found.tobytes()
+
+    def units(self, marked: str) -> list[str]:
+        """The text cut where no piece can pass: before space marks, around line feeds, before marks that end a word."""
+        if _CUT in marked:
+            return re.findall(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n", marked)
+        for mark, border in self.mark_border.items():
+            marked = border.sub(_CUT + mark, marked)
+        marked = marked.replace("\n", f"{_CUT}\n{_CUT}")
+        if SPACE * 2 in marked:
+            marked = re.sub(f"(?<!{SPACE}){SPACE}", _CUT + SPACE, marked)
+        else:
+            marked = marked.replace(SPACE, _CUT + SPACE)
+        return [unit for unit in marked.split(_CUT) if unit]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
         made: list[bytes] = []
         for start, stop in portions(texts):
-            marked = [(self.prefix + text).replace(" ", SPACE) if text else "" for text in texts[start:stop]]
             if stop == start + 1:
-                made.append(b"".join(self.encode_long(marked[0])))
+                parts = [part.replace(" ", SPACE) for part in slices(texts[start])]  # cut before spaces and line feeds
+                parts[0] = self.prefix + parts[0] if parts[0] else ""
+                made.append(b"".join([b"".join(self.memo.values_of(self.units(part))) for part in parts]))
                 continue
-            split = [re.findall(f"{SPACE}+[^{SPACE}]*", t) if SPACE * 2 in t else t.split(SPACE)[1:] for t in marked]
-            split = [[p[1:] for p in parts] if SPACE * 2 in t else parts for t, parts in zip(marked, split, strict=True)]
-            heads = [b"" if not t or t[0] == SPACE else self.path(t, 0, len(t.partition(SPACE)[0])) for t in marked]
-            values = self.memo.values_of([word for words in split for word in words])
-            made += [head + b"".join(islice(values, len(words))) for head, words in zip(heads, split, strict=True)]
-        return made
-
-    def encode_long(self, marked: str) -> list[bytes]:
-        head = marked.partition(SPACE)[0]
-        made = [self.path(head, 0, len(head))] if head else []
-        for part in slices(marked[len(head) :].replace(SPACE, " ")):  # cut before spaces only
-            made += self.words_between(part.replace(" ", SPACE))
+            split = [self.units((self.prefix + text).replace(" ", SPACE)) if text else [] for text in texts[start:stop]]
+            values = self.memo.values_of([unit for units in split for unit in units])
+            made += [b"".join(islice(values, len(units))) for units in split]
         return made
 
-    def words_between(self, text: str) -> list[bytes]:
-        """As ``words``, for a text that may not begin with a space mark."""
-        head = text.partition(SPACE)[0]
-        return ([self.path(head, 0, len(head))] if head else []) + (self.words(text[len(head) :]) if len(head) < len(text) else [])
-
     def _meetings(self, text: str, size: int) -> tuple[int, int] | None:
         """The first word border past every incoming reach, and the last one in the chunk."""
         borders = re.compile(f"(?<=[^{SPACE}])(?={SPACE})")
@@ -169,7 +170,7 @@ class Pieces:
                 out[i, : len(ends)] = leaving(i)
         else:
             a, b = meet
-            middle = int(self.score_of[np.frombuffer(b"".join(self.words_between(text[a:b])), "<i4")].sum()) if b > a else 0
+            middle = int(self.score_of[np.frombuffer(b"".join(self.memo.values_of(self.units(text[a:b]))), "<i4")].sum()) if b > a else 0
             tail = np.array(leaving(b), np.int64)
             for i in range(states):
                 out[i, : len(ends)] = self.trace(text, i, a).score[a] + middle + tail
@@ -186,7 +187,7 @@ class Pieces:
         if meet is None:
             return self.path(text, entry, end, closed)
         a, b = meet
-        return b"".join([self.path(text, entry, a), *(self.words_between(text[a:b]) if b > a else []), self.path(text, b, end, closed)])
+        return b"".join([self.path(text, entry, a), *self.memo.values_of(self.units(text[a:b])), self.path(text, b, end, closed)])
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")
