@@ -14,7 +14,7 @@ POPULATION_STATS = """
 """
 
 BEST_YEAR = f"""
-    SELECT best.series_id, series.series_label, best.year AS best_year, best.total_value
+    SELECT best.series_id, series.series_label, best.year AS best_year, CAST(best.total_value AS DOUBLE) AS total_value
     FROM (
         SELECT series_id, year, sum(value) AS total_value,
                row_number() OVER (PARTITION BY series_id ORDER BY sum(value) DESC NULLS LAST, year) AS spot
@@ -27,12 +27,11 @@ BEST_YEAR = f"""
 """
 
 SERIES_BY_YEAR = """
-    SELECT seen.year, seen.value, outside.population
+    SELECT seen.year, CAST(seen.value AS DOUBLE) AS value, outside.population
     FROM IDENTIFIER(:observations) AS seen
     LEFT JOIN (SELECT year, population FROM IDENTIFIER(:population) WHERE nation = :nation) AS outside
         ON outside.year = seen.year
     WHERE seen.series_id = :series_id AND seen.period = :period
-    ORDER BY seen.year
 """
 
 
