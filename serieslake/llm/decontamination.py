@@ -17,6 +17,7 @@ the smallest id (null if none has one).  Repeated rows are reported once, and de
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from itertools import product
 
@@ -47,6 +48,7 @@ twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million b
 _WORD = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[$€£¥%°]")
 _ENDS = re.compile(r"[.!?:;]\W*$")
 _ENTRY = np.dtype([("start", "<u8"), ("within", "<u8"), ("slot_start", "u1"), ("slot_within", "u1"), ("ends", "u1")])
+_PACKED = struct.Struct("<QQBBB")
 _STEPS = np.random.default_rng(31).integers(0, 1 << 63, WIDTH, np.uint64) * np.uint64(2) + np.uint64(1)
 _NUMBER, _UNIT, _NAME = (xxh64_intdigest(f"<{kind}>") for kind in ("number", "unit", "name"))
 
@@ -56,24 +58,23 @@ def _entries(chunks: list[str]) -> list[bytes]:
     made = []
     for chunk in chunks:
         words = _WORD.findall(chunk)
-        out = np.zeros(len(words), _ENTRY)
-        for k, word in enumerate(words):
+        out = []
+        for word in words:
             lower = word.lower()
             if word[0].isdigit() or lower in NUMBERS:
-                out[k] = (_NUMBER, _NUMBER, 1, 1, 0)
+                out.append((_NUMBER, _NUMBER, 1, 1))
             elif lower in UNITS or not word[0].isalpha():
-                out[k] = (_UNIT, _UNIT, 1, 1, 0)
-            elif word[0].isupper() and not word.isupper():
-                out[k] = (xxh64_intdigest(lower), _NAME, 0, 1, 0)
+                out.append((_UNIT, _UNIT, 1, 1))
             else:
-                out[k] = (h := xxh64_intdigest(lower), h, 0, 0, 0)
-        if len(out) and _ENDS.search(chunk):
-            out["ends"][-1] = 1
-        made.append(out.tobytes())
+                h = xxh64_intdigest(lower)
+                name = word[0].isupper() and not word.isupper()
+                out.append((h, _NAME if name else h, 0, int(name)))
+        last = len(out) - 1 if _ENDS.search(chunk) else -1
+        made.append(b"".join([_PACKED.pack(*entry, k == last) for k, entry in enumerate(out)]))
     return made
 
 
-_chunks = Memo(_entries, 400_000)
+_chunks = Memo(_entries)
 
 
 def canonical(text: str) -> np.ndarray:
