@@ -1,13 +1,14 @@
 """Benchmark decontamination by templates: verbatim and re-parameterised items are found in documents.
 
 Words are made canonical: numbers, names (capitalized within a sentence) and units become typed
-placeholders, all else is lower-cased.  Windows of eight canonical words are hashed, once with names as
-placeholders and once as plain words (so that lost capitals and full stops do not matter), and joined with
-those of the benchmark.  A filter of fixed size (8 MB) holds the benchmark's window hashes, so that
+placeholders, all else is lower-cased.  Windows of eight canonical words are hashed in three variants: names
+as plain words (so that lost capitals and full stops do not matter), names within sentences as placeholders,
+and every capitalized word as one (a sentence may begin with a name).  They are joined with those of the benchmark.  A filter of fixed size (8 MB) holds the benchmark's window hashes, so that
 only windows that may match leave the scan; the join decides.  Matches of one document and item on
-one alignment must fill the slots consistently: one value of the item stands for one value in the
+one alignment must fill the slots consistently (first words of sentences count in the third variant alone): one value of the item stands for one value in the
 document, one name in the document for one of the item.  Windows with other values are dropped.
-A document holds an item if ``least`` of its windows (all, if it has fewer) match.
+A document holds an item if ``least`` of its windows (all, if it has fewer) match, or as many of those that
+have words enough beside the placeholders of a variant.
 
 Items of fewer than eight words are matched as a whole, those of fewer than four are not matched.
 Null and empty texts hold nothing and are held by nothing.  Items of equal text are one item, named by
@@ -19,7 +20,9 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
+from functools import cache, reduce
 from itertools import product
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -47,14 +50,18 @@ twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million b
 
 _WORD = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[$€£¥%°]")
 _ENDS = re.compile(r"[.!?:;]\W*$")
-_ENTRY = np.dtype([("start", "<u8"), ("within", "<u8"), ("slot_start", "u1"), ("slot_within", "u1"), ("ends", "u1")])
-_PACKED = struct.Struct("<QQBBB")
-_STEPS = np.random.default_rng(31).integers(0, 1 << 63, WIDTH, np.uint64) * np.uint64(2) + np.uint64(1)
-_NUMBER, _UNIT, _NAME = (xxh64_intdigest(f"<{kind}>") for kind in ("number", "unit", "name"))
+_ENTRY = np.dtype([("word", "<u8"), ("kind", "u1"), ("ends", "u1")])
+_PACKED = struct.Struct("<QBB")
+NUMBER, UNIT, NAME = 1, 2, 3  # kinds of words; 0 is any other
+_PLACEHOLDERS = np.array([0, *(xxh64_intdigest(f"<{kind}>") for kind in ("number", "unit", "name"))], np.uint64)
+# Variants of windows: names as plain words, as placeholders within sentences, as placeholders everywhere.
+PLAIN, WITHIN, EVERYWHERE = VARIANTS = (0, 1, 2)
+_BASE = int(np.random.default_rng(31).integers(0, 1 << 63)) * 2 + 1
+_BACK = pow(_BASE, -1, 1 << 64)
 
 
 def _entries(chunks: list[str]) -> list[bytes]:
-    """For each chunk its words: canonical hash at the start of and within a sentence, slots, sentence end."""
+    """For each chunk its words: hash, kind, sentence end."""
     made = []
     for chunk in chunks:
         words = _WORD.findall(chunk)
@@ -62,13 +69,12 @@ def _entries(chunks: list[str]) -> list[bytes]:
         for word in words:
             lower = word.lower()
             if word[0].isdigit() or lower in NUMBERS:
-                out.append((_NUMBER, _NUMBER, 1, 1))
+                kind = NUMBER
             elif lower in UNITS or not word[0].isalpha():
-                out.append((_UNIT, _UNIT, 1, 1))
+                kind = UNIT
             else:
-                h = xxh64_intdigest(lower)
-                name = word[0].isupper() and not word.isupper()
-                out.append((h, _NAME if name else h, 0, int(name)))
+                kind = NAME if word[0].isupper() and not word.isupper() else 0
+            out.append((xxh64_intdigest(lower), kind))
         last = len(out) - 1 if _ENDS.search(chunk) else -1
         made.append(b"".join([_PACKED.pack(*entry, k == last) for k, entry in enumerate(out)]))
     return made
@@ -81,37 +87,57 @@ def canonical(text: str) -> np.ndarray:
     return np.frombuffer(b"".join([b"".join(_chunks.values_of(part.split())) for part in slices(text)]), _ENTRY)
 
 
-def template_windows(words: np.ndarray, owner: np.ndarray, width: int, names: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of ``width`` words within one text and where they begin; ``names``: as placeholders."""
-    count = len(words) - width + 1
-    if count <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    first = np.ones(len(words), bool)
-    if names:
-        first[1:] = (words["ends"][:-1] == 1) | (owner[1:] != owner[:-1])
-    token = np.where(first, words["start"], words["within"])
-    slot = np.where(first, words["slot_start"], words["slot_within"]).astype(np.int64)
-    hashes = np.full(count, 2 * width + names, np.uint64)
-    for k in range(width):
-        hashes += token[k : k + count] * _STEPS[k]
+def slots_of(words: np.ndarray, owner: np.ndarray, variant: int) -> np.ndarray:
+    """Which words are placeholders in this variant."""
+    if variant == EVERYWHERE:
+        return words["kind"] > 0
+    slot = (words["kind"] == NUMBER) | (words["kind"] == UNIT)
+    if variant == WITHIN:
+        slot[1:] |= (words["kind"][1:] == NAME) & (words["ends"][:-1] == 0) & (owner[1:] == owner[:-1])
+    return slot
+
+
+@cache
+def _powers(base: int, size: int) -> np.ndarray:
+    factors = np.full(size, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
+    hashes = hashes + np.uint64(seed)
     hashes ^= hashes >> np.uint64(31)
     hashes *= np.uint64(0x94D049BB133111EB)
     hashes ^= hashes >> np.uint64(29)
-    filled = np.concatenate([[0], np.cumsum(slot)])
+    return hashes
+
+
+def template_windows(words: np.ndarray, owner: np.ndarray, width: int, variant: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``width`` words within one text and where they begin."""
+    count = len(words) - width + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    slot = slots_of(words, owner, variant)
+    token = words["word"].copy()
+    filled = np.flatnonzero(slot)
+    token[filled] = _PLACEHOLDERS[words["kind"][filled]]
+    # Differences of prefix sums of powers, divided by the power at the window's begin.
+    size = 1 << len(words).bit_length()
+    token *= _powers(_BASE, size)[: len(words)]
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(token, out=sums[1:])
+    hashes = _mixed((sums[width:] - sums[:-width]) * _powers(_BACK, size)[:count], 8 * width + variant)
+    filled = np.zeros(len(words) + 1, np.int32)
+    np.cumsum(slot, out=filled[1:])
     fixed = width - (filled[width:] - filled[:-width])
-    at = np.flatnonzero((owner[: count] == owner[width - 1 :]) & (fixed >= min(FIXED_WORDS, width)))
+    at = np.flatnonzero((owner[:count] == owner[width - 1 :]) & (fixed >= min(FIXED_WORDS, width)))
     return hashes[at], at
 
 
-def _slots(words: np.ndarray, surface: list[str], at: int, width: int, names: bool) -> tuple[list[int], list[str]]:
+def _slots(slot: np.ndarray, surface: list[str], at: int, width: int) -> tuple[list[int], list[str]]:
     """Places and values of the slots in the window at ``at`` of one text."""
-    places, values = [], []
-    for k in range(at, at + width):
-        first = not names or k == 0 or words["ends"][k - 1] == 1
-        if words["slot_start" if first else "slot_within"][k]:
-            places.append(k)
-            values.append(surface[k])
-    return places, values
+    places = [k for k in range(at, at + width) if slot[k]]
+    return places, [surface[k] for k in places]
 
 
 def _surface(text: str) -> list[str]:
@@ -119,6 +145,7 @@ def _surface(text: str) -> list[str]:
 
 
 KEYS = ["key1", "key2"]
+LEVELS = (1, 2, 3)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -127,7 +154,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """item, item_id, hash, at, width, windows (of the item), places, values for each distinct benchmark text."""
+    """item, item_id, hash, variant, at, width, level, levels, places, values for each distinct benchmark text.
+
+    A window of level k has words enough in the first k variants, ``levels`` holds how many have k and more (from 1).
+    """
     items = benchmark.filter("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id")).withColumn("item", F.xxhash64("text"))
     kind = items.schema["item_id"].dataType.simpleString()
 
@@ -138,18 +168,25 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                 words, surface = canonical(text), _surface(text)
                 width = min(WIDTH, len(words))
                 if width >= FEWEST:
-                    found = {names: template_windows(words, np.zeros(len(words), np.int64), width, names) for names in (True, False)}
-                    windows = len(np.union1d(found[True][1], found[False][1]))
-                    rows += [
-                        (item, item_id, h, a, width, windows, *_slots(words, surface, a, width, names))
-                        for names, (hashes, at) in found.items() for h, a in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)
-                    ]
+                    owner = np.zeros(len(words), np.int64)
+                    level = np.zeros(len(words), np.int64)
+                    found = {variant: template_windows(words, owner, width, variant) for variant in VARIANTS}
+                    for _, at in found.values():
+                        level[at] += 1  # each variant has placeholders where the one before has them
+                    levels = [int((level >= k).sum()) for k in LEVELS]
+                    for variant, (hashes, at) in found.items():
+                        slot = slots_of(words, owner, variant)
+                        rows += [
+                            (item, item_id, h, variant, a, width, int(level[a]), levels, *_slots(slot, surface, a, width))
+                            for h, a in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)
+                        ]
             if rows:
-                kinds = [pa.int64(), batch.schema.field("item_id").type, pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
-                names = ["item", "item_id", "hash", "at", "width", "windows", "places", "values"]
+                whole, many = pa.int32(), pa.list_(pa.int32())
+                kinds = [pa.int64(), batch.schema.field("item_id").type, pa.int64(), whole, whole, whole, whole, many, many, pa.list_(pa.string())]
+                names = ["item", "item_id", "hash", "variant", "at", "width", "level", "levels", "places", "values"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    schema = f"item long, item_id {kind}, hash long, at int, width int, windows int, places array<int>, values array<string>"
+    schema = f"item long, item_id {kind}, hash long, variant int, at int, width int, level int, levels array<int>, places array<int>, values array<string>"
     return materialize(items.mapInArrow(run, schema), "benchmark-windows")
 
 
@@ -167,17 +204,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
                 words = [canonical(text) for text in texts[start:stop]]
                 owner = np.repeat(np.arange(stop - start), [len(w) for w in words])
                 joined, begins = np.concatenate(words), np.cumsum([0, *map(len, words)])
-                for width, names in product(widths, (True, False)):
-                    hashes, at = template_windows(joined, owner, width, names)
+                for width, variant in product(widths, VARIANTS):
+                    hashes, at = template_windows(joined, owner, width, variant)
                     hit = np.flatnonzero(may_hold(bits, hashes))
+                    slot = slots_of(joined, owner, variant) if len(hit) else None
                     surface: dict[int, list[str]] = {}
                     for h, a in zip(hashes[hit].view(np.int64).tolist(), at[hit].tolist(), strict=True):
                         k = int(owner[a])
                         if k not in surface:
                             surface = {k: _surface(texts[start + k])}
-                        a -= int(begins[k])
+                        begin = int(begins[k])
                         picked.append(start + k)
-                        rows.append((h, a, *_slots(words[k], surface[k], a, width, names)))
+                        rows.append((h, a - begin, *_slots(slot[begin : begin + len(words[k])], surface[k], a - begin, width)))
             if rows:
                 kept = [batch.column(name).take(pa.array(picked)) for name in KEYS]
                 types = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]
@@ -187,7 +225,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
     schema = "key1 long, key2 long, hash long, doc_at int, doc_places array<int>, doc_values array<string>"
     found = _keyed(docs.select("text")).mapInArrow(run, schema).dropDuplicates([*KEYS, "hash", "doc_at"])
     joined = materialize(found.join(windows, "hash").withColumn("shift", F.col("doc_at") - F.col("at")), "template-matches")
-    alignment = [*KEYS, "item", "shift"]
+    joined = joined.withColumn("starts", F.col("variant") == EVERYWHERE)  # these may not outvote the others
+    alignment = [*KEYS, "item", "shift", "starts"]
     slots = joined.select(*alignment, F.inline(F.arrays_zip("places", "values", "doc_values"))).distinct()
     # Each value of the item keeps the document's value that it has most often; ties fall to the smaller.
     votes = slots.groupBy(*alignment, "values", "doc_values").agg(F.count("*").alias("n"))
@@ -202,12 +241,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
     wrong = slots.join(odd, [*alignment, "values", "doc_values"], "left_semi").groupBy(*alignment).agg(F.collect_set("places").alias("wrong"))
     checked = joined.join(wrong, alignment, "left")
     consistent = checked.filter(F.col("wrong").isNull() | ~F.arrays_overlap("wrong", "places"))
-    held = consistent.groupBy(*KEYS, "item").agg(
-        F.first("item_id").alias("item_id"), F.countDistinct("at").alias("n_windows"), F.max("windows").alias("windows"),
+    places = consistent.groupBy(*KEYS, "item", "at").agg(
+        F.first("item_id").alias("item_id"), F.first("level").alias("level"), F.first("levels").alias("levels"),
         F.min("doc_at").alias("first_word"), F.max(F.col("values") != F.col("doc_values")).alias("reparameterised"),
     )
-    enough = held.filter(F.col("n_windows") >= F.least(F.lit(least), "windows"))
-    return enough.select(*KEYS, "item_id", "n_windows", (F.col("n_windows") / F.col("windows")).alias("coverage"), "reparameterised", "first_word")
+    held = places.groupBy(*KEYS, "item").agg(
+        F.first("item_id").alias("item_id"), F.count("*").alias("n_windows"), F.first("levels").alias("levels"),
+        F.min("first_word").alias("first_word"), F.max("reparameterised").alias("reparameterised"),
+        *(F.count_if(F.col("level") >= k).alias(f"n{k}") for k in LEVELS),
+    )
+    of = {k: F.col("levels")[i] for i, k in enumerate(LEVELS)}
+    enough = held.filter(reduce(or_, ((of[k] > 0) & (F.col(f"n{k}") >= F.least(F.lit(least), of[k])) for k in LEVELS)))
+    return enough.select(*KEYS, "item_id", "n_windows", (F.col("n_windows") / F.col("levels")[0]).alias("coverage"), "reparameterised", "first_word")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:

@@ -77,3 +77,15 @@ def test_empty_tables(frame):
     assert d.leaks(docs, none).count() == 0
     assert d.keep_clean(docs, none).count() == len(rows())
     assert d.leaks(frame("doc_id long, text string"), frame("item_id long, text string", *items())).count() == 0
+
+
+def test_names_that_begin_sentences(frame):
+    item = "Anna has 12 apples. Bert gives Anna 5 more. Clara takes 3 of them."
+    changed = "Dora has 40 apples. Emil gives Dora 7 more. Frida takes 9 of them."
+    one_for_two = "Dora has 40 apples. Emil gives Emil 7 more. Emil takes 9 of them."
+    docs = frame("doc_id long, text string", (1, f"{FILL} {changed} {FILL}"), (2, f"{FILL} {item}"), (3, FILL), (4, f"{FILL} {one_for_two}"))
+    bench = frame("item_id long, text string", (100, item))
+    got = {r.doc_id: r for r in d.leaks(docs, bench).collect()}
+    assert {k: r.reparameterised for k, r in got.items()} == {1: True, 2: False}
+    assert got[2].coverage == 1
+    assert {r.doc_id for r in d.keep_clean(docs, bench).collect()} == {3, 4}
