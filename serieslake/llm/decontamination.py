@@ -10,7 +10,9 @@ document, one name in the document for one of the item.  Windows with other valu
 A document holds an item if ``least`` of its windows (all, if it has fewer) match, or as many of those that
 have words enough beside the placeholders of a variant.
 
-Items of fewer than eight words are matched as a whole, those of fewer than four are not matched.
+Windows with too few words beside numbers and units are hashed by their words as they are, and matched verbatim.
+Items of fewer than eight words are matched as a whole, those of fewer than four where a line or a text is
+nothing else (of items without a word, the characters).
 Null and empty texts hold nothing and are held by nothing.  Items of equal text are one item, named by
 the smallest id (null if none has one).  Repeated rows are reported once, and decisions depend on the text alone.  Other columns are not read, and kept by ``keep_clean``.  Empty tables give empty results.
 """
@@ -21,7 +23,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cache, reduce
-from itertools import product
+from itertools import islice, product
 from operator import or_
 
 import numpy as np
@@ -55,7 +57,10 @@ _PACKED = struct.Struct("<QBB")
 NUMBER, UNIT, NAME = 1, 2, 3  # kinds of words; 0 is any other
 _PLACEHOLDERS = np.array([0, *(xxh64_intdigest(f"<{kind}>") for kind in ("number", "unit", "name"))], np.uint64)
 # Variants of windows: names as plain words, as placeholders within sentences, as placeholders everywhere.
-PLAIN, WITHIN, EVERYWHERE = VARIANTS = (0, 1, 2)
+PLAIN, WITHIN, EVERYWHERE = (0, 1, 2)
+VERBATIM = 3  # the windows that have too few words beside placeholders in PLAIN, by their words
+VARIANTS = (PLAIN, WITHIN, EVERYWHERE, VERBATIM)
+LINE = 4  # whole lines and texts
 _BASE = int(np.random.default_rng(31).integers(0, 1 << 63)) * 2 + 1
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -89,6 +94,8 @@ def canonical(text: str) -> np.ndarray:
 
 def slots_of(words: np.ndarray, owner: np.ndarray, variant: int) -> np.ndarray:
     """Which words are placeholders in this variant."""
+    if variant == VERBATIM:
+        return np.zeros(len(words), bool)
     if variant == EVERYWHERE:
         return words["kind"] > 0
     slot = (words["kind"] == NUMBER) | (words["kind"] == UNIT)
@@ -113,11 +120,21 @@ def _mixed(hashes: np.ndarray, seed: int) -> np.ndarray:
 
 
 def template_windows(words: np.ndarray, owner: np.ndarray, width: int, variant: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of ``width`` words within one text and where they begin."""
+    """Hashes of all windows of ``width`` words within one text that the variant takes, and where they begin."""
     count = len(words) - width + 1
     if count <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    slot = slots_of(words, owner, variant)
+    slot = slots_of(words, owner, PLAIN if variant == VERBATIM else variant)
+    filled = np.zeros(len(words) + 1, np.int32)
+    np.cumsum(slot, out=filled[1:])
+    enough = width - (filled[width:] - filled[:-width]) >= min(FIXED_WORDS, width)
+    at = np.flatnonzero((owner[:count] == owner[width - 1 :]) & (enough != (variant == VERBATIM)))
+    if variant == VERBATIM:  # few, so each by itself
+        factors = _powers(_BASE, WIDTH)
+        sums = np.zeros(len(at), np.uint64)
+        for k in range(width):
+            sums += words["word"][at + k] * factors[k]
+        return _mixed(sums, 8 * width + variant), at
     token = words["word"].copy()
     filled = np.flatnonzero(slot)
     token[filled] = _PLACEHOLDERS[words["kind"][filled]]
@@ -127,10 +144,6 @@ def template_windows(words: np.ndarray, owner: np.ndarray, width: int, variant:
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(token, out=sums[1:])
     hashes = _mixed((sums[width:] - sums[:-width]) * _powers(_BACK, size)[:count], 8 * width + variant)
-    filled = np.zeros(len(words) + 1, np.int32)
-    np.cumsum(slot, out=filled[1:])
-    fixed = width - (filled[width:] - filled[:-width])
-    at = np.flatnonzero((owner[:count] == owner[width - 1 :]) & (fixed >= min(FIXED_WORDS, width)))
     return hashes[at], at
 
 
@@ -140,12 +153,30 @@ def _slots(slot: np.ndarray, surface: list[str], at: int, width: int) -> tuple[l
     return places, [surface[k] for k in places]
 
 
+def _line(words: list[str], text: str) -> int:
+    """Hash of a line or text of few words; without a word, of its characters."""
+    return xxh64_intdigest(" ".join(words) or "".join(text.split()), 8 * len(words) + LINE)
+
+
+def short_lines(text: str) -> Iterator[tuple[int, int]]:
+    """Hash and first character of each line of fewer than ``FEWEST`` words, and of the whole text if it is as short."""
+    many, at = 0, 0
+    for line in text.split("\n"):
+        words = [found[0].lower() for found in islice(_WORD.finditer(line), FEWEST)]
+        many += len(words)
+        if len(words) < FEWEST and (words or line.strip()):
+            yield _line(words, line), at
+        at += len(line) + 1
+    if many < FEWEST and "\n" in text and text.strip():
+        yield _line(_surface(text), text), 0
+
+
 def _surface(text: str) -> list[str]:
     return [word.lower() for part in slices(text) for chunk in part.split() for word in _WORD.findall(chunk)]
 
 
 KEYS = ["key1", "key2"]
-LEVELS = (1, 2, 3)
+LEVELS = (0, 1, 2, 3)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -156,7 +187,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """item, item_id, hash, variant, at, width, level, levels, places, values for each distinct benchmark text.
 
-    A window of level k has words enough in the first k variants, ``levels`` holds how many have k and more (from 1).
+    A window of level k has words enough in the first k variants, ``levels`` holds how many have k and more (from 0).
     """
     items = benchmark.filter("text is not null").groupBy("text").agg(F.min("item_id").alias("item_id")).withColumn("item", F.xxhash64("text"))
     kind = items.schema["item_id"].dataType.simpleString()
@@ -171,15 +202,19 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                     owner = np.zeros(len(words), np.int64)
                     level = np.zeros(len(words), np.int64)
                     found = {variant: template_windows(words, owner, width, variant) for variant in VARIANTS}
-                    for _, at in found.values():
-                        level[at] += 1  # each variant has placeholders where the one before has them
-                    levels = [int((level >= k).sum()) for k in LEVELS]
+                    for variant in (PLAIN, WITHIN, EVERYWHERE):
+                        level[found[variant][1]] += 1  # each variant has placeholders where the one before has them
+                    windows = len(words) - width + 1
+                    levels = [int((level[:windows] >= k).sum()) for k in LEVELS]
                     for variant, (hashes, at) in found.items():
                         slot = slots_of(words, owner, variant)
                         rows += [
                             (item, item_id, h, variant, a, width, int(level[a]), levels, *_slots(slot, surface, a, width))
                             for h, a in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)
                         ]
+                elif text.strip():
+                    h = int(np.uint64(_line(surface, text)).view(np.int64))
+                    rows.append((item, item_id, h, LINE, 0, width, 0, [1, 0, 0, 0], [], []))
             if rows:
                 whole, many = pa.int32(), pa.list_(pa.int32())
                 kinds = [pa.int64(), batch.schema.field("item_id").type, pa.int64(), whole, whole, whole, whole, many, many, pa.list_(pa.string())]
@@ -194,7 +229,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
     """key1, key2, item_id, n_windows, coverage, reparameterised, first_word of each text and item it holds."""
     windows = benchmark_windows(benchmark)
     sent = docs.sparkSession.sparkContext.broadcast(hash_filter(windows, "hash"))
-    widths = [row.width for row in windows.select("width").distinct().collect()]  # WIDTH and less
+    found = [row.width for row in windows.select("width").distinct().collect()]  # WIDTH and less
+    widths, short = [width for width in found if width >= FEWEST], any(width < FEWEST for width in found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -216,6 +252,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFr
                         begin = int(begins[k])
                         picked.append(start + k)
                         rows.append((h, a - begin, *_slots(slot[begin : begin + len(words[k])], surface[k], a - begin, width)))
+            for k, text in enumerate(texts if short else ()):
+                lines = list(short_lines(text))
+                hashes = np.array([h for h, _ in lines], np.uint64)
+                for i in np.flatnonzero(may_hold(bits, hashes)).tolist():
+                    picked.append(k)
+                    rows.append((int(hashes[i].view(np.int64)), len(_surface(text[: lines[i][1]])), [], []))
             if rows:
                 kept = [batch.column(name).take(pa.array(picked)) for name in KEYS]
                 types = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.string())]

@@ -89,3 +89,17 @@ def test_names_that_begin_sentences(frame):
     assert {k: r.reparameterised for k, r in got.items()} == {1: True, 2: False}
     assert got[2].coverage == 1
     assert {r.doc_id for r in d.keep_clean(docs, bench).collect()} == {3, 4}
+
+
+def test_items_of_numbers_and_of_few_words(frame):
+    exact = {200: "What is 5 percent of 80", 201: "12 + 30 = 42 and 7 times 6 is 42", 202: "2 4 8 16 32 64 128 256 512 1024 2048", 203: "Name three rivers", 204: "Why?", 205: "= ?"}
+    other = ["What is 5 percent of 90", "12 + 30 = 42 and 7 times 5 is 35", "3 6 12 24 48 96 192 384 768 1536", "Name three rivers of the north", "But why?", "?"]
+    bench = frame("item_id long, text string", *exact.items())
+    held = [(k, f"{FILL}\n{text}\n{FILL}") for k, text in exact.items()]
+    whole = [(k + 1000, text) for k, text in exact.items()]
+    docs = frame("doc_id long, text string", *held, *whole, (2000, "Name\nthree rivers"), *((k, f"{FILL}\n{text}\n{FILL}") for k, text in enumerate(other)))
+    got = {(r.doc_id, r.item_id): r for r in d.leaks(docs, bench).collect()}
+    assert set(got) == {(k, k) for k in exact} | {(k + 1000, k) for k in exact} | {(2000, 203)}
+    assert all(r.coverage == 1 and not r.reparameterised for r in got.values())
+    assert got[203, 203].first_word == len(FILL.split()) and got[1203, 203].first_word == 0
+    assert {r.doc_id for r in d.keep_clean(docs, bench).collect()} == set(range(len(other)))
