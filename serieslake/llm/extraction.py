@@ -2,9 +2,11 @@
 
 The markup is cut into blocks.  Pass one decides by what is measurable: blocks in menus, footers,
 forms, adverts and the like, or outside of the article where one is marked, and blocks made of links
-are boilerplate; long blocks with their share of stop words are text.  The rest, mostly short, is
+are boilerplate; long blocks with their share of stop words are text, all long ones where the page's text
+holds next to none of the stop words known (another language).  The rest, mostly short, is
 ambiguous: pass two gives each such block the label of its nearest decided neighbour, a heading that
-of what follows if both are as near.  An article without a decided block is text as a whole.
+of what follows if both are as near.  Links within a marked article drop only themselves, so an article
+without a decided block is text as a whole.
 
 Null and empty pages give the empty text.  Unclosed and cut-off markup is read as far as it goes.
 Repeated pages are extracted each.  Other columns are not read.  An empty table gives an empty result.
@@ -57,12 +59,14 @@ _PARTS = re.compile(r"[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 TEXT, BOILERPLATE, AMBIGUOUS = 1, -1, 0
+LINKS = -2  # boilerplate that says nothing of its neighbours
 
 
 class Rules(NamedTuple):
     link_share: float = 0.5  # of a block's characters: above it is a list of links
     least_length: int = 70  # characters below which a block is ambiguous
     stop_share: float = 0.15  # of a block's words: from here on a block of that length is text
+    foreign_share: float = 0.075  # of the words of all blocks in question: below it length alone decides
 
 
 class Block(NamedTuple):
@@ -179,14 +183,22 @@ def blocks(page: str) -> list[Block]:
 def decide(found: list[Block], rules: Rules = Rules()) -> list[int]:
     """Pass one: text, boilerplate or ambiguous."""
     marked = any(b.article and not b.dropped for b in found)
-    labels = []
+    labels, counts = [], []
     for b in found:
-        if b.dropped or (marked and not b.article) or b.linked > rules.link_share * len(b.text):
-            labels.append(BOILERPLATE)
+        listed = b.linked > rules.link_share * len(b.text)
+        if b.dropped or (marked and not b.article) or listed:
+            labels.append(LINKS if listed and marked and b.article and not b.dropped else BOILERPLATE)
+            counts.append((0, 0))
             continue
-        words = _WORD.findall(b.text.lower()) if len(b.text) >= rules.least_length and not b.heading else ()
-        enough = words and sum(w in STOP_WORDS for w in words) >= rules.stop_share * len(words)
+        words = _WORD.findall(b.text.lower())
+        stops = sum(w in STOP_WORDS for w in words)
+        counts.append((len(words), stops))
+        enough = len(b.text) >= rules.least_length and not b.heading and words and stops >= rules.stop_share * len(words)
         labels.append(TEXT if enough else AMBIGUOUS)
+    if sum(stops for _, stops in counts) < rules.foreign_share * sum(n for n, _ in counts):
+        for i, (b, (n, _)) in enumerate(zip(found, counts, strict=True)):
+            if n and len(b.text) >= rules.least_length and not b.heading:
+                labels[i] = TEXT
     return labels
 
 
@@ -201,11 +213,11 @@ def settle(found: list[Block], labels: list[int]) -> list[bool]:
         far = len(rows) + 1
         before, last = [], (far, AMBIGUOUS)
         for i in rows:
-            last = (0, labels[i]) if labels[i] else (last[0] + 1, last[1])
+            last = (0, labels[i]) if labels[i] in (TEXT, BOILERPLATE) else (last[0] + 1, last[1])
             before.append(last)
         after, last = [], (far, AMBIGUOUS)
         for i in reversed(rows):
-            last = (0, labels[i]) if labels[i] else (last[0] + 1, last[1])
+            last = (0, labels[i]) if labels[i] in (TEXT, BOILERPLATE) else (last[0] + 1, last[1])
             after.append(last)
         for i, b, a in zip(rows, before, reversed(after), strict=True):
             if labels[i] == AMBIGUOUS:

@@ -99,3 +99,20 @@ def test_long_page_and_edge_rows(frame):
     rows = x.extract(pages).collect()
     assert sorted(r.n_chars for r in rows) == [0, 0] + [len(SENTENCE) + 5 * 50_000] * 2
     assert x.extract(frame("page_id long, url string, html string")).count() == 0
+
+
+RUSSIAN = "Дом на холме построили люди, которые весной пришли в долину, и он до сих пор стоит там, где его поставили."
+POLISH = "Dom na wzgórzu zbudowali ludzie, którzy wiosną przyszli w dolinę, i stoi tam do dziś, choć nikt już w nim nie mieszka."
+CHINESE = "山上的房子是春天来到山谷的人们建造的，" * 5
+
+
+def test_links_in_an_article_drop_only_themselves():
+    assert x.main_text("<article><p>Short one.</p><p>Short two.</p><p><a href=s>Source</a></p></article>") == "Short one. Short two."
+    assert x.main_text(f"<article><p><a href=s>Source</a></p><p>Short one.</p><p>{SENTENCE}</p><p><a href=t>More</a></p><p>Short two.</p></article>") == f"Short one. {SENTENCE} Short two."
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, POLISH, CHINESE])
+def test_languages_without_stop_words(text):
+    assert x.main_text(f"<article><p>{text}</p><p>{text}</p><p><a href=s>{text[:9]}</a></p></article>") == f"{text} {text}"
+    page = f"<body><p><a href=1>{text[:5]}</a> <a href=2>{text[5:9]}</a></p><p>{text}</p><p>{text[:20]}</p><p>{text}</p><p><a href=3>{text[:7]}</a></p><div>{text[:8]}</div>"
+    assert x.main_text(page) == f"{text} {text[:20].strip()} {text}"
