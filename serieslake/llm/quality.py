@@ -1,6 +1,7 @@
 """Text quality by nearest-neighbour voting among labelled latent-semantic vectors.
 
-Terms are runs of three byte classes (letters, digits, marks ...) and how large a share of the words repeats the word before.
+Terms are runs of three byte classes (letters, digits, marks ...), how large a share of the words repeats the word before,
+and words and pairs of words, hashed.  Shapes and words weigh the same, whatever their number.
 Their document frequencies are counted over all documents; the latent space is a truncated SVD of
 the weighted labelled sample.  Sample vectors and projection are broadcast (at most
 ``2 * per_label`` rows), every document meets all of them in exact cosine products of blocks,
@@ -15,6 +16,7 @@ rows one is.  Repeated rows are scored each.  Other columns are not read by ``sc
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from operator import eq
@@ -24,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from serieslake.llm.common import crc32_of, on_batches, texts_of, with_added
+from serieslake.llm.common import crc32_of, on_batches, slices, texts_of, with_added
+from serieslake.llm.words import Memo
 
 HELD_OUT = 5  # a row is held out if the crc32 of its id is divisible by this
 THRESHOLD = 0.3
@@ -42,7 +46,13 @@ def _classes() -> np.ndarray:
 
 CLASSES = _classes()
 REPEATS = (0.03, 0.1, 0.3)  # each a term of its own: this share of the words equals the word before
-TERMS = 4096 + len(REPEATS)
+SHAPES = 4096 + len(REPEATS)
+BUCKETS = 8192  # of words and pairs of words
+TERMS = SHAPES + BUCKETS
+
+_WORD = re.compile(r"[^\W\d_]+")
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
+_hashes = Memo(lambda words: [xxh64_intdigest(word) for word in words], 200_000)
 
 
 class Model(NamedTuple):
@@ -53,6 +63,7 @@ class Model(NamedTuple):
     votes: np.ndarray  # sample x 2: the weight of each row for each label
     share: float  # of label 1
     neighbours: int
+    shapes: int  # so many of the terms are no words
 
 
 def term_counts(text: str) -> np.ndarray:
@@ -63,7 +74,13 @@ def term_counts(text: str) -> np.ndarray:
         counts[:4096] = np.bincount(kinds[:-2] * 256 + kinds[1:-1] * 16 + kinds[2:], minlength=4096)
     words = text.split()
     repeated = sum(map(eq, words, words[1:])) / max(1, len(words) - 1)
-    counts[4096:] = [100 * (repeated > share) for share in REPEATS]
+    counts[4096:SHAPES] = [100 * (repeated > share) for share in REPEATS]
+    for part in slices(text):
+        words = _WORD.findall(part.lower())
+        hashes = np.fromiter(_hashes.values_of(words), np.uint64, len(words))
+        pairs = (hashes[:-1] * _PAIR + hashes[1:]) * _PAIR
+        buckets = np.concatenate([hashes, pairs]) % np.uint64(BUCKETS)
+        counts[SHAPES:] += np.bincount(buckets.astype(np.int64), minlength=BUCKETS)
     return counts
 
 
@@ -116,9 +133,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple
     return counts, np.array([r.quality for r in rows], int), np.array([totals.get(0, 0), totals.get(1, 0)], float)
 
 
-def _weighted(counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    made = np.log1p(counts) * weight
-    return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
+def _weighted(counts: np.ndarray, weight: np.ndarray, shapes: int) -> np.ndarray:
+    made = np.log1p(counts)
+    made *= weight
+    for block in (made[:, :shapes], made[:, shapes:]):
+        block /= np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-12)
+    return made
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -133,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, latent: int =
     frequency, rows = document_frequencies(docs)
     terms = np.flatnonzero(counts.any(0))
     weight = (np.log((1 + rows) / (1 + frequency[terms])) + 0.1).astype(np.float32)
-    matrix = _weighted(counts[:, terms], weight)
+    shapes = int((terms < SHAPES).sum())
+    matrix = _weighted(counts[:, terms], weight, shapes)
     latent = min(latent, *matrix.shape)
     rng = np.random.default_rng(5)
     basis = matrix.T @ (matrix @ rng.standard_normal((len(terms), latent + 16)).astype(np.float32))
@@ -145,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, latent: int =
     vote = totals / totals.sum() / np.maximum(found, 1)
     votes = np.zeros((len(label), 2), np.float32)
     votes[np.arange(len(label)), label] = vote[label]
-    return Model(terms, weight, project.astype(np.float32), _unit(matrix @ project).astype(np.float32), votes, float(totals[1] / totals.sum()), min(neighbours, len(label)))
+    return Model(terms, weight, project.astype(np.float32), _unit(matrix @ project).astype(np.float32), votes, float(totals[1] / totals.sum()), min(neighbours, len(label)), shapes)
 
 
 def scores(model: Model | None, texts: list[str], block: int = 256) -> np.ndarray:
@@ -156,7 +177,7 @@ def scores(model: Model | None, texts: list[str], block: int = 256) -> np.ndarra
     filled = [i for i, text in enumerate(texts) if text.strip()]
     for start in range(0, len(filled), block):
         rows = filled[start : start + block]
-        vectors = _unit(_weighted(_counts([texts[i] for i in rows])[:, model.terms], model.weight) @ model.project)
+        vectors = _unit(_weighted(_counts([texts[i] for i in rows])[:, model.terms], model.weight, model.shapes) @ model.project)
         cosine = vectors @ model.vectors.T
         nearest = np.argpartition(-cosine, model.neighbours - 1, axis=1)[:, : model.neighbours]
         near = np.take_along_axis(cosine, nearest, axis=1).astype(np.float64)

@@ -104,3 +104,13 @@ def test_quality_without_labels(spark, frame):
     assert quality.fit(docs, labels) is None
     assert quality.score(docs, None).count() == 0
     assert [r.score for r in quality.score(frame("doc_id long, text string", (1, "x")), None).collect()] == [0.5]
+
+
+def test_quality_tells_vocabularies_apart(frame):
+    rng = np.random.default_rng(6)
+    words = {1: ["river", "stone", "house", "light"], 0: ["cheap", "pills", "bonus", "click"]}  # of one shape
+    rows = [(k, " ".join(rng.choice(words[k % 2], 40)), k % 2) for k in range(200)]
+    docs, labels = frame("doc_id long, text string", *[r[:2] for r in rows]), frame("doc_id long, quality int", *[(r[0], r[2]) for r in rows])
+    got = {r.doc_id: r for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    assert any(r.held_out for r in got.values())
+    assert all(got[k].predicted == label for k, _, label in rows)
