@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.llm import decontamination, extraction, fixity, language, minhash, pieces, quality, simhash, token_counts, token_files, whitening
+from serieslake.llm import decontamination, extraction, fixity, language, minhash, pieces, quality, secret_scan, simhash, spelling, token_counts, token_files, whitening
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import materialize, scratch_path
 
@@ -89,6 +89,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``deviation`` is null beyond 64 bits; ``deviation_exact`` holds up to 38 digits."""
     white = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -108,6 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_secrets": op12_secrets,
     "op13_whitening": op13_whitening,
 }
 ORACLES: dict[str, str] = {"op3_fixity_audit": OP3_SQL}

@@ -1,0 +1,113 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from serieslake.llm import secret_scan
+from serieslake.llm.automaton import compiled, mirrored, parse
+from serieslake.llm.common import table
+from serieslake.llm.queries import op12_secrets
+from serieslake.llm.secret_scan import BASE, FURTHER, Rule, Scanner
+
+_HEAD = "[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]"
+PLAIN = {
+    "assign": (rf"""({_HEAD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 12),
+    "access": ("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18),
+    "hex": ("[0-9a-f]+", lambda m: len(m[0]) >= 16),
+}
+
+
+def plain(text):
+    """Counts and the checksum of the base spans, by the regular expressions themselves."""
+    spans = []
+    for order, (kind, (pattern, keep)) in enumerate(PLAIN.items()):
+        spans += [(m.start(), order, m.end(), kind) for m in re.finditer(pattern, text) if keep(m)]
+    listed = ",".join(f"{kind}:{begin}:{end}" for begin, _, end, kind in sorted(spans))
+    return [sum(kind == name for *_, kind in spans) for name in PLAIN], listed
+
+
+SCANNER = Scanner(BASE + FURTHER)
+
+
+def scanned(text):
+    spans = [span for span in SCANNER.spans(text) if span[1] < 3]
+    return [sum(k == rule for _, k, _ in spans) for rule in range(3)], secret_scan.listed(SCANNER, spans)
+
+
+def test_query_equals_regular_expressions(spark, sf="/root/testdata/sf0.01"):
+    texts = {row.doc_id: row.text or "" for row in table(spark, sf, "documents").collect()}
+    rows = op12_secrets(spark, sf).collect()
+    assert sorted(row.doc_id for row in rows) == sorted(texts) and sum(row.n_assign for row in rows) > 0
+    for row in rows:
+        counts, listed = plain(texts[row.doc_id])
+        assert [row.n_assign, row.n_access, row.n_hex] == counts
+        assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert set(listed.split(",")) <= set(row.spans.split(","))
+
+
+WORDS = ["password", "PassWd", "secret", "token", "api_key", "ApiKey", "apikey", "=", ":", '"', "'", " ", "\n", "é", "世", "😀", "AKIA", "AKIAKIA", "0123456789abcdef", "deadbeef", "Z9Z9Z9Z9Z9Z9Z9", "abcdefghijkl", "x", "=secret=", "-", "."]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(WORDS), max_size=25).map("".join))
+def test_texts_equal_regular_expressions(text):
+    assert scanned(text) == plain(text)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", "token=password: abcdefghijklmnop", "token==abcdefghijk", "token = = abcdefghijklm", "éé token='ABCDEFGHIJKL' é", "AKIA" * 6, "secret:" + "a" * 11, "0123456789abcdefg" * 3, "paſſword=abcdefghijklmnop"],
+)
+def test_cases(text):
+    assert scanned(text) == plain(text)
+
+
+def test_very_long_texts():
+    text = "é" * 500_000 + " token: " + "f" * 200_000 + " x" * 100_000 + " AKIA" + "Q" * 16
+    assert scanned(text) == plain(text)
+
+
+def test_further_rules():
+    key = "-----BEGIN RSA PRIVATE KEY-----"
+    text = f"{key} ghp_{'z1' * 18} eyJa.eyJb.c xoxb-{'1' * 20} https://me:pa55@host AIza{'x' * 35} Bearer {'t' * 20}"
+    kinds = [item.split(":")[0] for item in secret_scan.listed(SCANNER, SCANNER.spans(text)).split(",")]
+    assert kinds == ["private_key", "code_host", "web_token", "chat", "login", "cloud_key", "bearer"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from(["a(b|c)*d", "[^a-c]+x?", "a{2,3}b|ab", "(ab?){2}c", r"\d+\.\d*", "a{0,2}b{2}"]), st.text("abcdx01.", max_size=12))
+def test_automata_equal_regular_expressions(pattern, text):
+    found = compiled([parse(pattern)], anywhere=False)
+    back = compiled([mirrored(parse(pattern))], anywhere=False)
+    for automaton, word in ((found, text), (back, text[::-1])):
+        state = automaton.start
+        for byte in word.encode():
+            state = int(automaton.step[state, automaton.class_of[byte]])
+        assert bool(automaton.accepts[state]) == bool(re.fullmatch(pattern, text))
+
+
+def test_unreadable_rules():
+    for pattern in ("a)", "(a", "*a", r"\b"):
+        with pytest.raises((ValueError, IndexError)):
+            parse(pattern)
+    with pytest.raises(ValueError, match="empty"):
+        Scanner((Rule("any", "a*"),))
+
+
+def test_minimal():
+    assert len(compiled([parse("a(x|y)b|a(y|x)b")], anywhere=False).step) == 5
+    assert len(SCANNER.begins.step) < 2000
+
+
+def test_nulls_repeats_and_other_columns(frame):
+    df = frame("doc_id long, text string", (1, None), (1, ""), (None, "hex 0123456789abcdef"), (None, "hex 0123456789abcdef")).withColumns({"spans": F.lit(1), "n_hex": F.lit("x")})
+    rows = sorted((row.doc_id or 0, row.n_hex, row.spans) for row in secret_scan.scan(df).collect())
+    assert rows == [(0, 1, "hex:4:20"), (0, 1, "hex:4:20"), (1, 0, ""), (1, 0, "")]
+
+
+def test_empty_table(frame):
+    out = secret_scan.scan(frame("doc_id string, text string"))
+    assert out.collect() == [] and out.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
