@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from serieslake.llm.common import hash_filter, may_hold, portions, slices, texts_of
-from serieslake.llm.words import Memo
 from serieslake.session import materialize
 
 WIDTH, FEWEST, LEAST, FIXED_WORDS = 8, 4, 6, 4
@@ -65,31 +64,42 @@ _BASE = int(np.random.default_rng(31).integers(0, 1 << 63)) * 2 + 1
 _BACK = pow(_BASE, -1, 1 << 64)
 
 
-def _entries(chunks: list[str]) -> list[bytes]:
-    """For each chunk its words: hash, kind, sentence end."""
-    made = []
-    for chunk in chunks:
-        words = _WORD.findall(chunk)
-        out = []
-        for word in words:
+def _kind(word: str, lower: str) -> int:
+    if word[0].isdigit() or lower in NUMBERS:
+        return NUMBER
+    if lower in UNITS or not word[0].isalpha():
+        return UNIT
+    return NAME if word[0].isupper() and not word.isupper() else 0
+
+
+class _Entries(dict):
+    """For each chunk its words, packed: hash, kind, sentence end.  Emptied when it holds too many."""
+
+    def __init__(self, most: int = 650_000) -> None:
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) > self.most:
+            self.clear()
+        ends = chunk[-1] in ".!?:;"
+        word = chunk[:-1] if ends or chunk[-1] == "," else chunk
+        if word.isalpha():  # one word and perhaps a mark, as most chunks are
             lower = word.lower()
-            if word[0].isdigit() or lower in NUMBERS:
-                kind = NUMBER
-            elif lower in UNITS or not word[0].isalpha():
-                kind = UNIT
-            else:
-                kind = NAME if word[0].isupper() and not word.isupper() else 0
-            out.append((xxh64_intdigest(lower), kind))
-        last = len(out) - 1 if _ENDS.search(chunk) else -1
-        made.append(b"".join([_PACKED.pack(*entry, k == last) for k, entry in enumerate(out)]))
-    return made
+            made = _PACKED.pack(xxh64_intdigest(lower), _kind(word, lower), ends)
+        else:
+            words = _WORD.findall(chunk)
+            last = len(words) - 1 if _ENDS.search(chunk) else -1
+            made = b"".join([_PACKED.pack(xxh64_intdigest(word.lower()), _kind(word, word.lower()), k == last) for k, word in enumerate(words)])
+        self[chunk] = made
+        return made
 
 
-_chunks = Memo(_entries)
+_chunks = _Entries()
 
 
 def canonical(text: str) -> np.ndarray:
-    return np.frombuffer(b"".join([b"".join(_chunks.values_of(part.split())) for part in slices(text)]), _ENTRY)
+    return np.frombuffer(b"".join([b"".join(map(_chunks.__getitem__, part.split())) for part in slices(text)]), _ENTRY)
 
 
 def slots_of(words: np.ndarray, owner: np.ndarray, variant: int) -> np.ndarray:

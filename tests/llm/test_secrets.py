@@ -74,7 +74,7 @@ def test_further_rules():
     key = "-----BEGIN RSA PRIVATE KEY-----"
     text = f"{key} ghp_{'z1' * 18} eyJa.eyJb.c xoxb-{'1' * 20} https://me:pa55@host AIza{'x' * 35} Bearer {'t' * 20}"
     kinds = [item.split(":")[0] for item in secret_scan.listed(SCANNER, SCANNER.spans(text)).split(",")]
-    assert kinds == ["private_key", "code_host", "web_token", "chat", "login", "cloud_key", "bearer"]
+    assert kinds == ["private_key", "code_host", "web_token", "chat", "hex", "login", "cloud_key", "bearer"]
 
 
 @settings(max_examples=200, deadline=None)
