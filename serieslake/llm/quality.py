@@ -17,7 +17,6 @@ rows one is.  Repeated rows are scored each.  Other columns are not read by ``sc
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from operator import eq
 from typing import NamedTuple
@@ -112,7 +111,23 @@ def held_out() -> Column:
     return crc32_of("doc_id") % HELD_OUT == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Sample(list):
+    """Rows of a sample, each as its terms and their counts: some 10 KB a row, where a dense one takes 49."""
+
+    def dense(self, start: int, stop: int) -> np.ndarray:
+        made = np.zeros((len(self[start:stop]), TERMS), np.float32)
+        for row, (terms, counts) in zip(made, self[start:stop], strict=True):
+            row[terms] = counts
+        return made
+
+    def terms(self) -> np.ndarray:
+        present = np.zeros(TERMS, bool)
+        for terms, _ in self:
+            present[terms] = True
+        return np.flatnonzero(present)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[Sample, np.ndarray, np.ndarray]:
     """Term counts and labels of at most ``per_label`` rows of each label, and how many each has in all."""
     usable = labels.filter("quality in (0, 1) and doc_id is not null").filter(~held_out()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     totals = {row.quality: row["n"] for row in usable.groupBy("quality").agg(F.count("*").alias("n")).collect()}
@@ -122,15 +137,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple
     chosen = chosen[0].unionByName(chosen[1])  # at most 2 * per_label rows
 
     def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
-        packed = [zlib.compress(term_counts(text).tobytes(), 1) for text in texts_of(batch)]
+        packed = []
+        for text in texts_of(batch):
+            counts = term_counts(text)
+            terms = np.flatnonzero(counts)
+            packed.append(terms.astype("<u2").tobytes() + counts[terms].tobytes())
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(packed)], names=["doc_id", "quality", "packed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = on_batches(texts, pack, f"doc_id {kind}, quality int, packed binary")
     rows = sorted(rows.dropDuplicates(["doc_id"]).collect(), key=lambda r: r.doc_id)
-    counts = np.array([np.frombuffer(zlib.decompress(r.packed), np.float32) for r in rows]).reshape(len(rows), TERMS)
-    return counts, np.array([r.quality for r in rows], int), np.array([totals.get(0, 0), totals.get(1, 0)], float)
+    sample = Sample((np.frombuffer(r.packed, "<u2", len(r.packed) // 6), np.frombuffer(r.packed, np.float32, offset=len(r.packed) // 3)) for r in rows)
+    return sample, np.array([r.quality for r in rows], int), np.array([totals.get(0, 0), totals.get(1, 0)], float)
 
 
 def _weighted(counts: np.ndarray, weight: np.ndarray, shapes: int) -> np.ndarray:
@@ -141,32 +160,50 @@ def _weighted(counts: np.ndarray, weight: np.ndarray, shapes: int) -> np.ndarray
     return made
 
 
+class _Blocks:
+    """The weighted sample, made dense a block of rows at a time."""
+
+    def __init__(self, sample: Sample, terms: np.ndarray, weight: np.ndarray, shapes: int, size: int = 256) -> None:
+        self.sample, self.terms, self.weight, self.shapes, self.size = sample, terms, weight, shapes, size
+
+    def _each(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for start in range(0, len(self.sample), self.size):
+            rows = slice(start, start + self.size)
+            yield rows, _weighted(self.sample.dense(rows.start, rows.stop)[:, self.terms], self.weight, self.shapes)
+
+    def times(self, right: np.ndarray) -> np.ndarray:
+        return np.concatenate([block @ right for _, block in self._each()])
+
+    def transposed_times(self, right: np.ndarray) -> np.ndarray:
+        return sum(block.T @ right[rows] for rows, block in self._each())
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, latent: int = 48, neighbours: int = 15) -> Model | None:
     """The model, or None if there is no labelled document."""
-    counts, label, totals = labelled_sample(docs, labels, per_label)
+    sample, label, totals = labelled_sample(docs, labels, per_label)
     if not len(label):
         return None
     frequency, rows = document_frequencies(docs)
-    terms = np.flatnonzero(counts.any(0))
+    terms = sample.terms()
     weight = (np.log((1 + rows) / (1 + frequency[terms])) + 0.1).astype(np.float32)
     shapes = int((terms < SHAPES).sum())
-    matrix = _weighted(counts[:, terms], weight, shapes)
-    latent = min(latent, *matrix.shape)
+    matrix = _Blocks(sample, terms, weight, shapes)
+    latent = min(latent, len(sample), len(terms))
     rng = np.random.default_rng(5)
-    basis = matrix.T @ (matrix @ rng.standard_normal((len(terms), latent + 16)).astype(np.float32))
+    basis = matrix.transposed_times(matrix.times(rng.standard_normal((len(terms), latent + 16)).astype(np.float32)))
     for _ in range(3):  # subspace iteration
-        basis = matrix.T @ (matrix @ np.linalg.qr(basis)[0])
+        basis = matrix.transposed_times(matrix.times(np.linalg.qr(basis)[0]))
     basis = np.linalg.qr(basis)[0]
-    project = basis @ np.linalg.svd(matrix @ basis, full_matrices=False)[2][:latent].T
+    project = basis @ np.linalg.svd(matrix.times(basis), full_matrices=False)[2][:latent].T
     found = np.bincount(label, minlength=2)
     vote = totals / totals.sum() / np.maximum(found, 1)
     votes = np.zeros((len(label), 2), np.float32)
     votes[np.arange(len(label)), label] = vote[label]
-    return Model(terms, weight, project.astype(np.float32), _unit(matrix @ project).astype(np.float32), votes, float(totals[1] / totals.sum()), min(neighbours, len(label)), shapes)
+    return Model(terms, weight, project.astype(np.float32), _unit(matrix.times(project)).astype(np.float32), votes, float(totals[1] / totals.sum()), min(neighbours, len(label)), shapes)
 
 
 def scores(model: Model | None, texts: list[str], block: int = 256) -> np.ndarray:
