@@ -47,9 +47,15 @@ def read_padded(
     return reader.csv(path)
 
 
-def stream_padded(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = "\t", **options: str) -> DataFrame:
+def stream_padded(
+    spark: SparkSession, path: str, schema: T.StructType, *, sep: str = "\t", malformed: bool = False, **options: str
+) -> DataFrame:
     """The same scan as a file stream: each newly landed file is read once."""
-    return spark.readStream.schema(schema).options(**_options(sep, header=True)).options(**options).csv(path)
+    declared = _with_malformed(schema) if malformed else schema
+    reader = spark.readStream.schema(declared).options(**_options(sep, header=True)).options(**options)
+    if malformed:
+        reader = reader.option("columnPruning", "false")
+    return reader.csv(path)
 
 
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:

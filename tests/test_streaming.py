@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from serieslake.operators.reconcile import reconcile
-from serieslake.operators.rules import keep_valid
+from serieslake.operators.rules import Rule, keep_valid
 from serieslake.plans import datasets
 from serieslake.plans.lake import Lake
 from serieslake.schemas import SERIES
@@ -86,19 +86,85 @@ def test_batch_without_index_does_not_count(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
     state.merge(frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1")))
     # A batch that died before its index was written leaves rows behind.
-    stray = state.images(spark).drop("release").withColumn("value", F.lit(7).cast("decimal(28,10)"))
-    stray.write.parquet(f"{state.root}/rows/batch=1/release=all")
+    stray = spark.read.parquet(f"{state.root}/rows").filter("batch = 0").drop("batch")
+    stray.withColumn("value", F.lit(7).cast("decimal(28,10)")).write.partitionBy("bucket").parquet(f"{state.root}/rows/batch=1")
     assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 1, None)]
     state.merge(frame(LANDED, ("A", "2000", "Q01", "5", None, "all", "2")))
     assert rows_of(state.reconciled(spark, ["all"])) == [("A", 2000, "Q01", 5, None)]
 
 
-def test_only_changed_releases_are_rewritten(spark, frame):
+def batches_of(spark, state):
+    return {(r.batch, r.bucket) for r in spark.read.parquet(f"{state.root}/rows").select("batch", "bucket").distinct().collect()}
+
+
+def test_only_changed_buckets_are_rewritten(spark, frame):
+    state = ObservationState(scratch_path(spark, "state"), RELEASES)
+    years = [("A", str(y), "Q01", "1", None, "all", "1") for y in range(1990, 2030)]
+    state.merge(frame(LANDED, *years))
+    before = batches_of(spark, state)
+    assert len(before) > 8
+    state.merge(frame(LANDED, *[(*r[:6], "2") for r in reversed(years)]))  # the same rows once more
+    assert batches_of(spark, state) == before and state.log(spark).filter("version = '2'").count() == 1
+    state.merge(frame(LANDED, *[(*r[:6], "3") for r in years[:-1]], ("A", "2029", "Q01", "2", None, "all", "3")))
+    assert len(batches_of(spark, state) - before) == 1
+    state.merge(frame(LANDED, ("A", "2029", "Q01", "9", None, "current", "1")))
+    assert len(batches_of(spark, state) - before) == 2
+    kept = {r[1]: r[3] for r in rows_of(state.reconciled(spark, RELEASES))}
+    assert len(kept) == 40 and kept[2029] == 9 and kept[2028] == 1
+    state.merge(frame(LANDED, *[(*r[:6], "4") for r in years[:1]]))  # nearly all rows leave
+    assert rows_of(state.reconciled(spark, RELEASES)) == [("A", 1990, "Q01", 1, None), ("A", 2029, "Q01", 9, None)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reading_the_state_shuffles_nothing(spark, frame):
     state = ObservationState(scratch_path(spark, "state"), RELEASES)
-    state.merge(frame(LANDED, *[("A", str(y), "Q01", "1", None, "all", "1") for y in range(2000, 2004)]))
-    state.merge(frame(LANDED, ("A", "2003", "Q01", "2", None, "current", "1")))
-    assert {r.release for r in spark.read.parquet(f"{state.root}/rows").filter("batch = 1").select("release").collect()} == {"current"}
-    assert len(rows_of(state.reconciled(spark, ["current", "all"]))) == 4
+    state.merge(frame(LANDED, *[("A", str(y), "Q01", "1", None, r, "1") for y in range(2000, 2009) for r in RELEASES]))
+    for preference in (RELEASES, ["all"], ["current"]):
+        df = state.reconciled(spark, preference)
+        assert df.count() == 9
+        assert not any(word in plan_of(df) for word in ("Exchange", "Sort", "Window", "Join", "Aggregate"))
+    other = state.reconciled(spark, ["all", "current"])
+    assert other.count() == 9 and "Exchange" in plan_of(other)
+
+
+def test_marks_of_another_order_do_not_count(spark, frame):
+    root = scratch_path(spark, "state")
+    ObservationState(root, RELEASES).merge(frame(LANDED, ("A", "2000", "Q01", "1", None, "all", "1"), ("A", "2000", "Q01", "2", None, "current", "1")))
+    turned = ObservationState(root, ["all", "current"])
+    assert rows_of(turned.reconciled(spark, ["all", "current"])) == [("A", 2000, "Q01", 1, None)]
+    with pytest.raises(ValueError, match="16 buckets"):
+        ObservationState(root, RELEASES, buckets=4).reconciled(spark, RELEASES)
+
+
+def test_rules_run_after_the_choice_of_release(spark, frame):
+    rules = [Rule("positive", "value > 0", "drop")]
+    state = ObservationState(scratch_path(spark, "state"), RELEASES, rules=rules)
+    rows = [("A", "2000", "Q01", "-1", None, "current", "1"), ("A", "2000", "Q01", "5", None, "all", "1"), ("B", "2000", "Q01", "6", None, "all", "1")]
+    state.merge(frame(LANDED, *rows))
+    releases = [frame(RAW, *[r[:5] for r in rows if r[5] == name]) for name in RELEASES]
+    assert rows_of(state.reconciled(spark, RELEASES)) == rows_of(keep_valid(reconcile(releases), rules)) == [("B", 2000, "Q01", 6, None)]
+
+
+@pytest.mark.parametrize("action", ["warn", "drop", "fail"])
+def test_malformed_lines_of_the_stream(spark, frame, action):
+    landing = scratch_path(spark, "landing")
+    lines = ["series_id\tyear\tperiod\tvalue\tfootnote_codes", "A\t2000\tQ01\t1\t", "B\t2000\tQ01", "C\t2000\tQ01\t1\t\textra"]
+    for version, text in (("1", lines[:2]), ("2", lines)):
+        frame("value string", *[(line,) for line in text]).coalesce(1).write.text(version_path(landing, "all", version))
+    state = ObservationState(scratch_path(spark, "state"), RELEASES, malformed=action)
+    if action == "fail":
+        with pytest.raises(Exception, match="2 malformed lines"):
+            merge_landed(spark, landing, state, scratch_path(spark, "checkpoint"))
+        assert rows_of(state.reconciled(spark, RELEASES)) == []
+        return
+    merge_landed(spark, landing, state, scratch_path(spark, "checkpoint"))
+    assert [r[0] for r in rows_of(state.reconciled(spark, RELEASES))] == (["A", "B", "C"] if action == "warn" else ["A"])
+    assert sorted(r.line for r in state.malformed_lines(spark).collect()) == lines[2:]
+    counts = {r.rule: (r.rows_in, r.rows_broken) for r in state.batch_counts(spark).collect()}
+    assert counts["well_formed"] == (4, 2) and counts["has_value"] == (4, 1)
 
 
 def test_withdrawn_release_lets_the_other_back_in(spark, frame):
