@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator, Sequence
-from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from serieslake.functions import instant
-from serieslake.sources.landing import landed_files
+from serieslake.sources.files import list_files, store_of
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -21,23 +20,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 LONGEST_HEADER = 1 << 20
-# Spark's names of stores, and those of the file system library.
-SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
-
-
-def store_address(path: str) -> str:
-    """A path as Spark gives it, for the file system library: its scheme, quoted, local ones with three slashes."""
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        return "file:///" + quote(rest.lstrip("/"))
-    return f"{SCHEMES.get(scheme, scheme)}:" + quote(rest, safe="/@:")
 
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
     def first_line(uri: str) -> str:
-        store, path = fs.FileSystem.from_uri(store_address(uri))
+        store, path = store_of(uri)
         line = b""
         with store.open_input_stream(path) as stream:  # decompresses by the name's ending
             while b"\n" not in line:
@@ -54,8 +41,8 @@ def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def headers(spark: SparkSession, root: str, *, glob: str | None = None, sep: str = "\t") -> DataFrame:
-    """The header fields of every file below ``root``; only the first line of a file is read."""
-    files = landed_files(spark, root, glob=glob).select("path", "relative_path")
+    """The header fields of every file below ``root`` that a scan reads; only the first line of a file is read."""
+    files = list_files(spark, root, glob=glob, hidden=False).filter("size_bytes > 0").select("path", "relative_path")
     lines = files.mapInPandas(_first_lines, "path string, relative_path string, header string")
     fields = F.transform(F.split("header", sep), lambda name: F.lower(F.trim(name)))
     return lines.select("relative_path", fields.alias("found"))

@@ -17,7 +17,7 @@ from serieslake.plans import sync as ingestion
 from serieslake.plans.lake import Lake
 from serieslake.queries import inputs as I
 from serieslake.session import scratch_path
-from serieslake.sources import documents, landing, text
+from serieslake.sources import files, landing, text
 from serieslake.streaming.observations import ObservationState, merge_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,12 +91,21 @@ def document_text_numbers(spark: SparkSession, sf: str) -> DataFrame:
     return datasets.silver_population(rules.keep_valid(bronze, datasets.RULES["bronze.population"]))
 
 
+def _landed_files(spark: SparkSession, sf: str) -> str:
+    root = scratch_path(spark, "landing")
+    files.land_files(I.file_contents(spark, sf), root)
+    return root
+
+
 def landed_listing(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "landing")
-    I.table(spark, sf, "documents").select("source", "text").write.partitionBy("source").text(path)
-    files = landing.landed_files(spark, path, glob="*.txt")
-    source = F.regexp_extract("relative_path", "^source=([^/]+)/", 1)
-    return files.groupBy(source.alias("source")).agg(F.sum("size_bytes").alias("size_bytes"))
+    """Every landed file, those without bytes and with hidden names too."""
+    return landing.landed_files(spark, _landed_files(spark, sf), glob="*.txt").select("relative_path", "size_bytes")
+
+
+def landed_content(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashes of the landed files, longer ones by ranges of 4 KiB."""
+    found = landing.landed_content(spark, _landed_files(spark, sf), range_bytes=4096)
+    return found.select("relative_path", "size_bytes", "content_hash", "valid_utf8")
 
 
 def listing_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,6 +302,18 @@ def rules_fail_guard(spark: SparkSession, sf: str) -> DataFrame:
     raise AssertionError("the broken rule was not noticed")
 
 
+def rules_empty_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """An empty table breaks no row rule; the least number of rows refuses it, and the earlier snapshot stays."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    totals = _doubles(summary.period_totals(_observations(spark, sf), S.QUARTERS), "total_value")
+    lake.publish(totals, "gold.totals", run_at=I.RUN_AT, min_rows=1)
+    try:
+        lake.publish(totals.filter("year < 0"), "gold.totals", run_at=I.RUN_AT, min_rows=1)
+    except rules.RuleViolation:
+        return lake.read("gold.totals")
+    raise AssertionError("the empty table was not noticed")
+
+
 def quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "broken")
     I.broken_extract(spark, sf).write.text(path)
@@ -353,6 +374,29 @@ def _ingested(spark: SparkSession, sf: str) -> Lake:
     return lake
 
 
+def sync_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The manifest after three runs: one with failures, one of a single source after copies were lost, and one without news."""
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    docs = I.two_sources(spark, sf)
+    listed = ["source", "relative_path", "remote_url", "size_bytes", "last_modified"]
+    got = docs.select("source", "relative_path", F.col("sha256").alias("content_hash"), F.col("n_bytes").alias("content_bytes"), "doc_id")
+    try:
+        ingestion.finish(lake, ingestion.plan(lake, docs.filter("doc_id % 3 <> 0").select(*listed)), I.RUN_AT, fetched=got.filter("doc_id % 13 <> 4").drop("doc_id"))
+    except ingestion.SyncFailed:
+        pass
+    else:
+        raise AssertionError("the failures were not noticed")
+    larger = F.col("size_bytes") + F.when(F.col("doc_id") % 17 == 1, 1).otherwise(0)
+    second = docs.filter("lang = 'en'").withColumn("size_bytes", larger).select(*listed)
+    copies = docs.filter("doc_id % 19 <> 5").select("source", "relative_path")
+    for day, landed in ((1, copies), (2, None)):
+        planned = ingestion.plan(lake, second, landed=landed, sources=["a"])
+        ingestion.finish(lake, planned, I.RUN_AT + dt.timedelta(days=day), fetched=got.drop("doc_id"))
+    manifest = lake.read(ingestion.TABLE)
+    days = [F.date_format(name, "yyyy-MM-dd").alias(name) for name in ("first_seen_at", "last_seen_at", "last_ingested_at")]
+    return manifest.select("source", "relative_path", "size_bytes", "content_hash", "status", *days)
+
+
 def listing_to_manifest(spark: SparkSession, sf: str) -> DataFrame:
     manifest = _ingested(spark, sf).read(ingestion.TABLE)
     return manifest.select("relative_path", "remote_url", "size_bytes", "content_hash", "status")
@@ -452,7 +496,7 @@ def state_invalid_periods(spark: SparkSession, sf: str) -> DataFrame:
 
 def state_ten_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Ten numbered versions, the tenth landed before the ninth: it is the tenth that counts."""
-    history = I.history(spark, sf).filter("year = '2000'")
+    history = I.history(spark, sf)
     version = lambda k: ("all", str(k), history.withColumn("footnote_codes", F.lit(str(k))))
     state = _merged(spark, [[version(k) for k in range(1, 9)], [version(10)], [version(9)]])
     return _doubles(state.reconciled(spark, ["all"]), "value")
@@ -472,6 +516,42 @@ def best_period_ties(spark: SparkSession, sf: str) -> DataFrame:
     return datasets.gold_best_year(observations, labels)
 
 
+def landed_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A release that is landed again unchanged lands nothing; a revised one becomes a version of its own."""
+    root, history = scratch_path(spark, "landing"), I.history(spark, sf)
+    state, checkpoint = ObservationState(scratch_path(spark, "state"), ["current", "all"], EXACT), scratch_path(spark, "checkpoint")
+    wrong = history.withColumn("footnote_codes", F.lit("p"))
+    known: dict[str, str] = {}
+    for day, (release, rows) in enumerate((("all", wrong), ("all", wrong.repartition(3)), ("all", history), ("current", I.current(spark, sf)))):
+        made = landing.land_release(rows, root, release, I.RUN_AT + dt.timedelta(days=day), widths=WIDTHS, known_hash=known.get(release))
+        if (made is None) != (day == 1):
+            raise AssertionError("only the repeated release is to be left out")
+        known[release] = made[1] if made else known[release]
+    merge_landed(spark, root, state, checkpoint)
+    return _doubles(state.reconciled(spark, ["current", "all"]), "value")
+
+
+def stream_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows seen and broken per rule, as observed in the stream: some periods are unknown, some values are no numbers."""
+    history = I.history(spark, sf)
+    odd = history.withColumn("period", F.regexp_replace("period", "Q05", "M13")).withColumn("value", F.when(F.col("year") == "2000", "-").otherwise(F.col("value")))
+    state = _merged(spark, [[("all", "1", history), ("current", "1", I.current(spark, sf))], [("all", "2", odd)]])
+    return state.batch_counts(spark).groupBy("rule", "action").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_broken").alias("rows_broken"))
+
+
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Malformed lines that come through the file stream: in a side table, and counted in the log."""
+    root = scratch_path(spark, "landing")
+    lines = I.broken_extract(spark, sf).withColumnRenamed("value", "\t".join(S.OBSERVATIONS.fieldNames()))
+    plain = {"sep": "\u0001", "quote": "", "header": "true", "ignoreTrailingWhiteSpace": "false", "ignoreLeadingWhiteSpace": "false"}
+    lines.write.options(**plain).csv(landing.version_path(root, "all", "1"))
+    state = ObservationState(scratch_path(spark, "state"), ["all"])
+    merge_landed(spark, root, state, scratch_path(spark, "checkpoint"))
+    bad = state.malformed_lines(spark).groupBy(F.lit("malformed").alias("kind"), F.size(F.split("line", "\t")).alias("n_fields")).agg(F.count("*").alias("n"))
+    good = state.log(spark).select(F.lit("good").alias("kind"), F.lit(len(S.OBSERVATIONS)).alias("n_fields"), (F.col("rows_in") - F.col("malformed")).alias("n"))
+    return bad.unionByName(good)
+
+
 def withdrawn_release(spark: SparkSession, sf: str) -> DataFrame:
     """Without the revised release the history shows through again."""
     root = scratch_path(spark, "landing")
@@ -547,16 +627,16 @@ def sql_series_by_year(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        padded_text_scan, series_scan, lookup_scan, document_flatten, document_lines, landed_listing,
+        padded_text_scan, series_scan, lookup_scan, document_flatten, document_lines, landed_listing, landed_content,
         listing_extract, link_extract, content_fingerprint,
         reconcile_releases, reconcile_repeats, overlay_releases, decode_dimension, unknown_codes, footnote_decode,
         period_totals, best_period_per_series, best_period_one_pass, repeats_best_period, best_period_distribution,
         gold_point_lookup, range_summary, range_summary_population, series_by_year, aligned_series,
         yearly_profile, median_by_digits, growth_first_last, parts_check,
-        rules_drop, rules_warn_metrics, rules_quarantine, rules_fail_guard, quarantine_rows,
-        manifest_plan, manifest_upsert, manifest_removed, run_summary,
+        rules_drop, rules_warn_metrics, rules_quarantine, rules_fail_guard, rules_empty_guard, quarantine_rows,
+        manifest_plan, manifest_upsert, manifest_removed, run_summary, sync_run,
         publish_snapshot, rule_trend, full_refresh, incremental_reconcile, withdrawn_release,
-        state_dropped_keys, state_invalid_periods, state_ten_versions, best_period_ties, document_text_numbers,
+        landed_versions, stream_rule_counts, stream_quarantine, state_dropped_keys, state_invalid_periods, state_ten_versions, best_period_ties, document_text_numbers,
         listing_to_manifest, active_files_scan,
         drift_report, freshness, duplicate_keys, masked_view,
         sql_best_year, sql_population_stats, sql_series_by_year,

@@ -272,6 +272,24 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def file_contents(spark: SparkSession, sf: str) -> DataFrame:
+    """Files to land, one per document: hidden names by language, some without bytes, some that are no UTF-8."""
+    mark = F.when(F.col("lang") == "de", "_").when(F.col("lang") == "fr", ".").otherwise("")
+    whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    content = F.when(F.col("doc_id") % 7 == 0, F.lit(b"")).when(F.col("doc_id") % 11 == 3, F.concat(whole, F.lit(b"\xff"))).otherwise(whole)
+    return table(spark, sf, "documents").select(F.concat("source", F.lit("/"), mark, text("doc_id"), F.lit(".txt")).alias("relative_path"), content.alias("content"))
+
+
+def two_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as files of two sources, with their content; every fifth has no listed size."""
+    return table(spark, sf, "documents").select(
+        F.when(F.col("lang").isin("en", "de"), "a").otherwise("b").alias("source"), text("doc_id").alias("relative_path"),
+        F.concat(F.lit(SITE), text("doc_id")).alias("remote_url"),
+        F.when(F.col("doc_id") % 5 != 0, F.col("n_chars")).alias("size_bytes"), F.lit("1/2/2026 8:30 AM").alias("last_modified"),
+        F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("n_bytes"), "doc_id", "lang",
+    )
+
+
 def listing_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Directory-listing text, one entry per document; Spanish documents stand for folders."""
     mark = F.when(F.col("lang") == "es", "<dir>").otherwise(text("n_chars"))

@@ -109,6 +109,13 @@ plan AS (
                    ELSE 'changed' END AS action
     FROM joined)"""
 
+_LANDED = """
+landed AS (
+    SELECT source || '/' || CASE lang WHEN 'de' THEN '_' WHEN 'fr' THEN '.' ELSE '' END || doc_id || '.txt' AS relative_path,
+           CASE WHEN doc_id % 7 = 0 THEN ''::BLOB WHEN doc_id % 11 = 3 THEN encode(text) || '\\xFF'::BLOB ELSE encode(text) END AS content,
+           doc_id % 7 = 0 OR doc_id % 11 <> 3 AS valid_utf8
+    FROM documents)"""
+
 _REPEATS = """
 lines AS (
     SELECT CAST(l_partkey AS VARCHAR) AS series_id, CAST(year(l_shipdate) AS INTEGER) AS year,
@@ -152,6 +159,12 @@ WHERE o.period = 'Q01'"""
 
 _BY_YEAR = _with(_OBSERVATIONS, _NATION_YEARS) + _ALIGNED.format(columns="o.year") + " AND o.series_id = '299'"
 
+_QUARANTINE = """
+SELECT CASE WHEN o_orderstatus = 'P' OR o_orderpriority = '1-URGENT' THEN 'malformed' ELSE 'good' END AS kind,
+       CAST(CASE WHEN o_orderstatus = 'P' THEN 3 WHEN o_orderpriority = '1-URGENT' THEN 6 ELSE 5 END AS INTEGER) AS n_fields,
+       COUNT(*) AS n
+FROM orders GROUP BY 1, 2"""
+
 ORACLES: dict[str, str] = {
     "padded_text_scan": _with(_QUARTERS) + """
 SELECT series_id, year, period, CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS footnote_codes FROM history""",
@@ -169,8 +182,15 @@ UNION ALL (SELECT DISTINCT 'period', 'Q0' || CAST(quarter(o_orderdate) AS VARCHA
 UNION ALL (SELECT DISTINCT 'footnote', o_orderpriority[1:1], o_orderpriority[3:] FROM orders)""",
     "document_flatten": _POPULATION,
     "document_lines": _POPULATION,
-    "landed_listing": """
-SELECT source, CAST(SUM(strlen(text) + 1) AS BIGINT) AS size_bytes FROM documents GROUP BY source""",
+    "landed_listing": _with(_LANDED) + " SELECT relative_path, octet_length(content) AS size_bytes FROM landed",
+    "landed_content": _with(_LANDED) + """,
+ranges AS (
+    SELECT *, unnest(range(greatest(CAST(ceil(octet_length(content) / 4096) AS BIGINT), 1))) AS k FROM landed),
+hashed AS (
+    SELECT relative_path, any_value(octet_length(content)) AS size_bytes, count(*) AS parts,
+           string_agg(sha256(content[k * 4096 + 1:(k + 1) * 4096]), '' ORDER BY k) AS hashes, any_value(valid_utf8) AS valid_utf8
+    FROM ranges GROUP BY relative_path)
+SELECT relative_path, size_bytes, CASE parts WHEN 1 THEN hashes ELSE sha256(hashes) END AS content_hash, valid_utf8 FROM hashed""",
     "listing_extract": """
 SELECT 'https://data.example.org/pub/' || source || '/' AS page_url, 'doc ' || doc_id AS name,
        'https://data.example.org/pub/' || source || '/' || doc_id AS remote_url, lang = 'es' AS is_dir,
@@ -254,11 +274,7 @@ SELECT o_orderkey, o_orderstatus, o_totalprice,
 FROM checked WHERE NOT (a AND b AND c)""",
     "rules_fail_guard": _with(_TOTALS) + """
 SELECT series_id, year, CAST(total_value AS DOUBLE) AS total_value FROM totals""",
-    "quarantine_rows": """
-SELECT CASE WHEN o_orderstatus = 'P' OR o_orderpriority = '1-URGENT' THEN 'malformed' ELSE 'good' END AS kind,
-       CAST(CASE WHEN o_orderstatus = 'P' THEN 3 WHEN o_orderpriority = '1-URGENT' THEN 6 ELSE 5 END AS INTEGER) AS n_fields,
-       COUNT(*) AS n
-FROM orders GROUP BY 1, 2""",
+    "quarantine_rows": _QUARANTINE,
     "manifest_plan": _with(_FILES) + " SELECT source, relative_path, action FROM plan",
     "manifest_upsert": _with(_FILES) + """,
 seen AS (SELECT *, action IN ('new', 'changed', 'skipped') AS s, action IN ('new', 'changed') AS f FROM plan)
@@ -282,6 +298,24 @@ SELECT source, COUNT(*) FILTER (listed) AS n_listed, COUNT(*) FILTER (action = '
        COUNT(*) FILTER (status = 'active') AS active_before,
        COUNT(*) FILTER (action IN ('new', 'changed', 'skipped') OR (action = 'failed' AND status = 'active')) AS active_after
 FROM plan GROUP BY source""",
+    "rules_empty_guard": _with(_TOTALS) + """
+SELECT series_id, year, CAST(total_value AS DOUBLE) AS total_value FROM totals""",
+    "sync_run": """
+WITH d AS (
+    SELECT *, CASE WHEN lang IN ('en', 'de') THEN 'a' ELSE 'b' END AS source_name, strlen(text) AS n_bytes, sha256(text) AS hash,
+           CASE WHEN doc_id % 5 <> 0 THEN n_chars END AS listed_size, doc_id % 3 <> 0 AND doc_id % 13 <> 4 AS first_run
+    FROM documents),
+s AS (
+    SELECT *, listed_size + CASE WHEN doc_id % 17 = 1 THEN 1 ELSE 0 END AS second_size,
+           lang = 'en' AND (NOT first_run OR coalesce(doc_id % 5 <> 0 AND doc_id % 17 = 1, false) OR doc_id % 19 = 5) AS fetched
+    FROM d)
+SELECT source_name AS source, CAST(doc_id AS VARCHAR) AS relative_path,
+       CASE WHEN lang = 'en' THEN second_size ELSE coalesce(listed_size, n_bytes) END AS size_bytes, hash AS content_hash,
+       CASE lang WHEN 'de' THEN 'removed' ELSE 'active' END AS status,
+       CASE WHEN first_run THEN '2026-01-02' ELSE '2026-01-03' END AS first_seen_at,
+       CASE lang WHEN 'en' THEN '2026-01-04' ELSE '2026-01-02' END AS last_seen_at,
+       CASE WHEN fetched THEN '2026-01-03' ELSE '2026-01-02' END AS last_ingested_at
+FROM s WHERE first_run OR lang = 'en'""",
     "publish_snapshot": _BEST,
     "rule_trend": _with(_RULES) + """,
 runs AS (SELECT 1 AS run, * FROM checked UNION ALL SELECT 2, * FROM checked WHERE o_orderstatus <> 'P'),
@@ -296,13 +330,24 @@ FROM broken GROUP BY rule, action""",
     "incremental_reconcile": _RECONCILED,
     "withdrawn_release": _with(_QUARTERS) + """
 SELECT series_id, year, period, CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS footnote_codes FROM history""",
+    "landed_versions": _RECONCILED,
+    "stream_rule_counts": _with(_QUARTERS) + """,
+seen AS (
+    SELECT period, value IS NOT NULL AS has_value FROM history
+    UNION ALL SELECT period, true FROM history WHERE year = 2001
+    UNION ALL SELECT CASE period WHEN 'Q05' THEN 'M13' ELSE period END, year <> 2000 FROM history)
+SELECT 'non_null_keys' AS rule, 'drop' AS action, COUNT(*) AS rows_in, COUNT(*) FILTER (period IS NULL) AS rows_broken FROM seen
+UNION ALL SELECT 'valid_period', 'drop', COUNT(*), COUNT(*) FILTER (period = 'M13') FROM seen
+UNION ALL SELECT 'has_value', 'warn', COUNT(*), COUNT(*) FILTER (NOT has_value) FROM seen
+UNION ALL SELECT 'well_formed', 'warn', COUNT(*), 0 FROM seen""",
+    "stream_quarantine": _QUARANTINE,
     "state_dropped_keys": _RECONCILED.replace("SELECT series_id, year, period, value, NULL, 2 FROM history)",
         "SELECT series_id, year, period, value, NULL, 2 FROM history WHERE CAST(series_id AS INTEGER) % 3 <> 0)"),
     "state_invalid_periods": _with(_QUARTERS) + """
 SELECT period, COUNT(*) AS n_rows FROM history GROUP BY period
 UNION ALL SELECT 'dropped', COUNT(*) FROM history WHERE period = 'Q05'""",
     "state_ten_versions": _with(_QUARTERS) + """
-SELECT series_id, year, period, CAST(value AS DOUBLE) AS value, '10' AS footnote_codes FROM history WHERE year = 2000""",
+SELECT series_id, year, period, CAST(value AS DOUBLE) AS value, '10' AS footnote_codes FROM history""",
     "best_period_ties": """
 SELECT CAST(o_custkey AS VARCHAR) AS series_id, CAST(o_custkey AS VARCHAR) AS series_label, CAST(2000 AS INTEGER) AS best_year,
        CAST(CAST(min(o_orderkey) % 1000 + max(o_orderkey) % 1000 + 100 AS DECIMAL(18,3)) / 1000 AS DOUBLE) AS total_value

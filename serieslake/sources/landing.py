@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serieslake.functions import resolve_link, sha256, valid_utf8
+from serieslake.functions import resolve_link
+from serieslake.sources.files import RANGE, content_digests, list_files
 from serieslake.sources.text import write_padded
 
 # Fixed value: one entry of a directory-listing page – date, time, size or <dir>, link.
@@ -22,35 +23,17 @@ ANCHOR = r'(?i)<a\s[^>]*href="([^"]*)"'
 def landed_files(spark: SparkSession, root: str, *, glob: str | None = None) -> DataFrame:
     """One row per landed file: path, path below ``root``, size and time; content is not read.
 
-    Spark passes over files of length zero, so an empty copy counts as not landed.
+    Empty files and names that begin with ``_`` or ``.`` are files like any other.
     """
-    return _files(spark, root, glob).select(
-        "path", _below(root).alias("relative_path"), F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+    return list_files(spark, root, glob=glob)
 
 
-def landed_content(spark: SparkSession, root: str, *, glob: str | None = None) -> DataFrame:
+def landed_content(spark: SparkSession, root: str, *, glob: str | None = None, range_bytes: int = RANGE) -> DataFrame:
     """One row per landed file with its SHA-256 and whether it is well-formed UTF-8.
 
-    A file is one value in one task, up to ``spark.sql.sources.binaryFile.maxLength``.
+    Of a file longer than ``range_bytes`` the ranges are hashed by different tasks; see ``content_digests``.
     """
-    return _files(spark, root, glob).select(
-        "path", _below(root).alias("relative_path"), F.col("length").alias("size_bytes"),
-        sha256("content").alias("content_hash"), valid_utf8("content").alias("valid_utf8"),
-    )
-
-
-def _files(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root)
-
-
-def _below(root: str) -> Column:
-    tail = root.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
-    return F.substring_index(F.col("path"), tail, -1)
+    return content_digests(list_files(spark, root, glob=glob).drop("modified_at"), range_bytes=range_bytes)
 
 
 def table_fingerprint(df: DataFrame) -> str:

@@ -182,7 +182,8 @@ def test_numbers_in_quotes_are_read(spark, tmp_path):
 def test_headers_of_odd_paths(spark, tmp_path):
     import gzip
 
-    from serieslake.operators.checks import headers, store_address
+    from serieslake.operators.checks import headers
+    from serieslake.sources.files import store_address
 
     (tmp_path / "with space").mkdir()
     (tmp_path / "with space" / "a%b.txt").write_text("one\ttwo\n1\t2\n")
