@@ -57,15 +57,19 @@ def reconcile(
     keys: Sequence[str] = KEYS,
     tie_break: Sequence[str] = TIE_BREAK,
     prefer_present: str | None = None,
+    by: str | None = None,
 ) -> DataFrame:
     """Union, type and deduplicate releases.
 
+    With ``by``, one of the keys, the rows are distributed by it alone; then totals, best periods and joins by it
+    shuffle no more.  Its values must be light (``layout.if_light``), as a task takes all rows of one.
+
     A preferred release wins even with a NULL value, unless ``prefer_present`` names the
     column that must be set.  Rows that repeat a key within one release are ordered by
     ``tie_break``, so the outcome does not depend on the order of the input.
     """
     rows = typed(stack_releases(releases), types or observation_types(), keep=[RANK])
-    return keep_first(rows, keys, first_by([RANK, *tie_break], prefer_present)).drop(RANK)
+    return keep_first(rows.repartition(by) if by else rows, keys, first_by([RANK, *tie_break], prefer_present)).drop(RANK)
 
 
 def overlay(releases: Sequence[DataFrame], keys: Sequence[str] = KEYS) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from serieslake import schemas as S
 from serieslake.functions import to_type
 from serieslake.operators import summary
+from serieslake.operators.layout import if_light
 from serieslake.operators.decode import Lookup, decode, duplicate_codes, labelled
 from serieslake.operators.reconcile import KEYS, reconcile
 from serieslake.operators.rules import DROP, FAIL, WARN, Rule, RuleViolation
@@ -57,11 +58,10 @@ RULES: dict[str, list[Rule]] = {
 # Counts observations whose value is there but is no number; silver reads them as NULL.
 VALUE_PARSES = Rule("value_parses", "coalesce(trim(value), '') = '' OR try_cast(trim(value) AS double) IS NOT NULL", WARN)
 
-# How some tables are published: an empty silver table is refused, as it breaks no row
-# rule; observations are sorted by their key, so that one series is read from few row groups.
+# How some tables are published: an empty silver table is refused, as it breaks no row rule.
 PUBLISH: dict[str, dict] = {
     "silver.population": {"min_rows": 1},
-    "silver.observations": {"min_rows": 1, "cluster_by": KEYS},
+    "silver.observations": {"min_rows": 1},
     "silver.series": {"min_rows": 1},
 }
 
@@ -109,8 +109,8 @@ def silver_population(bronze: DataFrame) -> DataFrame:
     )
 
 
-def silver_observations(current: DataFrame, history: DataFrame) -> DataFrame:
-    return reconcile([current, history])
+def silver_observations(current: DataFrame, history: DataFrame, *, by: str | None = None) -> DataFrame:
+    return reconcile([current, history], by=by)
 
 
 def series_lookups(tables: Mapping[str, DataFrame]) -> list[Lookup]:
@@ -172,11 +172,13 @@ def check_lookups(lookups: Sequence[Lookup]) -> None:
         raise RuleViolation(f"{twice['list']} {twice['code']!r} is listed more than once")
 
 
-def _publish_all(lake: Lake, tables: Mapping[str, DataFrame], run_at: dt.datetime, malformed: str | None = None) -> None:
+def _publish_all(
+    lake: Lake, tables: Mapping[str, DataFrame], run_at: dt.datetime, malformed: str | None = None, **layouts: dict
+) -> None:
     """Publish the tables of one layer; they do not depend on each other, so their jobs may overlap."""
 
     def publish(name: str, df: DataFrame) -> None:
-        rules, options = list(RULES[name]), dict(PUBLISH.get(name, {}))
+        rules, options = list(RULES[name]), {**PUBLISH.get(name, {}), **layouts.get(name, {})}
         if MALFORMED in df.columns:
             rules.append(Rule("well_formed", f"{MALFORMED} IS NULL", malformed))
             options["rule_columns"] = [MALFORMED]
@@ -207,14 +209,21 @@ def refresh_bronze(
 
 
 def refresh_silver(lake: Lake, run_at: dt.datetime) -> None:
+    """Typed, deduplicated and decoded tables.
+
+    Observations are stored in buckets of the series, sorted by their key, so that totals and best years shuffle nothing
+    and one series is read from few row groups.  If a series is too heavy for a task they are sorted over all files instead.
+    """
     lists = {name: lake.read(f"bronze.{name}") for name in ("sector", "class", "measure", "duration", "seasonal")}
     check_lookups(series_lookups(lists))
     current, history = lake.read("bronze.observations_current"), lake.read("bronze.observations_all")
+    by = if_light([current, history], "series_id")
+    layout = {"bucket_by": by, "sort_by": KEYS} if by else {"cluster_by": KEYS}
     _publish_all(lake, {
         "silver.population": silver_population(lake.read("bronze.population")),
-        "silver.observations": silver_observations(current, history),
+        "silver.observations": silver_observations(current, history, by=by),
         "silver.series": silver_series(lake.read("bronze.series"), lists),
-    }, run_at)
+    }, run_at, **{"silver.observations": layout})
 
 
 def refresh_gold(

@@ -19,7 +19,11 @@ LOG = {
     "seq": "bigint", "run_at": "timestamp", "accepted": "boolean", "path": "string", "schema": "string",
     "rows_in": "bigint", "rows_kept": "bigint",
     "rules": "array<struct<rule: string, action: string, rows_in: bigint, rows_broken: bigint>>",
+    # Of a bucketed snapshot: the name of its table, and how the table is laid out.
+    "table": "string", "layout": "string",
 }
+#: The namespace in the catalog that bucketed snapshots are registered in.
+SNAPSHOTS = "serieslake_snapshots"
 LAYERS = {
     "bronze": "rows as landed",
     "silver": "typed, deduplicated and decoded rows",
@@ -69,11 +73,21 @@ class Lake:
             return control_rows(self.spark, [], {f.name: f.dataType.simpleString() for f in empty.fields})
         line = line or self._current(name)
         schema = T.StructType.fromJson(json.loads(line["schema"]))
+        if line["table"]:
+            self._register(line["table"], schema, line["layout"], line["path"])
+            return self.spark.table(line["table"])
         return self.spark.read.schema(schema).parquet(line["path"])
 
+    def _register(self, table: str, schema: T.StructType, layout: str, path: str) -> None:
+        """The catalog knows how a bucketed table lies, so that scans of it need no shuffle; the data belong to the folder."""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {SNAPSHOTS}")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout} LOCATION '{path}'")
+
     def publish(
         self, df: DataFrame, name: str, rules: Sequence[Rule] = (), *, run_at: dt.datetime, min_rows: int = 0,
         partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), rule_columns: Sequence[str] = (),
+        bucket_by: str | None = None, sort_by: Sequence[str] = (),
     ) -> dict[str, int]:
         """Replace a dataset by ``df`` and return its row counts.
 
@@ -84,6 +98,9 @@ class Lake:
 
         ``cluster_by`` sorts the table over its files, so that a lookup reads few row groups;
         name enough columns that no one value of them is heavy, as equal rows share a task.
+        ``bucket_by`` stores the table in as many hash buckets of one column as the session shuffles into, each sorted by
+        ``sort_by``: later steps by that column read it without a shuffle.  ``df`` has to be distributed by it
+        (``reconcile(by=...)``), else each task writes a file per bucket; its values have to be light.
         ``partition_by`` alone evens out the files: adaptive execution splits a heavy folder
         over several writers and gathers small ones.
         """
@@ -97,7 +114,16 @@ class Lake:
         seq = (newest["seq"] if newest else 0) + 1
         layer, table = name.split(".", 1)
         path = f"{self.root}/{layer}/{table}/snapshot={seq:06d}-{uuid.uuid4().hex[:8]}"
-        kept.write.partitionBy(*partition_by).parquet(path)
+        stored, layout = None, None
+        if bucket_by:
+            stored = f"{SNAPSHOTS}.{layer}_{table}_{path.rsplit('-', 1)[-1]}"
+            buckets = self.spark.conf.get("spark.sql.shuffle.partitions")
+            order = f" SORTED BY ({', '.join(f'`{name}`' for name in sort_by)})" if sort_by else ""
+            layout = f"CLUSTERED BY (`{bucket_by}`){order} INTO {buckets} BUCKETS"
+            self._register(stored, kept.schema, layout, path)
+            kept.write.insertInto(stored)
+        else:
+            kept.write.partitionBy(*partition_by).parquet(path)
         counts = _counts(seen, rules)
         refusal = None
         try:
@@ -106,7 +132,7 @@ class Lake:
             refusal = violation
         line = (
             seq, run_at, refusal is None, path, kept.schema.json(), counts["rows_in"], counts["rows_kept"],
-            count_rows(rules, counts),
+            count_rows(rules, counts), stored, layout,
         )
         control_rows(self.spark, [line], LOG).write.mode("append").parquet(self._log_folder(name))
         if refusal:

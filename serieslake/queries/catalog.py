@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from serieslake import schemas as S
 from serieslake.functions import byte_length, sha256, to_type, valid_utf8
-from serieslake.operators import access, checks, decode, median, reconcile, rules, summary
+from serieslake.operators import access, checks, decode, layout, median, reconcile, rules, summary
 from serieslake.operators import manifest as sync
 from serieslake.plans import datasets, statements
 from serieslake.plans import sync as ingestion
@@ -126,8 +126,8 @@ def content_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 # --- reconciliation and decoding ------------------------------------------------------------
 
 
-def _observations(spark: SparkSession, sf: str) -> DataFrame:
-    rows = reconcile.reconcile([I.current(spark, sf), I.history(spark, sf)], types=EXACT)
+def _observations(spark: SparkSession, sf: str, by: str | None = None) -> DataFrame:
+    rows = reconcile.reconcile([I.current(spark, sf), I.history(spark, sf)], types=EXACT, by=by)
     return rules.keep_valid(rows, datasets.RULES["silver.observations"])
 
 
@@ -173,7 +173,8 @@ def footnote_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _best(spark: SparkSession, sf: str) -> DataFrame:
-    return datasets.gold_best_year(_observations(spark, sf), _dimension(spark, sf))
+    by = layout.if_light([I.current(spark, sf), I.history(spark, sf)], "series_id")
+    return datasets.gold_best_year(_observations(spark, sf, by), _dimension(spark, sf))
 
 
 def period_totals(spark: SparkSession, sf: str) -> DataFrame:

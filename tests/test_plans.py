@@ -1,5 +1,6 @@
 """What the plans must look like to hold at scale."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -7,9 +8,11 @@ from pyspark.sql import functions as F
 
 from serieslake import schemas as S
 from serieslake.operators import summary
+from serieslake.operators.layout import heaviest, if_light
 from serieslake.operators.manifest import plan_sync
-from serieslake.operators.reconcile import observation_types, reconcile
+from serieslake.operators.reconcile import KEYS, observation_types, reconcile
 from serieslake.plans import datasets
+from serieslake.plans.lake import Lake
 from serieslake.queries import catalog
 from serieslake.queries import inputs as I
 
@@ -63,6 +66,39 @@ def test_one_pass_totals_shuffle_once(stored):
     assert "HashAggregate" in plan_of(one) and "Sort" not in plan_of(one)
 
 
+def test_dedup_totals_best_year_and_join_share_one_exchange(stored):
+    """By series alone; the other exchange is that of the dimension."""
+    by = if_light([stored["current"], stored["all"]], "series_id")
+    rows = reconcile([stored["current"], stored["all"]], by=by)
+    best = summary.best_period(summary.period_totals(rows, S.QUARTERS))
+    plan = plan_of(best)
+    assert by == "series_id" and plan.count("Exchange") == 1 and "Exchange hashpartitioning(series_id" in plan
+    apart = summary.best_period(summary.period_totals(reconcile([stored["current"], stored["all"]]), S.QUARTERS))
+    assert plan_of(apart).count("Exchange") == 3
+    assert sorted(map(tuple, best.collect())) == sorted(map(tuple, apart.collect()))
+
+
+def test_heavy_series_are_measured(frame):
+    tables = [frame("series_id string", *[("A ",)] * 5, ("B",)), frame("series_id string", ("A",), (None,))]
+    assert heaviest(tables, "series_id") == 6 and heaviest([tables[0].limit(0)], "series_id") == 0
+    assert if_light(tables, "series_id", 6) == "series_id" and if_light(tables, "series_id", 5) is None
+
+
+def test_bucketed_silver_is_read_without_a_shuffle(spark, stored, tmp_path):
+    lake, now = Lake(spark, str(tmp_path / "lake")), dt.datetime(2026, 1, 2)
+    rows = reconcile([stored["current"], stored["all"]], by="series_id")
+    counts = lake.publish(rows, "silver.observations", datasets.RULES["silver.observations"], run_at=now, bucket_by="series_id", sort_by=KEYS)
+    kept = lake.read("silver.observations")
+    assert counts["rows_kept"] == kept.count() == rows.count()
+    best = summary.best_period(summary.period_totals(kept, S.QUARTERS))
+    assert "Exchange" not in plan_of(best) and "Bucketed: true" in plan_of(best)
+    assert sorted(map(tuple, best.collect())) == sorted(map(tuple, summary.best_period(summary.period_totals(rows, S.QUARTERS)).collect()))
+    one = kept.filter("series_id = '7'")
+    assert "EqualTo(series_id,7)" in plan_of(one) and one.count() > 0
+    spark.sql(f"DROP TABLE {lake._current('silver.observations')['table']}")  # another session does not know the table
+    assert lake.read("silver.observations").count() == kept.count()
+
+
 def test_series_filter_reaches_both_scans(stored):
     rows = datasets.gold_series_by_year(
         reconcile([stored["current"], stored["all"]]), stored["population"], series_id="7", period="Q01", nation="NATION_7")
