@@ -86,15 +86,27 @@ def range_summary(
     ).select(F.lit(first).alias("year_start"), F.lit(last).alias("year_end"), "*")
 
 
+#: A yearly measure of so many rows is broadcast: some 30 MB in a task.
+MOST_YEARLY_ROWS = 1_000_000
+
+
 def aligned_series(
     observations: DataFrame, yearly: DataFrame, *, on: str = "year", columns: Sequence[str], measure: str,
+    most_rows: int = MOST_YEARLY_ROWS, salts: int = 64,
 ) -> DataFrame:
     """Each observation with the outside measure of its year, NULL where that year has none.
 
+    A year may hold a large part of all observations, so they are never shuffled by year alone.  The measure's rows are counted
+    (keep it as a stored table); up to ``most_rows`` are broadcast, more are copied ``salts`` times and joined by year and salt.
     Order by year when reading: a stored table has no order.
     """
     side = yearly.select(F.col(on).alias("_on"), F.col(measure))
-    return observations.join(side, observations[on] == side["_on"], "left").select(*columns, measure)
+    if side.count() <= most_rows:
+        return observations.join(F.broadcast(side), observations[on] == side["_on"], "left").select(*columns, measure)
+    copies = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = observations.withColumn("_salt", F.pmod(F.xxhash64(*observations.columns), F.lit(salts)).cast("int"))
+    same = (F.col(on) == F.col("_on")) & (F.col("_salt") == F.col("_copy"))
+    return salted.join(copies, same, "left").select(*columns, measure)
 
 
 def yearly_profile(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -66,8 +66,15 @@ class Lake:
             raise LookupError(f"{name} was never published")
         return line
 
-    def read(self, name: str, empty: T.StructType | None = None) -> DataFrame:
-        """The current snapshot; an unpublished dataset is empty if a schema is given for it."""
+    def read(self, name: str, empty: T.StructType | None = None, order_by: Sequence[str] = ()) -> DataFrame:
+        """The current snapshot; an unpublished dataset is empty if a schema is given for it.
+
+        A stored table has no order, so rows come in one only if ``order_by`` asks for it.
+        """
+        rows = self._read(name, empty)
+        return rows.orderBy(*order_by) if order_by else rows
+
+    def _read(self, name: str, empty: T.StructType | None) -> DataFrame:
         line = self._newest(name, accepted_only=True)
         if line is None and empty is not None:
             return control_rows(self.spark, [], {f.name: f.dataType.simpleString() for f in empty.fields})

@@ -32,6 +32,7 @@ SERIES_BY_YEAR = """
     LEFT JOIN (SELECT year, population FROM IDENTIFIER(:population) WHERE nation = :nation) AS outside
         ON outside.year = seen.year
     WHERE seen.series_id = :series_id AND seen.period = :period
+    ORDER BY seen.year
 """
 
 

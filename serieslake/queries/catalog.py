@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from serieslake import schemas as S
 from serieslake.functions import byte_length, sha256, to_type, valid_utf8
-from serieslake.operators import access, checks, decode, layout, median, reconcile, rules, summary
+from serieslake.operators import access, checks, decode, layout, median, reconcile, rules, sketches, summary
 from serieslake.operators import manifest as sync
 from serieslake.plans import datasets, statements
 from serieslake.plans import sync as ingestion
 from serieslake.plans.lake import Lake
 from serieslake.queries import inputs as I
-from serieslake.session import scratch_path
-from serieslake.sources import files, landing, text
+from serieslake.session import materialize, scratch_path
+from serieslake.sources import files, landing, large_documents, text
 from serieslake.streaming.observations import ObservationState, merge_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,14 @@ def document_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return datasets.silver_population(rules.keep_valid(bronze, datasets.RULES["bronze.population"]))
 
 
+def document_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """One pretty-printed document that holds every record, read in ranges of a kilobyte."""
+    path = scratch_path(spark, "population")
+    I.one_document(spark, sf).write.text(path)
+    bronze = large_documents.read_large_documents(spark, path, S.POPULATION_RECORD, range_bytes=1024)
+    return datasets.silver_population(rules.keep_valid(bronze, datasets.RULES["bronze.population"]))
+
+
 def document_lines(spark: SparkSession, sf: str) -> DataFrame:
     bronze = datasets.bronze_population(spark, _document_path(spark, sf, lines=True), lines=True)
     return datasets.silver_population(rules.keep_valid(bronze, datasets.RULES["bronze.population"]))
@@ -225,14 +233,14 @@ def range_summary_population(spark: SparkSession, sf: str) -> DataFrame:
 
 def series_by_year(spark: SparkSession, sf: str) -> DataFrame:
     rows = datasets.gold_series_by_year(
-        _observations(spark, sf), I.nation_years(spark, sf), series_id="299", period="Q01", nation="NATION_7"
+        _observations(spark, sf), materialize(I.nation_years(spark, sf), "yearly"), series_id="299", period="Q01", nation="NATION_7"
     )
-    return _doubles(rows, "value")
+    return _doubles(rows, "value").orderBy("year")
 
 
 def aligned_series(spark: SparkSession, sf: str) -> DataFrame:
     first = _observations(spark, sf).filter("period = 'Q01'")
-    yearly = I.nation_years(spark, sf).filter("nation = 'NATION_7'")
+    yearly = materialize(I.nation_years(spark, sf), "yearly").filter("nation = 'NATION_7'")
     rows = summary.aligned_series(first, yearly, columns=["series_id", "year", "value"], measure="population")
     return _doubles(rows, "value")
 
@@ -251,6 +259,20 @@ def yearly_profile(spark: SparkSession, sf: str) -> DataFrame:
     return _doubles(profile.join(middle, "year"), "total", "smallest", "largest")
 
 
+def running_median(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians per year from sketches of two parts of the orders, merged; with the exact one and whether it lies within the stated error."""
+    rows = _cents(spark, sf).withColumn("part", F.expr("cents % 2"))
+    kept = [materialize(sketches.sketch(rows.filter(F.col("part") == part), ["year"], "cents"), "sketches") for part in (0, 1)]
+    merged = sketches.quantile(sketches.merge(kept, ["year"]), ["year"], 0.5, "estimate")
+    middle = median.exact_median(rows, ["year"], "cents")
+    ranked = rows.join(merged, "year").groupBy("year").agg(
+        F.count("*").alias("n"), F.count_if(F.col("cents") < F.col("estimate")).alias("below"), F.count_if(F.col("cents") <= F.col("estimate")).alias("upto")
+    )
+    half = F.col("n") / 2
+    within = (F.col("below") <= half + sketches.RANK_ERROR * F.col("n")) & (F.col("upto") >= half - sketches.RANK_ERROR * F.col("n"))
+    return ranked.join(middle, "year").select("year", "n", "median", within.alias("within"))
+
+
 def median_by_digits(spark: SparkSession, sf: str) -> DataFrame:
     lines = I.table(spark, sf, "lineitem").select(
         "l_returnflag", "l_linestatus", (I.money("l_extendedprice") * 100).cast("bigint").alias("cents")
@@ -628,12 +650,12 @@ def sql_series_by_year(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        padded_text_scan, series_scan, lookup_scan, document_flatten, document_lines, landed_listing, landed_content,
+        padded_text_scan, series_scan, lookup_scan, document_flatten, document_ranges, document_lines, landed_listing, landed_content,
         listing_extract, link_extract, content_fingerprint,
         reconcile_releases, reconcile_repeats, overlay_releases, decode_dimension, unknown_codes, footnote_decode,
         period_totals, best_period_per_series, best_period_one_pass, repeats_best_period, best_period_distribution,
         gold_point_lookup, range_summary, range_summary_population, series_by_year, aligned_series,
-        yearly_profile, median_by_digits, growth_first_last, parts_check,
+        yearly_profile, running_median, median_by_digits, growth_first_last, parts_check,
         rules_drop, rules_warn_metrics, rules_quarantine, rules_fail_guard, rules_empty_guard, quarantine_rows,
         manifest_plan, manifest_upsert, manifest_removed, run_summary, sync_run,
         publish_snapshot, rule_trend, full_refresh, incremental_reconcile, withdrawn_release,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from serieslake import schemas as S
@@ -216,6 +216,21 @@ def population_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def one_document(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a single, pretty-printed document with all records, and other members around them."""
+    records = nation_years(spark, sf).select(
+        F.to_json(F.struct(
+            F.col("nation_id").alias("Nation ID"), F.col("nation").alias("Nation"), F.col("year").alias("Year"), F.col("population").alias("Population"),
+            F.lit('} "quoted" ]{').alias("note"),
+        ), {"pretty": "true"}).alias("record"),
+        F.row_number().over(Window.orderBy("nation_id", "year")).alias("at"),
+    )
+    lines = records.select("at", F.concat(F.when(F.col("at") > 1, ",").otherwise(""), F.col("record")).alias("value"))
+    around = {0: '{\n  "source": [{"data": [{"Nation": "none"}]}],\n  "data": [', 1 << 30: '],\n  "page": {"data": {"Nation": "none"}}\n}'}
+    ends = spark.range(0, 1, 1, 1).select(F.inline(F.array(*[F.struct(F.lit(k).alias("at"), F.lit(v).alias("value")) for k, v in around.items()])))
+    return lines.unionByName(ends).coalesce(1).sortWithinPartitions("at").select("value")
+
+
 # --- landed files ---------------------------------------------------------------------------
 
 

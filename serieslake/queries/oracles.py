@@ -157,7 +157,7 @@ SELECT {columns}, CAST(o.value AS DOUBLE) AS value, p.population
 FROM observations o LEFT JOIN nation_years p ON p.year = o.year AND p.nation = 'NATION_7'
 WHERE o.period = 'Q01'"""
 
-_BY_YEAR = _with(_OBSERVATIONS, _NATION_YEARS) + _ALIGNED.format(columns="o.year") + " AND o.series_id = '299'"
+_BY_YEAR = _with(_OBSERVATIONS, _NATION_YEARS) + _ALIGNED.format(columns="o.year") + " AND o.series_id = '299' ORDER BY o.year"
 
 _QUARANTINE = """
 SELECT CASE WHEN o_orderstatus = 'P' OR o_orderpriority = '1-URGENT' THEN 'malformed' ELSE 'good' END AS kind,
@@ -181,6 +181,7 @@ UNION ALL (SELECT DISTINCT 'period', 'Q0' || CAST(quarter(o_orderdate) AS VARCHA
                   'Quarter ' || CAST(quarter(o_orderdate) AS VARCHAR) FROM orders)
 UNION ALL (SELECT DISTINCT 'footnote', o_orderpriority[1:1], o_orderpriority[3:] FROM orders)""",
     "document_flatten": _POPULATION,
+    "document_ranges": _POPULATION,
     "document_lines": _POPULATION,
     "landed_listing": _with(_LANDED) + " SELECT relative_path, octet_length(content) AS size_bytes FROM landed",
     "landed_content": _with(_LANDED) + """,
@@ -246,6 +247,10 @@ WITH cents AS (
 SELECT year, COUNT(*) AS n, CAST(SUM(value) AS DOUBLE) AS total, CAST(SUM(value) AS DOUBLE) / COUNT(*) AS mean,
        CAST(MIN(value) AS DOUBLE) AS smallest, CAST(MAX(value) AS DOUBLE) AS largest, MEDIAN(c) / 100.0 AS median
 FROM cents GROUP BY year""",
+    "running_median": """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n,
+       CAST(MEDIAN(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS DOUBLE) AS median, true AS within
+FROM orders GROUP BY 1""",
     "median_by_digits": """
 SELECT l_returnflag, l_linestatus, MEDIAN(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT)) / 100.0 AS median
 FROM lineitem GROUP BY l_returnflag, l_linestatus""",

@@ -64,12 +64,13 @@ def _listed(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     before = _prefix(root, base)
     for batch in batches:
         for folder in batch.column(0).to_pylist():
-            found = store.get_file_info(fs.FileSelector(f"{base}/{folder}".rstrip("/"), allow_not_found=True))
+            here = store.get_file_info(f"{base}/{folder}".rstrip("/"))
+            found = [here] if here.type == fs.FileType.File else store.get_file_info(fs.FileSelector(here.path, allow_not_found=True))
             for start in range(0, len(found), 10_000):
                 infos = found[start : start + 10_000]
                 columns = {
                     "path": pa.array([before + info.path for info in infos], pa.string()),
-                    "relative_path": pa.array([info.path[len(base) :].lstrip("/") for info in infos], pa.string()),
+                    "relative_path": pa.array([info.path[len(base) :].lstrip("/") or info.base_name for info in infos], pa.string()),
                     "is_dir": pa.array([info.type == fs.FileType.Directory for info in infos]),
                     "size_bytes": pa.array([info.size for info in infos], pa.int64()),
                     "modified_at": pa.array([None if info.mtime_ns is None else info.mtime_ns // 1000 for info in infos], pa.int64()).cast(pa.timestamp("us", "UTC")),
@@ -78,7 +79,7 @@ def _listed(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def list_files(spark: SparkSession, root: str, *, glob: str | None = None, hidden: bool = True) -> DataFrame:
-    """path, relative_path, size_bytes, modified_at of every file below ``root``, whatever its name or size.
+    """path, relative_path, size_bytes, modified_at of every file below ``root`` (or ``root`` itself), whatever its name or size.
 
     Folders are listed level by level, each by one task; no listing reaches the driver.  ``glob`` is a pattern for
     file names; without ``hidden`` names that begin with ``_`` or ``.`` are left out.

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from serieslake import schemas as S
-from serieslake.operators import summary
+from serieslake.operators import sketches, summary
 from serieslake.operators.layout import heaviest, if_light
 from serieslake.operators.manifest import plan_sync
 from serieslake.operators.reconcile import KEYS, observation_types, reconcile
@@ -128,6 +128,40 @@ def test_yearly_measure_filter_is_pushed_to_its_scan(stored):
     assert "EqualTo(nation,NATION_7)" in plan and "EqualTo(series_id,7)" in plan and "EqualTo(period,Q01)" in plan
 
 
+def test_alignment_never_shuffles_by_year_alone(stored):
+    rows, yearly = stored["observations"], stored["population"]
+    small = summary.aligned_series(rows, yearly, columns=["series_id", "year", "period"], measure="population")
+    large = summary.aligned_series(rows, yearly, columns=["series_id", "year", "period"], measure="population", most_rows=3, salts=8)
+    assert "BroadcastHashJoin" in plan_of(small) and "Exchange hashpartitioning" not in plan_of(small)
+    counted = large.hint("merge")
+    assert re.search(r"_salt", plan_of(counted)) and not re.search(r"Exchange hashpartitioning\(year#\d+, \d+\)", plan_of(counted))
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect())) and small.count() > rows.count()
+
+
+def test_series_by_year_comes_in_order(spark):
+    for name in ("series_by_year", "sql_series_by_year"):
+        years = [row.year for row in catalog.QUERIES[name](spark, "/root/testdata/sf0.01").collect()]
+        assert years == sorted(years) and len(years) > 1, name
+
+
+def test_stored_rows_are_ordered_on_read(spark, frame, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.publish(frame("year int", *[(k * 7 % 50,) for k in range(50)]).repartition(6), "gold.t", run_at=dt.datetime(2026, 1, 2))
+    assert [row.year for row in lake.read("gold.t", order_by=["year"]).collect()] == list(range(50))
+
+
+def test_sketches_merge(spark):
+    """Two halves merged are as good as the whole; NULLs and keys without values do not count."""
+    rows = spark.range(100_000).selectExpr("id % 3 AS key", "CASE WHEN id % 3 = 2 THEN NULL ELSE id * 7919 % 100000 END AS u", "id % 2 AS part")
+    halves = [sketches.sketch(rows.filter(F.col("part") == part), ["key"], "u") for part in (0, 1)]
+    found = {r.key: r for r in sketches.quantile(sketches.merge(halves, ["key"]), ["key"], 0.5, "m").collect()}
+    for key in (0, 1):
+        values = sorted(r.u for r in rows.filter(F.col("key") == key).collect())
+        assert abs(sum(v <= found[key].m for v in values) - len(values) / 2) <= sketches.RANK_ERROR * len(values)
+        assert found[key].n_seen == len(values)
+    assert 2 not in found
+
+
 def test_lookups_too_large_to_broadcast_are_shuffled(spark, stored):
     from conftest import SF
 
