@@ -83,16 +83,36 @@ def crc32_of(column: str):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
-def chunk_rows(docs: DataFrame, size: int, ahead: int = 0) -> DataFrame:
-    """Each text in parts of at most ``size`` characters, one part at least: adds row, part, n_parts.
+#: Characters of long texts that one task takes on.
+TASK_CHARACTERS = 4 << 20
+MOST_TASKS = 50_000
 
-    A part of a longer text also shows ``ahead`` characters of what follows.  ``row`` tells repeated rows apart; it holds only within the job that makes it.
+
+def long_parts(texts: DataFrame, size: int, behind: int = 0, ahead: int = 0) -> DataFrame:
+    """Parts of ``size`` characters of each text of ``texts(row, ..., text)``: adds part, n_parts, before; spread over tasks.
+
+    A text is cut in one pass by the task that reads it; the parts then go to other tasks by row and part.  Each
+    shows up to ``behind`` characters of what precedes it, ``before`` of them, and up to ``ahead`` of what follows.
     """
-    n_parts = F.greatest(F.lit(1), F.ceil(F.length("text") / size)).cast("int")
-    numbered = docs.withColumn("row", F.monotonically_increasing_id()).withColumn("n_parts", F.coalesce(n_parts, F.lit(1)))
-    parts = numbered.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
-    piece = F.substring(F.col("text"), F.col("part") * size + 1, F.lit(size + ahead))
-    return parts.withColumn("text", F.when(F.col("n_parts") == 1, F.col("text")).otherwise(piece))
+    kept = [f.name for f in texts.schema.fields if f.name != "text"]
+    schema = StructType([*(texts.schema[name] for name in kept), *StructType.fromDDL("part int, n_parts int, before int, text string").fields])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, text in enumerate(texts_of(batch)):
+                n = max(1, -(-len(text) // size))
+                for first in range(0, n, 64):  # a batch of some megabytes at a time
+                    numbers = range(first, min(first + 64, n))
+                    before = [min(behind, i * size) for i in numbers]
+                    made = [text[i * size - b : (i + 1) * size + ahead] for i, b in zip(numbers, before, strict=True)]
+                    rows = pa.array([k] * len(made))
+                    columns = [batch.column(name).take(rows) for name in kept]
+                    columns += [pa.array(numbers, pa.int32()), pa.array([n] * len(made), pa.int32()), pa.array(before, pa.int32()), pa.array(made, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*kept, "part", "n_parts", "before", "text"])
+
+    characters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    tasks = min(max(1, -(-characters // TASK_CHARACTERS)), MOST_TASKS)
+    return texts.select(*kept, "text").mapInArrow(cut, schema).repartition(tasks, "row", "part")
 
 
 FILTER_BITS = 26

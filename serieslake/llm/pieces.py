@@ -1,15 +1,19 @@
-"""SentencePiece encoding of whole texts along the best-scoring path, and decoding.
+"""SentencePiece encoding of whole texts along best paths, and decoding.
 
-The pieces and scores of a model file span a lattice over the text; the best path is found in the
-max-plus algebra.  A long text is cut into chunks.  Each chunk yields a transfer matrix: the best score
-from every state at its left border (how far a piece reaches into it) to every state at its right border.
+The pieces of a model file span a lattice over the text; the best path through it is found in the max-plus
+algebra.  In a UNIGRAM file a path scores the sum of its pieces (``Pieces``).  A BPE file merges pairs by rank
+(``Merges``): there two neighbouring pieces score 0 if their border stands, which means that no merge would have crossed it, and minus
+infinity if not; one path is left, the file's own encoding, as merging by fixed ranks never looks past a border that stands.
+
+A long text is cut into chunks.  Each chunk yields a transfer matrix from every state at its left border to every
+state at its right border; the state is how far a piece reaches past the border and, for BPE, also how far it reaches back.
 Matrices combine associatively; a prefix scan gives the states at all borders, and each chunk is then
 traced back by itself.  No piece passes a word's or line's end, so the paths all meet there; between two
-such places the best path is found once for every different unit.
+such places the pieces are found once for every different unit.
 
-Scores are added as integers, hence exactly.  Ties fall to the earlier start of a piece, at the border of
-chunks to the shorter reach.  Null and empty texts have no pieces.  Characters outside the pieces become
-byte pieces.  Decoding restores the text, but for U+2581, which reads as a space.  Repeated rows are
+Scores are added as integers (sixteen bits behind the point), hence exactly.  Ties fall to the earlier start of a piece, at the border of
+chunks to the shorter reach; equal ranks of a BPE file merge from the left.  Other kinds of model files are refused.  Null and empty texts have no pieces.  Characters
+outside the pieces become byte pieces.  Decoding restores the text, but for U+2581, which reads as a space.  Repeated rows are
 encoded each.  Only the columns named in ``keep`` are read besides the text.  An empty table gives an empty result.
 """
 
@@ -17,9 +21,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import re
 import zlib
 from array import array
+from collections.abc import Iterator
 from itertools import islice
 from typing import NamedTuple
 
@@ -29,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from serieslake.llm.common import chunk_rows, on_batches, portions, slices, texts_of
+from serieslake.llm.common import long_parts, on_batches, portions, slices, texts_of
 from serieslake.llm.token_counts import scan
 from serieslake.llm.words import Memo
 from serieslake.session import materialize
@@ -38,6 +44,7 @@ SPACE = "▁"
 NEVER = -(1 << 61)
 _CUT = "\x1f"
 UNKNOWN_PENALTY = 10  # fixed value: an unknown character costs this more than the worst piece
+POINT = 1 << 16  # scores are integers in units of its inverse
 
 
 class Trace(NamedTuple):
@@ -45,20 +52,29 @@ class Trace(NamedTuple):
     start: list[int]
 
 
+def read_model(path: str):
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    model = proto.ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    return proto, model
+
+
 class Pieces:
-    def __init__(self, path: str) -> None:
-        from sentencepiece import sentencepiece_model_pb2 as proto
+    """Paths of the best sum of scores."""
+
+    behind = 0  # characters before a chunk that its matrix depends on
 
-        model = proto.ModelProto()
-        with open(path, "rb") as file:
-            model.ParseFromString(file.read())
+    def __init__(self, path: str) -> None:
+        proto, model = read_model(path)
         if model.normalizer_spec.precompiled_charsmap or model.normalizer_spec.remove_extra_whitespaces:
             raise ValueError(f"{path} changes characters; only files that keep the text are read")
         normal, byte = proto.ModelProto.SentencePiece.NORMAL, proto.ModelProto.SentencePiece.BYTE
         self.prefix = SPACE * model.normalizer_spec.add_dummy_prefix
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == normal}
-        self.scores = {p.piece: round(p.score) for p in model.pieces if p.type == normal}
-        self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
+        self.scores = {p.piece: round(p.score * POINT) for p in model.pieces if p.type == normal}
+        self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY * POINT
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == byte}
         # Beginnings of pieces that are none themselves are known, at a score that never wins.
         self.known = {piece[:k]: NEVER for piece in self.ids for k in range(1, len(piece))} | self.scores
@@ -77,7 +93,11 @@ class Pieces:
             self.score_of[i] = self.scores[piece]
         for value, i in self.bytes.items():
             self.score_of[i] = 0 if 0x80 <= value < 0xC0 else self.unknown
-        self.memo = Memo(lambda units: [self.path(unit, 0, len(unit)) for unit in units], 500_000)
+        self.memo = Memo(lambda units: [self.unit(unit) for unit in units], 500_000)
+
+    def unit(self, text: str) -> bytes:
+        """Ids of a text that no piece leaves."""
+        return self.path(text, 0, len(text))
 
     def trace(self, text: str, begin: int, end: int, closed: range = range(0)) -> Trace:
         """Best scores of reaching each place from ``begin``; no piece begins in ``closed``."""
@@ -103,7 +123,11 @@ class Pieces:
 
     def path(self, text: str, begin: int, end: int, closed: range = range(0)) -> bytes:
         """The ids along the best path, as 32-bit words."""
-        found, start, ids = array("i"), self.trace(text, begin, end, closed).start, self.ids
+        return self.along(self.trace(text, begin, end, closed).start, text, begin, end)
+
+    def along(self, start: list[int], text: str, begin: int, end: int) -> bytes:
+        """The ids of the pieces that end at ``end``, at that piece's start, and so on back to ``begin``."""
+        found, ids = array("i"), self.ids
         while end > begin:
             at = start[end]
             piece = text[at:end]
@@ -153,6 +177,17 @@ class Pieces:
             tail -= 1
         return (first.start(), tail) if tail >= first.start() else None
 
+    def measured(self, text: str, before: int, size: int, first: bool, last: bool) -> bytes:
+        """The transfer matrix of a chunk, packed; ``before`` characters of the text precede it."""
+        return self.matrix(text[: size if last else None], size).tobytes()
+
+    def settled(self, packed: list[bytes]) -> list[int]:
+        """The states at all borders, from the matrices of all chunks."""
+        return border_states([np.frombuffer(raw, np.int64).reshape(self.reach + 1, -1) for raw in packed])
+
+    def traced(self, text: str, before: int, size: int, entry: int, leave: int) -> bytes:
+        return self.between(text, size, entry, leave)
+
     def matrix(self, text: str, size: int) -> np.ndarray:
         """Best scores from each incoming to each outgoing reach; ``text`` shows what follows the chunk's ``size`` characters."""
         states = self.reach + 1
@@ -208,10 +243,245 @@ def border_states(matrices: list[np.ndarray]) -> list[int]:
     return [0, *states[::-1]]
 
 
+NO_LEFT = -(1 << 40)  # the start of the piece before a text's or word's first
+LONG_UNIT = 48
+
+Links = dict[int, frozenset[int]]  # from each state at the left border: states at the right border with a standing path
+
+
+class Merges(Pieces):
+    """The encoding of a BPE file: pairs merge by rank, the leftmost of equals first."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        proto, model = read_model(path)
+        self.rank = {p.piece: p.score for p in model.pieces if p.type == proto.ModelProto.SentencePiece.NORMAL}
+        self.behind = self.longest = self.reach + 1
+        self._halves: dict[str, tuple[str, str, float] | None] = {}
+        self._stood: dict[tuple[str, str], bool] = {}
+
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """BPE by its definition, until ``least`` pieces are left."""
+        parts, rank = list(text), self.rank.get
+        if len(parts) > LONG_UNIT:
+            return self._merged_long(parts)
+        while len(parts) > least:
+            best, at = None, -1
+            for k, pair in enumerate(map(str.__add__, parts, parts[1:])):
+                here = rank(pair)
+                if here is not None and (best is None or here > best):
+                    best, at = here, k
+            if best is None:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def _merged_long(self, parts: list[str | None]) -> list[str]:
+        """The same with a queue of pairs and links between neighbours."""
+        after = [*range(1, len(parts)), -1]
+        ahead = list(range(-1, len(parts) - 1))
+        queue: list[tuple[float, int, int, str]] = []
+
+        def push(left: int) -> None:
+            right = after[left]
+            if right >= 0 and (here := self.rank.get(parts[left] + parts[right])) is not None:
+                heapq.heappush(queue, (-here, left, right, parts[left] + parts[right]))
+
+        for k in range(len(parts) - 1):
+            push(k)
+        while queue:
+            _, left, right, joined = heapq.heappop(queue)
+            if parts[left] is None or parts[right] is None or after[left] != right or parts[left] + parts[right] != joined:
+                continue
+            parts[left], parts[right] = joined, None
+            after[left] = after[right]
+            if after[right] >= 0:
+                ahead[after[right]] = left
+            if ahead[left] >= 0:
+                push(ahead[left])
+            push(left)
+        return [part for part in parts if part is not None]
+
+    def unit(self, text: str) -> bytes:
+        found, ids = array("i"), self.ids
+        for piece in self.merged(text):
+            if piece in ids:
+                found.append(ids[piece])
+            else:
+                found.extend([self.bytes[b] for b in piece.encode()])
+        return found.tobytes()
+
+    def halves(self, piece: str) -> tuple[str, str, float] | None:
+        """What a piece's last merge joined, and its rank; None of a single character."""
+        if len(piece) == 1:
+            return None
+        if piece not in self._halves:
+            parts = self.merged(piece, 2)
+            self._halves[piece] = (*parts, self.rank[piece]) if len(parts) == 2 and piece in self.rank else None
+        return self._halves[piece]
+
+    def made(self, piece: str) -> bool:
+        """Whether merging ever makes this piece."""
+        return len(piece) == 1 or self.halves(piece) is not None
+
+    def stands(self, left: str, right: str) -> bool:
+        """Whether two made pieces stay unmerged side by side.
+
+        Undoes the merges of both, the latest first, and looks at the two parts that meet at the
+        border: they would have merged if their pair ranks before the merges that hid them.
+        """
+        if (known := self._stood.get((left, right))) is not None:
+            return known
+        if len(self._stood) > 300_000:
+            self._stood.clear()
+        pair, never = (left, right), float("-inf")
+        left_hid = right_hid = never
+        while True:
+            across = self.rank.get(left + right, never)
+            if across > never and across > left_hid and across >= right_hid:
+                stood = False
+                break
+            a, b = self.halves(left), self.halves(right)
+            if a is None and b is None:
+                stood = True
+                break
+            if b is None or (a is not None and a[2] < b[2]):
+                left_hid, left = a[2], a[1]
+            else:
+                right_hid, right = b[2], b[0]
+        self._stood[pair] = stood
+        return stood
+
+    def chain(self, text: str, start: list[int | None], begin: int, end: int, closed: int, done: int | None = None) -> None:
+        """Fill in where the last piece of the text up to each place begins, from ``begin`` (or behind ``done``) on; no piece begins from ``closed`` on."""
+        ids = self.ids
+        for to in range((begin if done is None else done) + 1, end + 1):
+            for at in range(max(to - self.longest, begin), min(to, closed)):
+                before = start[at]
+                if before is None:
+                    continue
+                piece = text[at:to]
+                if (piece in ids or len(piece) == 1) and self.made(piece) and (before == NO_LEFT or self.stands(text[before:at], piece)):
+                    start[to] = at
+                    break
+
+    def _state(self, back: int, reach: int) -> int:
+        return back * (self.reach + 1) + reach
+
+    def links(self, text: str, before: int, size: int, first: bool, last: bool) -> Links:
+        """The transfer matrix as its finite entries; a state is (characters back, characters ahead) of the piece at a border."""
+        left, right = before, before + size
+        end = right if last else min(len(text), right + self.reach)
+        entries = [(0, 0)] if first else [
+            (back, reach)
+            for back in range(1, min(before, self.longest) + 1)
+            for reach in range(0, min(self.longest - back, len(text) - left) + 1)
+            if self.made(piece := text[left - back : left + reach]) and (piece in self.ids or len(piece) == 1)
+        ]
+
+        def leaving(start: list[int | None]) -> frozenset[int]:
+            found = [(start[to], to) for to in range(right, end + 1)]
+            return frozenset(self._state(right - at, to - right) for at, to in found if at is not None and at < right)
+
+        def begun(entry: tuple[int, int], end: int) -> list[int | None]:
+            start: list[int | None] = [None] * (end + 1)
+            start[left + entry[1]] = left - entry[0] if entry[0] else NO_LEFT
+            return start
+
+        made: Links = {}
+        meet = self._meetings(text[left:], size)
+        if meet is None:
+            known: dict[int, list[int | None]] = {}
+            for entry in entries:
+                if entry[1] > size:
+                    made[self._state(*entry)] = frozenset([self._state(entry[0] + size, entry[1] - size)])
+                    continue
+                start = begun(entry, end)
+                self._chain_until_known(text, start, left + entry[1], end, right, known)
+                made[self._state(*entry)] = leaving(start)
+            return made
+        a, b = left + meet[0], left + meet[1]
+        tail: list[int | None] = [None] * (end + 1)
+        tail[b] = NO_LEFT
+        self.chain(text, tail, b, end, right)
+        out = leaving(tail)
+        for entry in entries:
+            start = begun(entry, a)
+            self.chain(text, start, left + entry[1], a, a)
+            if start[a] is not None:
+                made[self._state(*entry)] = out
+        return made
+
+    def _chain_until_known(self, text: str, start: list, begin: int, end: int, closed: int, known: dict[int, list]) -> None:
+        """Chains that agree on as many places as the longest piece has letters agree from there on: copy what is known."""
+        step = 4 * self.longest
+        at = begin
+        while at < end:
+            to = min(at + step, end)
+            self.chain(text, start, begin, to, closed, at)
+            for other in known.values():
+                if to - self.longest > begin and start[to - self.longest + 1 : to + 1] == other[to - self.longest + 1 : to + 1]:
+                    start[to + 1 :] = other[to + 1 :]
+                    at = end
+                    break
+            else:
+                at = to
+        if len(known) < 8:
+            known[begin] = start
+
+    def measured(self, text: str, before: int, size: int, first: bool, last: bool) -> bytes:
+        pairs = [(i, j) for i, out in self.links(text, before, size, first, last).items() for j in sorted(out)]
+        return np.array(pairs, "<u2").reshape(-1, 2).tobytes()
+
+    def settled(self, packed: list[bytes]) -> list[int]:
+        maps: list[Links] = []
+        for raw in packed:
+            found: dict[int, list[int]] = {}
+            for i, j in np.frombuffer(raw, "<u2").reshape(-1, 2).tolist():
+                found.setdefault(i, []).append(j)
+            maps.append({i: frozenset(out) for i, out in found.items()})
+        reached = [links.get(0, frozenset()) for links in scan(maps, joined)]
+        (state,) = [j for j in reached[-1] if j % (self.reach + 1) == 0]  # the last piece ends with the text
+        states = [state]
+        for k in range(len(maps) - 1, 0, -1):
+            (state,) = [i for i in reached[k - 1] if states[-1] in maps[k].get(i, ())]
+            states.append(state)
+        return [0, *states[::-1]]
+
+    def traced(self, text: str, before: int, size: int, entry: int, leave: int) -> bytes:
+        """Ids of the pieces that begin in the chunk, given the states at its borders."""
+        (back, reach), (_, further) = divmod(entry, self.reach + 1), divmod(leave, self.reach + 1)
+        left, right = before, before + size
+        begin, end = left + reach, right + further
+        if begin > right:
+            return b""
+        start: list[int | None] = [None] * (end + 1)
+        start[begin] = left - back if back else NO_LEFT
+        meet = self._meetings(text[left:], size)
+        if meet is None:
+            self.chain(text, start, begin, end, right)
+            return self.along(start, text, begin, end)
+        a, b = left + meet[0], left + meet[1]
+        self.chain(text, start, begin, a, a)
+        tail: list[int | None] = [None] * (end + 1)
+        tail[b] = NO_LEFT
+        self.chain(text, tail, b, end, right)
+        return b"".join([self.along(start, text, begin, a), *self.memo.values_of(self.units(text[a:b])), self.along(tail, text, b, end)])
+
+
+def joined(a: Links, b: Links) -> Links:
+    """The max-plus product where entries are 0 or minus infinity: what can be reached."""
+    return {i: frozenset().union(*(b.get(j, frozenset()) for j in out)) for i, out in a.items()}
+
+
 @functools.cache
 def pieces(path: str) -> Pieces:
     """One per Python worker and file."""
-    return Pieces(path)
+    proto, model = read_model(path)
+    kinds = {proto.TrainerSpec.UNIGRAM: Pieces, proto.TrainerSpec.BPE: Merges}
+    if model.trainer_spec.model_type not in kinds:
+        raise ValueError(f"{path} is neither a UNIGRAM nor a BPE file")
+    return kinds[model.trainer_spec.model_type](path)
 
 
 def _int_lists(raws: list[bytes]) -> pa.Array:
@@ -231,37 +501,41 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), chun
 
     short = on_batches(kept.filter(~long), whole, schema)
 
-    reach = pieces(path).reach
+    model = pieces(path)
     base = materialize(kept.filter(long).withColumn("_row", F.monotonically_increasing_id()), "long-texts")
-    parts = chunk_rows(base.select(F.col("_row").alias("own"), "text"), chunk, reach).drop("row").withColumnRenamed("own", "row")
-
-    def marked(batch: pa.RecordBatch) -> list[tuple[str, int]]:
-        """The characters of each part with what follows, and how many are its own."""
-        made = []
-        for text, part in zip(texts_of(batch), batch.column("part").to_pylist(), strict=True):
-            front = pieces(path).prefix if part == 0 else ""
-            made.append(((front + text).replace(" ", SPACE), len(front) + min(chunk, len(text))))
-        return made
+    parts = materialize(long_parts(base.select(F.col("_row").alias("row"), "text"), chunk, model.behind, model.reach), "parts")
+
+    def marked(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, bool, bool]]:
+        """The characters of each part with those around it, how many precede it and how many are its own, and whether it is first or last."""
+        columns = [batch.column(name).to_pylist() for name in ("part", "n_parts", "before")]
+        for text, part, n, before in zip(texts_of(batch), *columns, strict=True):
+            own = min(chunk, len(text) - before)
+            front = pieces(path).prefix
+            if part == 0:
+                own += len(front)
+            elif 0 < before == part * chunk:  # all that precedes is shown, and the prefix before it
+                before += len(front)
+            else:
+                front = ""
+            yield (front + text).replace(" ", SPACE), before, own, part == 0, part == n - 1
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
-        last = [p == n - 1 for p, n in zip(batch.column("part").to_pylist(), batch.column("n_parts").to_pylist(), strict=True)]
-        made = [pieces(path).matrix(text if not end else text[:size], size).tobytes() for (text, size), end in zip(marked(batch), last, strict=True)]
+        made = [pieces(path).measured(*part) for part in marked(batch)]
         return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("part"), pa.array(made, pa.binary())], names=["row", "part", "matrix"])
 
     def settle(group: pa.Table) -> pa.Table:
         group = group.sort_by("part")
-        side = reach + 1
-        states = border_states([np.frombuffer(raw, np.int64).reshape(side, side) for raw in group["matrix"].to_pylist()])
+        states = pieces(path).settled(group["matrix"].to_pylist())
         return pa.table([group["row"], group["part"], pa.array(states[:-1], pa.int32()), pa.array(states[1:], pa.int32())], names=["row", "part", "entry", "leave"])
 
     def trace(batch: pa.RecordBatch) -> pa.RecordBatch:
         states = zip(batch.column("entry").to_pylist(), batch.column("leave").to_pylist(), strict=True)
-        made = [pieces(path).between(text, size, i, j) for (text, size), (i, j) in zip(marked(batch), states, strict=True)]
+        made = [pieces(path).traced(*part[:3], i, j) for part, (i, j) in zip(marked(batch), states, strict=True)]
         return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("part"), _int_lists(made)], names=["row", "part", "ids"])
 
-    matrices = materialize(on_batches(parts.select("row", "part", "n_parts", "text"), measure, "row long, part int, matrix binary"), "matrices")
+    matrices = on_batches(parts, measure, "row long, part int, matrix binary")
     states = matrices.groupBy("row").applyInArrow(settle, "row long, part int, entry int, leave int")
-    traced = on_batches(parts.join(states, ["row", "part"]).select("row", "part", "text", "entry", "leave"), trace, "row long, part int, ids array<int>")
+    traced = on_batches(parts.join(states, ["row", "part"]), trace, "row long, part int, ids array<int>")
     joined = traced.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts"))  # one text's
     ids = joined.select(F.col("row").alias("_row"), F.flatten("parts.ids").alias("ids"))
     return short.unionByName(base.drop("text").join(ids, "_row").select(*keep, "ids"))

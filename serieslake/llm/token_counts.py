@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from serieslake.llm.common import chunk_rows, on_batches, portions, slices, texts_of
+from serieslake.llm.common import long_parts, on_batches, portions, slices, texts_of
 from serieslake.llm.transducer import Transducer
 from serieslake.llm.words import Memo, Pretokens, chunks_of
 from serieslake.session import materialize
@@ -97,38 +97,46 @@ def scan(maps: list[StateMap], combine: Callable[[StateMap, StateMap], StateMap]
     return blocks[0] + [combine(p, m) for p, b in zip(before, blocks[1:], strict=True) for m in b]
 
 
+def reduced(maps: list[StateMap], combine: Callable[[StateMap, StateMap], StateMap]) -> StateMap:
+    """All maps as one, by a tree of pairs: the same as the last prefix, without holding the others."""
+    while len(maps) > 1:
+        maps = [combine(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+    return maps[0]
+
+
 def count_tokens(docs: DataFrame, path: str, chunk: int = 32_768) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row of ``docs(doc_id, text)``.
 
-    ``path`` names the tokenizer file; texts over ``chunk`` characters are counted in parts, by
-    as many tasks as they need.
+    ``path`` names the tokenizer file; texts over ``chunk`` characters are cut into parts, which go to
+    tasks of their own.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = chunk_rows(docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")), chunk)
+    rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    long = F.coalesce(F.length("text"), F.lit(0)) > chunk
+
+    def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+        totals = counter(path).counts(texts_of(batch))
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(totals, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+
+    short = on_batches(rows.filter(~long), whole, f"doc_id {kind}, n_bytes long, n_tokens long")
+
+    names = ["row", "part", "doc_id", "n_bytes"]
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        count = counter(path)
-        texts = texts_of(batch)
-        single = np.asarray(batch.column("n_parts")) == 1
-        values = iter(count.counts([t for t, s in zip(texts, single, strict=True) if s]))
-        made = [StateMap("", next(values), "", True) if s else count.state_map(t) for t, s in zip(texts, single, strict=True)]
-        names = ["row", "part", "n_parts", "doc_id", "n_bytes"]
+        made = [counter(path).state_map(text) for text in texts_of(batch)]
         columns = [batch.column(name) for name in names] + [pa.array(list(c)) for c in zip(*made, strict=True)]
         return pa.RecordBatch.from_arrays(columns, names=[*names, *StateMap._fields])
 
-    maps = materialize(
-        on_batches(rows, make, f"row long, part int, n_parts int, doc_id {kind}, n_bytes long, head string, count long, tail string, closed boolean"),
-        "state-maps",
-    )
+    numbered = materialize(rows.filter(long).withColumn("row", F.monotonically_increasing_id()), "long-texts")
+    maps = on_batches(long_parts(numbered, chunk), make, f"row long, part int, doc_id {kind}, n_bytes long, head string, count long, tail string, closed boolean")
 
     def compose(pieces: pa.Table) -> pa.Table:
         count = counter(path)
         pieces = pieces.sort_by("part")
         maps = [StateMap(**row) for row in pieces.select(list(StateMap._fields)).to_pylist()]
-        total = count.finish(scan(maps, count.combine)[-1])
+        total = count.finish(reduced(maps, count.combine))
         first = pieces.slice(0, 1)
         return pa.table([first["doc_id"], first["n_bytes"], pa.array([total])], names=["doc_id", "n_bytes", "n_tokens"])
 
-    short = maps.filter("n_parts = 1").select("doc_id", "n_bytes", F.col("count").alias("n_tokens"))
-    long = maps.filter("n_parts > 1").groupBy("row").applyInArrow(compose, f"doc_id {kind}, n_bytes long, n_tokens long")
-    return short.unionByName(long)
+    counted = maps.groupBy("row").applyInArrow(compose, f"doc_id {kind}, n_bytes long, n_tokens long")
+    return short.unionByName(counted)

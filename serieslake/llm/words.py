@@ -21,8 +21,10 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECES = regex.compile(PIECES)
 
 
-# A lone mark behind a letter or digit and before white space is a piece of its own.
+# A lone mark behind a letter or digit and before white space is a piece of its own.  In a text that is not
+# normal yet only ASCII letters and digits are sure to end in one: U+0130 becomes an i and a combining dot, which joins the mark.
 _COMMA, _STOP = re.compile(r",(?=\s)(?<=[^\W_],)"), re.compile(r"\.(?=\s)(?<=[^\W_]\.)")
+_PLAIN_COMMA, _PLAIN_STOP = re.compile(r",(?=\s)(?<=[A-Za-z0-9],)"), re.compile(r"\.(?=\s)(?<=[A-Za-z0-9]\.)")
 
 
 def _simple(text: str) -> bool:
@@ -40,8 +42,9 @@ def chunks_of(text: str) -> list[str]:
     Commas and full stops that end a word stand apart, so that fewer parts differ.
     """
     if "<|" not in text and _simple(text):
-        text = text.lower()
-    text = _STOP.sub(" .", _COMMA.sub(" ,", text))
+        text = _STOP.sub(" .", _COMMA.sub(" ,", text.lower()))
+    else:
+        text = _PLAIN_STOP.sub(" .", _PLAIN_COMMA.sub(" ,", text))
     if _SEPARATORS.search(text):
         return [part for part in _WHITE.split(text) if part]
     return text.split()

@@ -1,12 +1,14 @@
-"""Best paths against a plain dynamic programme and the library; chunks against whole texts; round trips."""
+"""Best paths against a plain dynamic programme, encodings against the library; chunks against whole texts; round trips."""
 
 import random
 
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from serieslake.llm import pieces as p
-from serieslake.llm.common import tokenizer_path
+from serieslake.llm.common import table, tokenizer_path
 
 PATH = tokenizer_path("piece_bpe_32k.model")
 ODD = ["", " ", "a", "  two  spaces ", "tab\tand\nline", "日本語 テスト 😀", "x" * 700, "ñandú über-straße", "\x00", "end ", "aa bb" * 300]
@@ -17,6 +19,24 @@ def model():
     return p.Pieces(PATH)
 
 
+@pytest.fixture(scope="module")
+def merges():
+    return p.pieces(PATH)
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def fuzzed(seed, n):
+    rng = random.Random(seed)
+    bits = ["a", "b", "th", "ing", "e", "é", "ñ", "日", "本", "😀", " ", "  ", "      ", "\n", "\t", ".", ",", "'s", "word", "12", "0", "-", "--", "=", "the ", " house", "x" * 9, "<s>", "\x00", "ß"]
+    return ["".join(rng.choice(bits) for _ in range(rng.randint(1, 60))) for _ in range(n)]
+
+
 def plain(model, text):
     """All pieces at all places, score by score."""
     best = [(0, None)] + [None] * len(text)
@@ -89,14 +109,64 @@ def test_the_library_agrees_up_to_rounding(model):
     assert same > 0.98 * len(words)
 
 
-def test_table_round_trip(model, frame):
-    rows = [(i, t, "x") for i, t in enumerate(texts())] + [(3, "again and again", "y"), (3, "again and again", "y"), (None, None, None)]
+def test_ids_equal_the_library(spark, merges, library):
+    """Every document, and texts of odd parts."""
+    docs = [row.text or "" for row in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    for some in (docs, texts(), fuzzed(1, 3000), ["a" * 5000, " " * 5000, "the house" * 900, "日本" * 3000]):
+        assert [np.frombuffer(raw, "<i4").tolist() for raw in merges.encode(some)] == library.encode(some)
+
+
+def chunked(merges, text, size):
+    whole = mark(merges, text)
+    cuts = []
+    for i in range(0, len(whole), size):
+        before = min(i, merges.behind)
+        cuts.append((whole[i - before : i + size + merges.reach], before, min(size, len(whole) - i), i == 0, i + size >= len(whole)))
+    packed = [merges.measured(*cut) for cut in cuts]
+    states = merges.settled(packed)
+    return b"".join(merges.traced(*cut[:3], i, j) for cut, i, j in zip(cuts, states, states[1:], strict=False)), cuts
+
+
+@pytest.mark.parametrize("size", [1, 3, 17, 60, 400])
+def test_chunks_equal_the_library(merges, library, size):
+    for text in [t for t in texts() if t] + fuzzed(2, 80) + ["a" * 300, " " * 300, "thehouse" * 40, "日本語" * 60]:
+        assert np.frombuffer(chunked(merges, text, size)[0], "<i4").tolist() == library.encode(text), text
+
+
+def test_links_are_associative(merges):
+    for text in ("thehousewordingsabab" * 6, "some words and more of them " * 5):
+        _, cuts = chunked(merges, text, 30)
+        a, b, c = [merges.links(*cut) for cut in cuts[:3]]
+        assert p.joined(p.joined(a, b), c) == p.joined(a, p.joined(b, c))
+
+
+def test_other_files_are_refused(tmp_path):
+    proto, model = p.read_model(PATH)
+    model.trainer_spec.model_type = proto.TrainerSpec.CHAR
+    (tmp_path / "c.model").write_bytes(model.SerializeToString())
+    with pytest.raises(ValueError, match="neither"):
+        p.pieces(str(tmp_path / "c.model"))
+
+
+def test_table_equals_the_library(merges, library, frame):
+    rows = [(i, t, "x") for i, t in enumerate([*texts(), "nowhitespace" * 60, "ab " * 300])] + [(3, "again and again", "y"), (3, "again and again", "y"), (None, None, None)]
     docs = frame("doc_id long, text string, ids string", *rows)
     for chunk in (37, 100_000):
         encoded = p.encode(docs, PATH, chunk=chunk)
         assert encoded.columns == ["doc_id", "ids"]
+        assert sorted(((r.doc_id, r.ids) for r in encoded.collect()), key=repr) == sorted(((i, library.encode(t or "")) for i, t, _ in rows), key=repr)
         got = sorted(((r.doc_id is None, r.doc_id, r.text) for r in p.decode(encoded, PATH).collect()), key=repr)
         assert got == sorted(((i is None, i, t or "") for i, t, _ in rows), key=repr)
-        scores = {r.doc_id: int(model.score_of[r.ids].sum()) for r in encoded.collect() if r.doc_id not in (3, None)}
-        assert scores == {i: plain(model, mark(model, t))[1] for i, t, _ in rows if i not in (3, None)}
     assert p.encode(frame("doc_id long, text string"), PATH).count() == 0
+
+
+def test_a_long_text_is_spread_over_tasks(spark, frame, monkeypatch):
+    from serieslake.llm import common
+
+    monkeypatch.setattr(common, "TASK_CHARACTERS", 1000)
+    df = frame("row long, text string", (1, "日本語" * 4000))
+    parts = common.long_parts(df, 500, 16, 15)
+    assert parts.rdd.getNumPartitions() == 12
+    assert len({r.task for r in parts.select(F.spark_partition_id().alias("task")).collect()}) > 4
+    rows = sorted(parts.collect(), key=lambda r: r.part)
+    assert "".join(r.text[r.before : r.before + 500] for r in rows) == "日本語" * 4000 and {r.n_parts for r in rows} == {24}

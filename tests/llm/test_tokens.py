@@ -38,6 +38,22 @@ def test_counts_equal_the_library(docs, library):
     assert got == want
 
 
+BITS = [
+    "İ", "ı", "’", "‘", "“", "”", ".", ",", "'", "'s", "'LL", " ", "  ", "\n", "\t", "\x1c", "\x1f", "\x85", "\xa0", "\u200b", "a", "B", "th", "E", "é", "e\u0301", "\u0301", "\u0307", "ß",
+    "Σ", "ς", "ﬁ", "K", "Å", "½", "²", "1", "23", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "日", "本", "語", "\u0958", "한", "ᄒ", "ᅡ", "ᆫ", "👍🏽", "🇩🇪", "\x00", "\x07", "\u202e", "word",
+    "Prof", "!", "?", "-", "_", "@", "x",
+]
+
+
+def test_fuzzed_texts_equal_the_library(library):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(BITS) for _ in range(rng.randint(1, 40))) for _ in range(30_000)] + ["Prof. İ. Yılmaz’ın evi"]
+    want = [found.ids for found in library.encode_batch(texts, add_special_tokens=False)]
+    assert token_counts.counter(PATH).counts(texts) == [len(ids) for ids in want]
+    encoder = token_files.encoder(PATH)
+    assert [np.frombuffer(encoder.encode(text), "<i4").tolist() for text in texts] == want
+
+
 def test_state_maps_compose_in_any_grouping(library):
     count = token_counts.counter(PATH)
     text = "It's over; won't <|endoftext|> naïveté\n  and  thoner.ander " * 3 + "q" * 40
