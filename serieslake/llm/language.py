@@ -2,7 +2,8 @@
 
 Two gated recurrent layers read a text's bytes forwards and backwards; a softmax over both states
 labels every position, and a document's probabilities are the mean over its positions.  The network
-is trained in numpy by backpropagation through time on windows of a bounded labelled sample.  To run many
+is trained in numpy by backpropagation through time on windows of a bounded labelled sample, of all languages; its size and training
+grow with their number.  To run many
 positions at once, a text is read in windows of ``WINDOW`` bytes, each entered ``LEAD`` bytes early in
 either direction, so every byte of the whole text is read and labelled exactly once.
 
@@ -13,13 +14,15 @@ none is left, all texts are ``und``.  Repeated rows are labelled each.  Other co
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from serieslake.llm.common import crc32_of, on_batches, portions, texts_of
@@ -219,26 +222,58 @@ def held_out() -> Column:
     return crc32_of("doc_id") % HELD_OUT[0] == HELD_OUT[1]
 
 
-def fit(docs: DataFrame, per_language: int = 1200, characters: int = 1024, most_languages: int = 200) -> Model:
-    """Train on at most ``per_language`` texts of each language that may be learnt from.
+def sizes(languages: int) -> dict[str, int]:
+    """Hidden states, steps and rows of a batch; more languages need a larger network and a longer training."""
+    doublings = max(2, math.ceil(math.log2(max(languages, 1))))
+    return {"hidden": 4 * doublings, "steps": 225 * doublings, "batch": max(128, min(512, 2 * languages))}
 
+
+def least_probability(model: Model) -> float:
+    """Below this a text's language is uncertain: a fifth above an even guess, 0.3 at most."""
+    return min(0.3, 1.2 / max(1, len(model.languages)))
+
+
+def sample(docs: DataFrame, per_language: int, most_texts: int, characters: int) -> list:
+    """key, lang, text of the learnable texts with the smallest keys of each language.
+
+    A text's key is a hash, so a language's share of keys below a threshold follows from its count: only those
+    few leave the scan, and the smallest key always.
+    """
+    key = F.xxhash64("doc_id", "text")
+    usable = docs.select("doc_id", "text", "lang").filter(~held_out()).filter("lang is not null and text is not null and text <> ''").withColumn("key", key)
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("key").alias("least"))
+    found = counts.count()  # languages
+    if not found:
+        return []
+    each = min(per_language, max(1, most_texts // found))
+    share = F.least(F.lit(1.0), (1.5 * each + 20) / F.col("n"))
+    below = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((F.lit(-(2.0**63)) + share * 2.0**64).cast("long"))
+    limits = counts.select("lang", F.greatest(below, F.col("least")).alias("below"))  # a row per language
+    middle = F.greatest(F.lit(1), ((F.length("text") - characters) / 2).cast("int"))
+    few = usable.join(F.broadcast(limits), "lang").filter(F.col("key") <= F.col("below"))
+    rows = few.select("key", "lang", F.substring("text", middle, F.lit(characters)).alias("text")).dropDuplicates(["key", "lang"]).collect()
+    kept: dict[str, int] = defaultdict(int)
+    made = []
+    for row in sorted(rows, key=lambda row: (row.key, row.lang)):
+        kept[row.lang] += 1
+        if kept[row.lang] <= each:
+            made.append(row)
+    return made
+
+
+def fit(docs: DataFrame, per_language: int = 1200, characters: int = 1024, most_texts: int = 24_000, **training: int) -> Model:
+    """Train on a bounded sample of the texts that may be learnt from, of every language.
+
+    It holds up to ``per_language`` texts of each, ``most_texts`` in all unless there are more languages (then one of each).
     Of each such text a stretch of ``characters`` from its middle is used; prediction reads whole texts.
     """
-    usable = docs.select("doc_id", "text", "lang").filter(~held_out()).filter("lang is not null and text is not null and text <> ''")
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    languages = sorted(row.lang for row in counts)
+    rows = sample(docs, per_language, most_texts, characters)
+    languages = sorted({row.lang for row in rows})
     if not languages:
         return Model(None, [])
-    key = F.xxhash64("doc_id", "text")
-    first = Window.partitionBy("lang").orderBy("key", "doc_id")
-    # Of ids alone, the first of each language; a task passes on that many at most.
-    chosen = usable.filter(F.col("lang").isin(languages)).select("lang", key.alias("key"), "doc_id").withColumn("n", F.row_number().over(first))
-    chosen = chosen.filter(F.col("n") <= per_language).select("key").distinct()
-    middle = F.greatest(F.lit(1), ((F.length("text") - characters) / 2).cast("int"))
-    texts = usable.withColumn("key", key).join(F.broadcast(chosen), "key").dropDuplicates(["key"])  # languages x per_language rows
-    rows = sorted(texts.select("key", "lang", F.substring("text", middle, F.lit(characters)).alias("text")).collect(), key=lambda r: r.key)
-    label = np.array([languages.index(r.lang) for r in rows])
-    return Model(train([r.text for r in rows], label, len(languages)), languages)
+    place = {name: k for k, name in enumerate(languages)}
+    label = np.array([place[row.lang] for row in rows])
+    return Model(train([row.text for row in rows], label, len(languages), **(sizes(len(languages)) | training)), languages)
 
 
 def label_texts(model: Model, reader: Reader | None, texts: list[str]) -> tuple[list[str], np.ndarray]:

@@ -1,6 +1,7 @@
 """Language network and quality vote: gradients, brute force, held-out accuracy, edge cases."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -69,6 +70,43 @@ def test_language_edge_cases(spark, frame):
     assert {r.lang_pred for r in language.predict(docs, none).collect()} == {"und"}
 
 
+def test_every_language_is_learnt(frame):
+    """Three hundred languages, one of them with most rows; sizes follow the number."""
+    rng = np.random.default_rng(4)
+    names = [f"l{k:03d}" for k in range(300)]
+    rows = [(k, " ".join("".join(rng.choice([chr(0x4E00 + 3 * lang + j) for j in range(3)], 4)) for _ in range(20)), names[lang]) for k, lang in enumerate(rng.permutation(np.repeat(np.arange(300), 8)))]
+    rows += [(10_000 + k, "same words again", "l000") for k in range(4000)] + [(7, None, "l299"), (8, "x", None)]
+    docs = frame("doc_id long, text string, lang string", *rows)
+    picked = language.sample(docs, 1200, 3000, 64)
+    found = Counter(row.lang for row in picked)
+    assert set(found) == set(names) and max(found.values()) == 10 and len({row.key for row in picked}) == len(picked)
+    model = language.fit(docs, most_texts=3000, steps=2)
+    assert model.languages == names and model.net.output.shape == (2, 36, 300)
+    assert language.sizes(4) == {"hidden": 8, "steps": 450, "batch": 128} and language.sizes(300)["steps"] == 2025
+    assert language.least_probability(model) == 0.004 and language.least_probability(language.Model(None, ["en"])) == 0.3
+    assert {r.lang_pred for r in language.predict(docs.filter("doc_id < 20 and text is not null"), model).collect()} <= set(names)
+
+
+def test_equal_probabilities_fall_to_the_first_language(frame):
+    net = language.Network(*(np.zeros_like(a) for a in language.Network.random(8, 3, 1)))
+    model = language.Model(net, ["aa", "bb", "cc"])
+    (row,) = language.predict(frame("doc_id long, text string", (1, "some text")), model).collect()
+    assert row.lang_pred == "aa" and row.score == pytest.approx(1 / 3, abs=1e-6)
+
+
+def test_one_repeated_text_is_learnt(frame):
+    docs = frame("doc_id long, text string, lang string", *[(1, "the only text of this language", "xx")] * 3000, *[(k, "un texte", "fr") for k in range(50)])
+    assert {row.lang for row in language.sample(docs, 10, 100, 64)} == {"fr", "xx"}
+
+
+def test_quality_scores_a_very_long_text(frame):
+    good, bad = "Plain words, and a sentence. Another one here.", "WIN!! NOW!! $$$ | click | here | !!"
+    docs = frame("doc_id long, text string", *[(k, good if k % 2 else bad) for k in range(40)], (100, (good + " ") * 60_000), (101, (bad + " ") * 60_000))
+    labels = frame("doc_id long, quality int", *[(k, k % 2) for k in range(40)])
+    got = {r.doc_id: r.predicted for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    assert got[100] == 1 and got[101] == 0
+
+
 def test_quality_is_right_on_held_out_rows(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     rows = quality.score(docs, quality.fit(docs, labels)).join(labels, "doc_id").collect()

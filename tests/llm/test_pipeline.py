@@ -35,7 +35,8 @@ def test_decisions_take_effect(spark, stages):
     labels, bench = table(spark, sf, "labels"), table(spark, sf, "benchmark")
     good = quality.score(made[0], quality.fit(made[0], labels)).filter("predicted = 1")
     assert ids(made[1]) == ids(good)
-    named = language.predict(made[1], language.fit(made[1])).filter(f"lang_pred <> 'und' and score >= {corpus_pipeline.LEAST_LANGUAGE}")
+    model = language.fit(made[1])
+    named = language.predict(made[1], model).filter(f"lang_pred <> 'und' and score >= {language.least_probability(model)}")
     assert ids(made[2]) == ids(named)
     groups = simhash.near_groups(made[2])
     assert ids(made[3]) == sorted({r.component_id for r in groups.collect()})
