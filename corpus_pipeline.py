@@ -8,9 +8,6 @@ from serieslake.llm import decontamination, language, pieces, quality, simhash
 from serieslake.llm.common import table, tokenizer_path
 from serieslake.session import materialize
 
-#: A text's language is uncertain below this mean probability; an even guess among four is 0.25.
-LEAST_LANGUAGE = 0.3
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted quality is 1."""
@@ -19,7 +16,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognized."""
-    return language.keep_identified(docs, language.fit(docs), LEAST_LANGUAGE)
+    model = language.fit(docs)
+    return language.keep_identified(docs, model, language.least_probability(model))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
