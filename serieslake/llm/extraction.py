@@ -5,8 +5,12 @@ forms, adverts and the like, or outside of the article where one is marked, and
 are boilerplate; long blocks with their share of stop words are text, all long ones where the page's text
 holds next to none of the stop words known (another language).  The rest, mostly short, is
 ambiguous: pass two gives each such block the label of its nearest decided neighbour, a heading that
-of what follows if both are as near.  Links within a marked article drop only themselves, so an article
-without a decided block is text as a whole.
+of what follows if both are as near.  Links within a marked article drop only themselves, and a single link that reads like a
+sentence not even itself, so an article without a decided block is text as a whole.
+
+A class or id marks an element if it is made of known parts alone: ``sidebar-left`` does, ``content-with-sidebar``
+does not.  An article within a sidebar, banner or form is the article all the same; within an aside, a related box or the
+like it is not.  A form that holds most of the page is no form.
 
 Null and empty pages give the empty text.  Unclosed and cut-off markup is read as far as it goes.
 Repeated pages are extracted each.  Other columns are not read.  An empty table gives an empty result.
@@ -32,13 +36,19 @@ al algo ante como con contra cual cuando de del desde donde dos durante e el ell
 """.split())
 
 # Elements and name parts that mark boilerplate.
-DROPPED = frozenset("head title script style noscript template iframe object svg math canvas select button textarea nav footer aside form menu dialog".split())
+DROPPED = frozenset("head title script style noscript template iframe object svg math canvas select button textarea nav footer aside menu dialog".split())
 RAW = frozenset("script style noscript template iframe textarea title".split())
 MARKS = frozenset("""
 ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion teaser cookie cookies consent gdpr notice notices alert banner
 menu nav navbar navigation topbar sidebar aside footer masthead breadcrumb breadcrumbs pagination pager widget toolbar share sharing social
 related recommended newsletter subscribe subscription signup login popup modal overlay skip hidden
 """.split())
+# Of these, places that may hold the article itself; and parts of names that go with either.
+PLACES = frozenset("banner topbar sidebar masthead widget toolbar skip".split())
+NEUTRAL = frozenset("""
+area bar block bottom box button buttons center col column container content desktop fixed footer grid group header icon icons inner item items left link links
+list main mobile outer page panel primary right row secondary section site slot small sticky text title top unit wrap wrapper zone
+""".split())
 REMARKS = frozenset("comment comments reply replies disqus respond discussion".split())
 ARTICLES = frozenset(("article", "main"))
 BLOCKS = frozenset("""
@@ -66,6 +76,7 @@ class Rules(NamedTuple):
     link_share: float = 0.5  # of a block's characters: above it is a list of links
     least_length: int = 70  # characters below which a block is ambiguous
     stop_share: float = 0.15  # of a block's words: from here on a block of that length is text
+    form_share: float = 0.75  # of the text that is not dropped otherwise: from here on a form wraps the page
     foreign_share: float = 0.075  # of the words of all blocks in question: below it length alone decides
 
 
@@ -75,52 +86,71 @@ class Block(NamedTuple):
     heading: bool
     dropped: bool
     article: bool
+    links: int = 0
+    form: bool = False
 
 
 class Scope(NamedTuple):
     """What holds within an open element."""
 
     name: str
-    dropped: bool
+    dropped: int  # ``PLACE`` or ``ALWAYS``
     remark: bool
     article: bool
+    form: bool
+
 
+PLACE, ALWAYS = 1, 2  # dropped unless an article follows within; dropped with all that is within
+_PLAIN_SCOPE = Scope("", 0, False, False, False)
 
-def _marks(attributes: str) -> set[str]:
-    found: set[str] = set()
+
+def _marks(attributes: str) -> tuple[int, bool]:
+    """How far the element's names drop it, and whether they speak of readers' remarks."""
+    dropped, remark = 0, False
     for kind, *values in _NAMES.findall(attributes):
         value = "".join(values).lower()
-        if kind.lower() != "role" or value in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
-            found.update(_PARTS.findall(value) if kind.lower() != "role" else ["hidden"])
-    return found
+        if kind.lower() == "role":
+            if value in ("navigation", "contentinfo", "complementary", "search", "dialog", "alert"):
+                dropped = ALWAYS
+            elif value == "banner":
+                dropped = max(dropped, PLACE)
+            continue
+        for token in value.split():
+            parts = _PARTS.findall(token)
+            known = [part for part in parts if part in MARKS]
+            remark |= any(part in REMARKS for part in parts)
+            if known and all(part in MARKS or part in NEUTRAL for part in parts):
+                dropped = max(dropped, PLACE if all(part in PLACES for part in known) else ALWAYS)
+    return dropped, remark
 
 
 def _enter(name: str, attributes: str, around: Scope) -> Scope:
-    marks = _marks(attributes) if "=" in attributes else set()
-    remark = around.remark or bool(marks & REMARKS)
-    if name in ARTICLES and not remark:
-        return Scope(name, False, False, True)
-    dropped = around.dropped or remark or name in DROPPED or (name == "header" and not around.article)
-    if not dropped and name not in ("body", "html"):
-        dropped = bool(marks & MARKS) or bool(attributes and _HIDDEN.search(attributes))
-    return Scope(name, dropped, remark, around.article)
+    marked, remark = _marks(attributes) if "=" in attributes else (0, False)
+    remark |= around.remark
+    if name in ARTICLES and not remark and around.dropped != ALWAYS:
+        return Scope(name, 0, False, True, False)
+    dropped = ALWAYS if remark or name in DROPPED else PLACE if name == "header" and not around.article else 0
+    if name not in ("body", "html"):
+        dropped = max(dropped, marked, ALWAYS if attributes and _HIDDEN.search(attributes) else 0)
+    return Scope(name, max(dropped, around.dropped), remark, around.article, around.form or name == "form")
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks that hold text, in page order."""
     made: list[Block] = []
-    scopes = [Scope("", False, False, False)]
+    scopes = [_PLAIN_SCOPE]
     parts: list[str] = []
-    linked = links = 0
+    linked = links = anchors = 0
     heading = False
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, anchors
         text = " ".join("".join(parts).split())
         if text:
-            made.append(Block(text, min(linked, len(text)), heading, scopes[-1].dropped, scopes[-1].article))
+            here = scopes[-1]
+            made.append(Block(text, min(linked, len(text)), heading, here.dropped > 0, here.article, anchors, here.form))
         parts.clear()
-        linked = 0
+        linked = anchors = 0
 
     def add(text: str) -> None:
         nonlocal linked
@@ -146,6 +176,7 @@ def blocks(page: str) -> list[Block]:
             break  # cut off within a tag
         if name == "a":
             links = 0 if ending else 1
+            anchors += links
             continue
         block = name in BLOCKS
         if ending:
@@ -185,13 +216,15 @@ def decide(found: list[Block], rules: Rules = Rules()) -> list[int]:
     marked = any(b.article and not b.dropped for b in found)
     labels, counts = [], []
     for b in found:
-        listed = b.linked > rules.link_share * len(b.text)
+        words = _WORD.findall(b.text.lower())
+        stops = sum(w in STOP_WORDS for w in words)
+        inside = marked and b.article and not b.dropped
+        sentence = inside and b.links == 1 and len(words) > 3 and stops >= rules.stop_share * len(words)
+        listed = b.linked > rules.link_share * len(b.text) and not sentence
         if b.dropped or (marked and not b.article) or listed:
-            labels.append(LINKS if listed and marked and b.article and not b.dropped else BOILERPLATE)
+            labels.append(LINKS if listed and inside else BOILERPLATE)
             counts.append((0, 0))
             continue
-        words = _WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words)
         counts.append((len(words), stops))
         enough = len(b.text) >= rules.least_length and not b.heading and words and stops >= rules.stop_share * len(words)
         labels.append(TEXT if enough else AMBIGUOUS)
@@ -226,8 +259,15 @@ def settle(found: list[Block], labels: list[int]) -> list[bool]:
     return settled
 
 
+def without_forms(found: list[Block], rules: Rules) -> list[Block]:
+    """Blocks within forms count as dropped, unless those outside an article are most of the page."""
+    size = {form: sum(len(b.text) for b in found if b.form == form and not b.dropped and not b.article) for form in (True, False)}
+    wraps = not any(b.article and not b.dropped for b in found) and size[True] >= rules.form_share * (size[True] + size[False])
+    return [b._replace(dropped=b.dropped or b.form and (b.article or not wraps)) for b in found]
+
+
 def main_text(page: str, rules: Rules = Rules()) -> str:
-    found = blocks(page)
+    found = without_forms(blocks(page), rules)
     keep = settle(found, decide(found, rules))
     return " ".join(b.text for b, kept in zip(found, keep, strict=True) if kept)
 

@@ -116,3 +116,33 @@ def test_languages_without_stop_words(text):
     assert x.main_text(f"<article><p>{text}</p><p>{text}</p><p><a href=s>{text[:9]}</a></p></article>") == f"{text} {text}"
     page = f"<body><p><a href=1>{text[:5]}</a> <a href=2>{text[5:9]}</a></p><p>{text}</p><p>{text[:20]}</p><p>{text}</p><p><a href=3>{text[:7]}</a></p><div>{text[:8]}</div>"
     assert x.main_text(page) == f"{text} {text[:20].strip()} {text}"
+
+
+@pytest.mark.parametrize("box", ["<aside class=related>{}</aside>", "<div class='related-box'>{}</div>", "<div id=recommended-list>{}</div>", "<nav>{}</nav>", "<div class=promo>{}</div>", "<div hidden>{}</div>"])
+def test_teasers_within_boxes_stay_out(box):
+    teaser = box.format(f"<article><h3>Other news</h3><p>{SENTENCE}</p></article>")
+    assert x.main_text(f"<body><article><p>{SENTENCE}</p></article>{teaser}</body>") == SENTENCE
+    assert x.main_text(f"<body><article><p>{SENTENCE}</p>{teaser}<p>End.</p></article></body>") == f"{SENTENCE} End."
+
+
+@pytest.mark.parametrize("name", ["content-with-sidebar", "no-sidebar", "skip-lead", "social-history", "has-banner", "without-menu post"])
+def test_names_that_only_mention_a_mark(name):
+    for page in (f"<body class='{name}'><div class='{name}'><p>{SENTENCE}</p></div></body>", f"<article><div id='{name}'><p>{SENTENCE}</p></div></article>"):
+        assert x.main_text(page) == SENTENCE
+
+
+@pytest.mark.parametrize("name", ["sidebar", "sidebar-left", "left_sidebar", "main-menu", "cookieBar cookie-notice", "ad-slot", "site-footer footer", "social-share-buttons"])
+def test_names_that_are_marks(name):
+    assert x.main_text(f"<body><p>{SENTENCE}</p><div class='{name}'><p>{SENTENCE}</p></div><p>{SENTENCE}</p></body>") == f"{SENTENCE} {SENTENCE}"
+
+
+def test_page_within_a_form():
+    inner = f"<p>{SENTENCE}</p><p>Short.</p><p>{SENTENCE}</p>"
+    assert x.main_text(f"<body><form action=x>{inner}</form></body>") == f"{SENTENCE} Short. {SENTENCE}"
+    assert x.main_text(f"<body><form><nav><a href=1>One</a></nav><article>{inner}</article></form></body>") == f"{SENTENCE} Short. {SENTENCE}"
+    assert x.main_text(f"<body>{inner}<form><p>{SENTENCE}</p></form></body>") == f"{SENTENCE} Short. {SENTENCE}"
+    assert x.main_text(f"<article>{inner}<form><p>{SENTENCE}</p></form></article>") == f"{SENTENCE} Short. {SENTENCE}"
+
+
+def test_article_paragraph_that_is_one_link():
+    assert x.main_text(f"<article><p>{SENTENCE}</p><p><a href=r>{SENTENCE}</a></p><p><a href=1>More on this</a> <a href=2>and this</a></p></article>") == f"{SENTENCE} {SENTENCE}"
