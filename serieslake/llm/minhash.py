@@ -10,7 +10,7 @@ candidates, joined in Spark to the first text of each band.  The shingle sets of
 are then compared, in pairs of blocks of bounded size, and links of a Jaccard likeness of 0.8 and more make the
 classes.  No pairs leave a task but a spanning forest of its links.
 
-Null texts read as empty.  Rows with equal doc_id are ordered by text, a null doc_id comes last;
+Null texts read as empty.  Rows with equal doc_id are ordered by a hash of the text, a null doc_id comes last;
 repeated rows are kept each.  Other columns are not read.  An empty table gives an empty result.
 """
 
@@ -152,11 +152,12 @@ def _packed(docs: DataFrame) -> DataFrame:
         packed = [zstandard.compress(text.encode(), 1) for text in texts_of(batch)]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(packed, pa.binary())], names=["doc_id", "key", "packed"])
 
-    return on_batches(docs.select("doc_id", "text", _key().alias("key")), pack, f"doc_id {kind}, key long, packed binary")
+    return on_batches(docs.select("doc_id", "text", _key().alias("key")), pack, f"doc_id {kind}, key string, packed binary")
 
 
 def _key():
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+    """128 bits that stand for a text."""
+    return F.md5(F.coalesce("text", F.lit("")))
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -167,7 +168,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     ``key`` is a hash of the text.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    result = f"doc_id {kind}, key long, {_NUMBERS}"
+    result = f"doc_id {kind}, key string, {_NUMBERS}"
     names = ["doc_id", "key", *_NAMES, "part", "role", "text"]
     order = [F.col("doc_id").desc_nulls_last(), F.col("key"), F.col("packed")]
     ordered = _packed(docs).repartitionByRange(*order[:2]).sortWithinPartitions(*order)
@@ -254,15 +255,23 @@ def near_classes(docs: DataFrame, prints: DataFrame, least_likeness: float = 0.8
     first = bands.groupBy("band").agg(F.min("key").alias("b"), F.max("key").alias("other")).filter("b <> other")
     candidates = bands.join(first.drop("other"), "band").filter("key <> b").select(F.col("key").alias("a"), "b")
     groups = materialize(components(candidates), "candidates")
-    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(groups, "node"))
-
-    def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = np.flatnonzero(may_hold(sent.value, np.asarray(batch.column("node"))))
-        picked = batch.take(pa.array(rows))
-        made = [np.unique(shingles(word_hashes(text))).tobytes() for text in texts_of(picked)]
-        return pa.RecordBatch.from_arrays([picked.column("node"), pa.array(made, pa.binary())], names=["node", "set"])
-
-    found = on_batches(docs.select("text", _key().alias("node")), sets_of, "node long, set binary")
+    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(groups.select(F.xxhash64("node").alias("hash")), "hash"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()  # a task gives each text's set once, however many copies it holds
+        for batch in batches:
+            nodes, rows = batch.column("node").to_pylist(), []
+            for row in np.flatnonzero(may_hold(sent.value, np.asarray(batch.column("hash")))).tolist():
+                if nodes[row] not in seen:
+                    seen.add(nodes[row])
+                    rows.append(row)
+            if rows:
+                picked = batch.take(pa.array(rows))
+                made = [np.unique(shingles(word_hashes(text))).tobytes() for text in texts_of(picked)]
+                yield pa.RecordBatch.from_arrays([picked.column("node"), pa.array(made, pa.binary())], names=["node", "set"])
+
+    keyed = docs.select("text", _key().alias("node"))
+    found = keyed.withColumn("hash", F.xxhash64("node")).mapInArrow(sets, "node string, set binary")
     blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     held = found.join(groups, "node").dropDuplicates(["node"]).join(blocks, "root")
     own = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -273,9 +282,9 @@ def near_classes(docs: DataFrame, prints: DataFrame, least_likeness: float = 0.8
     def verify(group: pa.Table) -> pa.Table:
         nodes = group["node"].to_pylist()
         links = jaccard_forest([np.frombuffer(raw, np.uint64) for raw in group["set"].to_pylist()], least_likeness)
-        return pa.table([pa.array([nodes[i] for i, _ in links], pa.int64()), pa.array([nodes[j] for _, j in links], pa.int64())], names=["a", "b"])
+        return pa.table([pa.array([nodes[i] for i, _ in links], pa.string()), pa.array([nodes[j] for _, j in links], pa.string())], names=["a", "b"])
 
-    return components(pairs.groupBy("root", "p", "q").applyInArrow(verify, "a long, b long")).select(F.col("node").alias("key"), "root")
+    return components(pairs.groupBy("root", "p", "q").applyInArrow(verify, "a string, b string")).select(F.col("node").alias("key"), "root")
 
 
 def fingerprints_and_classes(docs: DataFrame) -> DataFrame:
