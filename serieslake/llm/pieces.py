@@ -25,8 +25,7 @@ import heapq
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -35,9 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from serieslake.llm.common import long_parts, on_batches, portions, slices, texts_of
+from serieslake.llm.common import long_parts, on_batches, slices, texts_of
 from serieslake.llm.token_counts import scan
-from serieslake.llm.words import Memo
 from serieslake.session import materialize
 
 SPACE = "▁"
@@ -61,6 +59,23 @@ def read_model(path: str):
     return proto, model
 
 
+class _Units(dict):
+    """Units and their ids, found when first asked for; emptied when it holds too many."""
+
+    def __init__(self, find: Callable[[str], bytes], most: int = 500_000) -> None:
+        super().__init__()
+        self.find, self.most = find, most
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) > self.most:
+            self.clear()
+        made = self[unit] = self.find(unit)
+        return made
+
+    def ids_of(self, units: Iterable[str]) -> bytes:
+        return b"".join(map(self.__getitem__, units))
+
+
 class Pieces:
     """Paths of the best sum of scores."""
 
@@ -93,7 +108,7 @@ class Pieces:
             self.score_of[i] = self.scores[piece]
         for value, i in self.bytes.items():
             self.score_of[i] = 0 if 0x80 <= value < 0xC0 else self.unknown
-        self.memo = Memo(lambda units: [self.unit(unit) for unit in units], 500_000)
+        self.memo = _Units(self.unit)
 
     def unit(self, text: str) -> bytes:
         """Ids of a text that no piece leaves."""
@@ -155,15 +170,10 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
         made: list[bytes] = []
-        for start, stop in portions(texts):
-            if stop == start + 1:
-                parts = [part.replace(" ", SPACE) for part in slices(texts[start])]  # cut before spaces and line feeds
-                parts[0] = self.prefix + parts[0] if parts[0] else ""
-                made.append(b"".join([b"".join(self.memo.values_of(self.units(part))) for part in parts]))
-                continue
-            split = [self.units((self.prefix + text).replace(" ", SPACE)) if text else [] for text in texts[start:stop]]
-            values = self.memo.values_of([unit for units in split for unit in units])
-            made += [b"".join(islice(values, len(units))) for units in split]
+        for text in texts:
+            parts = [part.replace(" ", SPACE) for part in slices(text)]  # cut before spaces and line feeds
+            parts[0] = self.prefix + parts[0] if parts[0] else ""
+            made.append(b"".join([self.memo.ids_of(self.units(part)) for part in parts]))
         return made
 
     def _meetings(self, text: str, size: int) -> tuple[int, int] | None:
@@ -205,7 +215,7 @@ class Pieces:
                 out[i, : len(ends)] = leaving(i)
         else:
             a, b = meet
-            middle = int(self.score_of[np.frombuffer(b"".join(self.memo.values_of(self.units(text[a:b]))), "<i4")].sum()) if b > a else 0
+            middle = int(self.score_of[np.frombuffer(self.memo.ids_of(self.units(text[a:b])), "<i4")].sum()) if b > a else 0
             tail = np.array(leaving(b), np.int64)
             for i in range(states):
                 out[i, : len(ends)] = self.trace(text, i, a).score[a] + middle + tail
@@ -222,7 +232,7 @@ class Pieces:
         if meet is None:
             return self.path(text, entry, end, closed)
         a, b = meet
-        return b"".join([self.path(text, entry, a), *self.memo.values_of(self.units(text[a:b])), self.path(text, b, end, closed)])
+        return b"".join([self.path(text, entry, a), self.memo.ids_of(self.units(text[a:b])), self.path(text, b, end, closed)])
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")
@@ -262,18 +272,23 @@ class Merges(Pieces):
 
     def merged(self, text: str, least: int = 1) -> list[str]:
         """BPE by its definition, until ``least`` pieces are left."""
-        parts, rank = list(text), self.rank.get
+        parts = list(text)
         if len(parts) > LONG_UNIT:
             return self._merged_long(parts)
+        rank, never = self.rank.get, float("-inf")
+        ranks = [rank(pair, never) for pair in map(str.__add__, parts, parts[1:])]
         while len(parts) > least:
-            best, at = None, -1
-            for k, pair in enumerate(map(str.__add__, parts, parts[1:])):
-                here = rank(pair)
-                if here is not None and (best is None or here > best):
-                    best, at = here, k
-            if best is None:
+            best = max(ranks)
+            if best == never:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            at = ranks.index(best)
+            made = parts[at] + parts[at + 1]
+            parts[at : at + 2] = [made]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + made, never)
+            if at < len(ranks):
+                ranks[at] = rank(made + parts[at + 1], never)
         return parts
 
     def _merged_long(self, parts: list[str | None]) -> list[str]:
@@ -466,7 +481,7 @@ class Merges(Pieces):
         tail: list[int | None] = [None] * (end + 1)
         tail[b] = NO_LEFT
         self.chain(text, tail, b, end, right)
-        return b"".join([self.along(start, text, begin, a), *self.memo.values_of(self.units(text[a:b])), self.along(tail, text, b, end)])
+        return b"".join([self.along(start, text, begin, a), self.memo.ids_of(self.units(text[a:b])), self.along(tail, text, b, end)])
 
 
 def joined(a: Links, b: Links) -> Links:
