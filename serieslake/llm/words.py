@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 # Python's split also cuts at these four; Unicode's white space does not hold them.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_WHITE = re.compile("[ \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+WHITE = re.compile("[ \t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 # Fixed value: the splitting pattern of the word-level tokenizer file.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECES = regex.compile(PIECES)
@@ -46,7 +46,7 @@ def chunks_of(text: str) -> list[str]:
     else:
         text = _PLAIN_STOP.sub(" .", _PLAIN_COMMA.sub(" ,", text))
     if _SEPARATORS.search(text):
-        return [part for part in _WHITE.split(text) if part]
+        return [part for part in WHITE.split(text) if part]
     return text.split()
 
 

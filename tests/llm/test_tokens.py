@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from serieslake.llm import token_counts, token_files
+from serieslake.llm import run_maps, token_counts, token_files
 from serieslake.llm.common import slices, tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
@@ -65,6 +65,49 @@ def test_state_maps_compose_in_any_grouping(library):
             assert count.finish(prefixes[-1]) == len(library.encode(text, add_special_tokens=False).ids)
 
 
+def chunked(count, text, size):
+    maps = []
+    for i in range(0, len(text), size):
+        before = min(i, token_counts.AROUND)
+        maps.append(count.state_map(text[i - before : i + size + token_counts.AROUND], before, size))
+    return maps
+
+
+def test_texts_without_white_space(library):
+    """Runs of letters through chunks without any border, periodic ones too, with and without marks around them."""
+    count, rng = token_counts.counter(PATH), random.Random(2)
+    texts = [rng.choice(["a", "ab", "aab", "日本", "the"]) * rng.randint(200, 500) for _ in range(8)]
+    texts += ["".join(rng.choice("acgt") for _ in range(rng.randint(300, 1500))) for _ in range(8)]
+    texts += ["x. " + "".join(rng.choice(["Word", "über", "Straße", "ПРИВЕТ", "日本語"]) for _ in range(150)) + end for end in ("", "!", "'s more", "\u0301", "1", "。x", " y")]
+    texts += ["".join(rng.choice(BITS) for _ in range(300)) for _ in range(100)]
+    linked = 0
+    for text in texts:
+        for size in (40, 100, 333):
+            maps = chunked(count, text, size)
+            linked += sum(bool(one.links) for one in maps)
+            assert count.total(maps) == len(library.encode(text, add_special_tokens=False).ids), text
+    assert linked > 100
+
+
+def test_run_maps_are_associative():
+    count = token_counts.counter(PATH)
+    a, b, c = [run_maps.unpacked(one.links) for one in chunked(count, "thehouseonthehill" * 60, 100)[1:4]]
+    assert run_maps.joined(run_maps.joined(a, b), c) == run_maps.joined(a, run_maps.joined(b, c))
+
+
+def test_a_long_run_is_counted_by_many_tasks(spark, frame, library, monkeypatch):
+    from serieslake.llm import common
+
+    monkeypatch.setattr(common, "TASK_CHARACTERS", 50_000)
+    rng = np.random.default_rng(1)
+    text = "".join(rng.choice(list("acgt"), 400_000)) + "日本語のテキスト" * 20_000
+    df = frame("doc_id long, text string", (1, text), (2, "short one"), (3, text + "."))
+    parts = common.long_parts(df.withColumnRenamed("doc_id", "row"), 32_768, 64, 64)
+    assert parts.rdd.getNumPartitions() > 8
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, PATH).collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in ((1, text), (2, "short one"), (3, text + "."))}
+
+
 def test_files_hold_the_library_s_ids(spark, docs, library, tmp_path):
     target = str(tmp_path / "tokens")
     token_files.write_tokens(docs, PATH, target)
