@@ -16,7 +16,7 @@ from serieslake.functions import to_type
 from serieslake.operators import summary
 from serieslake.operators.layout import if_light
 from serieslake.operators.decode import Lookup, decode, duplicate_codes, labelled
-from serieslake.operators.reconcile import KEYS, reconcile
+from serieslake.operators.reconcile import KEYS, VALUE, reconcile
 from serieslake.operators.rules import DROP, FAIL, WARN, Rule, RuleViolation
 from serieslake.plans.lake import Lake
 from serieslake.sources.documents import flatten, read_documents
@@ -55,8 +55,9 @@ RULES: dict[str, list[Rule]] = {
     "gold.series_by_year": [Rule("non_null_year", "year IS NOT NULL", DROP)],
 }
 
-# Counts observations whose value is there but is no number; silver reads them as NULL.
-VALUE_PARSES = Rule("value_parses", "coalesce(trim(value), '') = '' OR try_cast(trim(value) AS double) IS NOT NULL", WARN)
+# Counts observations whose value is there but cannot be stored: no number, not finite, or of 19 digits before the
+# point and more.  Silver reads them as NULL; digits behind the tenth decimal are rounded.
+VALUE_PARSES = Rule("value_parses", f"coalesce(trim(value), '') = '' OR try_cast(trim(value) AS {VALUE}) IS NOT NULL", WARN)
 
 # How some tables are published: an empty silver table is refused, as it breaks no row rule.
 PUBLISH: dict[str, dict] = {

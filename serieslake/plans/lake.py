@@ -7,6 +7,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +23,8 @@ LOG = {
     # Of a bucketed snapshot: the name of its table, and how the table is laid out.
     "table": "string", "layout": "string",
 }
-#: The namespace in the catalog that bucketed snapshots are registered in.
-SNAPSHOTS = "serieslake_snapshots"
+#: How the catalog's names of bucketed snapshots begin; the tables are external, so nothing but the name is kept there.
+SNAPSHOTS = "default.serieslake"
 LAYERS = {
     "bronze": "rows as landed",
     "silver": "typed, deduplicated and decoded rows",
@@ -55,7 +56,13 @@ class Lake:
         return self.spark.read.schema(schema).parquet(f"{self.root}/publishes")
 
     def _newest(self, name: str, accepted_only: bool) -> Row | None:
-        lines = self.log().filter(F.col("dataset") == name)
+        columns = ", ".join(f"{n} {t}" for n, t in LOG.items())
+        try:  # the folder of this dataset alone is listed and read
+            lines = self.spark.read.schema(columns).parquet(self._log_folder(name))
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
         if accepted_only:
             lines = lines.filter("accepted")
         return lines.orderBy(F.col("seq").desc()).drop("rules").first()
@@ -88,7 +95,6 @@ class Lake:
     def _register(self, table: str, schema: T.StructType, layout: str, path: str) -> None:
         """The catalog knows how a bucketed table lies, so that scans of it need no shuffle; the data belong to the folder."""
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {SNAPSHOTS}")
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout} LOCATION '{path}'")
 
     def publish(
@@ -123,7 +129,7 @@ class Lake:
         path = f"{self.root}/{layer}/{table}/snapshot={seq:06d}-{uuid.uuid4().hex[:8]}"
         stored, layout = None, None
         if bucket_by:
-            stored = f"{SNAPSHOTS}.{layer}_{table}_{path.rsplit('-', 1)[-1]}"
+            stored = f"{SNAPSHOTS}_{layer}_{table}_{path.rsplit('-', 1)[-1]}"
             buckets = self.spark.conf.get("spark.sql.shuffle.partitions")
             order = f" SORTED BY ({', '.join(f'`{name}`' for name in sort_by)})" if sort_by else ""
             layout = f"CLUSTERED BY (`{bucket_by}`){order} INTO {buckets} BUCKETS"

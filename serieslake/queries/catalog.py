@@ -601,6 +601,13 @@ def drift_report(spark: SparkSession, sf: str) -> DataFrame:
     ).distinct()
 
 
+def drift_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift of landed extracts whose headers follow from the rows of their source."""
+    root = scratch_path(spark, "headers")
+    files.land_files(I.drifting_extracts(spark, sf), root)
+    return checks.drift_report(checks.headers(spark, root), S.OBSERVATIONS)
+
+
 def freshness(spark: SparkSession, sf: str) -> DataFrame:
     report = checks.freshness(
         I.table(spark, sf, "events"), "event_type", "ts", dt.datetime(2024, 1, 31), limit=dt.timedelta(minutes=15)
@@ -661,7 +668,7 @@ QUERIES: dict[str, Query] = {
         publish_snapshot, rule_trend, full_refresh, incremental_reconcile, withdrawn_release,
         landed_versions, stream_rule_counts, stream_quarantine, state_dropped_keys, state_invalid_periods, state_ten_versions, best_period_ties, document_text_numbers,
         listing_to_manifest, active_files_scan,
-        drift_report, freshness, duplicate_keys, masked_view,
+        drift_report, drift_by_source, freshness, duplicate_keys, masked_view,
         sql_best_year, sql_population_stats, sql_series_by_year,
     )
 }

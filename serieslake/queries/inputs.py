@@ -295,6 +295,17 @@ def file_contents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(F.concat("source", F.lit("/"), mark, text("doc_id"), F.lit(".txt")).alias("relative_path"), content.alias("content"))
 
 
+def drifting_extracts(spark: SparkSession, sf: str) -> DataFrame:
+    """A file per source whose header follows from its rows: a column lacks, one is named after a language, or two are swapped."""
+    rows = table(spark, sf, "documents").groupBy("source").agg(F.min("lang").alias("lang"), F.count("*").alias("n"))
+    number = F.col("n") + F.regexp_extract("source", r"\d+", 0).cast("int")
+    middle = F.when(number % 4 == 3, F.array(F.lit(" period"), F.lit("year "))).otherwise(F.array(F.lit("year"), F.lit("period")))
+    value = F.when(number % 3 == 1, F.array().cast("array<string>")).otherwise(F.array(F.lit("VALUE")))
+    extra = F.when(number % 3 == 2, F.array(F.concat(F.lit("in_"), "lang"))).otherwise(F.array().cast("array<string>"))
+    names = F.concat(F.array(F.lit("series_id")), middle, value, F.array(F.lit("footnote_codes")), extra)
+    return rows.select(F.concat("source", F.lit("/extract.txt")).alias("relative_path"), F.encode(F.concat(F.array_join(names, "\t"), F.lit("\nA\t2000\n")), "UTF-8").alias("content"))
+
+
 def two_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as files of two sources, with their content; every fifth has no listed size."""
     return table(spark, sf, "documents").select(

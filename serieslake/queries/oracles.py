@@ -367,6 +367,11 @@ SELECT lang, COUNT(*) AS n_files, CAST(SUM(strlen(text)) AS BIGINT) AS n_bytes F
     "drift_report": """
 SELECT 'asis' AS release, '' AS missing, '' AS extra, false AS reordered, false AS drifted
 UNION ALL SELECT 'swapped', '', '', true, true UNION ALL SELECT 'grown', 'footnote_codes', 'unit', false, true""",
+    "drift_by_source": """
+WITH s AS (SELECT source, min(lang) AS lang, count(*) + CAST(regexp_extract(source, '\\d+') AS INTEGER) AS n FROM documents GROUP BY source)
+SELECT source || '/extract.txt' AS relative_path, CASE WHEN n % 3 = 1 THEN 'value' ELSE '' END AS missing,
+       CASE WHEN n % 3 = 2 THEN 'in_' || lang ELSE '' END AS extra, n % 4 = 3 AS reordered, n % 3 > 0 OR n % 4 = 3 AS drifted
+FROM s""",
     "freshness": """
 SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS newest,
        date_sub('second', max(ts), TIMESTAMP '2024-01-31') AS age_seconds,

@@ -218,3 +218,9 @@ def test_masks_and_row_filters(frame):
     rights = frame("reader string, k int", ("ann", 2), ("ann", 2), ("bob", 1))
     assert [r.k for r in access.entitled_rows(rows, rights, "ann", "k").collect()] == [2, 2]
     assert access.entitled_rows(rows, rights, "eve", "k").count() == 0
+
+
+def test_values_that_cannot_be_stored_are_counted(frame):
+    rows = frame("value string", (" 1.5 ",), ("2E3",), ("x",), ("1e30",), ("NaN",), ("",), (None,))
+    (counted,) = rules.rule_counts(rows, [datasets.VALUE_PARSES]).collect()
+    assert (counted.rows_in, counted.rows_broken) == (7, 3)
