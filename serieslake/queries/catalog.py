@@ -473,17 +473,27 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _refreshed(spark, sf).read("gold.best_year")
 
 
+def _stored_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The history for queries that land it more than once; its quarters are summed up once."""
+    return I.as_text(materialize(I.quarter_values(spark, sf), "quarters"))
+
+
+def _land(rows: DataFrame, root: str, release: str, version: str) -> None:
+    """Land a version as compressed extracts."""
+    text.write_padded(rows, landing.version_path(root, release, version), WIDTHS, compression="gzip")
+
+
 def incremental_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Versions land in turn and merge into the state; the outcome equals the full refresh."""
     root = scratch_path(spark, "landing")
     state = ObservationState(scratch_path(spark, "state"), ["current", "all"], EXACT)
     checkpoint = scratch_path(spark, "checkpoint")
-    history = I.history(spark, sf)
+    history = _stored_history(spark, sf)
     wrong = history.filter("year = '2000'").withColumn("value", F.lit("-"))
     versions = [[("all", "1", wrong)], [("current", "1", I.current(spark, sf)), ("all", "2", history)]]
     for landed in versions:
         for release, version, rows in landed:
-            text.write_padded(rows, landing.version_path(root, release, version), WIDTHS)
+            _land(rows, root, release, version)
         merge_landed(spark, root, state, checkpoint)
     return _doubles(state.reconciled(spark, ["current", "all"]), "value")
 
@@ -494,14 +504,14 @@ def _merged(spark: SparkSession, versions: list[list[tuple[str, str, DataFrame]]
     state = ObservationState(scratch_path(spark, "state"), ["current", "all"])
     for landed in versions:
         for release, version, rows in landed:
-            text.write_padded(rows, landing.version_path(root, release, version), WIDTHS)
+            _land(rows, root, release, version)
         merge_landed(spark, root, state, checkpoint)
     return state
 
 
 def state_dropped_keys(spark: SparkSession, sf: str) -> DataFrame:
     """The second version of the history lacks every third series; so does the state."""
-    history = I.history(spark, sf)
+    history = _stored_history(spark, sf)
     fewer = history.filter(F.trim("series_id").cast("int") % 3 != 0)
     state = _merged(spark, [[("all", "1", history)], [("all", "2", fewer), ("current", "1", I.current(spark, sf))]])
     return _doubles(state.reconciled(spark, ["current", "all"]), "value")
@@ -509,7 +519,7 @@ def state_dropped_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def state_invalid_periods(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of a period outside the declared ones land as well; the state drops and counts them."""
-    history = I.history(spark, sf)
+    history = _stored_history(spark, sf)
     odd = history.withColumn("period", F.regexp_replace("period", "Q05", "M13"))
     state = _merged(spark, [[("all", "1", history.unionByName(odd))]])
     kept = state.reconciled(spark, ["all"]).groupBy("period").agg(F.count("*").alias("n_rows"))
@@ -519,7 +529,7 @@ def state_invalid_periods(spark: SparkSession, sf: str) -> DataFrame:
 
 def state_ten_versions(spark: SparkSession, sf: str) -> DataFrame:
     """Ten numbered versions, the tenth landed before the ninth: it is the tenth that counts."""
-    history = I.history(spark, sf)
+    history = _stored_history(spark, sf)
     version = lambda k: ("all", str(k), history.withColumn("footnote_codes", F.lit(str(k))))
     state = _merged(spark, [[version(k) for k in range(1, 9)], [version(10)], [version(9)]])
     return _doubles(state.reconciled(spark, ["all"]), "value")
@@ -541,12 +551,12 @@ def best_period_ties(spark: SparkSession, sf: str) -> DataFrame:
 
 def landed_versions(spark: SparkSession, sf: str) -> DataFrame:
     """A release that is landed again unchanged lands nothing; a revised one becomes a version of its own."""
-    root, history = scratch_path(spark, "landing"), I.history(spark, sf)
+    root, history = scratch_path(spark, "landing"), _stored_history(spark, sf)
     state, checkpoint = ObservationState(scratch_path(spark, "state"), ["current", "all"], EXACT), scratch_path(spark, "checkpoint")
     wrong = history.withColumn("footnote_codes", F.lit("p"))
     known: dict[str, str] = {}
     for day, (release, rows) in enumerate((("all", wrong), ("all", wrong.repartition(3)), ("all", history), ("current", I.current(spark, sf)))):
-        made = landing.land_release(rows, root, release, I.RUN_AT + dt.timedelta(days=day), widths=WIDTHS, known_hash=known.get(release))
+        made = landing.land_release(rows, root, release, I.RUN_AT + dt.timedelta(days=day), widths=WIDTHS, known_hash=known.get(release), compression="gzip")
         if (made is None) != (day == 1):
             raise AssertionError("only the repeated release is to be left out")
         known[release] = made[1] if made else known[release]
@@ -556,7 +566,7 @@ def landed_versions(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows seen and broken per rule, as observed in the stream: some periods are unknown, some values are no numbers."""
-    history = I.history(spark, sf)
+    history = _stored_history(spark, sf)
     odd = history.withColumn("period", F.regexp_replace("period", "Q05", "M13")).withColumn("value", F.when(F.col("year") == "2000", "-").otherwise(F.col("value")))
     state = _merged(spark, [[("all", "1", history), ("current", "1", I.current(spark, sf))], [("all", "2", odd)]])
     return state.batch_counts(spark).groupBy("rule", "action").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_broken").alias("rows_broken"))
@@ -580,7 +590,7 @@ def withdrawn_release(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "landing")
     state = ObservationState(scratch_path(spark, "state"), ["current", "all"], EXACT)
     for release, rows in (("current", I.current(spark, sf)), ("all", I.history(spark, sf))):
-        text.write_padded(rows, landing.version_path(root, release, "1"), WIDTHS)
+        _land(rows, root, release, "1")
     merge_landed(spark, root, state, scratch_path(spark, "checkpoint"))
     return _doubles(state.reconciled(spark, ["all"]), "value")
 

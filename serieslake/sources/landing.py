@@ -57,7 +57,8 @@ def version_path(root: str, release: str, version: str) -> str:
 
 
 def land_release(
-    df: DataFrame, root: str, release: str, run_at: dt.datetime, *, widths: Mapping[str, int], known_hash: str | None = None
+    df: DataFrame, root: str, release: str, run_at: dt.datetime, *, widths: Mapping[str, int], known_hash: str | None = None,
+    compression: str = "none",
 ) -> tuple[str, str] | None:
     """Land a release as a padded extract in a folder of its own; (path, content hash).
 
@@ -68,7 +69,7 @@ def land_release(
     if digest == known_hash:
         return None
     path = version_path(root, release, f"{run_at:%Y%m%dT%H%M%S}-{digest[:16]}")
-    write_padded(df, path, widths)
+    write_padded(df, path, widths, compression=compression)
     return path, digest
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MALFORMED = "_malformed"
+#: Lines of one compressed file, which a single task reads.
+LINES_PER_FILE = 4_000_000
 
 
 def _options(sep: str, header: bool, check_header: bool = True) -> dict[str, str]:
@@ -68,10 +70,11 @@ def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def write_padded(df: DataFrame, path: str, widths: Mapping[str, int], *, sep: str = "\t", mode: str = "error") -> None:
+def write_padded(df: DataFrame, path: str, widths: Mapping[str, int], *, sep: str = "\t", mode: str = "error", compression: str = "none") -> None:
     """Write an extract with padded fields: positive widths pad right, negative pad left.
 
-    Values longer than their width are kept whole.
+    Values longer than their width are kept whole.  The scans read compressed files as well (padding is most of a
+    line); such a file cannot be split, so it holds ``LINES_PER_FILE`` at most.
     """
 
     def padded(name: str):
@@ -80,9 +83,11 @@ def write_padded(df: DataFrame, path: str, widths: Mapping[str, int], *, sep: st
         fill = F.repeat(F.lit(" "), F.greatest(F.lit(abs(width)) - F.length(text), F.lit(0)))
         return (F.concat(text, fill) if width > 0 else F.concat(fill, text)).alias(name)
 
+    lines = 0 if compression == "none" else LINES_PER_FILE
     (
         df.select(*[padded(name) for name in df.columns])
         .write.mode(mode)
         .options(sep=sep, header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+        .options(compression=compression, maxRecordsPerFile=lines)
         .csv(path)
     )

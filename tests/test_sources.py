@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from serieslake import schemas as S
 from serieslake.functions import resolve_link, to_type, unparsed
 from serieslake.operators.reconcile import observation_types, typed
-from serieslake.sources import landing
+from serieslake.sources import landing, text
 from serieslake.sources.documents import flatten, read_documents
 from serieslake.sources.text import read_padded, split_malformed, write_padded
 
@@ -69,6 +69,21 @@ def test_padded_round_trip(spark, frame, tmp_path):
     assert sorted(map(tuple, back.collect())) == [("A", "1.5"), ("LONGER THAN WIDE", None)]
 
 
+def test_compressed_extracts_hold_the_same_rows_in_bounded_files(frame, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text, "LINES_PER_FILE", 40)
+    rows = [(f"S{i}", "1995", "Q01", str(i), None if i % 2 else "R") for i in range(100)]
+    df = frame("series_id string, year string, period string, value string, footnote_codes string", *rows).coalesce(1)
+    size = {}
+    for kind in ("none", "gzip"):
+        path = str(tmp_path / kind)
+        write_padded(df, path, {"series_id": 17, "value": -24}, compression=kind)
+        assert sorted(tuple(r) for r in read_padded(spark, path, S.OBSERVATIONS).collect()) == sorted(rows)
+        files = [f for f in os.listdir(path) if f.startswith("part-")]
+        assert len(files) == (3 if kind == "gzip" else 1)
+        size[kind] = sum(os.path.getsize(os.path.join(path, f)) for f in files)
+    assert size["gzip"] < size["none"] / 3
+
+
 def test_typed_observations(frame):
     raw = frame("series_id string, year string, period string, value string, footnote_codes string",
                 ("A   ", " 1995", "Q01 ", "   2.6", None))

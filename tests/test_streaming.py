@@ -1,6 +1,7 @@
 """Incremental runs end in the same rows as a full refresh, however the input is split."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -245,3 +246,21 @@ def test_gold_from_the_state_equals_gold_from_silver(spark, frame, tmp_path):
         datasets.refresh_gold(lake, now, observations=observations, **choice)
         results.append([sorted(map(tuple, lake.read(f"gold.{t}").collect())) for t in ("best_year", "series_by_year")])
     assert results[0] == results[1] and len(results[0][0]) == 2
+
+
+def test_versions_are_summed_once_and_landed_compressed(spark, tmp_path, monkeypatch):
+    from serieslake.queries import catalog
+
+    orders = [(i, i % 7, "O", 100.0 + i, dt.datetime(2000 + i % 3, 1 + i % 12, 1), "1-URGENT") for i in range(60)]
+    spark.createDataFrame(orders, catalog.I.TABLES["orders"]).write.parquet(str(tmp_path / "orders.parquet"))
+    summed, landed = [], []
+    quarters, write = catalog.I.quarter_values, catalog.text.write_padded
+    monkeypatch.setattr(catalog.I, "quarter_values", lambda *a, **k: summed.append(a) or quarters(*a, **k))
+    monkeypatch.setattr(catalog.text, "write_padded", lambda df, path, *a, **k: landed.append((path, df)) or write(df, path, *a, **k))
+    got = catalog.state_ten_versions(spark, str(tmp_path))
+    assert len(summed) == 1 and len(landed) == 10
+    assert all("Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString() for _, df in landed)
+    assert all(name.endswith(".gz") for path, _ in landed for name in os.listdir(path) if name.startswith("part-"))
+    want = {(r.series_id, r.year, r.period): float(r.value) for r in quarters(spark, str(tmp_path)).collect()}
+    assert {(r.series_id, r.year, r.period): r.value for r in got.collect()} == want
+    assert {r.footnote_codes for r in got.collect()} == {"10"}
