@@ -2,8 +2,10 @@
 
 from decimal import Decimal
 
+import glob
 import hashlib
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +178,22 @@ def test_materialize_keeps_rows_and_schema(frame):
     assert back.dtypes == df.dtypes and sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_shuffles_behind_a_stored_table_are_removed(spark):
+    from serieslake.session import CLEANUP, materialize
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    held = lambda: {f for folder in folders for f in glob.glob(f"{folder}/**/shuffle_*.data", recursive=True)}
+    before, setting = held(), spark.conf.get(CLEANUP, None)
+    df = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    stored = materialize(df, "t")
+    until = time.monotonic() + 10  # files are removed in the background
+    while held() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not held() - before
+    assert spark.conf.get(CLEANUP, None) == setting
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_settings_grow_with_the_shuffle():
     from serieslake.session import sized_for
 
