@@ -165,7 +165,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
     The next document is the one behind in descending order of doc_id; behind the last comes the first.
     Rows are put in order by a range exchange; only a task's first and last text wait for the others.
-    ``key`` is a hash of the text.
+    ``key`` is a hash of the text.  The result is read from stored tables, so it may be used more than once.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     result = f"doc_id {kind}, key string, {_NUMBERS}"
@@ -216,7 +216,8 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
             rows.append(pa.RecordBatch.from_arrays(_compare(ids, [text, following]), names=["doc_id", "key", *_NAMES]))
         return pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
 
-    return made.filter("role is null").select("doc_id", "key", *_NAMES).unionByName(on_batches(edges, finish, result))
+    finished = materialize(on_batches(edges, finish, result), "edge-fingerprints")
+    return made.filter("role is null").select("doc_id", "key", *_NAMES).unionByName(finished)
 
 
 def jaccard_forest(sets: list[np.ndarray], least_likeness: float) -> list[tuple[int, int]]:
@@ -289,10 +290,10 @@ def near_classes(docs: DataFrame, prints: DataFrame, least_likeness: float = 0.8
 
 def fingerprints_and_classes(docs: DataFrame) -> DataFrame:
     """``fingerprint_documents`` with fingerprints in hex and ``class_id``, the smallest doc_id of its near-duplicates."""
-    made = materialize(fingerprint_documents(docs), "all-fingerprints")
+    made = fingerprint_documents(docs)
     near = materialize(near_classes(docs, made.select("key", "fingerprint")), "near-classes")
     ids = made.groupBy("key").agg(F.min("doc_id").alias("id")).join(near, "key", "left").withColumn("root", F.coalesce("root", "key"))
     ids = materialize(ids, "ids")
     named = ids.join(ids.groupBy("root").agg(F.min("id").alias("class_id")), "root").select("key", "class_id")
     shown = {name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")}
-    return made.withColumns(shown).join(named, "key").drop("key")
+    return made.join(named, "key").drop("key").withColumns(shown)

@@ -114,3 +114,18 @@ def test_blocks_find_the_same_classes(frame):
     prints = minhash.fingerprint_documents(docs)
     for block in (2, 256):
         assert len({r.root for r in minhash.near_classes(docs, prints, block=block).collect()}) == 1
+
+
+def test_fingerprints_are_stored_once(frame, monkeypatch):
+    stored, real = [], minhash.materialize
+
+    def recorded(df, label):
+        stored.append(real(df, label))
+        return stored[-1]
+
+    monkeypatch.setattr(minhash, "materialize", recorded)
+    rows = [(i, f"{i} a b c d e f g h") for i in range(80)]
+    got = minhash.fingerprints_and_classes(frame("doc_id long, text string", *rows)).collect()
+    assert sorted(r.doc_id for r in got) == list(range(80))
+    whole = sum(t.count() for t in stored if "edited_fingerprint" in t.columns)
+    assert 80 <= whole < 120  # four parts: a first, a last and a finished row each
