@@ -109,3 +109,13 @@ def test_components_of_chains_and_hubs(spark, frame):
     rng.shuffle(links)
     got = dict(map(tuple, components(frame("a long, b long", *links)).collect()))
     assert got == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(300)}, 7000: 7000, 7001: 7000}
+
+
+def test_stars_settle_in_one_round(frame, monkeypatch):
+    import serieslake.llm.components as module
+
+    rounds, real = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, label: (rounds.append(label), real(df, label))[1])
+    got = dict(map(tuple, components(frame("a long, b long", (2, 1), (1, 3), (4, 1), (9, 8), (9, 9), (None, 1))).collect()))
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8}
+    assert rounds.count("stars") == 1
