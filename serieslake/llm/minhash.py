@@ -220,34 +220,87 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return made.filter("role is null").select("doc_id", "key", *_NAMES).unionByName(finished)
 
 
-def jaccard_forest(sets: list[np.ndarray], least_likeness: float) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of shingle sets (sorted, distinct) that are that alike."""
-    parent = list(range(len(sets)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    sizes = [len(s) for s in sets]
-    order = sorted(range(len(sets)), key=sizes.__getitem__)
-    forest = []
-    for at, i in enumerate(order):
-        for j in order[at + 1 :]:
-            if sizes[i] < least_likeness * sizes[j]:
-                break  # all further sets are larger still
-            p, q = root(i), root(j)
-            if p != q:
-                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if shared >= least_likeness * (sizes[i] + sizes[j] - shared):
-                    parent[max(p, q)] = min(p, q)
-                    forest.append((i, j))
+#: Shingles laid side by side in a matrix, and pairs of sets listed, at a time.
+COLUMNS, PAIRS = 1024, 1 << 20
+
+
+def _ranges(first: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The numbers from each first one on, as many as given."""
+    ends = np.cumsum(number)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + number, number)
+
+
+def _holders(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different shingles in order; where each one's holders begin, how many there are; the holders."""
+    held = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    order = np.argsort(held)
+    held = held[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(held)), bool), held[1:] != held[:-1]]))
+    owners = np.repeat(np.arange(len(sets)), list(map(len, sets)))[order]
+    return held[first], first, np.diff(first, append=len(held)), owners
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set on the left shares with each on the right; the sets are without repeats.
+
+    Shingles with many holders are counted by products of 0/1 matrices, others by listing the pairs of their holders.
+    """
+    counts = np.zeros((len(left), len(right)), np.int32)
+    a = _holders(left)
+    b = a if right is left else _holders(right)
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    sides = [(first[at], number[at], owners) for (_, first, number, owners), at in ((a, i), (b, j))]
+    (first_a, number_a, owners_a), (first_b, number_b, owners_b) = sides
+    pairs = number_a * number_b
+    frequent = pairs * 256 > counts.size
+    common, rare = np.flatnonzero(frequent), np.flatnonzero(~frequent)
+    for at in range(0, len(common), COLUMNS):
+        chosen, held = common[at : at + COLUMNS], []
+        for (first, number, owners), size in zip(sides, counts.shape, strict=True):
+            held.append(np.zeros((size, len(chosen)), np.float32))
+            held[-1][owners[_ranges(first[chosen], number[chosen])], np.repeat(np.arange(len(chosen)), number[chosen])] = 1
+        counts += (held[0] @ held[1].T).astype(np.int32)
+    ends = np.cumsum(pairs[rare])
+    for chosen in np.split(rare, np.searchsorted(ends, np.arange(PAIRS, ends[-1] if len(ends) else 0, PAIRS))):
+        shingle, nth = np.repeat(chosen, pairs[chosen]), _ranges(np.zeros(len(chosen), np.int64), pairs[chosen])
+        i = owners_a[first_a[shingle] + nth // number_b[shingle]]
+        j = owners_b[first_b[shingle] + nth % number_b[shingle]]
+        np.add.at(counts.reshape(-1), i * len(right) + j, 1)
+    return counts
+
+
+def jaccard_forest(sets: list[np.ndarray], least_likeness: float, others: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of shingle sets (without repeats) that are that alike.
+
+    With ``others``, of the pairs of one of ``sets`` and one of ``others``, which are numbered behind them.
+    """
+    right = sets if others is None else others
+    shared = shared_counts(sets, right)
+    sizes = [np.fromiter(map(len, side), np.int64, len(side)) for side in (sets, right)]
+    alike = np.empty(shared.shape, bool)
+    for row, here in enumerate(shared):
+        alike[row] = here >= least_likeness * (sizes[0][row] + sizes[1] - here)
+    behind = 0 if others is None else len(sets)
+    back = alike if others is None else np.ascontiguousarray(alike.T)
+    rest, forest = np.ones(behind + len(right), bool), []
+    for seed in range(len(rest)):
+        front = [seed] if rest[seed] else []
+        rest[seed] = False
+        while front:
+            i = front.pop()
+            row, start = (alike[i], behind) if i < len(sets) else (back[i - behind], 0)
+            near = (np.flatnonzero(row & rest[start : start + len(row)]) + start).tolist()
+            rest[near] = False
+            forest += [(i, j) for j in near]
+            front += near
     return forest
 
 
-def near_classes(docs: DataFrame, prints: DataFrame, least_likeness: float = 0.8, block: int = 256) -> DataFrame:
-    """key, root of each text that has near-duplicates; ``prints(key, fingerprint)`` are of the texts of ``docs``."""
+def near_classes(docs: DataFrame, prints: DataFrame, least_likeness: float = 0.8, block: int = 2048, block_bytes: int = 8 << 20) -> DataFrame:
+    """key, root of each text that has near-duplicates; ``prints(key, fingerprint)`` are of the texts of ``docs``.
+
+    A group of candidates is dealt to as many blocks as hold about ``block`` texts and ``block_bytes`` of their sets each.
+    """
     texts = materialize(prints.groupBy("key").agg(F.first("fingerprint").alias("fingerprint")), "texts")  # equal texts are one
     width = 2 * PLACES // BANDS
     bands = texts.select("key", F.explode(F.array(*[
@@ -273,16 +326,23 @@ def near_classes(docs: DataFrame, prints: DataFrame, least_likeness: float = 0.8
 
     keyed = docs.select("text", _key().alias("node"))
     found = keyed.withColumn("hash", F.xxhash64("node")).mapInArrow(sets, "node string, set binary")
-    blocks = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    held = found.join(groups, "node").dropDuplicates(["node"]).join(blocks, "root")
-    own = held.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    held = materialize(found.join(groups, "node").dropDuplicates(["node"]), "sets")
+    blocks = F.ceil(F.greatest(F.count("*") / block, F.sum(F.length("set")) / block_bytes)).cast("int")
+    large = materialize(held.groupBy("root").agg(blocks.alias("blocks")).filter("blocks > 1"), "blocks")  # few, so the sets stay
+    dealt = held.join(large, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "node", "set"
+        "root", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("second"), "node", "set"
     )
 
     def verify(group: pa.Table) -> pa.Table:
-        nodes = group["node"].to_pylist()
-        links = jaccard_forest([np.frombuffer(raw, np.uint64) for raw in group["set"].to_pylist()], least_likeness)
+        sides: tuple[list, list] = ([], [])
+        for node, raw, second in zip(group["node"].to_pylist(), group["set"].to_pylist(), group["second"].to_pylist(), strict=True):
+            sides[second].append((node, np.frombuffer(raw, np.uint64)))
+        sets, others = ([s for _, s in side] for side in sides)
+        # a pair of two blocks leaves out what each block finds by itself
+        links = jaccard_forest(sets, least_likeness, None if group["p"][0].equals(group["q"][0]) else others)
+        nodes = [node for side in sides for node, _ in side]
         return pa.table([pa.array([nodes[i] for i, _ in links], pa.string()), pa.array([nodes[j] for _, j in links], pa.string())], names=["a", "b"])
 
     return components(pairs.groupBy("root", "p", "q").applyInArrow(verify, "a string, b string")).select(F.col("node").alias("key"), "root")

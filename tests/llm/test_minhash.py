@@ -116,6 +116,84 @@ def test_blocks_find_the_same_classes(frame):
         assert len({r.root for r in minhash.near_classes(docs, prints, block=block).collect()}) == 1
 
 
+def near_copies(rng, n, edits):
+    """Shingle sets of copies of one text with so many words changed; most copies are alike to none."""
+    base, made = [f"w{i}" for i in range(400)], []
+    for _ in range(n):
+        words = list(base)
+        for _ in range(rng.randint(*edits)):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 300)}"
+        made.append(np.unique(minhash.shingles(minhash.word_hashes(" ".join(words)))))
+    return made
+
+
+def classes_of(links, n):
+    label = list(range(n))
+    for i, j in links:
+        a, b = sorted((label[i], label[j]))
+        label = [a if x == b else x for x in label]
+    return label
+
+
+def all_pairs(sets, least):
+    held = [set(s.tolist()) for s in sets]
+    return [(i, j) for j in range(len(held)) for i in range(j) if len(held[i] & held[j]) >= least * len(held[i] | held[j])]
+
+
+def test_shared_counts_equal_the_definition(monkeypatch):
+    rng = random.Random(4)
+    for columns, pairs in ((1024, 1 << 20), (3, 5)):  # in one go, and in many
+        monkeypatch.setattr(minhash, "COLUMNS", columns)
+        monkeypatch.setattr(minhash, "PAIRS", pairs)
+        # some shingles are in most sets, some in few
+        sets = [np.array(sorted({*range(rng.randint(0, 6)), *rng.sample(range(100, 400), rng.randint(0, 9))}), np.uint64) for _ in range(60)]
+        sets += [np.zeros(0, np.uint64)] * 2
+        for left, right in ((sets, sets), (sets[:20], sets[20:]), ([], sets), (sets, []), (sets[-2:], sets[-2:])):
+            want = [[len(np.intersect1d(x, y)) for y in right] for x in left]
+            assert np.array_equal(minhash.shared_counts(left, right), np.array(want, int).reshape(len(left), len(right)))
+
+
+def test_forest_within_and_across():
+    rng = random.Random(6)
+    sets = [*near_copies(rng, 50, (0, 12)), *([np.zeros(0, np.uint64)] * 3)]
+    rng.shuffle(sets)
+    n, cut = len(sets), 21
+    alike = set(all_pairs(sets, 0.8))
+    whole = minhash.jaccard_forest(sets, 0.8)
+    inner = [(i + cut, j + cut) for i, j in minhash.jaccard_forest(sets[cut:], 0.8)]
+    across = minhash.jaccard_forest(sets[:cut], 0.8, sets[cut:])
+    parts = [*minhash.jaccard_forest(sets[:cut], 0.8), *inner, *across]
+    assert {tuple(sorted(link)) for link in [*whole, *parts]} <= alike
+    assert all((i < cut) != (j < cut) for i, j in across)
+    want = classes_of(alike, n)
+    assert classes_of(whole, n) == classes_of(parts, n) == want
+    assert len(whole) == n - len(set(want)) < len(alike)
+
+
+def test_unlike_near_copies_are_not_compared_one_by_one(monkeypatch):
+    sets, calls, real = near_copies(random.Random(7), 200, (9, 14)), [], np.intersect1d
+    monkeypatch.setattr(np, "intersect1d", lambda *a, **b: calls.append(1) or real(*a, **b))
+    links = minhash.jaccard_forest(sets, 0.8)
+    assert len(calls) < len(sets)
+    monkeypatch.undo()
+    assert classes_of(links, 200) == classes_of(all_pairs(sets, 0.8), 200)
+
+
+def test_a_group_that_fits_one_block_is_sent_once(frame, monkeypatch):
+    stored, real = {}, minhash.materialize
+    monkeypatch.setattr(minhash, "materialize", lambda df, label: stored.setdefault(label, real(df, label)))
+    words = [f"w{i}" for i in range(300)]
+    docs = frame("doc_id long, text string", *[(i, " ".join([*words, f"x{i}"])) for i in range(300)])
+    prints = minhash.fingerprint_documents(docs)
+    want = {r.key: r.root for r in minhash.near_classes(docs, prints).collect()}
+    assert (len(want), len(set(want.values()))) == (300, 1)
+    assert stored["blocks"].count() == 0
+    for limits in ({"block": 70}, {"block_bytes": 100_000}):
+        stored.clear()
+        assert {r.key: r.root for r in minhash.near_classes(docs, prints, **limits).collect()} == want
+        assert stored["blocks"].first().blocks > 4
+
+
 def test_fingerprints_are_stored_once(frame, monkeypatch):
     stored, real = [], minhash.materialize
 
